@@ -24,7 +24,8 @@ def nan_to_null(c: Column) -> Column:
 
 
 def floor_at_zero(c: Column) -> Column:
-    return F.greatest(c, F.lit(0.0))
+    """Negative values become 0; NULL stays NULL, which ``greatest`` would turn into 0."""
+    return F.when(c < 0, 0.0).otherwise(c)
 
 
 def from_log(c: Column) -> Column:

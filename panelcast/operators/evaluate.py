@@ -62,7 +62,9 @@ def directional_accuracy() -> Column:
 
 
 def within(band: int) -> Column:
-    return F.avg((_pct_error() <= band).cast("double")) * 100
+    """Share of non-zero actuals missed by at most ``band`` percent. Rounding takes out the noise of
+    the way to logs and back, so an error of just the band counts."""
+    return F.avg((F.round(_pct_error(), 9) <= band).cast("double")) * 100
 
 
 def with_direction(predictions: DataFrame, group: Sequence[str]) -> DataFrame:
