@@ -1,8 +1,8 @@
 """Weekly seasonal panels on Spark: features, season detection, seasonal ARIMA, evaluation."""
 
-from pyspark import cloudpickle
+import sys
 
-from panelcast import kernels
+from pyspark import cloudpickle
 
-# The numeric kernels travel with the pickled task, so executors need no installed copy.
-cloudpickle.register_pickle_by_value(kernels)
+# Task functions travel whole with the job, so executors need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

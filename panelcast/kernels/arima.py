@@ -10,6 +10,9 @@ from dataclasses import dataclass
 
 import numpy as np
 
+# Stop when a step lowers the sum of squares by less than this share.
+GAIN = 1e-8
+
 
 @dataclass(frozen=True)
 class Order:
@@ -94,17 +97,31 @@ def innovations(lanes, dy, dx, order, skip):
     return invert(invert(w, with_one(stheta), order.s), with_one(theta), 1)
 
 
-def admissible(lanes, order, stationary, invertible):
-    """Roots outside the unit circle, for the polynomials that are asked to."""
-    _, phi, sphi, theta, stheta = order.parts(lanes)
-    wanted = [with_one(-phi), with_one(-sphi)] * stationary + [with_one(theta), with_one(stheta)] * invertible
-    ok = np.ones(len(lanes), dtype=bool)
-    for polynomial in wanted:
-        ok &= np.array([np.all(np.abs(np.roots(c)) < 1) for c in polynomial], dtype=bool)
-    return ok
+def stable(free):
+    """Coefficients c of a polynomial 1 + c_1 x + … with every root outside the unit circle, from
+    any real numbers: their tanh serves as partial coefficients."""
+    partial = np.tanh(free)
+    c = partial[:, :0]
+    for k in range(partial.shape[1]):
+        last = partial[:, k : k + 1]
+        c = np.concatenate([c + last * c[:, ::-1], last], axis=1)
+    return c
+
+
+def natural(lanes, order, stationary):
+    """Search space to model parameters.
+
+    The moving-average side stays invertible: a model that is not has an invertible twin with the same
+    likelihood, while the recursion for its innovations explodes. The autoregressive side is free
+    unless ``stationary``.
+    """
+    b, phi, sphi, theta, stheta = order.parts(lanes)
+    if stationary:
+        phi, sphi = -stable(phi), -stable(sphi)
+    return np.concatenate([b, phi, sphi, stable(theta), stable(stheta)], axis=1)
 
 
-def fit(y, x, order, maxiter=500, condition_on=None, stationary=False, invertible=False):
+def fit(y, x, order, maxiter=500, condition_on=None, stationary=False):
     """Levenberg-Marquardt on the sum of squared innovations.
 
     ``condition_on`` is the number of leading observations left out of the sum; candidates of one
@@ -121,7 +138,7 @@ def fit(y, x, order, maxiter=500, condition_on=None, stationary=False, invertibl
 
     def errors(lanes):
         with np.errstate(all="ignore"):
-            return innovations(lanes, dy, dx, order, skip)
+            return innovations(natural(lanes, order, stationary), dy, dx, order, skip)
 
     def loss(e):
         with np.errstate(all="ignore"):
@@ -142,11 +159,9 @@ def fit(y, x, order, maxiter=500, condition_on=None, stationary=False, invertibl
         lanes = np.stack([point - np.linalg.solve(hessian + t * scale, gradient) for t in tries])
         trial = errors(lanes)
         losses = loss(trial)
-        if stationary or invertible:
-            losses = np.where(admissible(lanes, order, stationary, invertible), losses, np.inf)
         i = int(losses.argmin())
         if losses[i] < best:
-            converged = best - losses[i] <= 1e-9 * best
+            converged = best - losses[i] <= GAIN * best
             point, e, best, damping = lanes[i], trial[i], float(losses[i]), max(tries[i], 1e-9)
         else:
             damping *= 1e4
@@ -156,7 +171,8 @@ def fit(y, x, order, maxiter=500, condition_on=None, stationary=False, invertibl
     sigma2 = max(best / n, 1e-300)
     free = order.size + 1
     return {
-        "params": point, "sigma2": sigma2, "nobs": n, "n_iter": turns, "converged": bool(converged),
+        "params": natural(point[None], order, stationary)[0], "sigma2": sigma2, "nobs": n,
+        "n_iter": turns, "converged": bool(converged),
         "log_likelihood": -0.5 * n * (np.log(2 * np.pi * sigma2) + 1),
         "aic": n * np.log(2 * np.pi * sigma2) + n + 2 * free,
     }

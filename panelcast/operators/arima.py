@@ -49,11 +49,13 @@ def _ddl(fields: Mapping[str, str]) -> str:
 
 @dataclass(frozen=True)
 class SarimaxSpec:
+    """Orders, regressors and limits. The moving-average side is always estimated invertible (see
+    ``kernels.arima.natural``), so only stationarity is a choice."""
+
     order: tuple[int, int, int] = ORDER
     seasonal: tuple[int, int, int, int] = SEASONAL
     exog: tuple[str, ...] = REGRESSORS
     enforce_stationarity: bool = False
-    enforce_invertibility: bool = False
     maxiter: int = MAXITER
 
     def kernel_order(self) -> kernel.Order:
@@ -75,9 +77,7 @@ def _fit_row(spec: SarimaxSpec, y, x, condition_on=None) -> tuple[dict, np.ndarr
     out.update(order=list(spec.order), seasonal=list(spec.seasonal), exog=list(spec.exog), converged=False)
     order = spec.kernel_order()
     try:
-        found = kernel.fit(
-            y, x, order, spec.maxiter, condition_on, spec.enforce_stationarity, spec.enforce_invertibility
-        )
+        found = kernel.fit(y, x, order, spec.maxiter, condition_on, spec.enforce_stationarity)
     except (ValueError, np.linalg.LinAlgError) as failure:
         out["message"] = str(failure)
         return out, None

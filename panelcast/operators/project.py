@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from panelcast.functions import calendar as cal
 from panelcast.functions.scalars import nan_to_null
 from panelcast.kernels import arima as kernel
-from panelcast.operators import arima, seasons
+from panelcast.operators import seasons
+from panelcast.operators.arima import (
+    REGRESSORS, design, fitted_model, pack_history, per_row, with_interval, with_models,
+)
 from panelcast.operators.packing import key_schema, spread
 from panelcast.operators.panel import horizon
 
@@ -76,7 +79,7 @@ def project(
     history: DataFrame,
     models: DataFrame | None,
     future: DataFrame,
-    exog: Sequence[str] = arima.REGRESSORS,
+    exog: Sequence[str] = REGRESSORS,
     keys: Sequence[str] = KEYS,
     value: str = "log_y",
     alpha: float = 0.05,
@@ -86,11 +89,11 @@ def project(
     keys, exog = list(keys), list(exog)
 
     def score(row):
-        spec, params = arima.fitted_model(row["model"])
+        spec, params = fitted_model(row["model"])
         ahead = {c: np.asarray(row[f"future_{c}"], dtype=float) for c in spec.exog}
         path = kernel.path(
             np.asarray(row["y"], dtype=float),
-            arima.design(row, spec.exog),
+            design(row, spec.exog),
             np.column_stack(list(ahead.values())) if ahead else np.zeros((len(row["future_weeks"]), 0)),
             spec.kernel_order(),
             params,
@@ -99,15 +102,15 @@ def project(
             {"week_start": row["future_weeks"], "log_hat": path, "sigma": np.sqrt(row["model"]["sigma2"])}
         ).assign(**{k: row[k] for k in keys})
 
-    ahead = arima.pack_history(future.withColumn("_none", F.lit(0.0)), keys, exog, "_none").select(
+    ahead = pack_history(future.withColumn("_none", F.lit(0.0)), keys, exog, "_none").select(
         *keys, F.col("weeks").alias("future_weeks"), *(F.col(c).alias(f"future_{c}") for c in exog)
     )
-    packed = arima.with_models(arima.pack_history(history, keys, exog, value), models, keys).join(ahead, keys)
+    packed = with_models(pack_history(history, keys, exog, value), models, keys).join(ahead, keys)
     scored = spread(packed).mapInPandas(
-        arima.per_row(score),
+        per_row(score),
         f"{key_schema(history, keys)}, week_start date, log_hat double, sigma double",
     )
-    out = arima.with_interval(scored.withColumn("log_hat", nan_to_null(F.col("log_hat"))), alpha)
+    out = with_interval(scored.withColumn("log_hat", nan_to_null(F.col("log_hat"))), alpha)
     return out.withColumn("week", cal.epi_week(F.col("week_start"))).drop("sigma")
 
 
