@@ -164,11 +164,11 @@ FULL_NAMES = ["mae", "rmse", "mape", "smape", "r2", "directional_accuracy", *BAN
 
 
 def direction_of(group: str) -> str:
-    """Equal sign of change within the group; differences of integers over expm1 are exact in sign."""
+    """Equal sign of change within the group."""
     w = f"(PARTITION BY {group} ORDER BY week_start)"
     return (
-        f"CASE WHEN lag(y) OVER {w} IS NOT NULL THEN CASE WHEN sign(y - lag(y) OVER {w}) = "
-        f"sign(y_hat - lag(y_hat) OVER {w}) THEN 1.0 ELSE 0.0 END END AS hit"
+        f"CASE WHEN lag(y) OVER {w} IS NOT NULL THEN CASE WHEN sign(round(y - lag(y) OVER {w}, 9)) = "
+        f"sign(round(y_hat - lag(y_hat) OVER {w}, 9)) THEN 1.0 ELSE 0.0 END END AS hit"
     )
 
 
@@ -377,7 +377,7 @@ sql("w10_drop_short_blocks", SHORT, f"SELECT series_id, {iso('week_start')}, is_
 sql("w11_season_labels", LABELLED, f"SELECT series_id, {iso('week_start')}, is_season, season_label FROM labelled",
     recursive=True)
 sql("w12_direction", f"{FACTS}, {TARGET}",
-    f"SELECT series_id, {iso('week_start')}, CAST(sign(y - lag(y) OVER ({W})) AS DOUBLE) AS change FROM target")
+    f"SELECT series_id, {iso('week_start')}, CAST(sign(round(y - lag(y) OVER ({W}), 9)) AS DOUBLE) AS change FROM target")
 RECENT4 = f"""{LABELLED},
     ranked_s AS (SELECT *, dense_rank() OVER (PARTITION BY series_id ORDER BY season_label DESC) AS r FROM labelled
         WHERE season_label IS NOT NULL),

@@ -12,6 +12,8 @@ import numpy as np
 
 # Stop when a step lowers the sum of squares by less than this share.
 GAIN = 1e-8
+# Largest partial coefficient, just inside the unit circle.
+LIMIT = 1 - 1e-6
 
 
 @dataclass(frozen=True)
@@ -100,7 +102,7 @@ def innovations(lanes, dy, dx, order, skip):
 def stable(free):
     """Coefficients c of a polynomial 1 + c_1 x + … with every root outside the unit circle, from
     any real numbers: their tanh serves as partial coefficients."""
-    partial = np.tanh(free)
+    partial = LIMIT * np.tanh(free)
     c = partial[:, :0]
     for k in range(partial.shape[1]):
         last = partial[:, k : k + 1]

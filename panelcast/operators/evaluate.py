@@ -6,9 +6,11 @@ Rows without an actual or a prediction are not scored.
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.operators.sequence import direction
+
 KEYS = ("series_id",)
 # Tolerance bands in percent.
 BANDS = (20, 30, 50)
@@ -69,12 +71,7 @@ def within(band: int) -> Column:
 
 def with_direction(predictions: DataFrame, group: Sequence[str]) -> DataFrame:
     """Does the prediction move the way the actual does, from one row of the group to the next?"""
-    w = Window.partitionBy(*group).orderBy("week_start")
-
-    def change(c):
-        return F.signum(F.col(c) - F.lag(c).over(w))
-
-    return predictions.withColumn("same_direction", change("y") == change("y_hat"))
+    return predictions.withColumn("same_direction", direction("y", group) == direction("y_hat", group))
 
 
 def _scorable(predictions: DataFrame) -> DataFrame:

@@ -90,6 +90,7 @@ def safe_fill_columns(columns: Sequence[str]) -> list[str]:
 def direction(
     column: str | Column, keys: Sequence[str] = KEYS, order: str = "week_start"
 ) -> Column:
-    """Sign of the change from the row before."""
+    """Sign of the change from the row before. Rounding keeps equal values equal after a way to logs
+    and back."""
     value = F.col(column) if isinstance(column, str) else column
-    return F.signum(value - F.lag(value).over(by_time(keys, order)))
+    return F.signum(F.round(value - F.lag(value).over(by_time(keys, order)), 9))
