@@ -554,7 +554,7 @@ sql("d4_residual_histogram", f"""{RESID},
     edges AS (SELECT series_id, model, min(residual) AS lo, max(residual) AS hi FROM resid
         WHERE model = 'Weekly Mean' GROUP BY ALL),
     placed AS (SELECT r.series_id, r.model,
-        CAST(least(floor((residual - lo) / (hi - lo) * 30), 29) + 1 AS INTEGER) AS bin
+        CAST(least(floor(round((residual - lo) / (hi - lo) * 30, 9)), 29) + 1 AS INTEGER) AS bin
         FROM resid r JOIN edges e ON e.series_id = r.series_id AND e.model = r.model),
     counts AS (SELECT series_id, model, bin, count(*) AS n FROM placed GROUP BY ALL),
     bins AS (SELECT CAST(unnest(generate_series(1, 30)) AS INTEGER) AS bin)""",

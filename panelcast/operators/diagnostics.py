@@ -45,10 +45,16 @@ def actual_vs_predicted(predictions: DataFrame, keys: Sequence[str] = KEYS) -> D
 
 
 def model_lines(predictions: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """All models against the actual, the actual as one more line."""
-    lines = predictions.select(*keys, "model", "week_start", F.col("y_hat").alias("value"))
-    actual = predictions.groupBy(*keys, "week_start").agg(F.max("y").alias("value"))
-    return lines.unionByName(actual.withColumn("model", F.lit("Actual")))
+    """All models against the actual, the actual as one more line: the first model's row of a week
+    brings it along, so the predictions are read once."""
+    group = [*keys, "week_start"]
+    first = F.row_number().over(Window.partitionBy(*group).orderBy("model")) == 1
+    own = F.struct("model", F.col("y_hat").alias("value"))
+    actual = F.when(F.col("_first"), F.struct(F.lit("Actual").alias("model"), F.col("y").alias("value")))
+    lines = predictions.withColumn("_first", first).select(
+        *group, F.explode(F.array_compact(F.array(own, actual))).alias("line")
+    )
+    return lines.select(*keys, "line.model", "week_start", "line.value")
 
 
 def residuals(predictions: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -68,7 +74,8 @@ def residual_histogram(resid: DataFrame, keys: Sequence[str] = KEYS, bins: int =
             "hi": F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi")),
         }
     )
-    place = F.floor((F.col("residual") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins)
+    # Rounding puts a residual on an edge into the bin that starts there.
+    place = F.floor(F.round((F.col("residual") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins, 9))
     rows = rows.withColumn("bin", (F.least(place, F.lit(bins - 1)) + 1).cast("int"))
     columns = [str(b) for b in range(1, bins + 1)]
     wide = rows.groupBy(*group, "lo", "hi").agg(

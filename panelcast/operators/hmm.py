@@ -44,7 +44,8 @@ def _stacks(pdf: pd.DataFrame):
 
 
 def fit_decode(panel: DataFrame, spec: HmmSpec = HmmSpec(), keys: Sequence[str] = KEYS, value: str = "y") -> DataFrame:
-    """One row per series: parameters, log likelihood, and the decoded states and probabilities.
+    """One row per series: parameters, log likelihood, and the decoded states and probabilities, the
+    latter week by week with all states of a week in a row.
 
     A series with missing values gets NULL parameters. Fitting and decoding share one pass.
     """
@@ -63,7 +64,7 @@ def fit_decode(panel: DataFrame, spec: HmmSpec = HmmSpec(), keys: Sequence[str]
                     means=list(found["means"]), covars=list(found["covars"]),
                     startprob=list(found["startprob"]), transmat=[list(m) for m in found["transmat"]],
                     n_iter=found["n_iter"], converged=found["converged"], log_likelihood=loglik,
-                    states=list(path), probs=[list(g) for g in gamma],
+                    states=list(path), probs=list(gamma.reshape(len(rows), -1)),
                 )
             gaps = pdf[~complete]
             if len(gaps):
@@ -75,7 +76,7 @@ def fit_decode(panel: DataFrame, spec: HmmSpec = HmmSpec(), keys: Sequence[str]
     )
     schema = (
         f"{key_schema(panel, keys)}, weeks array<date>, {PARAMETERS}, n_iter long, converged boolean, "
-        "log_likelihood double, states array<int>, probs array<array<double>>"
+        "log_likelihood double, states array<int>, probs array<double>"
     )
     return ready.mapInPandas(fit_batch, schema)
 
@@ -91,7 +92,7 @@ def decode_given(panel: DataFrame, means, covars, startprob, transmat, keys: Seq
                 same = [np.repeat(v[None], len(x), axis=0) for v in given]
                 path, gamma, loglik = kernel.decode(x, *same)
                 yield rows[keys + ["weeks"]].assign(
-                    log_likelihood=loglik, states=list(path), probs=[list(g) for g in gamma]
+                    log_likelihood=loglik, states=list(path), probs=list(gamma.reshape(len(rows), -1))
                 )
 
     packed = pack(panel.withColumn("y", F.col(value)), keys, ["y"])
@@ -100,7 +101,7 @@ def decode_given(panel: DataFrame, means, covars, startprob, transmat, keys: Seq
     )
     fitted = ready.mapInPandas(
         decode_batch,
-        f"{key_schema(panel, keys)}, weeks array<date>, log_likelihood double, states array<int>, probs array<array<double>>",
+        f"{key_schema(panel, keys)}, weeks array<date>, log_likelihood double, states array<int>, probs array<double>",
     )
     return fitted.withColumn("means", F.array(*(F.lit(float(m)) for m in given[0])))
 
@@ -114,14 +115,18 @@ def season_state(fitted: DataFrame) -> DataFrame:
 
 def decoded_rows(fitted: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """``week_start, hmm_state, season_prob, is_season`` per series and week."""
-    steps = F.explode(F.arrays_zip("weeks", "states", "probs")).alias("step")
-    rows = season_state(fitted).select(*keys, "season_state", steps)
+    n, season = F.size("means"), F.col("season_state")
+    in_season = F.transform("states", lambda state, i: F.get("probs", i * n + season))
+    arrays = season_state(fitted).select(
+        *keys, "season_state", "weeks", "states", in_season.alias("probs")
+    )
+    rows = arrays.select(*keys, "season_state", F.explode(F.arrays_zip("weeks", "states", "probs")).alias("step"))
     return rows.select(
         *keys,
         F.col("step.weeks").alias("week_start"),
         F.col("step.states").alias("hmm_state"),
-        F.expr("step.probs[season_state]").alias("season_prob"),
-        (F.col("step.states") == F.col("season_state")).cast("int").alias("is_season"),
+        F.col("step.probs").alias("season_prob"),
+        (F.col("step.states") == season).cast("int").alias("is_season"),
     )
 
 

@@ -20,6 +20,8 @@ class FeatureConfig:
     lead_codes: tuple[str, ...] = ("AUS",)
     lead_lags: tuple[int, ...] = (1,)
     temperature_lags: tuple[int, ...] = (1, 2)
+    # The station that serves all series of a panel without a station column.
+    station: str = "all"
     school: cal.SchoolYear = field(default_factory=cal.SchoolYear)
     covid: cal.Period = field(default_factory=cal.Period)
 
@@ -96,8 +98,8 @@ def feature_matrix(
     """The full matrix, one row per series and grid week.
 
     Two exchanges carry the target: the weekly sums, then the series for every window. The leading
-    frame has one row per grid week and is broadcast; weather joins on the week alone when the panel
-    has no ``station`` column, and then must hold a single station.
+    frame has one row per grid week and is broadcast. Weather joins on station and week if the panel
+    has a ``station`` column; else the configured station, again one row per grid week, serves all.
     """
     out = target(facts, cfg, fill=lead_facts is not None)
     if lead_facts is not None:
@@ -106,10 +108,10 @@ def feature_matrix(
         # A leading series without any fact counts as 0 throughout.
         out = out.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in lead_columns(cfg)})
     if weather is not None:
-        temperature = temperature_features(weather, cfg)
         if "station" in out.columns:
-            out = out.join(temperature, ["station", "week_start"], "left")
+            out = out.join(temperature_features(weather, cfg), ["station", "week_start"], "left")
         else:
-            by_week = temperature.drop("station")
+            only = weather.filter(F.col("station") == cfg.station)
+            by_week = temperature_features(only, cfg).drop("station")
             out = out.join(pn.broadcast_if_bounded(by_week, cfg.n_weeks), "week_start", "left")
     return calendar_features(out, cfg)
