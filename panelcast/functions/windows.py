@@ -7,8 +7,7 @@ the partition: the latter is quadratic in the series length.
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, Window
-from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 
 def by_time(keys: Sequence[str], order: str = "week_start"):
@@ -23,14 +22,20 @@ def whole(keys: Sequence[str]):
     return Window.partitionBy(*keys)
 
 
-def last_known(column: str, keys: Sequence[str], order: str = "week_start") -> Column:
-    """The current value, or the closest non-null one before it."""
-    return F.last(column, ignorenulls=True).over(so_far(keys, order))
+def spec(keys: Sequence[str], order: str = "week_start") -> str:
+    """Partition and order as SQL text."""
+    partition = ", ".join(f"`{k}`" for k in keys)
+    return f"PARTITION BY {partition} ORDER BY `{order}`"
 
 
-def next_known(column: str, keys: Sequence[str], order: str = "week_start") -> Column:
-    """The closest non-null value strictly after the current row."""
-    partition = ", ".join(f"`{k}`" for k in keys)
-    return F.expr(
-        f"lead(`{column}`) IGNORE NULLS OVER (PARTITION BY {partition} ORDER BY `{order}`)"
+def last_known(value: str, keys: Sequence[str], order: str = "week_start") -> str:
+    """SQL for the current value, or the closest non-null one before it."""
+    return (
+        f"last({value}) IGNORE NULLS OVER "
+        f"({spec(keys, order)} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     )
+
+
+def next_known(value: str, keys: Sequence[str], order: str = "week_start") -> str:
+    """SQL for the closest non-null value strictly after the current row."""
+    return f"lead({value}) IGNORE NULLS OVER ({spec(keys, order)})"

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions import calendar as cal
@@ -35,8 +35,13 @@ def week_grid(series: DataFrame, start, end, keys: Sequence[str] = KEYS) -> Data
 
 
 def with_epi(df: DataFrame, week: str = "week_start") -> DataFrame:
+    """Epi year and week of rows dated by their Sunday."""
+    wednesday = f"date_add({week}, 3)"
     return df.withColumns(
-        {"year": cal.epi_year(F.col(week)), "week": cal.epi_week(F.col(week))}
+        {
+            "year": F.expr(f"year({wednesday})"),
+            "week": F.expr(f"int(floor((dayofyear({wednesday}) - 1) / 7)) + 1"),
+        }
     )
 
 
@@ -69,21 +74,20 @@ def weekly_panel(
 
 
 def _fill_slots(slots, first, last, keys, value, name) -> DataFrame:
-    order = Window.partitionBy(*keys).orderBy(F.col("slot").asc_nulls_first())
-    spans = slots.withColumns(
-        {
-            "from": F.when(F.row_number().over(order) == 1, F.lit(first)).otherwise(F.col("slot")),
-            "to": F.coalesce(F.date_sub(F.lead("slot").over(order), 7), F.lit(last)),
-        }
-    ).filter("from <= to")
-    rows = spans.select(
-        *keys, "slot", value, F.explode(F.expr("sequence(`from`, `to`, interval 7 days)")).alias("week_start")
+    names = ", ".join(f"`{k}`" for k in keys)
+    order = f"PARTITION BY {names} ORDER BY slot ASC NULLS FIRST"
+    spans = slots.selectExpr(
+        "*",
+        f"CASE WHEN row_number() OVER ({order}) = 1 THEN date'{first}' ELSE slot END AS from",
+        f"coalesce(date_sub(lead(slot) OVER ({order}), 7), date'{last}') AS to",
+    ).filter("`from` <= `to`")
+    rows = spans.selectExpr(
+        *(f"`{k}`" for k in keys), "slot", value,
+        "explode(sequence(`from`, `to`, interval 7 days)) AS week_start",
     )
     return with_epi(
-        rows.select(
-            *keys,
-            "week_start",
-            F.when(F.col("week_start") == F.col("slot"), F.col(value)).alias(name),
+        rows.selectExpr(
+            *(f"`{k}`" for k in keys), "week_start", f"CASE WHEN week_start = slot THEN {value} END AS {name}"
         )
     )
 

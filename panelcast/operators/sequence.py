@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.functions.windows import by_time, last_known, next_known
+from panelcast.functions.windows import by_time, last_known, next_known, spec
 
 KEYS = ("series_id",)
 
@@ -42,22 +42,19 @@ def interpolate(
 ) -> DataFrame:
     """Linear by row position. A trailing gap repeats the last value; a leading gap stays NULL or
     takes ``fill``."""
-    position = df.withColumn("_i", F.row_number().over(by_time(keys, order)))
-    known = position.withColumn("_known", F.when(F.col(column).isNotNull(), F.col("_i")))
-    around = known.withColumns(
-        {
-            "_pv": last_known(column, keys, order),
-            "_pi": last_known("_known", keys, order),
-            "_nv": next_known(column, keys, order),
-            "_ni": next_known("_known", keys, order),
-        }
+    at = f"CASE WHEN `{column}` IS NOT NULL THEN _i END"
+    around = df.selectExpr("*", f"row_number() OVER ({spec(keys, order)}) AS _i").selectExpr(
+        "*",
+        f"{last_known(f'`{column}`', keys, order)} AS _pv",
+        f"{last_known(at, keys, order)} AS _pi",
+        f"{next_known(f'`{column}`', keys, order)} AS _nv",
+        f"{next_known(at, keys, order)} AS _ni",
     )
-    share = (F.col("_i") - F.col("_pi")) / (F.col("_ni") - F.col("_pi"))
-    between = F.col("_pv") + (F.col("_nv") - F.col("_pv")) * share
-    value = F.coalesce(F.col(column), F.when(F.col("_nv").isNull(), F.col("_pv")).otherwise(between))
+    between = "_pv + (_nv - _pv) * ((_i - _pi) / (_ni - _pi))"
+    value = f"coalesce(`{column}`, CASE WHEN _nv IS NULL THEN _pv ELSE {between} END)"
     if fill is not None:
-        value = F.coalesce(value, F.lit(fill))
-    return around.withColumn(column, value).drop("_i", "_known", "_pv", "_pi", "_nv", "_ni")
+        value = f"coalesce({value}, {float(fill)!r}D)"
+    return around.withColumn(column, F.expr(value)).drop("_i", "_pv", "_pi", "_nv", "_ni")
 
 
 def fill_back_then_forward(
@@ -66,7 +63,9 @@ def fill_back_then_forward(
     """An inner or leading gap takes the next value, a trailing gap the last one."""
     return df.withColumns(
         {
-            c: F.coalesce(F.col(c), next_known(c, keys, order), last_known(c, keys, order))
+            c: F.expr(
+                f"coalesce(`{c}`, {next_known(f'`{c}`', keys, order)}, {last_known(f'`{c}`', keys, order)})"
+            )
             for c in columns
         }
     )

@@ -17,6 +17,7 @@ def local_session(name: str = "panelcast", cpus: str = "*", shuffle_partitions:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
