@@ -56,6 +56,11 @@ def query(build: Query) -> Query:
     return build
 
 
+def staged_split(spark, sf_dir):
+    """Split panel, written once, for queries that use it more than once."""
+    return stage(ft.calendar_features(inp.split_panel(spark, sf_dir), inp.CFG), "split")
+
+
 def order_days(spark, sf_dir):
     return inp.table(spark, sf_dir, "orders").select(inp.order_day().alias("d")).distinct()
 
@@ -156,7 +161,7 @@ def s8_comparison_csv(spark, sf_dir):
 @query
 def s9_saved_models(spark, sf_dir):
     path = new_path(spark, "models")
-    rows = ft.calendar_features(inp.split_panel(spark, sf_dir), inp.CFG)
+    rows = staged_split(spark, sf_dir)
     arima.save_models(inp.given_models(rows, **AR), path)
     return arima.SeasonalArima.load(spark, path).walk_forward(rows)
 
@@ -340,7 +345,7 @@ def a3_week_means(spark, sf_dir):
 
 @query
 def a4_week_medians(spark, sf_dir):
-    history = inp.split_panel(spark, sf_dir)
+    history = staged_split(spark, sf_dir)
     weeks = project.week_medians(history, ["y"]).withColumnRenamed("y", "week_median")
     overall = project.overall_medians(history, ["y"]).withColumnRenamed("y", "overall_median")
     return weeks.join(overall, "series_id")
@@ -367,9 +372,9 @@ def a10_null_audit(spark, sf_dir):
     return pn.null_audit(rows, ["y", "y_lag1", "week"])
 
 
-def stand_in_projection(spark, sf_dir):
+def stand_in_projection(panel):
     """Weekly means of the test weeks in the form of a projection."""
-    rows = baselines.all_baselines(inp.split_panel(spark, sf_dir))
+    rows = baselines.all_baselines(panel)
     y_hat = F.col("weekly_mean")
     return rows.select(
         "series_id", "week_start", y_hat.alias("y_hat"), (y_hat * 0.5).alias("ci_lower"), (y_hat * 3).alias("ci_upper")
@@ -378,7 +383,7 @@ def stand_in_projection(spark, sf_dir):
 
 @query
 def a11_projection_totals(spark, sf_dir):
-    return project.projection_totals(stand_in_projection(spark, sf_dir))
+    return project.projection_totals(stand_in_projection(inp.split_panel(spark, sf_dir)))
 
 
 # -- ordered operators ----------------------------------------------------------------------------
@@ -570,7 +575,7 @@ def m2_m3_hmm_decode(spark, sf_dir):
 
 @query
 def m4_hmm_seasons(spark, sf_dir):
-    rows = stage(inp.split_panel(spark, sf_dir), "split")
+    rows = staged_split(spark, sf_dir)
     return hmm.detect_seasons(rows, hmm.fit_decode(rows)).select(
         "series_id", "week_start", "y", "hmm_state", "season_prob", "is_season", "season_label"
     )
@@ -595,19 +600,19 @@ def m6_m8_sarimax_walk_forward(spark, sf_dir):
 
 @query
 def m7_multistep_given(spark, sf_dir):
-    rows = ft.calendar_features(inp.split_panel(spark, sf_dir), inp.CFG)
+    rows = staged_split(spark, sf_dir)
     return arima.forecast_multistep(rows, inp.given_models(rows, **AR1), AR1["exog"])
 
 
 @query
 def m8_walk_forward_given(spark, sf_dir):
-    rows = ft.calendar_features(inp.split_panel(spark, sf_dir), inp.CFG)
+    rows = staged_split(spark, sf_dir)
     return arima.walk_forward(rows, inp.given_models(rows, **AR), AR["exog"])
 
 
 @query
 def m8_walk_forward_by_lags(spark, sf_dir):
-    rows = ft.calendar_features(inp.split_panel(spark, sf_dir), inp.CFG)
+    rows = staged_split(spark, sf_dir)
     return arima.walk_forward_by_lags(
         rows, inp.given_models(rows, **AR), AR["order"], AR["seasonal"], AR["exog"]
     )
@@ -626,26 +631,25 @@ def m10_grid_search(spark, sf_dir):
 
 @query
 def m11_projection_given(spark, sf_dir):
-    rows = ft.calendar_features(inp.split_panel(spark, sf_dir), inp.CFG)
+    rows = staged_split(spark, sf_dir)
     future = project.future_regressors(rows, AR1["exog"], covid=inp.COVID)
     return project.project(rows, inp.given_models(rows, **AR1), future, AR1["exog"])
 
 
 def next_season(spark, sf_dir):
     rows = stage(inp.matrix(spark, sf_dir), "matrix")
-    models = arima.fit(rows, inp.SPEC)
-    future = project.future_regressors(rows, inp.EXOG, covid=inp.COVID)
-    return project.project(rows, models, future, inp.EXOG)
+    models = stage(arima.fit(rows, inp.SPEC), "models")
+    return project.next_season(rows, models, inp.EXOG, covid=inp.COVID)
 
 
 @query
 def m11_next_season(spark, sf_dir):
-    return next_season(spark, sf_dir)
+    return next_season(spark, sf_dir)["next_season"]
 
 
 @query
 def m13_next_season_totals(spark, sf_dir):
-    return project.projection_totals(next_season(spark, sf_dir))
+    return next_season(spark, sf_dir)["next_season_totals"]
 
 
 # -- diagnostic tables ----------------------------------------------------------------------------
@@ -653,7 +657,7 @@ def m13_next_season_totals(spark, sf_dir):
 
 @query
 def d1_forecast_frame(spark, sf_dir):
-    rows = inp.split_panel(spark, sf_dir)
+    rows = staged_split(spark, sf_dir)
     forecasts = baselines.all_baselines(rows).select("series_id", "week_start", F.col("weekly_mean").alias("y_hat"))
     return diagnostics.forecast_frame(rows, forecasts)
 
@@ -708,13 +712,14 @@ def d8_probability_line(spark, sf_dir):
 
 @query
 def d9_next_season_frame(spark, sf_dir):
-    history = inp.split_panel(spark, sf_dir).filter("part = 'train'")
-    return diagnostics.next_season_frame(history, stand_in_projection(spark, sf_dir))
+    rows = staged_split(spark, sf_dir)
+    return diagnostics.next_season_frame(rows.filter("part = 'train'"), stand_in_projection(rows))
 
 
 @query
 def d9_peak_aligned(spark, sf_dir):
-    return diagnostics.peak_aligned(labelled(spark, sf_dir), stand_in_projection(spark, sf_dir))
+    rows = staged_split(spark, sf_dir)
+    return diagnostics.peak_aligned(seasons.detect(inp.flagged(rows), min_weeks=2), stand_in_projection(rows))
 
 
 # -- plans and streaming --------------------------------------------------------------------------

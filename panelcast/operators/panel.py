@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions import calendar as cal
@@ -169,15 +169,17 @@ def split(
     return panel.withColumn("part", F.when(F.col(week) <= F.lit(cut), "train").otherwise("test"))
 
 
+def future_weeks(n_weeks: int) -> Column:
+    """Generator of ``step, week_start`` for the Sundays after the column ``last_week``."""
+    weeks = F.expr(f"sequence(date_add(last_week, 7), date_add(last_week, {7 * n_weeks}), interval 7 days)")
+    steps = F.transform(weeks, lambda w, i: F.struct((i + 1).alias("step"), w.alias("week_start")))
+    return F.inline(steps)
+
+
 def horizon(panel: DataFrame, n_weeks: int, keys: Sequence[str] = KEYS) -> DataFrame:
     """The ``n_weeks`` Sundays after each series' last week, with their epi weeks."""
     last = panel.groupBy(*keys).agg(F.max("week_start").alias("last_week"))
-    steps = last.select(
-        *keys, "last_week", F.explode(F.sequence(F.lit(1), F.lit(n_weeks))).alias("step")
-    )
-    return steps.select(
-        *keys, "step", F.expr("date_add(last_week, 7 * step)").alias("week_start")
-    ).withColumn("week", cal.epi_week(F.col("week_start")))
+    return last.select(*keys, future_weeks(n_weeks)).withColumn("week", cal.epi_week(F.col("week_start")))
 
 
 def last_weeks(panel: DataFrame, n: int = 60, keys: Sequence[str] = KEYS) -> DataFrame:

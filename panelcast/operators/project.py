@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from panelcast.functions import calendar as cal
 from panelcast.functions.scalars import nan_to_null
+from panelcast.functions.windows import whole
 from panelcast.kernels import arima as kernel
 from panelcast.operators import seasons
 from panelcast.operators.arima import (
     REGRESSORS, design, fitted_model, pack_history, per_row, with_interval, with_models,
 )
 from panelcast.operators.packing import key_schema, spread
-from panelcast.operators.panel import horizon
+from panelcast.operators.panel import future_weeks
+from panelcast.session import stage
 
 KEYS = ("series_id",)
 # Fixed value: length of the projection.
@@ -54,25 +56,48 @@ def future_regressors(
     """Future weeks with their regressors: calendar ones exact, others the historical median of the
     epi week, else the overall median, else 0. An epi week that history holds but without any value
     stays NULL."""
-    future = horizon(history, n_weeks, keys)
     exact = exact_features(F.col("week_start"), school, covid)
     looked_up = [c for c in exog if c not in exact]
     present = [c for c in looked_up if c in history.columns]
-    out = future.withColumns({c: exact[c] for c in exog if c in exact})
-    if present:
-        by_week = week_medians(history, present, keys).select(
-            *keys, "week", F.lit(True).alias("_seen"), *(F.col(c).alias(f"_w_{c}") for c in present)
-        )
-        overall = overall_medians(history, present, keys).select(
-            *keys, *(F.col(c).alias(f"_g_{c}") for c in present)
-        )
-        out = out.join(by_week, [*keys, "week"], "left").join(overall, list(keys), "left")
+    future = horizon_with_medians(history, present, n_weeks, keys)
+    columns = {c: exact[c] for c in exog if c in exact}
     for c in looked_up:
-        value = F.lit(0.0)
+        columns[c] = F.lit(0.0)
         if c in present:
-            value = F.when(F.col("_seen"), F.col(f"_w_{c}")).otherwise(F.col(f"_g_{c}"))
-        out = out.withColumn(c, value)
-    return out.select(*keys, "step", "week_start", "week", *exog)
+            columns[c] = F.when(
+                F.map_contains_key("by_week", F.col("week")), F.try_element_at("by_week", F.col("week"))[c]
+            ).otherwise(F.col("overall")[c])
+    return future.select(*keys, "step", "week_start", "week", *(e.alias(c) for c, e in columns.items()))
+
+
+def horizon_with_medians(
+    history: DataFrame, columns: Sequence[str], n_weeks: int, keys: Sequence[str] = KEYS
+) -> DataFrame:
+    """Future weeks, each with its series' medians: ``by_week`` (a map with at most 53 epi weeks) and
+    ``overall``.
+
+    History is read once, and everything happens within its partitioning by series; the form with
+    joins would run the history's plan three times.
+    """
+    everything = whole(keys)
+    rows = history.select(
+        *keys, "week", *columns,
+        F.max("week_start").over(everything).alias("last_week"),
+        F.struct(F.lit(True).alias("_any"), *(F.median(c).over(everything).alias(c) for c in columns)).alias("overall"),
+    )
+    weeks = rows.groupBy(*keys, "week").agg(
+        F.struct(F.lit(True).alias("_any"), *(F.median(c).alias(c) for c in columns)).alias("medians"),
+        F.first("last_week").alias("last_week"),
+        F.first("overall").alias("overall"),
+    )
+    series = weeks.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("week", "medians"))).alias("by_week"),
+        F.first("last_week").alias("last_week"),
+        F.first("overall").alias("overall"),
+    )
+    return series.select(*keys, "by_week", "overall", future_weeks(n_weeks)).withColumn(
+        "week", cal.epi_week(F.col("week_start"))
+    )
 
 
 def project(
@@ -142,3 +167,25 @@ def projection_totals(projection: DataFrame, keys: Sequence[str] = KEYS) -> Data
 def season_comparison(history: DataFrame, keys: Sequence[str] = KEYS, k: int = 3) -> DataFrame:
     """Peak, total and length of the last complete seasons."""
     return seasons.recent_seasons(seasons.complete_seasons(history, keys), k, keys)
+
+
+def next_season(
+    history: DataFrame,
+    models: DataFrame,
+    exog: Sequence[str] = REGRESSORS,
+    n_weeks: int = N_WEEKS,
+    keys: Sequence[str] = KEYS,
+    school: cal.SchoolYear = cal.SchoolYear(),
+    covid: cal.Period = cal.Period(),
+) -> dict[str, DataFrame]:
+    """Projection, its totals, and the last seasons beside it if the history is labelled.
+
+    ``models`` are fitted on the whole history. Both are best staged tables; the projection is staged
+    here because two results read it.
+    """
+    future = future_regressors(history, exog, n_weeks, keys, school, covid)
+    projection = stage(project(history, models, future, exog, keys), "projection")
+    out = {"next_season": projection, "next_season_totals": projection_totals(projection, keys)}
+    if "season_label" in history.columns:
+        out["next_season_comparison"] = season_comparison(history, keys)
+    return out

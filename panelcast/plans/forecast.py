@@ -78,8 +78,6 @@ def run(
     predictions = stage(scored_baselines(panel, keys).unionByName(sarimax), "predictions")
     stats = seasons.season_stats(panel, keys)
     full_models = stage(arima.fit(panel, spec, keys, orders=orders), "full-models")
-    future = project.future_regressors(panel, spec.exog, cfg.n_weeks, keys, cfg.features.school, cfg.features.covid)
-    projection = stage(project.project(panel, full_models, future, spec.exog, keys), "projection")
     only_sarimax = predictions.filter(F.col("model") == arima.MODEL_NAME)
     out |= {
         "models": models,
@@ -90,10 +88,10 @@ def run(
         "season_stats": stats,
         "season_summary": seasons.cross_season_summary(stats, keys),
         "season_count": seasons.season_count(panel, keys),
-        "next_season": projection,
-        "next_season_totals": project.projection_totals(projection, keys),
-        "next_season_comparison": project.season_comparison(panel, keys),
     }
+    out |= project.next_season(
+        panel, full_models, spec.exog, cfg.n_weeks, keys, cfg.features.school, cfg.features.covid
+    )
     if holidays:
         out["holidays"] = holiday_table(holidays, *bounds, cfg.holidays)
     return out

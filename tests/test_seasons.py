@@ -7,12 +7,23 @@ from pyspark.sql import functions as F
 
 from panelcast.operators import seasons
 
-# The published seasons (label, onset, peak, end, rows, peak value).
+# The published seasons (label, onset and its ISO week, peak and week, end and week, rows, peak value).
 SEASONS = [
-    (2011, "2011-01-02", "2011-01-09", "2011-03-27", 13, 9784),
-    (2012, "2011-11-06", "2012-02-26", "2012-04-01", 22, 2924),
-    (2013, "2012-11-04", "2013-01-27", "2013-03-17", 20, 7450),
-    (2014, "2013-11-17", "2014-02-16", "2014-04-06", 21, 5478),
+    (2011, "2011-01-02", 52, "2011-01-09", 1, "2011-03-27", 12, 13, 9784.0),
+    (2012, "2011-11-06", 44, "2012-02-26", 8, "2012-04-01", 13, 22, 2924.0),
+    (2013, "2012-11-04", 44, "2013-01-27", 4, "2013-03-17", 11, 20, 7450.0),
+    (2014, "2013-11-17", 46, "2014-02-16", 7, "2014-04-06", 14, 21, 5478.0),
+    (2015, "2014-11-02", 44, "2015-02-01", 5, "2015-03-29", 13, 22, 4900.0),
+    (2016, "2015-11-15", 46, "2016-01-17", 2, "2016-03-13", 10, 18, 7262.0),
+    (2017, "2016-11-13", 45, "2017-01-01", 52, "2017-03-12", 10, 18, 4562.0),
+    (2018, "2017-11-05", 44, "2018-01-07", 1, "2018-03-25", 12, 21, 4818.0),
+    (2019, "2018-10-21", 42, "2019-01-20", 3, "2019-03-24", 12, 23, 6292.0),
+    (2020, "2019-11-10", 45, "2020-01-05", 1, "2020-03-08", 10, 18, 8380.0),
+    (2022, "2021-12-05", 48, "2021-12-26", 51, "2022-01-30", 4, 9, 6392.0),
+    (2023, "2022-11-06", 44, "2023-01-08", 1, "2023-03-26", 12, 21, 4214.0),
+    (2024, "2023-11-19", 46, "2024-02-11", 6, "2024-04-14", 15, 22, 10424.0),
+    (2025, "2024-11-03", 44, "2025-01-12", 2, "2025-04-20", 16, 25, 12646.0),
+    (2026, "2025-10-19", 42, "2025-11-09", 45, "2025-11-09", 45, 4, 1982.0),
 ]
 
 
@@ -74,39 +85,51 @@ def test_labels_equal_the_loop(flagged, values, runs, first, shift):
 
 @pytest.fixture
 def published(spark):
-    """A flagged series with the published spans and peaks."""
+    """The full grid, flagged by the published spans, with the published peaks."""
     rows, day = [], date(2011, 1, 2)
-    while day < date(2014, 6, 1):
+    while day <= date(2025, 11, 9):
         row = (0, 10.0)
-        for _, onset, peak, end, _, top in SEASONS:
+        for _, onset, _, peak, _, end, _, _, top in SEASONS:
             if onset <= day.isoformat() <= end:
-                row = (1, float(top) if day.isoformat() == peak else 100.0)
+                row = (1, top if day.isoformat() == peak else 100.0)
         rows.append(("a", day, *row))
         day += timedelta(days=7)
     return spark.createDataFrame(rows, "series_id string, week_start date, is_season int, y double")
 
 
 def test_published_seasons(published):
-    stats = seasons.season_stats(seasons.detect(published)).orderBy("season_label").collect()
+    labelled = seasons.detect(published)
     got = [
-        (r["season_label"], r["onset_date"].isoformat(), r["peak_date"].isoformat(), r["end_date"].isoformat(),
-         r["duration_weeks"], r["peak_ili"])
-        for r in stats
+        (r["season_label"], r["onset_date"].isoformat(), r["onset_week"], r["peak_date"].isoformat(), r["peak_week"],
+         r["end_date"].isoformat(), r["end_week"], r["duration_weeks"], r["peak_ili"])
+        for r in seasons.season_stats(labelled).orderBy("season_label").collect()
     ]
-    assert got == [(*s[:5], float(s[5])) for s in SEASONS]
-    assert [(r["onset_week"], r["peak_week"], r["end_week"]) for r in stats] == [(52, 1, 12), (44, 8, 13), (44, 4, 11), (46, 7, 14)]
+    assert got == SEASONS
+    assert labelled.filter("is_season = 1").count() == 277
+    assert labelled.filter("is_season = 1 AND week_start > date'2023-06-01'").count() == 51
 
 
 def test_cross_season_summary(published):
     stats = seasons.season_stats(seasons.detect(published))
     got = {(r["metric"], r["statistic"]): r["value"] for r in seasons.cross_season_summary(stats).collect()}
     assert len(got) == 20
-    assert got[("duration_weeks", "mean")] == 19 and got[("duration_weeks", "std")] == pytest.approx(4.0824829)
-    assert (got[("peak_ili", "min")], got[("peak_ili", "max")]) == (2924, 9784)
+    expected = {"mean": 18.4667, "std": 5.6804, "min": 4, "max": 25}
+    assert {s: got[("duration_weeks", s)] for s in expected} == pytest.approx(expected, abs=1e-4)
+    expected = {"mean": 6500.5333, "std": 2898.8121, "min": 1982, "max": 12646}
+    assert {s: got[("peak_ili", s)] for s in expected} == pytest.approx(expected, abs=1e-4)
     one = seasons.cross_season_summary(stats.filter("season_label = 2012")).filter("statistic = 'std'").collect()
     assert [r["value"] for r in one] == [None] * 5
 
 
+def test_count_and_recent(published):
+    labelled = seasons.detect(published)
+    assert seasons.season_count(labelled).collect()[0]["n_seasons"] == 15
+    # The season of 2026 is cut off by the end of the data and has four rows.
+    last = seasons.recent_seasons(seasons.complete_seasons(labelled), 3).orderBy("season_label").collect()
+    assert [(r["season_label"], r["n_weeks"], r["peak"]) for r in last] == [
+        (2023, 21, 4214.0), (2024, 22, 10424.0), (2025, 25, 12646.0)]
+
+
 def test_first_peak_wins_ties(spark, weekly):
     rows = weekly(a=[3, 9, 9, 1]).withColumn("season_label", F.lit(2024))
     stats = seasons.season_stats(rows).collect()[0]
@@ -115,13 +138,6 @@ def test_first_peak_wins_ties(spark, weekly):
     assert index == [-1, 0, 1, 2]
 
 
-def test_count_and_recent(published):
-    labelled = seasons.detect(published)
-    assert seasons.season_count(labelled).collect()[0]["n_seasons"] == 4
-    last = seasons.recent_seasons(seasons.complete_seasons(labelled), 3).orderBy("season_label").collect()
-    assert [(r["season_label"], r["n_weeks"]) for r in last] == [(2012, 22), (2013, 20), (2014, 21)]
-
-
 def test_trailing_season_cut_off_by_the_data_is_left_out(weekly):
     rows = weekly(a=range(40)).withColumn(
         "season_label", F.when(F.col("y") < 12, 2024).when(F.col("y") >= 35, 2025))
