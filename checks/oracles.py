@@ -547,12 +547,10 @@ sql("d2_actual_vs_predicted", PRED, f"""SELECT series_id, model, {iso('week_star
 sql("d3_model_lines", PRED, f"""SELECT series_id, model, {iso('week_start')}, {r6('y_hat', 'value')} FROM pred
     UNION ALL SELECT series_id, 'Actual', {iso('week_start')}, {r6('y', 'value')} FROM wide""")
 RESID = f"""{PRED},
-    resid AS (SELECT series_id, model, week_start, y - y_hat AS residual FROM scorable
-        WHERE model IN ('Naive (last week)', 'Weekly Mean'))"""
+    resid AS (SELECT series_id, model, week_start, y - y_hat AS residual FROM scorable)"""
 sql("d4_residuals", RESID, f"SELECT series_id, model, {iso('week_start')}, {r6('residual')} FROM resid")
 sql("d4_residual_histogram", f"""{RESID},
-    edges AS (SELECT series_id, model, min(residual) AS lo, max(residual) AS hi FROM resid
-        WHERE model = 'Weekly Mean' GROUP BY ALL),
+    edges AS (SELECT series_id, model, min(residual) AS lo, max(residual) AS hi FROM resid GROUP BY ALL),
     placed AS (SELECT r.series_id, r.model,
         CAST(least(floor(round((residual - lo) / (hi - lo) * 30, 9)), 29) + 1 AS INTEGER) AS bin
         FROM resid r JOIN edges e ON e.series_id = r.series_id AND e.model = r.model),

@@ -77,9 +77,8 @@ def predictions(spark, sf_dir):
     return scored_baselines(flagged_split(spark, sf_dir), ["series_id"])
 
 
-def naive_residuals(spark, sf_dir):
-    rows = predictions(spark, sf_dir).filter(F.col("model").isin("Naive (last week)", "Weekly Mean"))
-    return diagnostics.residuals(rows)
+def residuals(spark, sf_dir):
+    return diagnostics.residuals(predictions(spark, sf_dir))
 
 
 # -- sources and sinks ----------------------------------------------------------------------------
@@ -674,23 +673,22 @@ def d3_model_lines(spark, sf_dir):
 
 @query
 def d4_residuals(spark, sf_dir):
-    return naive_residuals(spark, sf_dir)
+    return residuals(spark, sf_dir)
 
 
 @query
 def d4_residual_histogram(spark, sf_dir):
-    rows = naive_residuals(spark, sf_dir).filter("model = 'Weekly Mean'")
-    return diagnostics.residual_histogram(rows)
+    return diagnostics.residual_histogram(residuals(spark, sf_dir))
 
 
 @query
 def d5_autocorrelation(spark, sf_dir):
-    return diagnostics.autocorrelation(naive_residuals(spark, sf_dir))
+    return diagnostics.autocorrelation(residuals(spark, sf_dir))
 
 
 @query
 def d6_partial_autocorrelation(spark, sf_dir):
-    return diagnostics.partial_autocorrelation(naive_residuals(spark, sf_dir))
+    return diagnostics.partial_autocorrelation(residuals(spark, sf_dir))
 
 
 @query

@@ -184,7 +184,7 @@ def one_step(y, x, order, params):
     """Forecast of every observation from the ones before it; NaN where the history is too short."""
     with np.errstate(all="ignore"):
         e = innovations(params[None], difference(y, order), difference(x, order), order, order.presample)[0]
-    lead = order.differenced + order.presample
+    lead = min(order.differenced + order.presample, len(y))
     return np.concatenate([np.full(lead, np.nan), y[lead:] - e])
 
 
@@ -214,15 +214,17 @@ def next_value(u, e, ar, ma):
 
 
 def path(y, x, future_x, order, params):
-    """Forecasts of the steps after y, each fed by the ones before it, future innovations zero."""
+    """Forecasts of the steps after y, each fed by the ones before it, future innovations zero; NaN
+    where the history is shorter than the autoregression looks back."""
     ar, ma = polynomials(order, params)
     n, steps, b = len(y), len(future_x), params[: order.k]
-    if n < max(len(ar), len(ma)):
-        raise ValueError("too few observations")
-    e = np.zeros(n + steps)
-    e[:n] = np.nan_to_num(y - one_step(y, x, order, params))
+    if n < len(ar) - 1:
+        return np.full(steps, np.nan)
+    # Innovations before the sample are zero.
+    e = np.zeros(len(ma) + n + steps)
+    e[len(ma) : len(ma) + n] = np.nan_to_num(y - one_step(y, x, order, params))
     u = np.zeros(n + steps)
     u[:n] = y - x @ b
     for t in range(n, n + steps):
-        u[t] = next_value(u[:t], e[:t], ar, ma)
+        u[t] = next_value(u[:t], e[: len(ma) + t], ar, ma)
     return u[n:] + future_x @ b

@@ -9,6 +9,7 @@ import numpy as np
 COVARIANCE_PRIOR = 1e-2
 COVARIANCE_FLOOR = 1e-3
 TOLERANCE = 1e-2
+DENSITY_FLOOR = 1e-300
 
 
 def densities(x, means, covars):
@@ -19,28 +20,29 @@ def densities(x, means, covars):
 
 
 def smooth(logb, start, trans):
-    """Scaled forward-backward: state probabilities, expected transitions, log likelihood."""
-    top = logb.max(axis=2, keepdims=True)
-    b = np.exp(logb - top)
-    n_series, n_time, n = b.shape
-    ahead = np.empty_like(b)
-    scale = np.empty((n_series, n_time))
-    a = start * b[:, 0]
+    """Scaled forward-backward: state probabilities, expected transitions, log likelihood.
+
+    The recursions run over time-major arrays, so that each step works on one stretch of memory.
+    """
+    top = logb.max(axis=2)
+    # A floor keeps an observation that no reachable state explains from stopping the recursion.
+    b = np.maximum(np.exp(logb - top[:, :, None]), DENSITY_FLOOR).transpose(1, 0, 2).copy()
+    n_time, n_series, n = b.shape
+    ahead, scale = np.empty_like(b), np.empty((n_time, n_series))
+    a = start * b[0]
     for t in range(n_time):
         if t:
-            a = (a[:, None, :] @ trans)[:, 0] * b[:, t]
-        scale[:, t] = a.sum(axis=1)
-        a = a / scale[:, t, None]
-        ahead[:, t] = a
+            a = (a[:, :, None] * trans).sum(axis=1) * b[t]
+        scale[t] = a.sum(axis=1)
+        a = ahead[t] = a / scale[t, :, None]
+    b /= scale[:, :, None]
     back = np.ones_like(b)
     for t in range(n_time - 2, -1, -1):
-        future = b[:, t + 1] * back[:, t + 1] / scale[:, t + 1, None]
-        back[:, t] = (trans @ future[:, :, None])[:, :, 0]
+        back[t] = (trans * (b[t + 1] * back[t + 1])[:, None, :]).sum(axis=2)
     gamma = ahead * back
     gamma /= gamma.sum(axis=2, keepdims=True)
-    future = (b * back / scale[:, :, None])[:, 1:]
-    moves = np.einsum("sti,stj->sij", ahead[:, :-1], future) * trans
-    return gamma, moves, (np.log(scale) + top[:, :, 0]).sum(axis=1)
+    moves = np.einsum("tsi,tsj->sij", ahead[:-1], (b * back)[1:]) * trans
+    return gamma.transpose(1, 0, 2), moves, np.log(scale).sum(axis=0) + top.sum(axis=1)
 
 
 def best_path(logb, start, trans):
@@ -92,13 +94,16 @@ def fit(x, n=2, max_iter=1000):
         gamma, moves, loglik = smooth(
             densities(xa, means[active], covars[active]), start[active], trans[active]
         )
-        weight = gamma.sum(axis=1)
-        mu = (gamma * xa[:, :, None]).sum(axis=1) / weight
+        # A state that lost all its weight keeps its place.
+        weight = np.maximum(gamma.sum(axis=1), DENSITY_FLOOR)
+        mu = np.where(weight > 1e-9, (gamma * xa[:, :, None]).sum(axis=1) / weight, means[active])
         scatter = (gamma * (xa[:, :, None] - mu[:, None, :]) ** 2).sum(axis=1)
         means[active] = mu
-        covars[active] = np.maximum((COVARIANCE_PRIOR + scatter) / weight, COVARIANCE_FLOOR)
+        spread = (COVARIANCE_PRIOR + scatter) / weight
+        covars[active] = np.where(weight > 1e-9, np.maximum(spread, COVARIANCE_FLOOR), covars[active])
         start[active] = gamma[:, 0]
-        trans[active] = moves / moves.sum(axis=2, keepdims=True)
+        left = moves.sum(axis=2, keepdims=True)
+        trans[active] = np.where(left > 0, moves / np.maximum(left, DENSITY_FLOOR), trans[active])
         iterations[active] += 1
         done = loglik - previous[active] < TOLERANCE
         converged[active[done]] = True

@@ -19,6 +19,7 @@ from panelcast.functions.scalars import from_log, nan_to_null
 from panelcast.functions.windows import by_time
 from panelcast.kernels import arima as kernel
 from panelcast.operators.packing import key_schema, pack, spread
+from panelcast.session import task_slots
 
 KEYS = ("series_id",)
 # Default orders, regressors, iteration limits and the name of the scored model.
@@ -168,7 +169,7 @@ def fit(
     history = pack_history(panel, keys, spec.exog, value)
     if orders is not None:
         history = history.join(orders.select(*keys, "order", "seasonal"), keys, "left")
-    return spread(history).mapInPandas(per_row(fit_one), f"{key_schema(panel, keys)}, {_ddl(MODEL_FIELDS)}")
+    return spread(history, keys).mapInPandas(per_row(fit_one), f"{key_schema(panel, keys)}, {_ddl(MODEL_FIELDS)}")
 
 
 def save_models(models: DataFrame, path: str) -> None:
@@ -209,7 +210,7 @@ def walk_forward(
         return frame[frame["part"] == "test"].drop(columns="part").assign(**{k: row[k] for k in keys})
 
     history = with_models(pack_history(panel, keys, exog, value, ["part"]), models, keys)
-    scored = spread(history).mapInPandas(
+    scored = spread(history, keys).mapInPandas(
         per_row(score),
         f"{key_schema(panel, keys)}, week_start date, log_y double, log_hat double, sigma double",
     )
@@ -296,7 +297,7 @@ def forecast_multistep(
         ).assign(**{k: row[k] for k in keys})
 
     history = with_models(pack_history(panel, keys, exog, value, ["part"]), models, keys)
-    scored = spread(history).mapInPandas(
+    scored = spread(history, keys).mapInPandas(
         per_row(score), f"{key_schema(panel, keys)}, week_start date, log_y double, log_hat double"
     )
     return scored.withColumn("y_hat", from_log(nan_to_null(F.col("log_hat"))))
@@ -348,7 +349,7 @@ def search(
 ) -> DataFrame:
     """Fit every candidate on train and score its multi-step forecast on test.
 
-    The unit of work is a (series, slice of candidates) pair, dealt evenly over the tasks: one series
+    The unit of work is a (series, slice of candidates) pair, spread over the tasks: one series
     alone keeps ``slices`` tasks busy, and a history is shipped ``slices`` times rather than once per
     candidate. A failed fit is a row with a message and no AIC. All candidates leave out the same
     leading weeks, so their AICs compare.
@@ -383,7 +384,7 @@ def search(
 
     history = pack_history(panel, keys, exog, value, ["part"])
     work = history.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    return spread(work).mapInPandas(
+    return spread(work, [*keys, "slice"], 4 * task_slots(panel.sparkSession)).mapInPandas(
         per_row(score),
         f"{key_schema(panel, keys)}, features string, `order` array<int>, seasonal array<int>, aic double, "
         "mae double, rmse double, time double, converged boolean, message string",

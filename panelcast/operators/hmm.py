@@ -71,7 +71,7 @@ def fit_decode(panel: DataFrame, spec: HmmSpec = HmmSpec(), keys: Sequence[str]
                 yield gaps[keys + ["weeks"]].assign(**dict.fromkeys(RESULT))
 
     packed = pack(panel.withColumn("y", F.col(value)), keys, ["y"])
-    ready = spread(packed).select(
+    ready = spread(packed, keys).select(
         *keys, F.col("rows.week_start").alias("weeks"), F.col("rows.y").alias("y")
     )
     schema = (
@@ -96,7 +96,7 @@ def decode_given(panel: DataFrame, means, covars, startprob, transmat, keys: Seq
                 )
 
     packed = pack(panel.withColumn("y", F.col(value)), keys, ["y"])
-    ready = spread(packed).select(
+    ready = spread(packed, keys).select(
         *keys, F.col("rows.week_start").alias("weeks"), F.col("rows.y").alias("y")
     )
     fitted = ready.mapInPandas(

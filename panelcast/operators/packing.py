@@ -18,10 +18,11 @@ def pack(panel: DataFrame, keys: Sequence[str], columns: Sequence[str], name: st
     return panel.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias(name))
 
 
-def spread(packed: DataFrame, parts: int | None = None) -> DataFrame:
-    """Deal packed rows evenly over the tasks. A handful of series would otherwise be coalesced into
-    one task, although each one takes much longer to fit than to read."""
-    return packed.repartition(parts or task_slots(packed.sparkSession))
+def spread(packed: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
+    """Spread packed rows over the tasks by key. A handful of series would otherwise be coalesced into
+    one task, although each one takes much longer to fit than to read. Placement by key, unlike dealing
+    the rows out in turn, is the same when a lost task runs again."""
+    return packed.repartition(parts or task_slots(packed.sparkSession), *keys)
 
 
 def key_schema(df: DataFrame, keys: Sequence[str]) -> str:

@@ -131,7 +131,7 @@ def project(
         *keys, F.col("weeks").alias("future_weeks"), *(F.col(c).alias(f"future_{c}") for c in exog)
     )
     packed = with_models(pack_history(history, keys, exog, value), models, keys).join(ahead, keys)
-    scored = spread(packed).mapInPandas(
+    scored = spread(packed, keys).mapInPandas(
         per_row(score),
         f"{key_schema(history, keys)}, week_start date, log_hat double, sigma double",
     )
