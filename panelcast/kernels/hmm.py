@@ -1,6 +1,8 @@
 """Gaussian hidden Markov model on a stack of equally long series (numpy).
 
-Arrays are (series, time) and (series, time, state): one pass over time serves the whole stack.
+One pass over time serves the whole stack. Arrays keep the series last — (time, state, series),
+parameters (state, series), transitions (from, to, series) — so each step works on whole rows of
+series. ``fit`` and ``decode`` take and return the series first.
 """
 
 import numpy as np
@@ -14,96 +16,95 @@ DENSITY_FLOOR = 1e-300
 
 def densities(x, means, covars):
     """Log density of every observation under every state."""
-    d = x[:, :, None] - means[:, None, :]
-    v = covars[:, None, :]
-    return -0.5 * (np.log(2 * np.pi * v) + d * d / v)
+    d = x[:, None] - means
+    return -0.5 * (np.log(2 * np.pi * covars) + d * d / covars)
 
 
-def smooth(logb, start, trans):
-    """Scaled forward-backward: state probabilities, expected transitions, log likelihood.
+def add_states(weights, trans):
+    """Sum over the first state of weight times transition; few states make the loop the quick way."""
+    out = weights[0] * trans[0]
+    for i in range(1, len(weights)):
+        out += weights[i] * trans[i]
+    return out
+
 
-    The recursions run over time-major arrays, so that each step works on one stretch of memory.
-    """
-    top = logb.max(axis=2)
+def smooth(logb, start, trans):
+    """Scaled forward-backward: state probabilities, expected transitions, log likelihood."""
+    top = np.maximum.reduce(logb, axis=1)
     # A floor keeps an observation that no reachable state explains from stopping the recursion.
-    b = np.maximum(np.exp(logb - top[:, :, None]), DENSITY_FLOOR).transpose(1, 0, 2).copy()
-    n_time, n_series, n = b.shape
-    ahead, scale = np.empty_like(b), np.empty((n_time, n_series))
+    b = np.maximum(np.exp(logb - top[:, None]), DENSITY_FLOOR)
+    ahead, scale = np.empty_like(b), np.empty_like(top)
     a = start * b[0]
-    for t in range(n_time):
+    for t in range(len(b)):
         if t:
-            a = (a[:, :, None] * trans).sum(axis=1) * b[t]
-        scale[t] = a.sum(axis=1)
-        a = ahead[t] = a / scale[t, :, None]
-    b /= scale[:, :, None]
-    back = np.ones_like(b)
-    for t in range(n_time - 2, -1, -1):
-        back[t] = (trans * (b[t + 1] * back[t + 1])[:, None, :]).sum(axis=2)
+            a = add_states(a, trans) * b[t]
+        scale[t] = total = sum(a[1:], a[0])
+        ahead[t] = a = a / total
+    b /= scale[:, None]
+    back, into = np.ones_like(b), trans.transpose(1, 0, 2)
+    for t in range(len(b) - 2, -1, -1):
+        back[t] = add_states(b[t + 1] * back[t + 1], into)
     gamma = ahead * back
-    gamma /= gamma.sum(axis=2, keepdims=True)
-    moves = np.einsum("tsi,tsj->sij", ahead[:-1], (b * back)[1:]) * trans
-    return gamma.transpose(1, 0, 2), moves, np.log(scale).sum(axis=0) + top.sum(axis=1)
+    gamma /= np.add.reduce(gamma, axis=1)[:, None]
+    moves = np.einsum("tis,tjs->ijs", ahead[:-1], (b * back)[1:]) * trans
+    return gamma, moves, np.log(scale).sum(axis=0) + top.sum(axis=0)
 
 
 def best_path(logb, start, trans):
     """Most likely state sequence of every series."""
-    n_series, n_time, n = logb.shape
     with np.errstate(divide="ignore"):
-        log_start, log_trans = np.log(start), np.log(trans)
-    origin = np.empty((n_series, n_time, n), dtype=np.int64)
-    score = log_start + logb[:, 0]
-    for t in range(1, n_time):
-        routes = score[:, :, None] + log_trans
-        origin[:, t] = routes.argmax(axis=1)
-        score = routes.max(axis=1) + logb[:, t]
-    path = np.empty((n_series, n_time), dtype=np.int64)
-    path[:, -1] = score.argmax(axis=1)
-    rows = np.arange(n_series)
-    for t in range(n_time - 1, 0, -1):
-        path[:, t - 1] = origin[rows, t, path[:, t]]
+        score, steps = np.log(start) + logb[0], np.log(trans)
+    origin = np.empty(logb.shape, dtype=np.int64)
+    for t in range(1, len(logb)):
+        routes = score[:, None] + steps
+        origin[t] = routes.argmax(axis=0)
+        score = np.maximum.reduce(routes, axis=0) + logb[t]
+    path = np.empty((logb.shape[0], logb.shape[2]), dtype=np.int64)
+    path[-1] = score.argmax(axis=0)
+    every = np.arange(logb.shape[2])
+    for t in range(len(logb) - 1, 0, -1):
+        path[t - 1] = origin[t, path[t], every]
     return path
 
 
 def spread_means(x, n):
     """One-dimensional k-means from evenly spaced centres between minimum and maximum."""
-    centres = np.linspace(x.min(axis=1), x.max(axis=1), n, axis=1)
+    centres = np.linspace(x.min(axis=0), x.max(axis=0), n)
     for _ in range(100):
-        nearest = np.abs(x[:, :, None] - centres[:, None, :]).argmin(axis=2)
-        member = nearest[:, :, None] == np.arange(n)
-        size = member.sum(axis=1)
-        moved = np.where(size > 0, (member * x[:, :, None]).sum(axis=1) / np.maximum(size, 1), centres)
+        nearest = np.abs(x[:, None] - centres).argmin(axis=1)
+        member = nearest[:, None] == np.arange(n)[:, None]
+        size = member.sum(axis=0)
+        moved = np.where(size > 0, (member * x[:, None]).sum(axis=0) / np.maximum(size, 1), centres)
         if np.allclose(moved, centres):
             break
         centres = moved
     return centres
 
 
-def fit(x, n=2, max_iter=1000):
-    """EM for the whole stack; a series that has converged is left as it is."""
-    n_series = len(x)
+def fit(series, n=2, max_iter=1000):
+    """EM for the whole stack (series, time); a series that has converged is left as it is."""
+    x = np.ascontiguousarray(series.T)
+    count = x.shape[1]
     means = spread_means(x, n)
-    covars = np.repeat(x.var(axis=1, ddof=1)[:, None] + COVARIANCE_FLOOR, n, axis=1)
-    start = np.full((n_series, n), 1 / n)
-    trans = np.full((n_series, n, n), 1 / n)
-    previous = np.full(n_series, -np.inf)
-    iterations = np.zeros(n_series, dtype=np.int64)
-    converged = np.zeros(n_series, dtype=bool)
-    active = np.arange(n_series)
+    covars = np.repeat(x.var(axis=0, ddof=1)[None] + COVARIANCE_FLOOR, n, axis=0)
+    start, trans = np.full((n, count), 1 / n), np.full((n, n, count), 1 / n)
+    previous, iterations = np.full(count, -np.inf), np.zeros(count, dtype=np.int64)
+    converged = np.zeros(count, dtype=bool)
+    active = np.arange(count)
     for _ in range(max_iter):
-        xa = x[active]
-        gamma, moves, loglik = smooth(
-            densities(xa, means[active], covars[active]), start[active], trans[active]
-        )
+        xa, trans_a = x[:, active], trans[:, :, active]
+        gamma, moves, loglik = smooth(densities(xa, means[:, active], covars[:, active]), start[:, active], trans_a)
         # A state that lost all its weight keeps its place.
-        weight = np.maximum(gamma.sum(axis=1), DENSITY_FLOOR)
-        mu = np.where(weight > 1e-9, (gamma * xa[:, :, None]).sum(axis=1) / weight, means[active])
-        scatter = (gamma * (xa[:, :, None] - mu[:, None, :]) ** 2).sum(axis=1)
-        means[active] = mu
-        spread = (COVARIANCE_PRIOR + scatter) / weight
-        covars[active] = np.where(weight > 1e-9, np.maximum(spread, COVARIANCE_FLOOR), covars[active])
-        start[active] = gamma[:, 0]
-        left = moves.sum(axis=2, keepdims=True)
-        trans[active] = np.where(left > 0, moves / np.maximum(left, DENSITY_FLOOR), trans[active])
+        weight = np.maximum(gamma.sum(axis=0), DENSITY_FLOOR)
+        alive = weight > 1e-9
+        mu = np.where(alive, (gamma * xa[:, None]).sum(axis=0) / weight, means[:, active])
+        scatter = (gamma * (xa[:, None] - mu) ** 2).sum(axis=0)
+        width = np.maximum((COVARIANCE_PRIOR + scatter) / weight, COVARIANCE_FLOOR)
+        means[:, active] = mu
+        covars[:, active] = np.where(alive, width, covars[:, active])
+        start[:, active] = gamma[0]
+        left = moves.sum(axis=1, keepdims=True)
+        trans[:, :, active] = np.where(left > 0, moves / np.maximum(left, DENSITY_FLOOR), trans_a)
         iterations[active] += 1
         done = loglik - previous[active] < TOLERANCE
         converged[active[done]] = True
@@ -112,13 +113,14 @@ def fit(x, n=2, max_iter=1000):
         if not len(active):
             break
     return {
-        "means": means, "covars": covars, "startprob": start, "transmat": trans,
+        "means": means.T, "covars": covars.T, "startprob": start.T, "transmat": trans.transpose(2, 0, 1),
         "n_iter": iterations, "converged": converged,
     }
 
 
-def decode(x, means, covars, start, trans):
+def decode(series, means, covars, start, trans):
     """Most likely path, state probabilities and log likelihood under given parameters."""
-    logb = densities(x, means, covars)
+    start, trans = start.T, trans.transpose(1, 2, 0)
+    logb = densities(series.T, means.T, covars.T)
     gamma, _, loglik = smooth(logb, start, trans)
-    return best_path(logb, start, trans), gamma, loglik
+    return best_path(logb, start, trans).T, gamma.transpose(2, 0, 1), loglik

@@ -384,7 +384,7 @@ def search(
 
     history = pack_history(panel, keys, exog, value, ["part"])
     work = history.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    return spread(work, [*keys, "slice"], 4 * task_slots(panel.sparkSession)).mapInPandas(
+    return spread(work, [*keys, "slice"], task_slots(panel.sparkSession, per_core=4)).mapInPandas(
         per_row(score),
         f"{key_schema(panel, keys)}, features string, `order` array<int>, seasonal array<int>, aic double, "
         "mae double, rmse double, time double, converged boolean, message string",

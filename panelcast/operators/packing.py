@@ -21,8 +21,12 @@ def pack(panel: DataFrame, keys: Sequence[str], columns: Sequence[str], name: st
 def spread(packed: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
     """Spread packed rows over the tasks by key. A handful of series would otherwise be coalesced into
     one task, although each one takes much longer to fit than to read. Placement by key, unlike dealing
-    the rows out in turn, is the same when a lost task runs again."""
-    return packed.repartition(parts or task_slots(packed.sparkSession), *keys)
+    the rows out in turn, is the same when a lost task runs again.
+
+    The hash of the keys stands for the keys: rows already partitioned by the keys themselves would
+    make Spark drop this shuffle, and with it the fixed number of parts.
+    """
+    return packed.repartition(parts or task_slots(packed.sparkSession), F.xxhash64(*keys))
 
 
 def key_schema(df: DataFrame, keys: Sequence[str]) -> str:

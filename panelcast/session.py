@@ -23,6 +23,9 @@ def local_session(name: str = "panelcast", cpus: str = "*", shuffle_partitions:
     )
 
 
+_own_folder: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables: ``spark.checkpoint.dir``.
 
@@ -34,9 +37,9 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="panelcast-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not _own_folder:
+        _own_folder.append(tempfile.mkdtemp(prefix="panelcast-"))
+    return _own_folder[0]
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -54,9 +57,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def task_slots(spark: SparkSession) -> int:
+def task_slots(spark: SparkSession, per_core: int = 1) -> int:
     """Number of parts to spread model fits over."""
-    return max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")),
-        spark.sparkContext.defaultParallelism,
-    )
+    cores = spark.sparkContext.defaultParallelism
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), per_core * cores)

@@ -134,5 +134,29 @@ def test_a_leading_series_without_facts_counts_as_zero(spark):
     assert rows.agg(F.max("NZL_ILI_CASE"), F.count("NZL_ILI_LAG1")).first()[0] == 0
 
 
-def test_shared_folder_comes_from_the_session(spark):
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+def test_shared_folder(spark):
+    assert shared_folder(spark) == shared_folder(spark)
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster)
+    Cluster.conf.get = staticmethod(lambda key, default: {"spark.checkpoint.dir": "hdfs:///shared"}[key])
+    assert shared_folder(Cluster) == "hdfs:///shared"
+
+
+def test_a_panel_with_two_keys(spark):
+    facts, lead, weather = synthetic(spark)
+    keyed = facts.select(
+        F.col("series_id").alias("country"), F.explode(F.array(F.lit(1), F.lit(2))).alias("age"), "week_start", "value")
+    features = FeatureConfig("2014-01-05", "2019-12-29", keys=("country", "age"))
+    cfg = RunConfig(features, "2018-12-30", sarimax=arima.SarimaxSpec((1, 0, 0), (0, 1, 0, 52)), n_weeks=4)
+    results = run(keyed, cfg, lead, weather)
+    assert results["comparison"].select("country", "age").distinct().count() == 4
+    assert results["next_season"].count() == 16
+    assert results["models"].filter("message IS NULL").count() == 4

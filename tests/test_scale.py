@@ -52,3 +52,11 @@ def test_leading_frame_is_broadcast_by_its_row_bound(spark):
     small, large = (broadcast_if_bounded(inp.panel(spark, SF), n) for n in (344, 10**9))
     assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" not in large._jdf.queryExecution().logical().toString().lower()
+
+
+def test_fits_are_not_coalesced_into_one_task(spark):
+    from panelcast.operators.packing import pack, spread
+
+    packed = spread(pack(inp.fine_panel(spark, SF), ["series_id"], ["y"]), ["series_id"])
+    sizes = packed.rdd.glom().map(len).collect()
+    assert len(sizes) >= 4 and sum(sizes) == 15 and max(sizes) < 10
