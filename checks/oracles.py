@@ -193,13 +193,14 @@ def block_ctes(source: str, out: str) -> str:
     {out} AS (SELECT * EXCLUDE (changed), sum(changed) OVER ({UP}) AS block FROM {out}_c)"""
 
 
-SHORT = f"""{FLAGGED}, {block_ctes('flagged', 'b1')},
-    kept AS (SELECT * EXCLUDE (is_season, block),
-        CASE WHEN is_season = 1 AND count(*) OVER (PARTITION BY series_id, block) >= 2 THEN 1 ELSE 0 END AS is_season FROM b1)"""
+def short_ctes(min_weeks: int) -> str:
+    return f"""{block_ctes('flagged', 'b1')},
+    kept AS (SELECT * EXCLUDE (is_season, block), CASE WHEN is_season = 1
+        AND count(*) OVER (PARTITION BY series_id, block) >= {min_weeks} THEN 1 ELSE 0 END AS is_season FROM b1)"""
 
 
 # The labelling oracle walks through the blocks one by one and takes the first free year.
-LABELLED = f"""{SHORT}, {block_ctes('kept', 'b2')},
+LABEL = f"""{block_ctes('kept', 'b2')},
     votes AS (SELECT series_id, block, year(week_start) AS yr, count(*) AS n FROM b2
         WHERE is_season = 1 AND month(week_start) IN (1, 2) GROUP BY ALL),
     winner AS (SELECT series_id, block, arg_max(yr, n * 100000 - yr) AS yr FROM votes GROUP BY ALL),
@@ -216,6 +217,8 @@ LABELLED = f"""{SHORT}, {block_ctes('kept', 'b2')},
             lambda z: NOT list_contains(t.used, z))) AS label) x),
     labelled AS (SELECT b.*, CAST(t.label AS INTEGER) AS season_label FROM b2 b
         LEFT JOIN taken t ON t.series_id = b.series_id AND t.block = b.block)"""
+SHORT = f"{FLAGGED}, {short_ctes(2)}"
+LABELLED = f"{SHORT}, {LABEL}"
 STATS = f"""{LABELLED},
     stats AS (SELECT series_id, season_label, min(week_start) AS onset_date, max(week_start) AS end_date,
         count(*) AS duration_weeks, sum(y) AS total_ili_burden, max(y) AS peak_ili,
@@ -537,6 +540,63 @@ sql("m2_m3_hmm_decode", HMM_SQL, f"""SELECT series_id, {iso('week_start')}, hmm_
 sql("d8_probability_line", HMM_SQL, f"""SELECT series_id, {iso('week_start')}, {r6('season_prob')},
     CAST(0.5 AS DOUBLE) AS threshold FROM decoded""", recursive=True)
 
+sql("m4_hmm_seasons_given", f"""{HMM_SQL},
+    flagged AS (SELECT t.*, d.hmm_state, d.season_prob, d.hmm_state AS is_season FROM target t
+        JOIN decoded d ON d.series_id = t.series_id AND d.week_start = t.week_start), {short_ctes(4)}, {LABEL}""",
+    f"""SELECT series_id, {iso('week_start')}, hmm_state, {r6('season_prob')}, is_season, season_label FROM labelled""",
+    recursive=True)
+LIKELIHOOD = f"""{HMM_SQL},
+    parts AS (SELECT o.series_id, o.i, o.b0, o.b1, coalesce(lag(f.a0) OVER (PARTITION BY o.series_id ORDER BY o.i), -1) AS a0
+        FROM obs o JOIN fwd f ON f.series_id = o.series_id AND f.i = o.i),
+    total AS (SELECT series_id, count(*) AS n, sum(CASE WHEN a0 < 0 THEN ln({_S0} * exp(b0) + {_S1} * exp(b1))
+        ELSE ln((a0 * {_T00} + (1 - a0) * {_T10}) * exp(b0) + (a0 * {_T01} + (1 - a0) * {_T11}) * exp(b1)) END) AS ll
+        FROM parts GROUP BY ALL)"""
+sql("m5_hmm_quality_given", LIKELIHOOD, f"""SELECT series_id, {r6('ll', 'log_likelihood')}, {r6('-2 * ll + 12', 'aic')},
+    {r6('-2 * ll + 6 * ln(n)', 'bic')} FROM total""", recursive=True)
+
+
+def r4(expr: str, name: str) -> str:
+    return r6(f"round({expr}, 4)", name)
+
+
+def aic(n: str, sigma2: str, free: int) -> str:
+    return f"{n} * ln(2 * pi() * {sigma2}) + {n} + {2 * free}"
+
+
+ONE_LAG = f"""{FACTS}, {TARGET},
+    steps AS (SELECT *, lag(log_y) OVER ({W}) AS before, {in_session('week_start')} AS x FROM target),
+    usable AS (SELECT * FROM steps WHERE part = 'train' AND before IS NOT NULL),
+    phi AS (SELECT series_id, sum(log_y * before) / sum(before * before) AS phi, sum(log_y * x) / sum(x * x) AS beta0 FROM usable GROUP BY ALL),
+    error AS (SELECT u.series_id, any_value(p.phi) AS phi, count(*) AS n, avg(pow(u.log_y - p.phi * u.before, 2)) AS lag_s2,
+        avg(u.log_y * u.log_y) AS zero_s2, avg(pow(u.log_y - p.beta0 * u.x, 2)) AS reg_s2, any_value(p.beta0) AS beta
+        FROM usable u JOIN phi p ON p.series_id = u.series_id GROUP BY u.series_id)"""
+sql("m6_fit_one_lag", ONE_LAG, f"""SELECT series_id, {r4('phi', 'ar')}, {r4('lag_s2', 'sigma2')},
+    {r4(aic('n', 'lag_s2', 2), 'aic')}, n AS nobs FROM error""")
+sql("m9_order_one_lag", ONE_LAG, f"""SELECT series_id, CASE WHEN {aic('n', 'lag_s2', 2)} < {aic('n', 'zero_s2', 1)} THEN 1 ELSE 0 END AS p,
+    {r4(f"least({aic('n', 'lag_s2', 2)}, {aic('n', 'zero_s2', 1)})", 'aic')} FROM error""")
+sql("m10_t6_search_closed_form", f"""{ONE_LAG},
+    origin AS (SELECT series_id, arg_max(log_y, week_start) AS y0 FROM target WHERE part = 'train' GROUP BY ALL),
+    ahead AS (SELECT t.series_id, exp(t.log_y) - 1 AS y, row_number() OVER ({W}) AS h, {in_session('t.week_start')} AS x
+        FROM target t WHERE part = 'test'),
+    candidates AS (
+        SELECT a.series_id, 'lag' AS features, a.y, exp(pow(e.phi, a.h) * o.y0) - 1 AS y_hat, {aic('e.n', 'e.lag_s2', 2)} AS aic
+        FROM ahead a JOIN error e ON e.series_id = a.series_id JOIN origin o ON o.series_id = a.series_id
+        UNION ALL SELECT a.series_id, 'regressor', a.y, exp(e.beta * a.x) - 1, {aic('e.n', 'e.reg_s2', 2)}
+        FROM ahead a JOIN error e ON e.series_id = a.series_id),
+    scored AS (SELECT series_id, features, any_value(aic) AS aic, avg(abs(y - y_hat)) AS mae, sqrt(avg(pow(y - y_hat, 2))) AS rmse
+        FROM candidates GROUP BY ALL)""",
+    f"""SELECT series_id, features, CAST(row_number() OVER (PARTITION BY series_id ORDER BY aic, features) AS INTEGER) AS rank,
+    {r4('aic', 'aic')}, {r4('mae', 'mae')}, {r4('rmse', 'rmse')} FROM scored""")
+sql("m12_m13_next_season_given", f"""{FACTS}, {TARGET}, {origin('TRUE')}, {path(35)}, {FUTURE},
+    ahead AS (SELECT f.series_id, f.week_start, p.u + {B1} * ({in_session('f.week_start')}) AS log_hat FROM future f
+        JOIN path p ON p.series_id = f.series_id AND p.step = f.step),
+    stand_in AS (SELECT series_id, week_start, log_hat, {floor0('exp(log_hat) - 1')} AS y_hat FROM ahead), {PEAK}""",
+    f"""SELECT p.series_id, {iso('p.first_week', 'first_week')}, {iso('p.last_week', 'last_week')}, {r6('p.total', 'total')},
+    {r6('p.peak_value', 'peak_value')}, {iso('p.peak_date', 'peak_date')},
+    {r6(floor0(f"exp(s.log_hat - {1.959963984540054 * AR1['sigma2'] ** 0.5}) - 1"), 'peak_lower')},
+    {r6(floor0(f"exp(s.log_hat + {1.959963984540054 * AR1['sigma2'] ** 0.5}) - 1"), 'peak_upper')}
+    FROM peaks p JOIN stand_in s ON s.series_id = p.series_id AND s.week_start = p.peak_date""", recursive=True)
+
 # -- diagnostic tables ----------------------------------------------------------------------------
 
 sql("d1_forecast_frame", BASE, f"""SELECT t.series_id, {iso('t.week_start', 'week_start')}, t.part, {r6('t.y', 'actual')},

@@ -558,6 +558,11 @@ def e8_compare_models(spark, sf_dir):
 # -- models ---------------------------------------------------------------------------------------
 
 
+def hmm_given(panel):
+    """Decoding with the same given parameters for every series."""
+    return hmm.decode_given(panel, means=(7.0, 11.0), covars=(6.0, 9.0), **HMM)
+
+
 @query
 def m1_hmm_fit(spark, sf_dir):
     fitted = hmm.season_state(hmm.fit_decode(inp.split_panel(spark, sf_dir)))
@@ -568,8 +573,7 @@ def m1_hmm_fit(spark, sf_dir):
 
 @query
 def m2_m3_hmm_decode(spark, sf_dir):
-    rows = hmm.decode_given(inp.split_panel(spark, sf_dir), means=(7.0, 11.0), covars=(6.0, 9.0), **HMM)
-    return hmm.decoded_rows(rows)
+    return hmm.decoded_rows(hmm_given(inp.split_panel(spark, sf_dir)))
 
 
 @query
@@ -580,6 +584,20 @@ def m4_hmm_seasons(spark, sf_dir):
     )
 
 
+@query
+def m4_hmm_seasons_given(spark, sf_dir):
+    rows = staged_split(spark, sf_dir)
+    found = hmm.detect_seasons(rows, hmm_given(rows))
+    return found.select("series_id", "week_start", "hmm_state", "season_prob", "is_season", "season_label")
+
+
+@query
+def m5_hmm_quality_given(spark, sf_dir):
+    fitted = hmm_given(inp.split_panel(spark, sf_dir))
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("covars", "array<double>"), ("transmat", "array<array<double>>"))]
+    return hmm.quality(fitted.select("*", *nothing)).select("series_id", "log_likelihood", "aic", "bic")
+
+
 @query
 def m5_hmm_quality(spark, sf_dir):
     return hmm.quality(hmm.fit_decode(inp.split_panel(spark, sf_dir)))
@@ -590,6 +608,37 @@ def m6_sarimax_fit(spark, sf_dir):
     return arima.fit(inp.split_matrix(spark, sf_dir).filter("part = 'train'"), inp.SPEC)
 
 
+# Orders whose conditional sum of squares has a closed form: one lag, and one regressor alone.
+ONE_LAG = arima.SarimaxSpec((1, 0, 0), (0, 0, 0, 1), ())
+ONE_REGRESSOR = arima.SarimaxSpec((0, 0, 0), (0, 0, 0, 1), ("school_in_session",))
+
+
+def to_places(df, places, *columns):
+    """An iterative fit agrees with the closed form to a few places."""
+    return df.withColumns({c: F.round(c, places) for c in columns})
+
+
+@query
+def m6_fit_one_lag(spark, sf_dir):
+    rows = arima.fit(inp.split_panel(spark, sf_dir).filter("part = 'train'"), ONE_LAG)
+    return to_places(rows.select("series_id", F.get("ar", F.lit(0)).alias("ar"), "sigma2", "aic", "nobs"), 4, "ar", "sigma2", "aic")
+
+
+@query
+def m9_order_one_lag(spark, sf_dir):
+    bounds = {"p": 1, "d": 0, "q": 0, "P": 0, "D": 0, "Q": 0}
+    return to_places(arima.auto_order(inp.split_panel(spark, sf_dir), (), s=1, bounds=bounds), 4, "aic").select(
+        "series_id", F.get("order", F.lit(0)).alias("p"), "aic"
+    )
+
+
+@query
+def m10_t6_search_closed_form(spark, sf_dir):
+    found = arima.search(staged_split(spark, sf_dir), [("lag", ONE_LAG), ("regressor", ONE_REGRESSOR)])
+    ranks = arima.ranked(found).select("series_id", "features", "rank", "aic", "mae", "rmse")
+    return to_places(ranks, 4, "aic", "mae", "rmse")
+
+
 @query
 def m6_m8_sarimax_walk_forward(spark, sf_dir):
     rows = stage(inp.split_matrix(spark, sf_dir), "matrix")
@@ -635,6 +684,12 @@ def m11_projection_given(spark, sf_dir):
     return project.project(rows, inp.given_models(rows, **AR1), future, AR1["exog"])
 
 
+@query
+def m12_m13_next_season_given(spark, sf_dir):
+    rows = staged_split(spark, sf_dir)
+    return project.next_season(rows, inp.given_models(rows, **AR1), AR1["exog"], covid=inp.COVID)["next_season_totals"]
+
+
 def next_season(spark, sf_dir):
     rows = stage(inp.matrix(spark, sf_dir), "matrix")
     models = stage(arima.fit(rows, inp.SPEC), "models")
@@ -704,8 +759,7 @@ def d8_season_spans(spark, sf_dir):
 
 @query
 def d8_probability_line(spark, sf_dir):
-    rows = hmm.decode_given(inp.split_panel(spark, sf_dir), means=(7.0, 11.0), covars=(6.0, 9.0), **HMM)
-    return diagnostics.probability_line(hmm.decoded_rows(rows))
+    return diagnostics.probability_line(hmm.decoded_rows(hmm_given(inp.split_panel(spark, sf_dir))))
 
 
 @query

@@ -54,19 +54,15 @@ def difference(x, order):
     return x
 
 
-def lag(w, n):
-    """Shift lanes n steps later, zeros before the sample."""
-    out = np.zeros_like(w)
-    if n < w.shape[1]:
-        out[:, n:] = w[:, : w.shape[1] - n]
-    return out
-
-
 def apply(w, coefficients, step):
-    """sum_j c_j B^(j*step) w for lanes w and per-lane coefficients c."""
-    out = coefficients[:, :1] * w
+    """w plus sum_j c_j B^(j*step) w, from j = 1 up, zeros before the sample: the polynomial with
+    constant term 1 and per-lane coefficients c applied to lanes w."""
+    out = w.copy()
     for j in range(1, coefficients.shape[1]):
-        out = out + coefficients[:, j : j + 1] * lag(w, j * step)
+        shift = j * step
+        if shift >= w.shape[1]:
+            break
+        out[:, shift:] += coefficients[:, j : j + 1] * w[:, :-shift]
     return out
 
 
