@@ -786,7 +786,7 @@ def feature_matrix(spark, sf_dir):
 def full_run_comparison(spark, sf_dir):
     results = run(
         inp.facts(spark, sf_dir), RunConfig(inp.CFG, inp.SPLIT, sarimax=inp.SPEC),
-        inp.lead_facts(spark, sf_dir), inp.weather(spark, sf_dir),
+        inp.weather(spark, sf_dir), lead_facts=inp.lead_facts(spark, sf_dir),
     )
     return results["comparison"]
 

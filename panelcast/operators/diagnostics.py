@@ -90,7 +90,8 @@ def residual_histogram(resid: DataFrame, keys: Sequence[str] = KEYS, bins: int =
 
 
 def autocorrelation_arrays(resid: DataFrame, keys: Sequence[str] = KEYS, n_lags: int = LAGS) -> DataFrame:
-    """One row per series and model: ``n`` and the array of autocorrelations for lags 0 to n_lags.
+    """One row per series and model: ``n`` and the array of autocorrelations for lags 0 to n_lags, NULL
+    for constant residuals.
 
     All lags come from one window and one aggregate over the same partitioning.
     """
@@ -108,7 +109,7 @@ def autocorrelation_arrays(resid: DataFrame, keys: Sequence[str] = KEYS, n_lags:
         .agg(F.count(F.lit(1)).alias("n"), F.array(*sums).alias("_s"))
         .select(
             *group, "n",
-            F.when(F.get("_s", F.lit(0)) > 0, F.transform("_s", lambda s: s / F.get("_s", F.lit(0)))).alias("acf"),
+            F.transform("_s", lambda s: F.try_divide(s, F.get("_s", F.lit(0)))).alias("acf"),
         )
     )
 
@@ -126,7 +127,8 @@ def autocorrelation(resid: DataFrame, keys: Sequence[str] = KEYS, n_lags: int =
 
 
 def durbin_levinson(acf: Column, n_lags: int = LAGS) -> Column:
-    """Partial autocorrelations for lags 0 to n_lags from the array of autocorrelations."""
+    """Partial autocorrelations for lags 0 to n_lags from the array of autocorrelations, all NULL if
+    that is."""
 
     def state(phi, variance, out):
         return F.struct(phi.alias("phi"), variance.alias("v"), out.alias("out"))
@@ -136,6 +138,7 @@ def durbin_levinson(acf: Column, n_lags: int = LAGS) -> Column:
         explained = F.aggregate(
             F.zip_with(s["phi"], F.reverse(known), lambda a, r: a * r), F.lit(0.0), lambda t, x: t + x
         )
+        # The variance stays positive: no biased autocorrelation beyond lag 0 reaches 1.
         partial = (F.get(acf, k) - explained) / s["v"]
         shrunk = F.zip_with(s["phi"], F.reverse(s["phi"]), lambda a, b: a - partial * b)
         return state(
@@ -144,7 +147,9 @@ def durbin_levinson(acf: Column, n_lags: int = LAGS) -> Column:
 
     none = F.array().cast("array<double>")
     start = state(none, F.lit(1.0), F.array(F.lit(1.0)))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(n_lags)), start, turn, lambda s: s["out"])
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(n_lags)), start, turn, lambda s: s["out"])
+    missing = F.array_repeat(F.lit(None).cast("double"), n_lags + 1)
+    return F.when(F.get(acf, F.lit(0)).isNotNull(), found).otherwise(missing)
 
 
 def partial_autocorrelation(resid: DataFrame, keys: Sequence[str] = KEYS, n_lags: int = LAGS) -> DataFrame:

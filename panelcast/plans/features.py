@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions import calendar as cal
@@ -16,6 +16,9 @@ class FeatureConfig:
     start: str
     end: str
     keys: tuple[str, ...] = ("series_id",)
+    # Key column that names the series, and the names to forecast; none means all.
+    code: str = "series_id"
+    targets: tuple[str, ...] = ()
     # Leading series, its lags, and the temperature lags.
     lead_codes: tuple[str, ...] = ("AUS",)
     lead_lags: tuple[int, ...] = (1,)
@@ -29,6 +32,12 @@ class FeatureConfig:
         if cal.as_date(self.start) >= cal.as_date(self.end):
             raise ValueError(f"start_date {self.start} must be before end_date {self.end}")
 
+    def is_target(self) -> Column:
+        return F.col(self.code).isin(*self.targets) if self.targets else F.lit(True)
+
+    def is_lead(self) -> Column:
+        return F.col(self.code).isin(*self.lead_codes)
+
     @property
     def n_weeks(self) -> int:
         return cal.grid_size(self.start, self.end)
@@ -36,7 +45,7 @@ class FeatureConfig:
 
 def target(facts: DataFrame, cfg: FeatureConfig, fill: bool = True) -> DataFrame:
     """Weekly target on the grid, interpolated; ``fill`` also closes a leading gap."""
-    panel = pn.weekly_panel(facts, cfg.start, cfg.end, cfg.keys)
+    panel = pn.weekly_panel(facts.filter(cfg.is_target()), cfg.start, cfg.end, cfg.keys)
     panel = sq.interpolate(panel, "y", cfg.keys)
     if fill:
         panel = sq.fill_back_then_forward(panel, ["y"], cfg.keys)
@@ -51,21 +60,19 @@ def lead_columns(cfg: FeatureConfig) -> list[str]:
     ]
 
 
-def lead_features(facts: DataFrame, cfg: FeatureConfig, code: str = "series_id") -> DataFrame:
+def lead_features(facts: DataFrame, cfg: FeatureConfig) -> DataFrame:
     """One row per grid week: value, lags and change of every leading series.
 
     The order-dependent work runs once per leading series and not once per target series.
     """
-    keys = [code]
-    rows = pn.weekly_panel(
-        facts.filter(F.col(code).isin(*cfg.lead_codes)), cfg.start, cfg.end, keys
-    ).drop("year", "week")
+    keys = [cfg.code]
+    rows = pn.weekly_panel(facts.filter(cfg.is_lead()), cfg.start, cfg.end, keys).drop("year", "week")
     rows = sq.interpolate(rows, "y", keys, fill=0.0)
     names = {k: f"ILI_LAG{k}" for k in cfg.lead_lags}
     rows = sq.first_difference(sq.lags(rows, "y", names, keys), "y", "delta_1w", keys)
     rows = sq.fill_back_then_forward(rows, [*names.values(), "delta_1w"], keys)
     values = [F.first("y").alias("ILI_CASE"), *(F.first(c).alias(c) for c in (*names.values(), "delta_1w"))]
-    return rows.groupBy("week_start").pivot(code, list(cfg.lead_codes)).agg(*values)
+    return rows.groupBy("week_start").pivot(cfg.code, list(cfg.lead_codes)).agg(*values)
 
 
 def temperature_features(daily: DataFrame, cfg: FeatureConfig, keys: Sequence[str] = ("station",)) -> DataFrame:

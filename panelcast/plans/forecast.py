@@ -47,20 +47,30 @@ def rolling_predictions(panel: DataFrame, rolling: DataFrame, keys: Sequence[str
     )
 
 
+def weekly_facts(facts: DataFrame, cfg: FeatureConfig) -> DataFrame:
+    """Weekly sums of targets and leading series, still in the form of facts. Staged, they let both
+    come from one scan of the raw rows."""
+    wanted = facts.filter(cfg.is_target() | cfg.is_lead())
+    return stage(pn.weekly_sum(wanted, cfg.keys).withColumnRenamed("y", "value"), "weekly")
+
+
 def run(
     facts: DataFrame,
     cfg: RunConfig,
-    lead_facts: DataFrame,
-    weather: DataFrame,
+    weather: DataFrame | None = None,
     holidays: Sequence[DataFrame] = (),
+    lead_facts: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """All result tables by name.
 
-    The matrix is staged right after the fact scan, and each fitted table once: everything later
-    reads weekly rows and parameters, never the facts, and no model is fitted twice.
+    Leading series come from the same facts unless ``lead_facts`` names another table. The facts are
+    read once, for their weekly sums; matrix and fitted tables are staged, so everything later reads
+    weekly rows and parameters, and no model is fitted twice.
     """
     keys, spec = cfg.features.keys, cfg.sarimax
-    matrix = stage(feature_matrix(facts, cfg.features, lead_facts, weather), "features")
+    weekly = weekly_facts(facts, cfg.features)
+    leads = weekly if lead_facts is None else lead_facts
+    matrix = stage(feature_matrix(weekly, cfg.features, leads, weather), "features")
     states = stage(hmm.fit_decode(matrix, cfg.states, keys), "hmm")
     labelled = hmm.detect_seasons(matrix, states, keys)
     bounds = (cfg.features.start, cfg.features.end)

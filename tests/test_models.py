@@ -207,6 +207,14 @@ def test_residual_tables(spark, weekly):
         assert pacf["pacf"][k] == pytest.approx(np.linalg.solve(toeplitz, rho[1 : k + 1])[-1])
 
 
+def test_constant_residuals_have_no_autocorrelation(weekly):
+    rows = weekly(a=[1.0] * 60).select("series_id", F.lit("m").alias("model"), "week_start", F.col("y").alias("residual"))
+    acf = diagnostics.autocorrelation(rows).collect()
+    pacf = diagnostics.partial_autocorrelation(rows).collect()
+    assert len(acf) == len(pacf) == 41
+    assert {r["acf"] for r in acf} == {None} and {r["pacf"] for r in pacf} == {None}
+
+
 def test_forecast_frame_band(panel, models):
     forecasts = arima.walk_forward(panel, models, ["x"])
     with_ci = frame(diagnostics.forecast_frame(panel, forecasts))

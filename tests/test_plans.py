@@ -103,9 +103,10 @@ def synthetic(spark):
 
 def test_whole_run(spark):
     facts, lead, weather = synthetic(spark)
-    cfg = RunConfig(FeatureConfig("2012-01-01", "2019-12-29"), "2018-06-01", n_weeks=35)
+    features = FeatureConfig("2012-01-01", "2019-12-29", targets=("ISR", "XYZ"))
+    cfg = RunConfig(features, "2018-06-01", n_weeks=35)
     holidays = spark.createDataFrame([(date(2015, 3, 5), "Purim")], "ds date, name string")
-    results = run(facts, cfg, lead, weather, [holidays])
+    results = run(facts.unionByName(lead), cfg, weather, [holidays])
     matrix = results["features"]
     assert matrix.count() == 2 * 418
     assert matrix.select(*arima.REGRESSORS, "y", "log_y").dropna().count() == 2 * 418
@@ -152,11 +153,12 @@ def test_shared_folder(spark):
 
 def test_a_panel_with_two_keys(spark):
     facts, lead, weather = synthetic(spark)
+    lead = lead.withColumnRenamed("series_id", "country")
     keyed = facts.select(
         F.col("series_id").alias("country"), F.explode(F.array(F.lit(1), F.lit(2))).alias("age"), "week_start", "value")
-    features = FeatureConfig("2014-01-05", "2019-12-29", keys=("country", "age"))
+    features = FeatureConfig("2014-01-05", "2019-12-29", keys=("country", "age"), code="country")
     cfg = RunConfig(features, "2018-12-30", sarimax=arima.SarimaxSpec((1, 0, 0), (0, 1, 0, 52)), n_weeks=4)
-    results = run(keyed, cfg, lead, weather)
+    results = run(keyed, cfg, weather, lead_facts=lead)
     assert results["comparison"].select("country", "age").distinct().count() == 4
     assert results["next_season"].count() == 16
     assert results["models"].filter("message IS NULL").count() == 4
