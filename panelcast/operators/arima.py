@@ -122,12 +122,18 @@ def pack_history(
 
 
 def with_models(history: DataFrame, models: DataFrame | None, keys: Sequence[str]) -> DataFrame:
-    """Join the fitted parameters; both sides hold one row per series. Failed fits drop out here and
-    stay visible in the model table."""
+    """Join the fitted parameters; both sides hold one row per series. A series whose fit failed keeps
+    its rows with a NULL model, and gets NULL forecasts."""
     if models is None:
         raise RuntimeError("Model must be fitted before forecasting")
     model = F.struct("order", "seasonal", "exog", *COEFFICIENTS, "sigma2").alias("model")
-    return history.join(models.filter("message IS NULL").select(*keys, model), list(keys))
+    return history.join(models.filter("message IS NULL").select(*keys, model), list(keys), "left")
+
+
+def without_nan(forecasts: DataFrame) -> DataFrame:
+    return forecasts.withColumns(
+        {c: nan_to_null(F.col(c)) for c in ("log_y", "log_hat", "sigma") if c in forecasts.columns}
+    )
 
 
 def with_interval(forecasts: DataFrame, alpha: float = 0.05) -> DataFrame:
@@ -196,16 +202,13 @@ def walk_forward(
     keys, exog = list(keys), list(exog)
 
     def score(row):
-        spec, params = fitted_model(row["model"])
-        y = np.asarray(row["y"], dtype=float)
+        y, ahead, sigma = np.asarray(row["y"], dtype=float), np.nan, np.nan
+        if row["model"] is not None:
+            spec, params = fitted_model(row["model"])
+            ahead = kernel.one_step(y, design(row, spec.exog), spec.kernel_order(), params)
+            sigma = np.sqrt(row["model"]["sigma2"])
         frame = pd.DataFrame(
-            {
-                "week_start": row["weeks"],
-                "part": row["part"],
-                "log_y": y,
-                "log_hat": kernel.one_step(y, design(row, spec.exog), spec.kernel_order(), params),
-                "sigma": np.sqrt(row["model"]["sigma2"]),
-            }
+            {"week_start": row["weeks"], "part": row["part"], "log_y": y, "log_hat": ahead, "sigma": sigma}
         )
         return frame[frame["part"] == "test"].drop(columns="part").assign(**{k: row[k] for k in keys})
 
@@ -214,7 +217,7 @@ def walk_forward(
         per_row(score),
         f"{key_schema(panel, keys)}, week_start date, log_y double, log_hat double, sigma double",
     )
-    return with_interval(scored.withColumn("log_hat", nan_to_null(F.col("log_hat"))), alpha)
+    return with_interval(without_nan(scored), alpha)
 
 
 def walk_forward_by_lags(
@@ -255,7 +258,7 @@ def walk_forward_by_lags(
     effect = F.lit(0.0)
     for i, c in enumerate(exog):
         effect = effect + F.get("model.beta", F.lit(i)) * F.col(c)
-    rows = panel.join(fitted, list(keys)).withColumn("_effect", effect)
+    rows = panel.join(fitted, list(keys), "left").withColumn("_effect", effect)
     rows = rows.withColumn("_u", F.col(value) - F.col("_effect"))
     w = by_time(keys)
     ahead = F.col("_effect")
@@ -286,21 +289,20 @@ def forecast_multistep(
     keys, exog = list(keys), list(exog)
 
     def score(row):
-        spec, params = fitted_model(row["model"])
-        y, x, actual, future, train = _split_row(row, spec.exog)
+        y, x, actual, future, train = _split_row(row, exog)
+        ahead = np.nan
+        if row["model"] is not None:
+            spec, params = fitted_model(row["model"])
+            ahead = kernel.path(y, x, future, spec.kernel_order(), params)
         return pd.DataFrame(
-            {
-                "week_start": np.asarray(row["weeks"])[~train],
-                "log_y": actual,
-                "log_hat": kernel.path(y, x, future, spec.kernel_order(), params),
-            }
+            {"week_start": np.asarray(row["weeks"])[~train], "log_y": actual, "log_hat": ahead}
         ).assign(**{k: row[k] for k in keys})
 
     history = with_models(pack_history(panel, keys, exog, value, ["part"]), models, keys)
     scored = spread(history, keys).mapInPandas(
         per_row(score), f"{key_schema(panel, keys)}, week_start date, log_y double, log_hat double"
     )
-    return scored.withColumn("y_hat", from_log(nan_to_null(F.col("log_hat"))))
+    return without_nan(scored).withColumn("y_hat", from_log(F.col("log_hat")))
 
 
 # -- order search ---------------------------------------------------------------------------------

@@ -8,12 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions import calendar as cal
-from panelcast.functions.scalars import nan_to_null
 from panelcast.functions.windows import whole
 from panelcast.kernels import arima as kernel
 from panelcast.operators import seasons
 from panelcast.operators.arima import (
-    REGRESSORS, design, fitted_model, pack_history, per_row, with_interval, with_models,
+    REGRESSORS, design, fitted_model, pack_history, per_row, with_interval, with_models, without_nan,
 )
 from panelcast.operators.packing import key_schema, spread
 from panelcast.operators.panel import future_weeks
@@ -114,18 +113,17 @@ def project(
     keys, exog = list(keys), list(exog)
 
     def score(row):
-        spec, params = fitted_model(row["model"])
-        ahead = {c: np.asarray(row[f"future_{c}"], dtype=float) for c in spec.exog}
-        path = kernel.path(
-            np.asarray(row["y"], dtype=float),
-            design(row, spec.exog),
-            np.column_stack(list(ahead.values())) if ahead else np.zeros((len(row["future_weeks"]), 0)),
-            spec.kernel_order(),
-            params,
+        path = sigma = np.nan
+        if row["model"] is not None:
+            spec, params = fitted_model(row["model"])
+            ahead = [np.asarray(row[f"future_{c}"], dtype=float) for c in spec.exog]
+            future_x = np.column_stack(ahead) if ahead else np.zeros((len(row["future_weeks"]), 0))
+            y = np.asarray(row["y"], dtype=float)
+            path = kernel.path(y, design(row, spec.exog), future_x, spec.kernel_order(), params)
+            sigma = np.sqrt(row["model"]["sigma2"])
+        return pd.DataFrame({"week_start": row["future_weeks"], "log_hat": path, "sigma": sigma}).assign(
+            **{k: row[k] for k in keys}
         )
-        return pd.DataFrame(
-            {"week_start": row["future_weeks"], "log_hat": path, "sigma": np.sqrt(row["model"]["sigma2"])}
-        ).assign(**{k: row[k] for k in keys})
 
     ahead = pack_history(future.withColumn("_none", F.lit(0.0)), keys, exog, "_none").select(
         *keys, F.col("weeks").alias("future_weeks"), *(F.col(c).alias(f"future_{c}") for c in exog)
@@ -135,7 +133,7 @@ def project(
         per_row(score),
         f"{key_schema(history, keys)}, week_start date, log_hat double, sigma double",
     )
-    out = with_interval(scored.withColumn("log_hat", nan_to_null(F.col("log_hat"))), alpha)
+    out = with_interval(without_nan(scored), alpha)
     return out.withColumn("week", cal.epi_week(F.col("week_start"))).drop("sigma")
 
 

@@ -13,9 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from panelcast.functions.scalars import nan_to_null
 from panelcast.kernels import arima as kernel
-from panelcast.operators.arima import COEFFICIENTS, fitted_model, with_interval
+from panelcast.operators.arima import COEFFICIENTS, fitted_model, with_interval, without_nan
 from panelcast.operators.packing import key_schema
 
 KEYS = ("series_id",)
@@ -36,7 +35,8 @@ def score_arrivals(
     """Stream of ``keys, tick, log_y, exog…`` to ``keys, tick, log_y, log_hat, y_hat, interval``.
 
     ``tick`` counts the steps of the series (weeks, hours); the first one is ``start``. The forecast
-    uses only ticks before its own and is NULL while the history is too short.
+    uses only ticks before its own and is NULL while the history is too short, and for a series without
+    a model.
     """
     keys = list(keys)
     parameters = models.filter("message IS NULL").select(
@@ -45,12 +45,12 @@ def score_arrivals(
     effect = F.lit(0.0)
     for i, c in enumerate(exog):
         effect = effect + F.get("model.beta", F.lit(i)) * F.col(c)
-    rows = arrivals.join(parameters, keys).select(*keys, "tick", "log_y", effect.alias("effect"), "model")
+    rows = arrivals.join(parameters, keys, "left").select(*keys, "tick", "log_y", effect.alias("effect"), "model")
     fields = f"{key_schema(arrivals, keys)}, tick long, log_y double, log_hat double, sigma double"
     scored = rows.groupBy(*keys).applyInPandasWithState(
         _scorer(keys, start), fields, STATE, "append", GroupStateTimeout.NoTimeout
     )
-    return with_interval(scored.withColumn("log_hat", nan_to_null(F.col("log_hat"))), alpha)
+    return with_interval(without_nan(scored), alpha)
 
 
 def _scorer(keys: list[str], start: int):
@@ -64,14 +64,16 @@ def _scorer(keys: list[str], start: int):
         for pdf in batches:
             model = pdf["model"].iloc[0]
             waiting.update({t: (y, x) for t, y, x in zip(pdf["tick"], pdf["log_y"], pdf["effect"])})
-        spec, params = fitted_model(model)
-        ar, ma = kernel.polynomials(spec.kernel_order(), params)
-        sigma = float(np.sqrt(model["sigma2"]))
+        ar, ma, sigma = np.ones(1), np.ones(1), np.nan
+        if model is not None:
+            spec, params = fitted_model(model)
+            ar, ma = kernel.polynomials(spec.kernel_order(), params)
+            sigma = float(np.sqrt(model["sigma2"]))
         out = []
         while expected in waiting:
             y, effect = waiting.pop(expected)
             ahead = None
-            if len(u) == len(ar) - 1:
+            if model is not None and len(u) == len(ar) - 1:
                 past = np.concatenate([np.zeros(max(len(ma) - 1 - len(e), 0)), e])
                 ahead = float(kernel.next_value(np.asarray(u, dtype=float), past, ar, ma)) + effect
             u = [*u, y - effect][max(len(u) + 2 - len(ar), 0) :]

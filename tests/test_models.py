@@ -113,7 +113,13 @@ def test_a_failed_fit_is_a_row(panel):
     rows = {r["series_id"]: r for r in arima.fit(gap, SPEC).collect()}
     assert rows["b"]["message"] == "missing values" and rows["b"]["aic"] is None
     assert rows["a"]["message"] is None
-    assert {r["series_id"] for r in arima.walk_forward(gap, arima.fit(gap, SPEC), ["x"]).select("series_id").distinct().collect()} == {"a", "c"}
+    fitted = stage(arima.fit(gap, SPEC), "gap")
+    for forecast in (arima.walk_forward(gap, fitted, ["x"]), arima.forecast_multistep(gap, fitted, ["x"])):
+        got = {r["series_id"]: (r["n"], r["known"]) for r in forecast.groupBy("series_id").agg(
+            F.count(F.lit(1)).alias("n"), F.count("y_hat").alias("known")).collect()}
+        assert got == {"a": (50, 50), "b": (50, 0), "c": (50, 50)}
+    future = project.future_regressors(gap, ["x"], 3)
+    assert project.project(gap, fitted, future, ["x"]).filter("y_hat IS NULL").select("series_id").distinct().collect()[0][0] == "b"
 
 
 def test_grid_has_288_candidates():
@@ -243,6 +249,24 @@ def test_stream_equals_batch_in_any_order(spark, panel, models):
     assert got["y_hat"].to_numpy() == pytest.approx(want["y_hat"].to_numpy(), nan_ok=True)
 
 
+def test_stream_goes_on_after_a_restart(spark, panel, models):
+    """A second run over new files picks up the state of the first; a series without a model has no forecasts."""
+    numbered = panel.withColumn("tick", (F.datediff("week_start", F.lit("2015-01-04").cast("date")) / 7).cast("long"))
+    rows = numbered.select("series_id", "tick", "log_y", "x")
+    source, sink, progress = (new_path(spark, n) for n in ("in", "out", "log"))
+    known = models.filter("series_id <> 'c'")
+    for part in (rows.filter("tick < 140"), rows.filter("tick >= 140")):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        writer = score_arrivals(stream, known, ["x"]).writeStream.format("parquet")
+        writer.option("checkpointLocation", progress).trigger(availableNow=True).start(sink).awaitTermination()
+    got = frame(spark.read.parquet(sink), "series_id", "tick")
+    assert len(got) == 900
+    want = frame(arima.walk_forward(panel.withColumn("part", F.lit("test")), known, ["x"]))
+    assert got["log_hat"].to_numpy() == pytest.approx(want["log_hat"].to_numpy(), nan_ok=True, abs=1e-9)
+    assert got[got["series_id"] == "c"]["y_hat"].isna().all()
+
+
 def test_tasks_need_no_installed_package(tmp_path):
     """Fit from a working directory where the workers cannot import the package."""
     root = Path(__file__).resolve().parents[1]
