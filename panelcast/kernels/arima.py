@@ -87,10 +87,9 @@ def with_one(coefficients):
     return np.concatenate([np.ones((len(coefficients), 1)), coefficients], axis=1)
 
 
-def innovations(lanes, dy, dx, order, skip):
-    """One-step errors from position ``skip`` of the differenced sample on, per lane."""
-    b, phi, sphi, theta, stheta = order.parts(lanes)
-    z = dy - b @ dx.T if order.k else np.repeat(dy[None], len(lanes), axis=0)
+def innovations(lanes, z, order, skip):
+    """One-step errors from position ``skip`` of the differenced disturbances z on, per lane."""
+    _, phi, sphi, theta, stheta = order.parts(lanes)
     w = apply(apply(z, with_one(-phi), 1), with_one(-sphi), order.s)[:, skip:]
     return invert(invert(w, with_one(stheta), order.s), with_one(theta), 1)
 
@@ -120,66 +119,94 @@ def natural(lanes, order, stationary):
 
 
 def fit(y, x, order, maxiter=500, condition_on=None, stationary=False):
-    """Levenberg-Marquardt on the sum of squared innovations.
-
-    ``condition_on`` is the number of leading observations left out of the sum; candidates of one
-    search share it, so that their AICs rest on the same weeks.
-    """
+    """``fit_stack`` for one series."""
     if not (np.isfinite(y).all() and np.isfinite(x).all()):
         raise ValueError("missing values")
+    return fit_stack(y[None], x[None], order, maxiter, condition_on, stationary)[0]
+
+
+def fit_stack(y, x, order, maxiter=500, condition_on=None, stationary=False):
+    """Levenberg-Marquardt on the sum of squared innovations, for a stack of equally long series.
+
+    y is (series, time), x is (series, time, regressor). All lanes of all series that still move go
+    through one pass of the filters, which costs little more than a single one. ``condition_on`` is the
+    number of leading observations left out of the sum; candidates of one search share it, so that
+    their AICs rest on the same weeks.
+    """
     least = order.differenced + order.presample
     skip = max(condition_on or 0, least) - order.differenced
-    n = len(y) - order.differenced - skip
-    if n <= order.size + 1:
+    count, size, n = len(y), order.size, y.shape[1] - order.differenced - skip
+    if n <= size + 1:
         raise ValueError("too few observations")
-    dy, dx = difference(y, order), difference(x, order)
+    dy = difference(y.T, order).T
+    dx = difference(x.transpose(1, 0, 2), order).transpose(1, 0, 2)
 
-    def errors(lanes):
-        with np.errstate(all="ignore"):
-            return innovations(natural(lanes, order, stationary), dy, dx, order, skip)
+    def errors(points, who):
+        width = points.shape[1]
+        lanes = natural(points.reshape(len(who) * width, size), order, stationary)
+        b = lanes[:, : order.k].reshape(len(who), width, order.k)
+        z = dy[who, None] - b @ dx[who].transpose(0, 2, 1)
+        return innovations(lanes, z.reshape(len(lanes), -1), order, skip).reshape(len(who), width, n)
 
     def loss(e):
-        with np.errstate(all="ignore"):
-            total = (e * e).sum(axis=1)
+        total = (e * e).sum(axis=-1)
         return np.where(np.isfinite(total), total, np.inf)
 
-    b = np.linalg.lstsq(dx, dy, rcond=None)[0] if order.k else np.zeros(0)
-    point = np.concatenate([b, np.full(order.size - order.k, 0.01)])
-    e = errors(point[None])[0]
-    best, damping, converged, turns = float(e @ e), 1e-3, order.size == 0, 0
-    while not converged and turns < maxiter:
-        turns += 1
-        h = 1e-6 * np.maximum(1.0, np.abs(point))
-        slope = (errors(point + np.diag(h)) - e) / h[:, None]
-        hessian, gradient = slope @ slope.T, slope @ e
-        scale = np.diag(np.diag(hessian) + 1e-12)
-        tries = damping * 10.0 ** np.arange(-1, 4)
-        lanes = np.stack([point - np.linalg.solve(hessian + t * scale, gradient) for t in tries])
-        trial = errors(lanes)
-        losses = loss(trial)
-        i = int(losses.argmin())
-        if losses[i] < best:
-            converged = best - losses[i] <= GAIN * best
-            point, e, best, damping = lanes[i], trial[i], float(losses[i]), max(tries[i], 1e-9)
-        else:
-            damping *= 1e4
-            converged = damping > 1e9
-    if not np.isfinite(best):
-        raise ValueError("sum of squares is not finite")
-    sigma2 = max(best / n, 1e-300)
-    free = order.size + 1
-    return {
-        "params": natural(point[None], order, stationary)[0], "sigma2": sigma2, "nobs": n,
-        "n_iter": turns, "converged": bool(converged),
-        "log_likelihood": -0.5 * n * (np.log(2 * np.pi * sigma2) + 1),
-        "aic": n * np.log(2 * np.pi * sigma2) + n + 2 * free,
-    }
+    active = np.arange(count)
+    point = np.full((count, size), 0.01)
+    if order.k:
+        point[:, : order.k] = (np.linalg.pinv(dx) @ dy[:, :, None])[:, :, 0]
+    turns, converged = np.zeros(count, dtype=np.int64), np.full(count, size == 0)
+    damping = np.full(count, 1e-3)
+    with np.errstate(all="ignore"):
+        e = errors(point[:, None], active)[:, 0]
+        best = loss(e)
+        active = active[~converged]
+        for _ in range(maxiter):
+            if not len(active):
+                break
+            turns[active] += 1
+            at, now = point[active], e[active]
+            h = 1e-6 * np.maximum(1.0, np.abs(at))
+            slope = (errors(at[:, None] + h[:, :, None] * np.eye(size), active) - now[:, None]) / h[:, :, None]
+            slope = np.nan_to_num(slope, posinf=0.0, neginf=0.0)
+            hessian, gradient = slope @ slope.transpose(0, 2, 1), slope @ now[:, :, None]
+            scale = np.eye(size) * (np.diagonal(hessian, axis1=1, axis2=2) + 1e-12)[:, None]
+            tries = damping[active, None] * 10.0 ** np.arange(-1, 4)
+            system = hessian[:, None] + tries[:, :, None, None] * scale[:, None]
+            lanes = at[:, None] - np.linalg.solve(system, gradient[:, None])[..., 0]
+            trial = errors(lanes, active)
+            losses = loss(trial)
+            pick, rows = losses.argmin(axis=1), np.arange(len(active))
+            low, before = losses[rows, pick], best[active]
+            better = low < before
+            done = better & (before - low <= GAIN * before)
+            moved, taken = active[better], (rows[better], pick[better])
+            point[moved], e[moved], best[moved] = lanes[taken], trial[taken], low[better]
+            damping[moved] = np.maximum(tries[taken], 1e-9)
+            stuck = active[~better]
+            damping[stuck] *= 1e4
+            done[~better] = damping[stuck] > 1e9
+            converged[active[done]] = True
+            active = active[~done]
+    sigma2 = np.maximum(best / n, 1e-300)
+    params = natural(point, order, stationary)
+    return [
+        {
+            "params": params[i], "sigma2": float(sigma2[i]), "nobs": n,
+            "n_iter": int(turns[i]), "converged": bool(converged[i]),
+            "log_likelihood": float(-0.5 * n * (np.log(2 * np.pi * sigma2[i]) + 1)),
+            "aic": float(n * np.log(2 * np.pi * sigma2[i]) + n + 2 * (size + 1)),
+        }
+        for i in range(count)
+    ]
 
 
 def one_step(y, x, order, params):
     """Forecast of every observation from the ones before it; NaN where the history is too short."""
+    z = difference(y, order) - difference(x, order) @ params[: order.k]
     with np.errstate(all="ignore"):
-        e = innovations(params[None], difference(y, order), difference(x, order), order, order.presample)[0]
+        e = innovations(params[None], z[None], order, order.presample)[0]
     lead = min(order.differenced + order.presample, len(y))
     return np.concatenate([np.full(lead, np.nan), y[lead:] - e])
 

@@ -28,6 +28,8 @@ REGRESSORS = ("tmean_c", "tmean_lag1", "tmean_lag2", "AUS_ILI_LAG1", "school_in_
 MAXITER, SEARCH_MAXITER = 500, 300
 MODEL_NAME = "SARIMAX (rolling)"
 
+# Series fitted together: enough to share the cost of a pass, few enough to stay in cache.
+STACK = 64
 COEFFICIENTS = ("beta", "ar", "sar", "ma", "sma")
 MODEL_FIELDS = {
     "order": "array<int>",
@@ -72,20 +74,39 @@ def design(row, exog):
     return np.column_stack([np.asarray(row[c], dtype=float) for c in exog]) if exog else np.zeros((len(y), 0))
 
 
-def _fit_row(spec: SarimaxSpec, y, x, condition_on=None) -> tuple[dict, np.ndarray | None]:
-    """Model row and parameter vector; a failed fit is a row with a message, never a failed task."""
+def _model_row(spec: SarimaxSpec, found: dict | None, message: str | None = None) -> dict:
+    """Model row of one fit; a failed one is a row with a message, never a failed task."""
     out = dict.fromkeys(MODEL_FIELDS)
-    out.update(order=list(spec.order), seasonal=list(spec.seasonal), exog=list(spec.exog), converged=False)
-    order = spec.kernel_order()
-    try:
-        found = kernel.fit(y, x, order, spec.maxiter, condition_on, spec.enforce_stationarity)
-    except (ValueError, np.linalg.LinAlgError) as failure:
-        out["message"] = str(failure)
-        return out, None
-    params = found.pop("params")
-    b, ar, sar, ma, sma = order.parts(params)
-    out.update(beta=b.tolist(), ar=ar.tolist(), sar=sar.tolist(), ma=ma.tolist(), sma=sma.tolist(), **found)
-    return out, params
+    out.update(order=list(spec.order), seasonal=list(spec.seasonal), exog=list(spec.exog), converged=False, message=message)
+    if found is not None:
+        b, ar, sar, ma, sma = spec.kernel_order().parts(found["params"])
+        out.update({k: v for k, v in found.items() if k != "params"})
+        out.update(beta=b.tolist(), ar=ar.tolist(), sar=sar.tolist(), ma=ma.tolist(), sma=sma.tolist())
+    return out
+
+
+def _fit_rows(spec: SarimaxSpec, data, condition_on=None) -> list[tuple[dict, np.ndarray | None]]:
+    """Model row and parameter vector for every (y, x); equally long series are fitted as stacks."""
+    out: list = [(_model_row(spec, None, "missing values"), None)] * len(data)
+    lengths: dict[int, list[int]] = {}
+    for i, (y, x) in enumerate(data):
+        if np.isfinite(y).all() and np.isfinite(x).all():
+            lengths.setdefault(len(y), []).append(i)
+    for members in lengths.values():
+        for first in range(0, len(members), STACK):
+            stack = members[first : first + STACK]
+            try:
+                found = kernel.fit_stack(
+                    np.stack([data[i][0] for i in stack]), np.stack([data[i][1] for i in stack]),
+                    spec.kernel_order(), spec.maxiter, condition_on, spec.enforce_stationarity,
+                )
+            except (ValueError, np.linalg.LinAlgError) as failure:
+                for i in stack:
+                    out[i] = (_model_row(spec, None, str(failure)), None)
+                continue
+            for i, one in zip(stack, found):
+                out[i] = (_model_row(spec, one), one["params"])
+    return out
 
 
 def fitted_model(model) -> tuple[SarimaxSpec, np.ndarray]:
@@ -165,17 +186,23 @@ def fit(
     """
     keys = list(keys)
 
-    def fit_one(row):
-        own = spec
-        if row.get("order") is not None:
-            own = replace(spec, order=tuple(row["order"]), seasonal=tuple(row["seasonal"]))
-        model, _ = _fit_row(own, np.asarray(row["y"], dtype=float), design(row, spec.exog))
-        return pd.DataFrame([{**{k: row[k] for k in keys}, **model}])
+    def fit_batch(batches):
+        for pdf in batches:
+            groups: dict[SarimaxSpec, list[dict]] = {}
+            for row in pdf.to_dict("records"):
+                own = spec
+                if row.get("order") is not None:
+                    own = replace(spec, order=tuple(row["order"]), seasonal=tuple(row["seasonal"]))
+                groups.setdefault(own, []).append(row)
+            for own, rows in groups.items():
+                data = [(np.asarray(r["y"], dtype=float), design(r, spec.exog)) for r in rows]
+                models = [model for model, _ in _fit_rows(own, data)]
+                yield pd.DataFrame([{**{k: r[k] for k in keys}, **m} for r, m in zip(rows, models)])
 
     history = pack_history(panel, keys, spec.exog, value)
     if orders is not None:
         history = history.join(orders.select(*keys, "order", "seasonal"), keys, "left")
-    return spread(history, keys).mapInPandas(per_row(fit_one), f"{key_schema(panel, keys)}, {_ddl(MODEL_FIELDS)}")
+    return spread(history, keys).mapInPandas(fit_batch, f"{key_schema(panel, keys)}, {_ddl(MODEL_FIELDS)}")
 
 
 def save_models(models: DataFrame, path: str) -> None:
@@ -351,23 +378,31 @@ def search(
 ) -> DataFrame:
     """Fit every candidate on train and score its multi-step forecast on test.
 
-    The unit of work is a (series, slice of candidates) pair, spread over the tasks: one series
-    alone keeps ``slices`` tasks busy, and a history is shipped ``slices`` times rather than once per
-    candidate. A failed fit is a row with a message and no AIC. All candidates leave out the same
-    leading weeks, so their AICs compare.
+    The unit of work is a (series, slice of candidates) pair. Every part holds one slice and a share of
+    the series, so one series alone keeps ``slices`` tasks busy, many series are fitted as stacks, and a
+    history is shipped ``slices`` times rather than once per candidate. A failed fit is a row with a
+    message and no AIC. All candidates leave out the same leading weeks, so their AICs compare.
+    ``time`` is a candidate's share of its batch.
     """
     keys, candidates = list(keys), list(candidates)
     slices = min(slices, len(candidates))
     exog = sorted({c for _, spec in candidates for c in spec.exog})
     reach = max(o.differenced + o.presample for o in (spec.kernel_order() for _, spec in candidates))
 
-    def score(row):
+    def score_batch(batches):
+        for pdf in batches:
+            for number, group in pdf.groupby("slice"):
+                rows = group.to_dict("records")
+                for name, spec in candidates[number::slices]:
+                    yield pd.DataFrame(score(rows, name, spec))
+
+    def score(rows, name, spec):
+        parts = [_split_row(row, spec.exog) for row in rows]
+        began = time.perf_counter()
+        fits = _fit_rows(spec, [(y, x) for y, x, *_ in parts], reach)
+        seconds = (time.perf_counter() - began) / len(rows)
         out = []
-        for name, spec in candidates[row["slice"] :: slices]:
-            y, x, actual, future, _ = _split_row(row, spec.exog)
-            began = time.perf_counter()
-            model, params = _fit_row(spec, y, x, reach)
-            seconds = time.perf_counter() - began
+        for row, (y, x, actual, future, _), (model, params) in zip(rows, parts, fits):
             mae = rmse = None
             if params is not None and len(actual):
                 with np.errstate(all="ignore"):
@@ -382,12 +417,14 @@ def search(
                     "converged": model["converged"], "message": model["message"],
                 }
             )
-        return pd.DataFrame(out)
+        return out
 
     history = pack_history(panel, keys, exog, value, ["part"])
+    shares = max(task_slots(panel.sparkSession, per_core=4) // slices, 1)
     work = history.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    return spread(work, [*keys, "slice"], task_slots(panel.sparkSession, per_core=4)).mapInPandas(
-        per_row(score),
+    part = F.col("slice") + slices * F.pmod(F.xxhash64(*keys), F.lit(shares))
+    return work.repartitionById(slices * shares, part.cast("int")).mapInPandas(
+        score_batch,
         f"{key_schema(panel, keys)}, features string, `order` array<int>, seasonal array<int>, aic double, "
         "mae double, rmse double, time double, converged boolean, message string",
     )

@@ -139,6 +139,18 @@ def test_fit_recovers_moving_average_terms():
     assert arima.fit(y, np.zeros((900, 0)), order)["params"] == pytest.approx(truth, abs=0.12)
 
 
+def test_a_stack_equals_its_series_alone():
+    order = arima.Order(2, 1, 1, 1, 0, 0, 12, 1)
+    rng = np.random.default_rng(12)
+    truth = np.array([0.3, 0.4, 0.1, 0.3, -0.4])
+    x = rng.normal(size=(7, 240, 1))
+    y = np.stack([sarima(rng, 240, order, truth * rng.uniform(0, 1), x[i]) for i in range(7)])
+    for i, found in enumerate(arima.fit_stack(y, x, order)):
+        alone = arima.fit(y[i], x[i], order)
+        assert found["params"] == pytest.approx(alone["params"], abs=1e-6)
+        assert found["n_iter"] == alone["n_iter"] and found["aic"] == pytest.approx(alone["aic"])
+
+
 def test_overdifferenced_noise_stays_invertible():
     y = np.random.default_rng(9).normal(size=300)
     fit = arima.fit(y, np.zeros((300, 0)), arima.Order(1, 1, 2, 0, 0, 0, 1, 0))
