@@ -105,7 +105,8 @@ def slots(targets: DataFrame, block_words: int, shards: int, seed: int) -> DataF
     inside = F.col("__at") < F.col("__full")
     whole = F.when(inside, F.lit(block_words)).otherwise(F.col("__tail"))
     left = F.when(F.col("epoch") < F.col("__passes"), whole).otherwise(F.col("__rest") - F.col("__at") * block_words)
-    index = permuted(F.col("__at"), F.greatest(F.col("__full"), F.lit(1)), F.xxhash64("__seed", "epoch"))
+    # The short last block stays last; its slots still pass the function, with a position inside.
+    index = permuted(F.when(inside, F.col("__at")).otherwise(0), F.greatest("__full", F.lit(1)), F.xxhash64("__seed", "epoch"))
     return each.select(
         "source",
         F.when(inside, index).otherwise(F.col("__full")).alias("block"),
