@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from panelcast.llm import line_dedup, mixing, sharding
-from panelcast.llm.common import n_words, table
+from panelcast.llm import line_dedup, mixing, quality, sharding, toxicity
+from panelcast.llm.common import fold, n_words, table
 from panelcast.session import stage
 
 
@@ -37,7 +37,33 @@ def op10_sharding(spark, sf_dir):
     )
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_line_dedup": op2_line_dedup, "op10_sharding": op10_sharding}
+def op8_quality(spark, sf_dir):
+    """Quality of every document, learnt from the labels outside the held-out fold."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = quality.fit(docs, labels.filter(~held_out).select("doc_id", "quality"))
+    scored = docs.select("doc_id", held_out.alias("held_out"), model.score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op9_toxicity(spark, sf_dir):
+    """Toxicity of every document, learnt from confirmed toxic and unlabelled texts outside the held-out fold."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    known = labels.filter(~held_out)
+    prior = known.agg(F.avg("toxic")).first()[0] or 0.0
+    model = toxicity.fit(docs.filter(~held_out), known.filter("toxic = 1").select("doc_id"), prior)
+    scored = docs.select("doc_id", held_out.alias("held_out"), model.score(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+QUERIES = {
+    "op1_mixing": op1_mixing,
+    "op2_line_dedup": op2_line_dedup,
+    "op8_quality": op8_quality,
+    "op9_toxicity": op9_toxicity,
+    "op10_sharding": op10_sharding,
+}
 
 ORACLES = {
     "op2_line_dedup": r"""
