@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from panelcast.llm import line_dedup, mixing, quality, sharding, toxicity
+from panelcast.llm import line_dedup, minhash, mixing, quality, sharding, toxicity
 from panelcast.llm.common import fold, n_words, table
 from panelcast.session import stage
 
@@ -37,6 +37,12 @@ def op10_sharding(spark, sf_dir):
     )
 
 
+def op4_minhash(spark, sf_dir):
+    """Every document's shingle count and the smallest id of its near-duplicate component."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op8_quality(spark, sf_dir):
     """Quality of every document, learnt from the labels outside the held-out fold."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -60,6 +66,7 @@ def op9_toxicity(spark, sf_dir):
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_line_dedup": op2_line_dedup,
+    "op4_minhash": op4_minhash,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
@@ -79,4 +86,19 @@ ORACLES = {
       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256
     FROM m GROUP BY doc_id
     """,
+    "op4_minhash": r"""
+    WITH RECURSIVE w AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ')
+        ELSE array_to_string(w[i:i + 4], ' ') END AS s
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id
+      GROUP BY ALL),
+    e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)),
+    r(doc_id, reached) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reached)
+    SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reached) AS component_id, min(reached) = r.doc_id AS kept
+    FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
+    """,
 }
