@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from panelcast.llm import line_dedup, minhash, mixing, quality, sharding, toxicity
+from panelcast.llm import decontaminate, line_dedup, minhash, mixing, quality, sharding, toxicity
 from panelcast.llm.common import fold, n_words, table
 from panelcast.session import stage
 
@@ -43,6 +43,12 @@ def op4_minhash(spark, sf_dir):
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op7_decontamination(spark, sf_dir):
+    """Documents that hold a benchmark item: the best window for each item."""
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start", "n_words", F.round("similarity", 9).alias("similarity"))
+
+
 def op8_quality(spark, sf_dir):
     """Quality of every document, learnt from the labels outside the held-out fold."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -67,6 +73,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_line_dedup": op2_line_dedup,
     "op4_minhash": op4_minhash,
+    "op7_decontamination": op7_decontamination,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
@@ -101,4 +108,22 @@ ORACLES = {
     SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reached) AS component_id, min(reached) = r.doc_id AS kept
     FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
     """,
+    "op7_decontamination": r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+    bs AS (SELECT item_id, len(w) AS m, i - 1 AS o, array_to_string(w[i:i + 4], ' ') AS s
+      FROM (SELECT *, unnest(range(1, len(w) - 3)) AS i FROM b WHERE len(w) >= 5)),
+    ds AS (SELECT doc_id, n, i - 1 AS p, array_to_string(w[i:i + 4], ' ') AS s
+      FROM (SELECT *, len(w) AS n, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+    win AS (SELECT DISTINCT doc_id, item_id, m, least(m, n) AS len, greatest(0, least(p - o, n - m)) AS start
+      FROM ds JOIN bs USING (s)),
+    bc AS (SELECT item_id, s, count(*) AS k FROM bs GROUP BY ALL),
+    wc AS (SELECT win.doc_id, win.item_id, m, len, start, s, count(*) AS k FROM win
+      JOIN ds ON ds.doc_id = win.doc_id AND p BETWEEN start AND start + len - 5 GROUP BY ALL),
+    x AS (SELECT doc_id, wc.item_id, m, len, start, sum(least(wc.k, bc.k)) AS both_k
+      FROM wc JOIN bc ON bc.item_id = wc.item_id AND bc.s = wc.s GROUP BY ALL),
+    y AS (SELECT *, both_k / (len - 4 + m - 4 - both_k) AS sim FROM x WHERE 100 * both_k >= 80 * (len - 4 + m - 4 - both_k))
+    SELECT doc_id, item_id, CAST(start AS INTEGER) AS start, CAST(m AS INTEGER) AS n_words, round(sim, 9) AS similarity FROM y
+    QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY sim DESC, start) = 1
+    """,
 }
