@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from panelcast.llm import decontaminate, line_dedup, minhash, mixing, quality, sharding, toxicity
+from panelcast.llm import brown, decontaminate, line_dedup, minhash, mixing, quality, sharding, toxicity
 from panelcast.llm.common import fold, n_words, table
 from panelcast.session import stage
 
@@ -43,6 +43,16 @@ def op4_minhash(spark, sf_dir):
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_language_model(spark, sf_dir):
+    """Log probability of every document under a class model learnt from nine tenths of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 10) == 0
+    scored = brown.score_documents(docs, ~held_out)
+    return scored.select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op7_decontamination(spark, sf_dir):
     """Documents that hold a benchmark item: the best window for each item."""
     found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -73,6 +83,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_line_dedup": op2_line_dedup,
     "op4_minhash": op4_minhash,
+    "op6_language_model": op6_language_model,
     "op7_decontamination": op7_decontamination,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
