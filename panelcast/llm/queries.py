@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from panelcast.llm import brown, decontaminate, line_dedup, minhash, mixing, quality, sharding, toxicity
+from panelcast.llm import brown, decontaminate, line_dedup, minhash, mixing, quality, sharding, topk, toxicity
 from panelcast.llm.common import fold, n_words, table
 from panelcast.session import stage
 
@@ -43,6 +43,12 @@ def op4_minhash(spark, sf_dir):
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op5_topk(spark, sf_dir):
+    """The ten nearest vectors of every hundredth vector among all others, by integer inner product."""
+    vectors = topk.terms(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors.filter("pmod(id, 100) = 0"), vectors)
+
+
 def op6_language_model(spark, sf_dir):
     """Log probability of every document under a class model learnt from nine tenths of them."""
     docs = table(spark, sf_dir, "documents")
@@ -83,6 +89,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_line_dedup": op2_line_dedup,
     "op4_minhash": op4_minhash,
+    "op5_topk": op5_topk,
     "op6_language_model": op6_language_model,
     "op7_decontamination": op7_decontamination,
     "op8_quality": op8_quality,
@@ -137,4 +144,14 @@ ORACLES = {
     SELECT doc_id, item_id, CAST(start AS INTEGER) AS start, CAST(m AS INTEGER) AS n_words, round(sim, 9) AS similarity FROM y
     QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY sim DESC, start) = 1
     """,
+    "op5_topk": """
+    WITH e AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+    bad AS (SELECT DISTINCT vec_id FROM e WHERE x IS NULL OR NOT isfinite(x)),
+    v AS (SELECT vec_id, i, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS t FROM e
+      WHERE vec_id IS NOT NULL AND vec_id NOT IN (SELECT vec_id FROM bad)),
+    p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.t * c.t) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.i = c.i AND q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id GROUP BY ALL)
+    SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score FROM p
+    WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER w <= 10
+    """,
 }
