@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from panelcast.llm import brown, decontaminate, line_dedup, minhash, mixing, quality, sharding, topk, toxicity
+from panelcast.llm import brown, decontaminate, licenses, line_dedup, minhash, mixing, quality, sharding, topk, toxicity
 from panelcast.llm.common import fold, n_words, table
 from panelcast.session import stage
 
@@ -37,6 +37,11 @@ def op10_sharding(spark, sf_dir):
     )
 
 
+def op3_license_scan(spark, sf_dir):
+    """Every license wording in the documents, with its place and its differences."""
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op4_minhash(spark, sf_dir):
     """Every document's shingle count and the smallest id of its near-duplicate component."""
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -88,6 +93,7 @@ def op9_toxicity(spark, sf_dir):
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_line_dedup": op2_line_dedup,
+    "op3_license_scan": op3_license_scan,
     "op4_minhash": op4_minhash,
     "op5_topk": op5_topk,
     "op6_language_model": op6_language_model,
