@@ -163,12 +163,18 @@ BAND_NAMES = ["within_20pct", "within_30pct", "within_50pct"]
 FULL_NAMES = ["mae", "rmse", "mape", "smape", "r2", "directional_accuracy", *BAND_NAMES]
 
 
+def turn(value: str, w: str) -> str:
+    """Sign of a change; values that agree to nine digits are equal."""
+    before = f"lag({value}) OVER {w}"
+    return f"(CASE WHEN abs({value} - {before}) <= 1e-9 * greatest(abs({value}), abs({before})) THEN 0 ELSE sign({value} - {before}) END)"
+
+
 def direction_of(group: str) -> str:
     """Equal sign of change within the group."""
     w = f"(PARTITION BY {group} ORDER BY week_start)"
     return (
-        f"CASE WHEN lag(y) OVER {w} IS NOT NULL THEN CASE WHEN sign(round(y - lag(y) OVER {w}, 9)) = "
-        f"sign(round(y_hat - lag(y_hat) OVER {w}, 9)) THEN 1.0 ELSE 0.0 END END AS hit"
+        f"CASE WHEN lag(y) OVER {w} IS NOT NULL THEN CASE WHEN {turn('y', w)} = {turn('y_hat', w)} "
+        "THEN 1.0 ELSE 0.0 END END AS hit"
     )
 
 
@@ -380,7 +386,7 @@ sql("w10_drop_short_blocks", SHORT, f"SELECT series_id, {iso('week_start')}, is_
 sql("w11_season_labels", LABELLED, f"SELECT series_id, {iso('week_start')}, is_season, season_label FROM labelled",
     recursive=True)
 sql("w12_direction", f"{FACTS}, {TARGET}",
-    f"SELECT series_id, {iso('week_start')}, CAST(sign(round(y - lag(y) OVER ({W}), 9)) AS DOUBLE) AS change FROM target")
+    f"SELECT series_id, {iso('week_start')}, CAST(CASE WHEN lag(y) OVER ({W}) IS NOT NULL THEN {turn('y', f'({W})')} END AS DOUBLE) AS change FROM target")
 RECENT4 = f"""{LABELLED},
     ranked_s AS (SELECT *, dense_rank() OVER (PARTITION BY series_id ORDER BY season_label DESC) AS r FROM labelled
         WHERE season_label IS NOT NULL),

@@ -7,6 +7,7 @@ Every fit is one packed series in a task (see ``packing``); the numeric part liv
 import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import partial
 from itertools import product
 from statistics import NormalDist
 
@@ -85,26 +86,52 @@ def _model_row(spec: SarimaxSpec, found: dict | None, message: str | None = None
     return out
 
 
+def common_reach(n: int, orders: Sequence[kernel.Order]) -> int:
+    """Leading weeks that the candidates of a search leave out for a series of ``n`` weeks: the longest
+    reach with which every candidate that looks no further back can still be fitted."""
+    needs = sorted({o.differenced + o.presample for o in orders})
+    fits = [r for r in needs if all(n - r > o.size + 1 for o in orders if o.differenced + o.presample <= r)]
+    return max(fits, default=needs[0] if needs else 0)
+
+
 def _fit_rows(spec: SarimaxSpec, data, condition_on=None) -> list[tuple[dict, np.ndarray | None]]:
-    """Model row and parameter vector for every (y, x); equally long series are fitted as stacks."""
+    """Model row and parameter vector for every (y, x); equally long series are fitted as stacks.
+
+    ``condition_on`` gives the leading weeks to leave out by the length of a series; an order that looks
+    further back is not fitted.
+    """
     out: list = [(_model_row(spec, None, "missing values"), None)] * len(data)
     lengths: dict[int, list[int]] = {}
     for i, (y, x) in enumerate(data):
         if np.isfinite(y).all() and np.isfinite(x).all():
             lengths.setdefault(len(y), []).append(i)
-    for members in lengths.values():
+    order = spec.kernel_order()
+
+    def fit_together(stack, skip):
+        return kernel.fit_stack(
+            np.stack([data[i][0] for i in stack]), np.stack([data[i][1] for i in stack]),
+            order, spec.maxiter, skip, spec.enforce_stationarity,
+        )
+
+    for length, members in lengths.items():
+        skip = condition_on(length) if condition_on else None
+        if skip is not None and skip < order.differenced + order.presample:
+            for i in members:
+                out[i] = (_model_row(spec, None, "too few observations"), None)
+            continue
         for first in range(0, len(members), STACK):
             stack = members[first : first + STACK]
             try:
-                found = kernel.fit_stack(
-                    np.stack([data[i][0] for i in stack]), np.stack([data[i][1] for i in stack]),
-                    spec.kernel_order(), spec.maxiter, condition_on, spec.enforce_stationarity,
-                )
-            except (ValueError, np.linalg.LinAlgError) as failure:
+                found = dict(zip(stack, fit_together(stack, skip)))
+            except (ValueError, np.linalg.LinAlgError):
+                # One of them cannot be fitted; the others still can.
+                found = {}
                 for i in stack:
-                    out[i] = (_model_row(spec, None, str(failure)), None)
-                continue
-            for i, one in zip(stack, found):
+                    try:
+                        found[i] = fit_together([i], skip)[0]
+                    except (ValueError, np.linalg.LinAlgError) as failure:
+                        out[i] = (_model_row(spec, None, str(failure)), None)
+            for i, one in found.items():
                 out[i] = (_model_row(spec, one), one["params"])
     return out
 
@@ -335,21 +362,24 @@ def forecast_multistep(
 # -- order search ---------------------------------------------------------------------------------
 
 
+# The regressor sets of the grid, each by the name fragment that its columns share.
+FEATURE_SETS = {"full": "", "temp_only": "tmean", "temp_current": "tmean_c", "temp_lagged": "tmean_lag"}
+
+
 def feature_sets(exog: Sequence[str] = REGRESSORS) -> dict[str, tuple[str, ...]]:
-    """The regressor sets of the grid; ``full`` includes the leading series."""
-    return {
-        "full": tuple(exog),
-        "temp_only": tuple(c for c in exog if "tmean" in c),
-        "temp_current": ("tmean_c",),
-        "temp_lagged": tuple(c for c in exog if "tmean_lag" in c),
-    }
+    """The regressors of every set of the grid."""
+    return {name: tuple(filter(lambda c: fragment in c, exog)) for name, fragment in FEATURE_SETS.items()}
+
+
+# The orders p, q, P, D and Q of the grid.
+GRID_RANGES = ((2, 3, 4), (0, 1, 2), (0, 1), (0, 1), (0, 1))
 
 
 def grid_candidates(exog: Sequence[str] = REGRESSORS, s: int = 52) -> list[tuple[str, SarimaxSpec]]:
     """288 candidates: three p, three q, two each of P, D and Q, four regressor sets."""
     return [
         (name, SarimaxSpec((p, 1, q), (P, D, Q, s), columns, maxiter=SEARCH_MAXITER))
-        for p, q, P, D, Q in product((2, 3, 4), (0, 1, 2), (0, 1), (0, 1), (0, 1))
+        for p, q, P, D, Q in product(*GRID_RANGES)
         for name, columns in feature_sets(exog).items()
     ]
 
@@ -381,13 +411,15 @@ def search(
     The unit of work is a (series, slice of candidates) pair. Every part holds one slice and a share of
     the series, so one series alone keeps ``slices`` tasks busy, many series are fitted as stacks, and a
     history is shipped ``slices`` times rather than once per candidate. A failed fit is a row with a
-    message and no AIC. All candidates leave out the same leading weeks, so their AICs compare.
+    message and no AIC. All candidates of a series leave out the same leading weeks, so their AICs compare;
+    a short series leaves out the candidates that look too far back for it, and those alone.
     ``time`` is a candidate's share of its batch.
     """
     keys, candidates = list(keys), list(candidates)
     slices = min(slices, len(candidates))
     exog = sorted({c for _, spec in candidates for c in spec.exog})
-    reach = max(o.differenced + o.presample for o in (spec.kernel_order() for _, spec in candidates))
+    orders = [spec.kernel_order() for _, spec in candidates]
+    reach = partial(common_reach, orders=orders)
 
     def score_batch(batches):
         for pdf in batches:

@@ -82,18 +82,22 @@ def fit_decode(panel: DataFrame, spec: HmmSpec = HmmSpec(), keys: Sequence[str]
 
 
 def decode_given(panel: DataFrame, means, covars, startprob, transmat, keys: Sequence[str] = KEYS, value: str = "y") -> DataFrame:
-    """``fit_decode`` with given parameters in place of a fit."""
+    """``fit_decode`` with given parameters in place of a fit; a series with a gap keeps one NULL row."""
     keys = list(keys)
     given = [np.asarray(v, dtype=float) for v in (means, covars, startprob, transmat)]
 
     def decode_batch(batches):
         for pdf in batches:
-            for rows, x in _stacks(pdf[_complete(pdf)]):
+            complete = _complete(pdf)
+            for rows, x in _stacks(pdf[complete]):
                 same = [np.repeat(v[None], len(x), axis=0) for v in given]
                 path, gamma, loglik = kernel.decode(x, *same)
                 yield rows[keys + ["weeks"]].assign(
                     log_likelihood=loglik, states=list(path), probs=list(gamma.reshape(len(rows), -1))
                 )
+            gaps = pdf[~complete]
+            if len(gaps):
+                yield gaps[keys + ["weeks"]].assign(log_likelihood=np.nan, states=None, probs=None)
 
     packed = pack(panel.withColumn("y", F.col(value)), keys, ["y"])
     ready = spread(packed, keys).select(
@@ -103,6 +107,7 @@ def decode_given(panel: DataFrame, means, covars, startprob, transmat, keys: Seq
         decode_batch,
         f"{key_schema(panel, keys)}, weeks array<date>, log_likelihood double, states array<int>, probs array<double>",
     )
+    fitted = fitted.withColumn("log_likelihood", F.nanvl("log_likelihood", F.lit(None).cast("double")))
     return fitted.withColumn("means", F.array(*(F.lit(float(m)) for m in given[0])))
 
 

@@ -73,12 +73,12 @@ def stack_sources(primary: DataFrame, *others: DataFrame) -> DataFrame:
 def one_per_date(stacked: DataFrame) -> DataFrame:
     """Keep one row per date: the primary source first, then the source's own order.
 
-    A minimum is combined before the shuffle, so a date that holds a large share of the rows costs
-    one row per map task.
+    Rows shrink to one per date, source and name in a hash aggregate before any sort or shuffle, so a
+    date that holds a large share of the rows costs a few rows per map task.
     """
-    return stacked.groupBy("ds").agg(
-        F.min(F.struct("source", "seq", "name")).alias("kept"),
-        (F.count(F.lit(1)) - 1).alias("n_dropped"),
+    names = stacked.groupBy("ds", "source", "name").agg(F.min("seq").alias("seq"), F.count(F.lit(1)).alias("n"))
+    return names.groupBy("ds").agg(
+        F.min(F.struct("source", "seq", "name")).alias("kept"), (F.sum("n") - 1).alias("n_dropped")
     ).select("ds", "kept.name", "n_dropped")
 
 

@@ -148,6 +148,24 @@ def null_audit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     )
 
 
+def off_grid(facts: DataFrame, start, end, keys: Sequence[str] = KEYS, week: str = "week_start") -> DataFrame:
+    """Facts per series that the panel does not use, by reason; series without any are left out."""
+    first, last = cal.grid_bounds(start, end)
+    d = F.col(week)
+    reason = (
+        F.when(d.isNull(), "no date")
+        .when(~d.between(F.lit(first), F.lit(last)), "outside the grid")
+        .when(F.dayofweek(d) != 1, "not a Sunday")
+    )
+    return facts.groupBy(*keys, reason.alias("reason")).agg(F.count(F.lit(1)).alias("n_facts")).dropna(subset=["reason"])
+
+
+def without_facts(facts: DataFrame, codes: Sequence[str], code: str = "series_id") -> DataFrame:
+    """The requested codes of which no fact is known."""
+    asked = facts.sparkSession.createDataFrame([(c,) for c in codes], f"`{code}` string")
+    return asked.join(facts.filter(F.col(code).isin(*codes)).select(code).distinct(), code, "left_anti")
+
+
 def split(
     panel: DataFrame, split_date, week: str = "week_start", bounds: tuple | None = None
 ) -> DataFrame:

@@ -44,12 +44,12 @@ def blocks(
 def drop_short_blocks(
     panel: DataFrame, min_weeks: int = MIN_SEASON_WEEKS, keys: Sequence[str] = KEYS
 ) -> DataFrame:
-    """Clear the season flag in blocks shorter than ``min_weeks``."""
+    """Clear the season flag in blocks shorter than ``min_weeks``; an unknown flag stays NULL."""
     length = F.count(F.lit(1)).over(Window.partitionBy(*keys, "block"))
     kept = (F.col("is_season") == 1) & (length >= min_weeks)
     return (
         with_blocks(panel, "is_season", keys)
-        .withColumn("_kept", F.when(kept, 1).otherwise(0))
+        .withColumn("_kept", F.when(F.col("is_season").isNotNull(), F.when(kept, 1).otherwise(0)))
         .withColumn("is_season", F.col("_kept"))
         .drop("_kept", "block", "position")
     )

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from panelcast.functions.windows import by_time, last_known, next_known, spec
 
 KEYS = ("series_id",)
+# Relative difference up to which two values are the same.
+SAME = 1e-9
 
 
 def lags(
@@ -89,7 +91,10 @@ def safe_fill_columns(columns: Sequence[str]) -> list[str]:
 def direction(
     column: str | Column, keys: Sequence[str] = KEYS, order: str = "week_start"
 ) -> Column:
-    """Sign of the change from the row before. Rounding keeps equal values equal after a way to logs
-    and back."""
+    """Sign of the change from the row before, whatever the values' magnitude. Changes under a billionth
+    of the larger value are the noise of a way to logs and back, and count as none."""
     value = F.col(column) if isinstance(column, str) else column
-    return F.signum(F.round(value - F.lag(value).over(by_time(keys, order)), 9))
+    before = F.lag(value).over(by_time(keys, order))
+    change = value - before
+    noise = F.greatest(F.abs(value), F.abs(before)) * SAME
+    return F.when(F.abs(change) <= noise, 0.0).otherwise(F.signum(change))

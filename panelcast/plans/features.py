@@ -23,7 +23,7 @@ class FeatureConfig:
     lead_codes: tuple[str, ...] = ("AUS",)
     lead_lags: tuple[int, ...] = (1,)
     temperature_lags: tuple[int, ...] = (1, 2)
-    # The station that serves all series of a panel without a station column.
+    # The station that serves all series of a panel without a station column; "all": the mean of all.
     station: str = "all"
     school: cal.SchoolYear = field(default_factory=cal.SchoolYear)
     covid: cal.Period = field(default_factory=cal.Period)
@@ -118,7 +118,12 @@ def feature_matrix(
         if "station" in out.columns:
             out = out.join(temperature_features(weather, cfg), ["station", "week_start"], "left")
         else:
-            only = weather.filter(F.col("station") == cfg.station)
+            if cfg.station == "all":
+                only = weather.withColumn("station", F.lit("all"))
+            else:
+                only = weather.filter(F.col("station") == cfg.station)
+                if only.isEmpty():
+                    raise ValueError(f"no weather of station {cfg.station!r}")
             by_week = temperature_features(only, cfg).drop("station")
             out = out.join(pn.broadcast_if_bounded(by_week, cfg.n_weeks), "week_start", "left")
     return calendar_features(out, cfg)

@@ -2,9 +2,10 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from panelcast.functions.calendar import week_starting
 from panelcast.functions.scalars import lenient_date, lenient_double
 
 # Column names and name fragments of the raw files, and their date formats.
@@ -24,13 +25,20 @@ def _scan(spark: SparkSession, path, fmt: str) -> DataFrame:
 
 
 def read_facts(
-    spark: SparkSession, path, fmt: str = "csv", columns: dict[str, str] = FACT_COLUMNS
+    spark: SparkSession, path, fmt: str = "csv", columns: dict[str, str] = FACT_COLUMNS, bucket: str = "as_is"
 ) -> DataFrame:
-    """``series_id, week_start, value`` of all series in one scan; bad dates and numbers are NULL."""
+    """``series_id, week_start, value`` of all series in one scan; bad dates and numbers are NULL.
+
+    ``bucket="week"`` puts a fact of any day into the week that its Sunday starts; ``as_is`` keeps the
+    dates, of which the panel uses the Sundays (``panel.off_grid`` counts the others).
+    """
+    if bucket not in ("as_is", "week"):
+        raise ValueError(f"unknown bucket {bucket!r}")
     raw = _scan(spark, path, fmt)
+    day = lenient_date(F.col(columns["week_start"]), FACT_DATES)
     return raw.select(
         F.col(columns["series_id"]).alias("series_id"),
-        lenient_date(F.col(columns["week_start"]), FACT_DATES).alias("week_start"),
+        (week_starting(day) if bucket == "week" else day).alias("week_start"),
         lenient_double(F.col(columns["value"])).alias("value"),
     )
 
@@ -62,11 +70,20 @@ def read_weather(spark: SparkSession, path, fmt: str = "csv", station: str = "al
 
 
 def read_holidays(spark: SparkSession, path) -> DataFrame:
-    """``ds, name, seq`` from the first two columns, whatever they are called."""
+    """``ds, name, seq`` from the first two columns, whatever they are called; ``seq`` orders the rows by
+    file path, then by place in the file."""
     raw = spark.read.csv(path, header=True, encoding="UTF-8")
     day, name = raw.columns[:2]
-    return raw.select(
+    rows = raw.select(
         lenient_date(F.col(f"`{day}`"), HOLIDAY_DATES).alias("ds"),
         F.col(f"`{name}`").alias("name"),
-        F.monotonically_increasing_id().alias("seq"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_at"),
     )
+    # One row per file block: its rank among the blocks, and the first number of its rows.
+    by_place = Window.orderBy("_file", "_start")
+    blocks = rows.groupBy("_file", "_start").agg(F.min("_at").alias("_first"))
+    blocks = blocks.withColumn("_rank", F.row_number().over(by_place).cast("long"))
+    numbered = rows.join(F.broadcast(blocks), ["_file", "_start"])
+    return numbered.select("ds", "name", (F.col("_rank") * (1 << 40) + F.col("_at") - F.col("_first")).alias("seq"))
