@@ -81,7 +81,7 @@ TEMPLATES = (
 )
 # Stems of license language; every line of a wording to be found is at most ``GAP`` lines from one that has a stem.
 STEMS = ("licen", "copyright", "permission", "redistribut", "public domain", "warrant", "merchantab", "software", "liab")
-GAP, LONG_LINE, AROUND = 2, 1_200, 600
+GAP, LONG_LINE, AROUND = 3, 1_200, 600
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _STEM = re.compile("|".join(STEMS))
 _EDGES = "\"'`.,;:!?()[]{}<>*#/|-_"
@@ -105,30 +105,38 @@ def wording(text: str, start: int = 0) -> list[tuple[str, int, int]]:
 
 
 def candidate_blocks(text: str) -> list[tuple[int, int]]:
-    """Spans of the text around license language: runs of lines at most ``GAP`` lines from a stem; of very
-    long lines, the surroundings of each stem."""
+    """Spans of the text around license language: the lines with a stem and ``GAP`` lines on either side,
+    joined where they meet. Of a very long line only ``AROUND`` characters next to a stem or to the rest
+    of the block are taken."""
     low = text.lower()
     if len(low) != len(text):  # lower case of another length would shift all places
         low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
     if not any(stem in low for stem in STEMS):
         return []
-    spans, line_start, last = [], 0, None
-    for number, line in enumerate(low.split("\n")):
-        end = line_start + len(line)
-        if hits := [m.start() for m in _STEM.finditer(line)]:
-            if len(line) > LONG_LINE:
-                own = [(max(0, h - AROUND), min(len(line), h + AROUND)) for h in hits]
+    lines, at = [], 0
+    for line in low.split("\n"):
+        lines.append((at, at + len(line), [at + m.start() for m in _STEM.finditer(line)]))
+        at += len(line) + 1
+    spans = []
+    for i, (_, _, hits) in enumerate(lines):
+        if not hits:
+            continue
+        for start, end, own in lines[max(0, i - GAP) : i + GAP + 1]:
+            if end - start <= LONG_LINE:
+                spans.append((start, end))
+            elif own:
+                spans += [(max(start, h - AROUND), min(end, h + AROUND)) for h in own]
+            elif start > hits[-1]:
+                spans.append((start, start + AROUND))
             else:
-                own = [(0, len(line))]
-            for a, b in own:
-                a, b = line_start + a, line_start + b
-                if spans and (a <= spans[-1][1] or last is not None and number - last - 1 <= GAP and b - a == len(line)):
-                    spans[-1] = (spans[-1][0], max(b, spans[-1][1]))
-                else:
-                    spans.append((a, b))
-            last = number
-        line_start = end + 1
-    return spans
+                spans.append((end - AROUND, end))
+    joined = []
+    for start, end in sorted(set(spans)):
+        if joined and start <= joined[-1][1] + 1:
+            joined[-1] = (joined[-1][0], max(end, joined[-1][1]))
+        else:
+            joined.append((start, end))
+    return joined
 
 
 class Scanner:
