@@ -109,7 +109,7 @@ def given_models(series: DataFrame, order, seasonal, exog, beta, ar, sar, sigma2
 
 
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event counts per type and hour since the first midnight, zeros included."""
+    """Event counts per type and hour from the first midnight to the last hour, zeros included."""
     tick = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")) * 24 + F.hour("ts")
     counts = (
         table(spark, sf_dir, "events")
@@ -117,9 +117,10 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("series_id", "tick")
         .agg(F.count(F.lit(1)).cast("double").alias("n"))
     )
-    grid = counts.select("series_id").distinct().select(
-        "series_id", F.explode(F.expr("sequence(0L, 719L)")).alias("tick")
-    )
+    # One row per event type, so the window over all of them is as small.
+    ends = counts.groupBy("series_id").agg(F.max("tick").alias("last"))
+    ends = ends.withColumn("last", F.max("last").over(whole([])))
+    grid = ends.select("series_id", F.explode(F.expr("sequence(0L, last)")).alias("tick"))
     return grid.join(counts, ["series_id", "tick"], "left").select(
         "series_id", "tick", F.log1p(F.coalesce("n", F.lit(0.0))).alias("log_y")
     )

@@ -395,6 +395,20 @@ RECENT4 = f"""{LABELLED},
     aligned AS (SELECT series_id, season_label, week_start, y,
         CAST(n - min(CASE WHEN y = top THEN n END) OVER (PARTITION BY series_id, season_label) AS INTEGER) AS week_index
         FROM placed)"""
+sql("w12_direction_small", f"{FACTS}, {TARGET}",
+    f"SELECT series_id, {iso('week_start')}, CAST(CASE WHEN lag(y) OVER ({W}) IS NOT NULL THEN {turn('y', f'({W})')} END AS DOUBLE) AS change FROM target")
+RECENT4 = f"""{LABELLED},
+    ranked_s AS (SELECT *, dense_rank() OVER (PARTITION BY series_id ORDER BY season_label DESC) AS r FROM labelled
+        WHERE season_label IS NOT NULL),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY series_id, season_label ORDER BY week_start) AS n,
+        max(y) OVER (PARTITION BY series_id, season_label) AS top FROM ranked_s WHERE r <= 4),
+    aligned AS (SELECT series_id, season_label, week_start, y,
+        CAST(n - min(CASE WHEN y = top THEN n END) OVER (PARTITION BY series_id, season_label) AS INTEGER) AS week_index
+        FROM placed)"""
+sql("a10_off_grid_facts", """raw AS (SELECT o_orderpriority AS series_id, CAST(o_orderdate AS DATE) AS d FROM orders)""",
+    """SELECT series_id, CASE WHEN d IS NULL THEN 'no date' WHEN d NOT BETWEEN DATE '1996-01-07' AND DATE '2000-12-31'
+        THEN 'outside the grid' ELSE 'not a Sunday' END AS reason, count(*) AS n_facts FROM raw
+    WHERE d IS NULL OR d NOT BETWEEN DATE '1996-01-07' AND DATE '2000-12-31' OR dayofweek(d) <> 0 GROUP BY ALL""")
 sql("w13_weeks_from_peak", RECENT4, f"SELECT series_id, season_label, {iso('week_start')}, week_index FROM aligned",
     recursive=True)
 sql("t1_sorted_positions", f"{FACTS}, {panel_ctes()}",
@@ -580,6 +594,8 @@ sql("m6_fit_one_lag", ONE_LAG, f"""SELECT series_id, {r4('phi', 'ar')}, {r4('lag
     {r4(aic('n', 'lag_s2', 2), 'aic')}, n AS nobs FROM error""")
 sql("m9_order_one_lag", ONE_LAG, f"""SELECT series_id, CASE WHEN {aic('n', 'lag_s2', 2)} < {aic('n', 'zero_s2', 1)} THEN 1 ELSE 0 END AS p,
     {r4(f"least({aic('n', 'lag_s2', 2)}, {aic('n', 'zero_s2', 1)})", 'aic')} FROM error""")
+sql("m9_order_short_series", ONE_LAG, f"""SELECT series_id, CASE WHEN {aic('n', 'lag_s2', 2)} < {aic('n', 'zero_s2', 1)} THEN 1 ELSE 0 END AS p,
+    {r4(f"least({aic('n', 'lag_s2', 2)}, {aic('n', 'zero_s2', 1)})", 'aic')} FROM error""")
 sql("m10_t6_search_closed_form", f"""{ONE_LAG},
     origin AS (SELECT series_id, arg_max(log_y, week_start) AS y0 FROM target WHERE part = 'train' GROUP BY ALL),
     ahead AS (SELECT t.series_id, exp(t.log_y) - 1 AS y, row_number() OVER ({W}) AS h, {in_session('t.week_start')} AS x
@@ -686,7 +702,7 @@ sql("st1_stream_walk_forward", f"""
         count(*) AS n FROM events GROUP BY ALL),
     disturbance AS (SELECT k.series_id, g.tick, ln(1 + coalesce(c.n, 0)) AS log_y, ln(1 + coalesce(c.n, 0)) AS u
         FROM (SELECT DISTINCT event_type AS series_id FROM events) k
-        CROSS JOIN (SELECT unnest(generate_series(0, 719)) AS tick) g
+        CROSS JOIN (SELECT unnest(generate_series(0, (SELECT max(tick) FROM counts))) AS tick) g
         LEFT JOIN counts c ON c.series_id = k.series_id AND c.tick = g.tick),
     ahead AS ({walk(HOURLY_AR, 'tick', '0.0')}),
     known AS (SELECT series_id, tick, log_y, CASE WHEN tick >= {_reach} THEN log_hat END AS log_hat FROM ahead)""",

@@ -451,6 +451,22 @@ def w11_season_labels(spark, sf_dir):
     return labelled(spark, sf_dir).select("series_id", "week_start", "is_season", "season_label")
 
 
+@query
+def w12_direction_small(spark, sf_dir):
+    """The same directions at a magnitude of 1e-10."""
+    rows = inp.split_panel(spark, sf_dir).withColumn("tiny", F.col("y") * 1e-12)
+    return rows.withColumn("change", sq.direction("tiny")).select("series_id", "week_start", "change")
+
+
+@query
+def a10_off_grid_facts(spark, sf_dir):
+    """Orders by raw day: how many the weekly grid has no place for, and why."""
+    raw = inp.table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("series_id"), inp.order_day().alias("week_start")
+    )
+    return pn.off_grid(raw, "1996-01-07", "2000-12-31")
+
+
 @query
 def w12_direction(spark, sf_dir):
     return inp.split_panel(spark, sf_dir).withColumn("change", sq.direction("y")).select(
@@ -632,6 +648,14 @@ def m9_order_one_lag(spark, sf_dir):
     )
 
 
+@query
+def m9_order_short_series(spark, sf_dir):
+    """Bounds whose seasonal orders look back further than any series: they are left out, not the series."""
+    bounds = {"p": 1, "d": 0, "q": 0, "P": 1, "D": 1, "Q": 0}
+    found = arima.auto_order(inp.split_panel(spark, sf_dir), (), s=400, bounds=bounds)
+    return to_places(found, 4, "aic").select("series_id", F.get("order", F.lit(0)).alias("p"), "aic")
+
+
 @query
 def m10_t6_search_closed_form(spark, sf_dir):
     found = arima.search(staged_split(spark, sf_dir), [("lag", ONE_LAG), ("regressor", ONE_REGRESSOR)])
