@@ -824,4 +824,4 @@ def st1_stream_walk_forward(spark, sf_dir):
     scored = score_arrivals(arrivals, inp.given_models(rows, **HOURLY_AR))
     writer = scored.writeStream.format("parquet").option("checkpointLocation", progress)
     writer.outputMode("append").trigger(availableNow=True).start(sink).awaitTermination()
-    return spark.read.schema(scored.schema).parquet(sink)
+    return spark.read.schema(scored.schema).parquet(sink).filter("status = 'scored'").drop("status")

@@ -1,8 +1,8 @@
 """One-step forecasts on a stream: each arriving observation is scored, then moves the state.
 
 The state of a series is as long as its lag polynomials. Observations that arrive ahead of their
-turn wait in the state until the gap before them closes, so the result equals the batch
-``walk_forward`` in whatever order the rows come.
+turn wait in the state until the gap before them closes, for a bounded number of ticks, so the result
+equals the batch ``walk_forward`` in whatever order the rows come within that bound.
 """
 
 from collections.abc import Sequence
@@ -18,6 +18,7 @@ from panelcast.operators.arima import COEFFICIENTS, fitted_model, with_interval,
 from panelcast.operators.packing import key_schema
 
 KEYS = ("series_id",)
+MAX_WAIT = 10_000
 STATE = (
     "expected long, u array<double>, e array<double>, waiting array<long>, "
     "waiting_y array<double>, waiting_effect array<double>"
@@ -31,12 +32,16 @@ def score_arrivals(
     keys: Sequence[str] = KEYS,
     start: int = 0,
     alpha: float = 0.05,
+    max_wait: int = MAX_WAIT,
 ) -> DataFrame:
-    """Stream of ``keys, tick, log_y, exog…`` to ``keys, tick, log_y, log_hat, y_hat, interval``.
+    """Stream of ``keys, tick, log_y, exog…`` to ``keys, tick, log_y, log_hat, y_hat, interval, status``.
 
     ``tick`` counts the steps of the series (weeks, hours); the first one is ``start``. The forecast
     uses only ticks before its own and is NULL while the history is too short, and for a series without
-    a model.
+    a model. Every arrival gives one row: ``scored`` in its turn; ``late`` and without a forecast if its
+    tick is before ``start``, was scored before or was given up. A tick is given up (``missing``, without
+    a value) once one more than ``max_wait`` ticks ahead of it has come; its forecast then stands in for
+    it, or the history starts anew. So a state never holds more than ``max_wait`` waiting ticks.
     """
     keys = list(keys)
     parameters = models.filter("message IS NULL").select(
@@ -46,49 +51,57 @@ def score_arrivals(
     for i, c in enumerate(exog):
         effect = effect + F.get("model.beta", F.lit(i)) * F.col(c)
     rows = arrivals.join(parameters, keys, "left").select(*keys, "tick", "log_y", effect.alias("effect"), "model")
-    fields = f"{key_schema(arrivals, keys)}, tick long, log_y double, log_hat double, sigma double"
+    fields = f"{key_schema(arrivals, keys)}, tick long, log_y double, log_hat double, sigma double, status string"
     scored = rows.groupBy(*keys).applyInPandasWithState(
-        _scorer(keys, start), fields, STATE, "append", GroupStateTimeout.NoTimeout
+        _scorer(keys, start, max_wait), fields, STATE, "append", GroupStateTimeout.NoTimeout
     )
     return with_interval(without_nan(scored), alpha)
 
 
-def _scorer(keys: list[str], start: int):
+def _scorer(keys: list[str], start: int, max_wait: int):
     def score(key, batches, state: GroupState):
         if state.exists:
             expected, u, e, *held = state.get
             waiting = {t: (y, x) for t, y, x in zip(*held)}
         else:
             expected, u, e, waiting = start, [], [], {}
-        model = None
+        model, out = None, []
         for pdf in batches:
             model = pdf["model"].iloc[0]
-            waiting.update({t: (y, x) for t, y, x in zip(pdf["tick"], pdf["log_y"], pdf["effect"])})
+            for t, y, x in zip(pdf["tick"], pdf["log_y"], pdf["effect"]):
+                if t < expected or t in waiting:
+                    out.append((*key, t, y, None, np.nan, "late"))
+                else:
+                    waiting[t] = (y, x)
         ar, ma, sigma = np.ones(1), np.ones(1), np.nan
         if model is not None:
             spec, params = fitted_model(model)
             ar, ma = kernel.polynomials(spec.kernel_order(), params)
             sigma = float(np.sqrt(model["sigma2"]))
-        out = []
-        while expected in waiting:
-            y, effect = waiting.pop(expected)
+        newest = max(waiting, default=expected)
+        while expected in waiting or newest - expected > max_wait:
+            known = expected in waiting
+            y, effect = waiting.pop(expected, (np.nan, 0.0))
             ahead = None
             if model is not None and len(u) == len(ar) - 1:
                 past = np.concatenate([np.zeros(max(len(ma) - 1 - len(e), 0)), e])
                 ahead = float(kernel.next_value(np.asarray(u, dtype=float), past, ar, ma)) + effect
-            u = [*u, y - effect][max(len(u) + 2 - len(ar), 0) :]
-            e = [*e, 0.0 if ahead is None else y - ahead][-max(len(ma) - 1, 1) :]
-            out.append((*key, expected, y, ahead, sigma))
+            if known or ahead is not None:
+                u = [*u, (y if known else ahead) - effect][max(len(u) + 2 - len(ar), 0) :]
+                e = [*e, y - ahead if known and ahead is not None else 0.0][-max(len(ma) - 1, 1) :]
+            else:
+                u, e = [], []
+            out.append((*key, expected, y, ahead if known else None, sigma, "scored" if known else "missing"))
             expected += 1
-        late = sorted(t for t in waiting if t > expected)
+        held = sorted(waiting)
         state.update(
             (
-                int(expected), [float(v) for v in u], [float(v) for v in e], [int(t) for t in late],
-                [float(waiting[t][0]) for t in late], [float(waiting[t][1]) for t in late],
+                int(expected), [float(v) for v in u], [float(v) for v in e], [int(t) for t in held],
+                [float(waiting[t][0]) for t in held], [float(waiting[t][1]) for t in held],
             )
         )
         if out:
-            yield pd.DataFrame(out, columns=[*keys, "tick", "log_y", "log_hat", "sigma"]).astype(
+            yield pd.DataFrame(out, columns=[*keys, "tick", "log_y", "log_hat", "sigma", "status"]).astype(
                 {"log_hat": "float64"}
             )
 

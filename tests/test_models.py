@@ -267,6 +267,27 @@ def test_stream_goes_on_after_a_restart(spark, panel, models):
     assert got[got["series_id"] == "c"]["y_hat"].isna().all()
 
 
+def test_stream_reports_late_and_gives_up_lost_ticks(spark, panel, models):
+    """Every arrival has a row; a lost tick holds a series for ``max_wait`` ticks only."""
+    numbered = panel.withColumn("tick", (F.datediff("week_start", F.lit("2015-01-04").cast("date")) / 7).cast("long"))
+    rows = numbered.filter("series_id = 'a'").select("series_id", "tick", "log_y", "x")
+    source, sink, progress = (new_path(spark, n) for n in ("in", "out", "log"))
+    again = rows.filter("tick IN (3, 40)").withColumn("tick", F.when(F.col("tick") == 3, -1).otherwise(F.col("tick")))
+    for part in (rows.filter("tick <> 100 AND tick < 130"), again, rows.filter("tick >= 130 OR tick = 100")):
+        part.coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        writer = score_arrivals(stream, models, ["x"], max_wait=20).writeStream.format("parquet")
+        writer.option("checkpointLocation", progress).trigger(availableNow=True).start(sink).awaitTermination()
+    got = frame(spark.read.parquet(sink), "tick", "status")
+    status = {s: sorted(got[got["status"] == s]["tick"]) for s in ("late", "missing", "scored")}
+    assert status["late"] == [-1, 40, 100] and status["missing"] == [100]
+    assert status["scored"] == [t for t in range(300) if t != 100]
+    scored = got[got["status"] == "scored"].set_index("tick")
+    want = frame(arima.walk_forward(panel.filter("series_id = 'a'").withColumn("part", F.lit("test")), models, ["x"]))
+    assert scored["log_hat"][:100].to_numpy() == pytest.approx(want["log_hat"][:100].to_numpy(), nan_ok=True, abs=1e-9)
+    assert scored["log_hat"][100:].notna().all() and abs(scored["log_hat"][250] - want["log_hat"][250]) < 0.05
+
+
 def test_tasks_need_no_installed_package(tmp_path):
     """Fit from a working directory where the workers cannot import the package."""
     root = Path(__file__).resolve().parents[1]
