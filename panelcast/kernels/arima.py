@@ -157,7 +157,7 @@ def fit_stack(y, x, order, maxiter=500, condition_on=None, stationary=False):
     if order.k:
         point[:, : order.k] = (np.linalg.pinv(dx) @ dy[:, :, None])[:, :, 0]
     turns, converged = np.zeros(count, dtype=np.int64), np.full(count, size == 0)
-    damping = np.full(count, 1e-3)
+    damping, descended = np.full(count, 1e-3), np.zeros(count, dtype=bool)
     with np.errstate(all="ignore"):
         e = errors(point[:, None], active)[:, 0]
         best = loss(e)
@@ -187,7 +187,10 @@ def fit_stack(y, x, order, maxiter=500, condition_on=None, stationary=False):
             stuck = active[~better]
             damping[stuck] *= 1e4
             done[~better] = damping[stuck] > 1e9
-            converged[active[done]] = True
+            # No descent is convergence only where the slope is flat or steps have led there.
+            flat = np.abs(gradient[:, :, 0]).max(axis=1) <= 1e-6 * np.maximum(before, 1e-300)
+            descended[moved] = True
+            converged[active[done]] = (np.isfinite(best[active]) & (descended[active] | flat))[done]
             active = active[~done]
     sigma2 = np.maximum(best / n, 1e-300)
     params = natural(point, order, stationary)

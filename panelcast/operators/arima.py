@@ -488,16 +488,17 @@ class SeasonalArima:
 
     def __init__(self, spec: SarimaxSpec = SarimaxSpec(), keys: Sequence[str] = KEYS):
         self.spec, self.keys, self.models = spec, tuple(keys), None
+        self.exog = spec.exog
 
     def fit(self, panel: DataFrame, value: str = "log_y") -> "SeasonalArima":
         self.models = fit(panel, self.spec, self.keys, value)
         return self
 
     def walk_forward(self, panel: DataFrame, value: str = "log_y", alpha: float = 0.05) -> DataFrame:
-        return walk_forward(panel, self.models, self.spec.exog, self.keys, value, alpha)
+        return walk_forward(panel, self.models, self.exog, self.keys, value, alpha)
 
     def forecast_multistep(self, panel: DataFrame, value: str = "log_y") -> DataFrame:
-        return forecast_multistep(panel, self.models, self.spec.exog, self.keys, value)
+        return forecast_multistep(panel, self.models, self.exog, self.keys, value)
 
     def save(self, path: str) -> None:
         if self.models is None:
@@ -506,11 +507,11 @@ class SeasonalArima:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, keys: Sequence[str] = KEYS) -> "SeasonalArima":
-        """Orders and regressors come from the table; limits and enforcement fall back to defaults."""
+        """Each series keeps the order and the regressors of its own row; the panel must have them all."""
         models = load_models(spark, path)
-        row = models.select("order", "seasonal", "exog").first()
-        if row is None:
+        used = models.agg(F.count(F.lit(1)), F.array_sort(F.array_distinct(F.flatten(F.collect_set("exog"))))).first()
+        if not used[0]:
             raise ValueError(f"no models in {path}")
-        loaded = cls(SarimaxSpec(tuple(row["order"]), tuple(row["seasonal"]), tuple(row["exog"])), keys)
-        loaded.models = models
+        loaded = cls(keys=keys)
+        loaded.models, loaded.exog = models, tuple(used[1])
         return loaded

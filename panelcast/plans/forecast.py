@@ -78,6 +78,12 @@ def run(
     train = panel.filter("part = 'train'")
 
     out = {"features": panel, "hmm_quality": hmm.quality(states, keys)}
+    # What the engine closed or could not use: gaps before interpolation, facts off the grid, codes without facts.
+    raw = pn.weekly_panel(weekly.filter(cfg.features.is_target()), *bounds, keys)
+    out["null_audit"] = pn.null_audit(raw, ["y"])
+    out["unused_facts"] = pn.off_grid(facts.filter(cfg.features.is_target()), *bounds, keys)
+    if cfg.features.targets:
+        out["missing_codes"] = pn.without_facts(weekly, cfg.features.targets, cfg.features.code)
     orders = None
     if cfg.auto_order:
         orders = stage(arima.auto_order(panel, spec.exog, keys, spec.seasonal[-1]), "orders")
@@ -113,12 +119,23 @@ REPORTS = {
     "season_stats": ["season_label"],
     "evaluation": ["section", "metric"],
     "next_season": ["week_start"],
+    "next_season_totals": [],
+    "next_season_comparison": ["season_label"],
+    "season_summary": [],
+    "season_count": [],
+    "holidays": ["ds", "holiday"],
+    "null_audit": ["column"],
+    "unused_facts": ["reason"],
+    "missing_codes": [],
 }
 
 
 def write_results(results: dict[str, DataFrame], folder: str, keys: Sequence[str]) -> None:
-    """Feature matrix as Parquet, reports as CSV, model parameters as a table."""
+    """Feature matrix as Parquet, reports as CSV, parameters of both models as tables."""
     write_features(results["features"], f"{folder}/weekly_features")
     arima.save_models(results["models"], f"{folder}/models")
+    write_table(results["hmm_quality"], f"{folder}/hmm_quality", "parquet")
     for name, order in REPORTS.items():
-        write_table(results[name], f"{folder}/{name}", order_by=[*keys, *order])
+        if name in results:
+            order = [c for c in (*keys, *order) if c in results[name].columns]
+            write_table(results[name], f"{folder}/{name}", order_by=order)

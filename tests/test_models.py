@@ -104,10 +104,24 @@ def test_save_and_load(spark, panel, models):
     path = new_path(spark, "saved")
     model.save(path)
     loaded = arima.SeasonalArima.load(spark, path)
-    assert loaded.spec.order == SPEC.order and loaded.spec.exog == ("x",)
+    assert loaded.exog == ("x",)
     assert frame(loaded.walk_forward(panel)).equals(frame(model.walk_forward(panel)))
 
 
+def test_load_series_with_their_own_regressors(spark, panel):
+    """One series without, two with a regressor, in one table."""
+    train = panel.filter("part = 'train'")
+    plain = arima.fit(train.filter("series_id = 'a'"), arima.SarimaxSpec((2, 0, 0), (0, 0, 0, 4), ()))
+    other = arima.fit(train.filter("series_id <> 'a'"), arima.SarimaxSpec((1, 0, 0), (0, 0, 0, 4), ("x",)))
+    path = new_path(spark, "mixed")
+    arima.save_models(plain.unionByName(other), path)
+    got = frame(arima.SeasonalArima.load(spark, path).walk_forward(panel))
+    want = frame(arima.walk_forward(panel.filter("series_id = 'a'"), plain, ()))
+    assert got["log_hat"].notna().all()
+    mine = got[got["series_id"] == "a"]
+    assert mine["log_hat"].to_numpy() == pytest.approx(want["log_hat"].to_numpy())
+
+
 def test_a_failed_fit_is_a_row(panel):
     gap = panel.withColumn("x", F.when(F.col("series_id") != "b", F.col("x")))
     rows = {r["series_id"]: r for r in arima.fit(gap, SPEC).collect()}

@@ -125,6 +125,10 @@ def test_whole_run(spark):
     write_results(results, out, cfg.features.keys)
     assert spark.read.parquet(f"{out}/weekly_features").count() == 2 * 418
     assert spark.read.csv(f"{out}/comparison", header=True).count() == 10
+    for name in ("season_summary", "season_count", "next_season_totals", "holidays", "null_audit"):
+        assert spark.read.csv(f"{out}/{name}", header=True).count() == results[name].count() > 0
+    assert spark.read.parquet(f"{out}/hmm_quality").count() == 2
+    assert results["missing_codes"].isEmpty() and results["unused_facts"].filter("reason <> 'outside the grid'").isEmpty()
 
 
 def test_a_leading_series_without_facts_counts_as_zero(spark):
