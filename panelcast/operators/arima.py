@@ -23,6 +23,7 @@ from panelcast.operators.packing import key_schema, pack, spread
 from panelcast.session import task_slots
 
 KEYS = ("series_id",)
+SCORED = {"week_start": "date", "log_y": "double", "log_hat": "double"}
 # Default orders, regressors, iteration limits and the name of the scored model.
 ORDER, SEASONAL = (3, 1, 0), (1, 0, 1, 52)
 REGRESSORS = ("tmean_c", "tmean_lag1", "tmean_lag2", "AUS_ILI_LAG1", "school_in_session")
@@ -141,16 +142,22 @@ def fitted_model(model) -> tuple[SarimaxSpec, np.ndarray]:
     return spec, np.concatenate([np.asarray(model[c], dtype=float) for c in COEFFICIENTS])
 
 
-def per_row(step):
-    """Batch function that applies ``step`` (row dict to frame) to every packed row."""
+def score_series(packed: DataFrame, keys: Sequence[str], step, columns: Mapping[str, str]) -> DataFrame:
+    """Apply ``step`` (packed row to equally long sequences, one per column) to every series.
+
+    A task returns one row of arrays per series; Spark makes the rows of them.
+    """
+    keys = list(keys)
 
     def batch(batches):
         for pdf in batches:
-            frames = [step(row) for row in pdf.to_dict("records")]
-            if frames:
-                yield pd.concat(frames, ignore_index=True)
+            rows = [{**{k: row[k] for k in keys}, **step(row)} for row in pdf.to_dict("records")]
+            if rows:
+                yield pd.DataFrame(rows)
 
-    return batch
+    arrays = ", ".join(f"{name} array<{kind}>" for name, kind in columns.items())
+    scored = spread(packed, keys).mapInPandas(batch, f"{key_schema(packed, keys)}, {arrays}")
+    return scored.select(*keys, F.inline(F.arrays_zip(*columns)))
 
 
 # -- packed inputs --------------------------------------------------------------------------------
@@ -256,21 +263,17 @@ def walk_forward(
     keys, exog = list(keys), list(exog)
 
     def score(row):
-        y, ahead, sigma = np.asarray(row["y"], dtype=float), np.nan, np.nan
+        y, test = np.asarray(row["y"], dtype=float), np.asarray(row["part"]) == "test"
+        ahead, sigma = np.full(len(y), np.nan), np.nan
         if row["model"] is not None:
             spec, params = fitted_model(row["model"])
             ahead = kernel.one_step(y, design(row, spec.exog), spec.kernel_order(), params)
             sigma = np.sqrt(row["model"]["sigma2"])
-        frame = pd.DataFrame(
-            {"week_start": row["weeks"], "part": row["part"], "log_y": y, "log_hat": ahead, "sigma": sigma}
-        )
-        return frame[frame["part"] == "test"].drop(columns="part").assign(**{k: row[k] for k in keys})
+        weeks = np.asarray(row["weeks"])[test]
+        return {"week_start": weeks, "log_y": y[test], "log_hat": ahead[test], "sigma": np.full(len(weeks), sigma)}
 
     history = with_models(pack_history(panel, keys, exog, value, ["part"]), models, keys)
-    scored = spread(history, keys).mapInPandas(
-        per_row(score),
-        f"{key_schema(panel, keys)}, week_start date, log_y double, log_hat double, sigma double",
-    )
+    scored = score_series(history, keys, score, SCORED | {"sigma": "double"})
     return with_interval(without_nan(scored), alpha)
 
 
@@ -344,19 +347,14 @@ def forecast_multistep(
 
     def score(row):
         y, x, actual, future, train = _split_row(row, exog)
-        ahead = np.nan
+        ahead = np.full(len(actual), np.nan)
         if row["model"] is not None:
             spec, params = fitted_model(row["model"])
             ahead = kernel.path(y, x, future, spec.kernel_order(), params)
-        return pd.DataFrame(
-            {"week_start": np.asarray(row["weeks"])[~train], "log_y": actual, "log_hat": ahead}
-        ).assign(**{k: row[k] for k in keys})
+        return {"week_start": np.asarray(row["weeks"])[~train], "log_y": actual, "log_hat": ahead}
 
     history = with_models(pack_history(panel, keys, exog, value, ["part"]), models, keys)
-    scored = spread(history, keys).mapInPandas(
-        per_row(score), f"{key_schema(panel, keys)}, week_start date, log_y double, log_hat double"
-    )
-    return without_nan(scored).withColumn("y_hat", from_log(F.col("log_hat")))
+    return without_nan(score_series(history, keys, score, SCORED)).withColumn("y_hat", from_log(F.col("log_hat")))
 
 
 # -- order search ---------------------------------------------------------------------------------

@@ -3,7 +3,6 @@
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,9 +11,8 @@ from panelcast.functions.windows import whole
 from panelcast.kernels import arima as kernel
 from panelcast.operators import seasons
 from panelcast.operators.arima import (
-    REGRESSORS, design, fitted_model, pack_history, per_row, with_interval, with_models, without_nan,
+    REGRESSORS, design, fitted_model, pack_history, score_series, with_interval, with_models, without_nan,
 )
-from panelcast.operators.packing import key_schema, spread
 from panelcast.operators.panel import future_weeks
 from panelcast.session import stage
 
@@ -113,7 +111,7 @@ def project(
     keys, exog = list(keys), list(exog)
 
     def score(row):
-        path = sigma = np.nan
+        path, sigma = np.full(len(row["future_weeks"]), np.nan), np.nan
         if row["model"] is not None:
             spec, params = fitted_model(row["model"])
             ahead = [np.asarray(row[f"future_{c}"], dtype=float) for c in spec.exog]
@@ -121,18 +119,13 @@ def project(
             y = np.asarray(row["y"], dtype=float)
             path = kernel.path(y, design(row, spec.exog), future_x, spec.kernel_order(), params)
             sigma = np.sqrt(row["model"]["sigma2"])
-        return pd.DataFrame({"week_start": row["future_weeks"], "log_hat": path, "sigma": sigma}).assign(
-            **{k: row[k] for k in keys}
-        )
+        return {"week_start": row["future_weeks"], "log_hat": path, "sigma": np.full(len(path), sigma)}
 
     ahead = pack_history(future.withColumn("_none", F.lit(0.0)), keys, exog, "_none").select(
         *keys, F.col("weeks").alias("future_weeks"), *(F.col(c).alias(f"future_{c}") for c in exog)
     )
     packed = with_models(pack_history(history, keys, exog, value), models, keys).join(ahead, keys)
-    scored = spread(packed, keys).mapInPandas(
-        per_row(score),
-        f"{key_schema(history, keys)}, week_start date, log_hat double, sigma double",
-    )
+    scored = score_series(packed, keys, score, {"week_start": "date", "log_hat": "double", "sigma": "double"})
     out = with_interval(without_nan(scored), alpha)
     return out.withColumn("week", cal.epi_week(F.col("week_start"))).drop("sigma")
 
