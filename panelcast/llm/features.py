@@ -8,7 +8,7 @@ import xxhash
 MIX = np.uint64(0x9E3779B97F4A7C15)
 TURN = np.uint64(0xC2B2AE3D27D4EB4F)
 REPEATED = np.uint64(0x5851F42D4C957F2D)
-MEMO_WORDS = 1 << 19
+MEMO_WORDS = 1 << 18
 
 _LETTERS = re.compile(rb"[a-z\x80-\xff]+")
 _DIGITS = re.compile(rb"[0-9]+")

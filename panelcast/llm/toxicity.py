@@ -14,12 +14,14 @@ from panelcast.llm.features import Words, word_indexes
 @dataclass
 class PuConfig:
     """``max_rows``: the largest number of confirmed and of unlabelled texts learnt from, each the smallest
-    by a hash of the id. A word counts as a feature from ``least_z`` standard errors above its rate in
-    unlabelled text on, and with its full value ``full_z`` above that."""
+    by a hash of the id. A word counts as a feature if ``least_share`` of the confirmed texts have it, from
+    ``least_z`` standard errors above its rate in unlabelled text on, and with its full value ``full_z``
+    above that."""
 
     bits: int = 18
-    max_rows: int = 10_000
-    least_z: float = 3.0
+    max_rows: int = 20_000
+    least_share: float = 0.02
+    least_z: float = 6.0
     full_z: float = 4.0
     epochs: int = 60
     batch: int = 128
@@ -67,7 +69,8 @@ def nn_pu(positive: list, unlabelled: list, prior: float, size: int, cfg: PuConf
     in_u = np.bincount(np.concatenate(unlabelled), minlength=size)
     rate = (in_u + 0.5) / (len(unlabelled) + 1)
     z = (in_p / len(positive) - rate) / np.sqrt(rate * (1 - rate) / len(positive))
-    strength = np.where(in_p >= 2, np.clip((z - cfg.least_z) / cfg.full_z, 0, 1), 0.0)
+    common = in_p >= max(2, cfg.least_share * len(positive))
+    strength = np.where(common, np.clip((z - cfg.least_z) / cfg.full_z, 0, 1), 0.0)
     used = np.flatnonzero(strength)
     place = np.full(size, -1)
     place[used] = np.arange(len(used))
