@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelcast.llm.common import n_words, row_hash
 
-BLOCK_WORDS, OUTPUT_SHARDS, MOST, CHUNK_ROWS = 512, 16, 3, 20_000
+BLOCK_WORDS, OUTPUT_SHARDS, MOST, CHUNK_ROWS, MOST_CHUNKS = 512, 16, 3, 1_000, 4_096
 
 
 def source_targets(sizes: DataFrame, cycle: tuple = (1, 2, 3), most: int = MOST) -> DataFrame:
@@ -74,7 +74,7 @@ def permuted(position: Column, size: Column, key: Column) -> Column:
 
 
 def slots(targets: DataFrame, block_words: int, shards: int, seed: int) -> DataFrame:
-    """``(source, block, shard, slot, epoch, take)``: the slots of every output shard and the block each one shows.
+    """``(source, block, shard, slot, epoch, __take)``: the slots of every output shard and the block each one shows.
 
     A source passes whole over its blocks (full ones in an order permuted anew for each pass, then the
     short last one) until its target is reached; the last slot takes only what is missing.
@@ -111,7 +111,7 @@ def slots(targets: DataFrame, block_words: int, shards: int, seed: int) -> DataF
         "source",
         F.when(inside, index).otherwise(F.col("__full")).alias("block"),
         "shard", "slot", "epoch",
-        F.least(whole, left).cast("long").alias("take"),
+        F.least(whole, left).cast("long").alias("__take"),
     )
 
 
@@ -154,18 +154,20 @@ def mix_spans(
     source's cap, and a source's words taken equal its target rounded. Rows without words take no part;
     a null source is a source. Everything follows from seeds and hashes: reruns agree.
     """
+    sized = sized.drop("shard", "slot", "epoch", "block", "first_word", "n_taken")
     n = sized.count()
-    cut = blocks(sized, block_words, max(1, n // chunk_rows))
+    cut = blocks(sized, block_words, min(MOST_CHUNKS, 1 + n // chunk_rows))
     shown = slots(source_targets(sized.select("source", "size")), block_words, shards, seed).select(
-        F.col("source").alias("__source"), F.col("block").alias("__block"), "shard", "slot", "epoch", "take"
+        F.col("source").alias("__source"), F.col("block").alias("__block"), "shard", "slot", "epoch", "__take"
     )
-    taken = F.least(F.col("__upto"), F.col("__first") + F.col("take") - F.col("__at")) - F.col("__first")
+    taken = F.least(F.col("__upto"), F.col("__first") + F.col("__take") - F.col("__at")) - F.col("__first")
+    # Slots are few to the optimizer and many in truth, so the join is told to move both sides.
     return (
-        cut.join(shown, F.col("source").eqNullSafe(F.col("__source")) & (F.col("block") == F.col("__block")))
+        cut.join(shown.hint("merge"), F.col("source").eqNullSafe(F.col("__source")) & (F.col("block") == F.col("__block")))
         .withColumn("n_taken", taken)
         .filter("n_taken > 0")
         .withColumnRenamed("__first", "first_word")
-        .drop("__source", "__block", "__upto", "__at", "take")
+        .drop("__source", "__block", "__upto", "__at", "__take")
     )
 
 
