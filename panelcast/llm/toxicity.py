@@ -16,7 +16,7 @@ class PuConfig:
     """``max_rows``: the largest number of confirmed and of unlabelled texts learnt from, each the smallest
     by a hash of the id. A word counts as a feature if ``least_share`` of the confirmed texts have it, from
     ``least_z`` standard errors above its rate in unlabelled text on, and with its full value ``full_z``
-    above that."""
+    above that; with a few dozen confirmed texts a lower ``least_z`` finds more."""
 
     bits: int = 18
     max_rows: int = 20_000
