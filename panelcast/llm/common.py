@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelcast.session import new_path
+
 SPACES = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -28,7 +30,29 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def row_hash(df: DataFrame) -> Column:
+class Scratch:
+    """Written tables of one operator that go once nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def stage(self, df: DataFrame, label: str) -> DataFrame:
+        """Write ``df`` into the shared folder and go on from the copy."""
+        path = new_path(self.spark, label)
+        df.write.parquet(path)
+        copy = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(copy)] = (copy, path)
+        return copy
+
+    def drop(self, *copies: DataFrame) -> None:
+        """Delete the given tables; what was written from them stays."""
+        for copy in copies:
+            _, path = self.paths.pop(id(copy))
+            at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def row_hash(df: DataFrame, seed: int = 0) -> Column:
     """A hash of all columns that can be hashed: the last word on the order of rows that tie otherwise."""
 
     def plain(kind) -> bool:
@@ -38,7 +62,7 @@ def row_hash(df: DataFrame) -> Column:
             return all(plain(f.dataType) for f in kind.fields)
         return not isinstance(kind, (T.MapType, T.VariantType))
 
-    return F.xxhash64(F.lit(0), *(df[f"`{f.name}`"] for f in df.schema.fields if plain(f.dataType)))
+    return F.xxhash64(F.lit(seed), *(df[f"`{f.name}`"] for f in df.schema.fields if plain(f.dataType)))
 
 
 def fold(doc_id: Column, parts: int) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.llm.common import n_words, row_hash
+from panelcast.session import stage
 
 BLOCK_WORDS, OUTPUT_SHARDS, MOST, CHUNK_ROWS, MOST_CHUNKS = 512, 16, 3, 1_000, 4_096
 
@@ -181,10 +182,30 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """
     added = ("size", "shard", "slot", "epoch", "block", "first_word", "n_taken")
     own = [c for c in docs.columns if c not in added]
+    rows = docs.select(*own)
+    rows = rows.withColumns({"__h1": row_hash(rows, 1), "__h2": row_hash(rows, 2)})
+    key = ["__h1", "__h2"]
+    # Spans are drawn on rows without texts; then each text moves once, to the list of its own spans.
+    sized = stage(rows.select("source", *key, n_words(F.col("text")).alias("size")).filter("size > 0"), "mix-sizes")
+    span = F.struct("shard", "slot", "first_word", "n_taken")
+    spans = mix_spans(sized, **options).groupBy(*key).agg(F.collect_list(span).alias("__spans"))
+    if not sized.groupBy(*key).count().filter("count > 1").isEmpty():
+        # Equal rows have their spans in one list, so one of them is enough.
+        rows = rows.withColumn("__copy", F.row_number().over(Window.partitionBy(*key).orderBy("__h1"))).filter("__copy = 1")
     pieces = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
-    span = F.array_join(F.slice(pieces, (F.col("first_word") + 1).cast("int"), F.col("n_taken").cast("int")), "")
-    spans = mix_spans(docs.select(*own).withColumn("size", n_words(F.col("text"))), **options)
-    spans = spans.withColumn("text", span)
+
+    def cut(words: Column) -> Column:
+        def one(s: Column) -> Column:
+            text = F.array_join(F.slice(words, (s["first_word"] + 1).cast("int"), s["n_taken"].cast("int")), "")
+            return F.struct(*(s[c].alias(c) for c in ("shard", "slot", "first_word", "n_taken")), text.alias("text"))
+
+        return F.transform("__spans", one)
+
+    # The words are the argument of an outer transform, so a text is taken apart once, not once a span.
+    cut = F.get(F.transform(F.array(pieces), cut), F.lit(0))
+    joined = rows.join(spans.hint("merge"), key)
+    each = joined.select(*(c for c in own if c != "text"), F.explode(cut).alias("__span"))
+    each = each.withColumn("text", F.col("__span.text"))
     if "n_chars" in own:
-        spans = spans.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return spans.select(*own, "shard", "slot", "first_word", "n_taken")
+        each = each.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return each.select(*own, *(F.col(f"__span.{c}").alias(c) for c in ("shard", "slot", "first_word", "n_taken")))
