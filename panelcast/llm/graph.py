@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.session import stage
+from panelcast.llm.common import Scratch
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -19,17 +19,19 @@ def connected_components(links: DataFrame) -> DataFrame:
     Self-links and repeated links do no harm; no links give no rows.
     """
     edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u > v").distinct()
-    edges = stage(edges, "links")
+    scratch = Scratch(links.sparkSession)
+    edges = scratch.stage(edges, "links")
     before = _state(edges)
     while before[0]:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         least = least.select("u", F.least("u", "m").alias("m"))
-        edges = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = edges.groupBy("u").agg(F.min("v").alias("m"))
-        joined = edges.join(least, "u")
+        stars = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = stars.groupBy("u").agg(F.min("v").alias("m"))
+        joined = stars.join(least, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.select("u", F.col("m").alias("v")))
-        edges = stage(small.filter("u > v").distinct(), "links")
+        last, edges = edges, scratch.stage(small.filter("u > v").distinct(), "links")
+        scratch.drop(last)
         after = _state(edges)
         if after == before:
             break

@@ -2,7 +2,7 @@
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 import numpy as np
 import pandas as pd
@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.features import MIX, TURN, Words
+from panelcast.llm.common import Scratch
 from panelcast.llm.graph import connected_components
-from panelcast.session import stage
 
 
 def shingle_set(text: bytes | None, memo: Words, size: int = 5) -> np.ndarray:
@@ -159,22 +159,23 @@ def near_duplicates(
     set and are components of their own. Rows that share an id are rows of their own. An empty table
     gives no rows.
     """
+    scratch = Scratch(docs.sparkSession)
     base = docs.select(F.col(key).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).cast("binary").alias("bytes"))
     signed = base.select("doc_id", "text_hash", _signer(layout, size)("bytes").alias("s")).select("doc_id", "text_hash", "s.*")
-    signed = stage(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
+    signed = scratch.stage(signed.withColumn("row", F.monotonically_increasing_id()), "signatures")
     linked = signed.filter("n > 0 AND doc_id IS NOT NULL")
     classes = linked.groupBy("k1", "k2").agg(F.min("row").alias("node"), F.min("doc_id").alias("least_id"))
-    classes = stage(classes, "classes")
+    classes = scratch.stage(classes, "classes")
     nodes = linked.join(classes.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "doc_id", "text_hash", "n", "bands")
 
     each = nodes.select("node", "n", F.explode("bands").alias("bucket"))
     buckets = each.groupBy("bucket").agg(F.count("*").alias("members"), F.min("node").alias("centre")).filter("members > 1")
-    members = stage(each.join(buckets, "bucket").select("bucket", "members", "node", "n"), "bucket-members")
+    members = scratch.stage(each.join(buckets, "bucket").select("bucket", "members", "node", "n"), "bucket-members")
     wanted = nodes.join(members.select("node").distinct(), "node").select("node", F.col("doc_id").alias("d"), F.col("text_hash").alias("h"))
     sets = base.join(wanted, (F.col("doc_id") == F.col("d")) & (F.col("text_hash") == F.col("h"))).dropDuplicates(["node"])
-    sets = stage(sets.select("node", _set_bytes(size)("bytes").alias("set")), "shingle-sets")
+    sets = scratch.stage(sets.select("node", _set_bytes(size)("bytes").alias("set")), "shingle-sets")
 
-    links, labels, turn = None, None, 0
+    labels, turn, written = None, 0, []
     while True:
         if labels is None:
             here = members.withColumn("component", F.col("node"))
@@ -195,13 +196,16 @@ def near_duplicates(
             .filter("a < b")
             .select("bucket", "centres")
         )
-        found = stage(_verified(_edges(here, centres), sets, percent), "verified")
+        found = scratch.stage(_verified(_edges(here, centres), sets, percent), "verified")
+        written.append(found)
         if found.isEmpty() and turn > 0:
             break
-        links = found if links is None else links.union(found)
-        labels = connected_components(links)
+        # The stars found so far stand for all links before, so few rounds bring the new ones in.
+        known = [] if labels is None else [labels.select(F.col("node").alias("u"), F.col("component").alias("v"))]
+        labels = connected_components(reduce(DataFrame.union, known, found))
         turn += 1
 
+    scratch.drop(members, sets, *written)
     names = classes if labels is None else classes.join(labels, "node", "left")
     names = names.withColumn("component", F.coalesce("component", "node"))
     least = names.groupBy("component").agg(F.min("least_id").alias("component_id"))
