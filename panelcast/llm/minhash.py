@@ -135,7 +135,7 @@ def near_duplicates(
     layout: Bands = Bands(),
     size: int = 5,
     small: int = 8,
-    width: int = 4,
+    width: int = 8,
     text: str = "text",
     key: str = "doc_id",
 ) -> DataFrame:
