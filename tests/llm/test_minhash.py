@@ -4,9 +4,10 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from panelcast.llm.common import Scratch
 from panelcast.llm.features import Words
 from panelcast.llm.graph import connected_components
-from panelcast.llm.minhash import Bands, keep_one, near_duplicates, shingle_set
+from panelcast.llm.minhash import Bands, _remaining_edges, _verified, keep_one, near_duplicates, shingle_set
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -67,6 +68,50 @@ def test_mixed_buckets_lose_no_link(spark):
     assert got(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
 
 
+def test_one_link_in_a_large_mixed_bucket_is_found(spark):
+    """Copies too different from each other, and one pair that differs less: a centre drawn by chance hardly meets it."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(300)]
+    rows = []
+    for i in range(120):
+        text = list(base)
+        for k in range(4):
+            text[75 * k + rng.randrange(5, 70)] = f"x{rng.random()}"
+        rows.append((i, " ".join(text)))
+    # Other words in the same four places: what the two share, most others share too, so they meet in large buckets alone.
+    rows.append((200, " ".join(f"y{k}" if w[0] == "x" else w for k, w in enumerate(rows[70][1].split(" ")))))
+    want = brute(rows)
+    assert [r for r in want if not r[3]] == [(200, 296, 70, False)]
+    assert got(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=1)) == want
+
+
+def test_remaining_edges_are_all_links(spark):
+    """Every link between components, with and without a common text, long differences and several blocks a list."""
+    rng = np.random.default_rng(4)
+    base = np.sort(rng.integers(-(2**62), 2**62, 120))
+    sets = []
+    for i in range(150):
+        start = base if i % 3 else sets[rng.integers(len(sets))] if sets else base
+        kept = rng.permutation(start)[: len(start) - rng.integers(0, 14)]
+        sets.append(np.unique(np.concatenate([kept, rng.integers(-(2**62), 2**62, rng.integers(0, 14))])))
+    members = [(0, i, len(s), i) for i, s in enumerate(sets)]
+    packed = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "node long, set binary")
+    mixed = spark.createDataFrame(members, "bucket long, node long, n long, component long")
+    want = set()
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(np.intersect1d(a, sets[j]))
+            if 100 * both >= 85 * (len(a) + len(sets[j]) - both):
+                want.add((j, i))
+    parent = connected_components(spark.createDataFrame(sorted(want), "u long, v long")).collect()
+    for part, carry in ((1_000, 256), (20, 256), (1_000, 0), (20, 25)):
+        edges = _verified(_remaining_edges(mixed, packed, 85, Scratch(spark), part, carry), packed, 85)
+        found = {(r.u, r.v) for r in edges.collect()}
+        assert found <= want
+        again = connected_components(spark.createDataFrame(sorted(found), "u long, v long")).collect()
+        assert sorted(again) == sorted(parent)
+
+
 def test_keep_one_row_of_a_group(docs, rows):
     kept = keep_one(docs).collect()
     want = [r for r in brute([r[:2] for r in rows]) if r[3]]
