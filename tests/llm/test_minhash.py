@@ -68,21 +68,27 @@ def test_mixed_buckets_lose_no_link(spark):
     assert got(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
 
 
-def test_one_link_in_a_large_mixed_bucket_is_found(spark):
-    """Copies too different from each other, and one pair that differs less: a centre drawn by chance hardly meets it."""
-    rng = random.Random(8)
+def test_links_in_a_large_mixed_bucket_are_found(spark):
+    """One bucket of copies too different from each other, and six pairs that differ less: few of them are centres."""
+    rng, layout, memo = random.Random(8), Bands(1, 1), Words()
     base = [f"b{i}" for i in range(300)]
-    rows = []
-    for i in range(120):
-        text = list(base)
-        for k in range(4):
-            text[75 * k + rng.randrange(5, 70)] = f"x{rng.random()}"
-        rows.append((i, " ".join(text)))
-    # Other words in the same four places: what the two share, most others share too, so they meet in large buckets alone.
-    rows.append((200, " ".join(f"y{k}" if w[0] == "x" else w for k, w in enumerate(rows[70][1].split(" ")))))
+
+    def changed(places):
+        while True:
+            text = list(base)
+            for k in places or [75 * k + rng.randrange(5, 70) for k in range(4)]:
+                text[k] = f"x{rng.random()}"
+            text = " ".join(text)
+            if (layout.keys(shingle_set(text.encode(), memo)) == layout.keys(shingle_set(" ".join(base).encode(), memo))).all():
+                return text
+
+    rows = [(i, changed(None)) for i in range(90)]
+    for i in range(6):
+        # Other words in the same four places.
+        rows.append((200 + i, changed([k for k, w in enumerate(rows[15 * i + 5][1].split(" ")) if w[0] == "x"])))
     want = brute(rows)
-    assert [r for r in want if not r[3]] == [(200, 296, 70, False)]
-    assert got(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=1)) == want
+    assert [r[0] for r in want if not r[3]] == list(range(200, 206))
+    assert got(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), layout=layout)) == want
 
 
 def test_remaining_edges_are_all_links(spark):
