@@ -1,6 +1,7 @@
 """License scan by conditional compression, confirmed by exact wording differences."""
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
@@ -145,20 +146,33 @@ class Scanner:
     def __init__(self, templates: tuple = TEMPLATES, tolerance: float = 0.1):
         self.templates = [Template.of(*t) for t in templates]
         self.tolerance = tolerance
-        self.plain = zstandard.ZstdCompressor(level=3)
+        self.counts = [Counter(t.words) for t in self.templates]
+        data = [t.text.lower().encode() for t in self.templates]
+        self.lengths = [len(d) for d in data]
+        # The same parameters with and without a dictionary, so that only its content makes a difference.
+        same = zstandard.ZstdCompressionParameters.from_level(3, source_size=2 * max(self.lengths, default=1))
+        self.plain = zstandard.ZstdCompressor(compression_params=same)
         self.conditional = [
             zstandard.ZstdCompressor(
-                level=3, dict_data=zstandard.ZstdCompressionDict(t.text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                compression_params=same, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             )
-            for t in self.templates
+            for d in data
         ]
 
-    def ranked(self, block: str) -> list[tuple[float, int]]:
-        """Share of the compressed size that each template saves, the largest first."""
-        data = block.lower().encode("utf-8", "replace")
-        size = len(self.plain.compress(data))
-        gains = [(1 - len(c.compress(data)) / size, i) for i, c in enumerate(self.conditional)]
-        return sorted((g for g in gains if g[0] > 0), key=lambda g: (-g[0], g[1]))
+    def ranked(self, block: str, found: list) -> list[tuple[float, int]]:
+        """Share of the compressed size that each template saves in the best window of the block, the largest first.
+
+        Windows have twice the template's length and overlap by half. The share only ranks; left out are
+        templates alone of whose words too few occur in ``found`` at all, in whatever order.
+        """
+        data, have = block.lower().encode("utf-8", "replace"), Counter(w for w, _, _ in found)
+        gains = []
+        for i, (compressor, length) in enumerate(zip(self.conditional, self.lengths)):
+            if (self.counts[i] & have).total() < (1 - self.tolerance) * len(self.templates[i].words):
+                continue
+            windows = (data[k : k + 2 * length] for k in range(0, max(1, len(data) - length), length))
+            gains.append((max(1 - len(compressor.compress(w)) / len(self.plain.compress(w)) for w in windows), i))
+        return sorted(gains, key=lambda g: (-g[0], g[1]))
 
     def differences(self, template: Template, found: list) -> tuple[int, list[str], int, int] | None:
         """Exact differences between the template's words and the best run of words, or None if too many."""
@@ -186,9 +200,7 @@ class Scanner:
             block, left = text[start:end], wording(text[start:end], start)
             while left:
                 confirmed = None
-                for gain, i in self.ranked(block):
-                    if len(self.templates[i].words) * (1 - self.tolerance) > len(left):
-                        continue
+                for gain, i in self.ranked(block, left):
                     if near := self.differences(self.templates[i], left):
                         # Of templates within reach, the closest wording wins; ties go to the larger reduction.
                         share = near[0] / len(self.templates[i].words)
@@ -210,8 +222,8 @@ RESULT = "license string, start int, end int, reduction double, n_differences in
 def scan_licenses(docs: DataFrame, templates: tuple = TEMPLATES, tolerance: float = 0.1, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per license wording found in ``docs``: its id (``doc_id``) and the columns of ``RESULT``.
 
-    Candidate blocks are compressed with and without each template as a zstandard raw dictionary; templates
-    are tried by the size they save, and one is confirmed by its exact differences in words: at most
+    Windows of the candidate blocks are compressed with and without each template as a zstandard raw dictionary;
+    templates are tried by the size they save, whatever it is, and one is confirmed by its exact differences in words: at most
     ``tolerance`` of its length (so none in a notice of under ten words). The confirmed words are taken out
     and the rest of the block is tried again, so a block may hold several wordings. ``start`` and ``end``
     are places in the whole text.

@@ -37,6 +37,20 @@ def test_long_lines_are_cut_around_the_stem():
     assert candidate_blocks(long) == []
 
 
+def test_long_lines_around_a_wording_do_not_hide_it():
+    """A wording between lines of ordinary words, where a small dictionary makes the whole block no smaller."""
+    rng, scanner = random.Random(6), Scanner()
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(2, 9))) for _ in range(400)]
+
+    def line(size):
+        return " ".join(words[int(400 * rng.random() ** 3)] for _ in range(size // 6))
+
+    for size in (700, 1_000):
+        for name, text in TEMPLATES:
+            block = "\n".join([*(line(size) for _ in range(3)), text, *(line(size) for _ in range(3))])
+            assert [(h[0], h[4]) for h in scanner.scan(block)] == [(name, 0)]
+
+
 def test_over_a_table(spark, docs, no_docs, clashing):
     more = spark.createDataFrame([(500, "İstanbul " + TEMPLATES[0][1], "tr", "s", 1), (500, "İstanbul " + TEMPLATES[0][1], "tr", "s", 1)], docs.schema)
     found = scan_licenses(docs.union(more)).collect()
