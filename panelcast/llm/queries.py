@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from panelcast.llm import brown, decontaminate, licenses, line_dedup, minhash, mixing, quality, sharding, topk, toxicity
+from panelcast.llm import brown, decontaminate, licenses, line_dedup, minhash, mixing, quality, sharding, topk, toxicity, whitening
 from panelcast.llm.common import fold, n_words, table
 from panelcast.session import stage
 
@@ -90,6 +90,11 @@ def op9_toxicity(spark, sf_dir):
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+def op12_whitening(spark, sf_dir):
+    """Every usable vector on the sixteen leading components of all distinct ones, with unit variance on each."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), 16).withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_line_dedup": op2_line_dedup,
@@ -101,6 +106,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
+    "op12_whitening": op12_whitening,
 }
 
 ORACLES = {
