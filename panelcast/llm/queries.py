@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from panelcast.llm import brown, decontaminate, licenses, line_dedup, minhash, mixing, quality, sharding, topk, toxicity, whitening
+from panelcast.llm import brown, decontaminate, licenses, line_dedup, minhash, mixing, phrases, quality, sharding, topk, toxicity, whitening
 from panelcast.llm.common import fold, n_words, table
 from panelcast.session import stage
 
@@ -95,6 +95,11 @@ def op12_whitening(spark, sf_dir):
     return whitening.whiten(table(spark, sf_dir, "embeddings"), 16).withColumn("deviation", F.col("deviation").cast("long"))
 
 
+def op13_phrases(spark, sf_dir):
+    """The 2 000 best collocations of every language in the documents."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_line_dedup": op2_line_dedup,
@@ -107,6 +112,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
     "op12_whitening": op12_whitening,
+    "op13_phrases": op13_phrases,
 }
 
 ORACLES = {
@@ -156,6 +162,29 @@ ORACLES = {
     SELECT doc_id, item_id, CAST(start AS INTEGER) AS start, CAST(m AS INTEGER) AS n_words, round(sim, 9) AS similarity FROM y
     QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY sim DESC, start) = 1
     """,
+    "op13_phrases": r"""
+    WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+    w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+      FROM (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t)),
+    n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+    g AS (SELECT lang, size, w[i:i + size - 1] AS p, count(*) AS f
+      FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM w, range(1, 6) AS s(size))
+      GROUP BY ALL HAVING count(*) >= 100),
+    c AS (SELECT c.lang, c.size, c.p, c.f AS a, x.f AS l, y.f AS r, n.n, k,
+        CAST((1000 * CAST(c.f AS HUGEINT) * n.n) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+      FROM (SELECT *, unnest(range(1, size)) AS k FROM g WHERE size > 1) c
+      JOIN g x ON x.lang = c.lang AND x.p = c.p[1:k] JOIN g y ON y.lang = c.lang AND y.p = c.p[k + 1:c.size]
+      JOIN n ON n.lang = c.lang
+      QUALIFY row_number() OVER (PARTITION BY c.lang, c.p ORDER BY score, k) = 1),
+    d AS (SELECT DISTINCT lang, q AS p, f FROM (
+      SELECT lang, size, f, w, p[i:i + w - 1] AS q FROM (SELECT *, unnest(range(1, size - w + 2)) AS i
+        FROM g, range(2, 5) AS s(w) WHERE w < size)))
+    SELECT lang, row_number() OVER o AS rank, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM c
+    WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.lang = c.lang AND d.p = c.p AND d.f >= c.a)
+    WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' '))
+    QUALIFY row_number() OVER o <= 2000
+    """,
     "op5_topk": """
     WITH e AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
     bad AS (SELECT DISTINCT vec_id FROM e WHERE x IS NULL OR NOT isfinite(x)),
