@@ -1,17 +1,18 @@
-"""Near-duplicate documents: one-permutation hashing, banded buckets, stars, full-set verification."""
+"""Near-duplicate documents: one-permutation hashing, banded buckets, star edges, full-set verification."""
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property, reduce
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.features import MIX, TURN, Words
+from panelcast.llm.clusters import spanning_links
 from panelcast.llm.common import Scratch
+from panelcast.llm.features import MIX, TURN, Words
 from panelcast.llm.graph import connected_components
 
 
@@ -96,164 +97,21 @@ def _set_bytes(size: int):
     return pack
 
 
-def shared_hashes(left: Column, right: Column) -> Column:
-    """How many hashes two packed sets share."""
-
-    @F.pandas_udf("long")
-    def shared(left: pd.Series, right: pd.Series) -> pd.Series:
-        unpacked = ((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in zip(left, right))
-        return pd.Series([len(np.intersect1d(a, b, assume_unique=True)) for a, b in unpacked], dtype="int64")
-
-    return shared(left, right)
-
-
-def _edges(members: DataFrame, centres: DataFrame) -> DataFrame:
-    """Star edges from the centres of a bucket to its members, between different components only."""
-    met = members.join(centres, "bucket").select("node", "n", "component", F.explode("centres").alias("c"))
-    met = met.filter(F.col("c.component") != F.col("component"))
-    pair = met.select(
-        F.least("node", "c.node").alias("u"),
-        F.greatest("node", "c.node").alias("v"),
-        F.least("n", "c.n").alias("small"),
-        F.greatest("n", "c.n").alias("large"),
-    )
-    return pair.distinct()
-
-
-def _verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The edges whose full sets are similar enough; sizes alone rule out most others."""
-    u = sets.select(F.col("node").alias("u"), F.col("set").alias("u_set"))
-    v = sets.select(F.col("node").alias("v"), F.col("set").alias("v_set"))
-    fit = edges.filter(100 * F.col("small") >= percent * F.col("large"))
-    both = fit.join(u, "u").join(v, "v").withColumn("shared", shared_hashes("u_set", "v_set"))
-    return both.filter(100 * F.col("shared") >= percent * (F.col("small") + F.col("large") - F.col("shared"))).select("u", "v")
-
-
-def _hashes(sets: Column) -> Column:
-    @F.pandas_udf("array<long>")
-    def unpack(sets: pd.Series) -> pd.Series:
-        return pd.Series([np.frombuffer(x, np.int64) for x in sets], dtype=object)
-
-    return unpack(sets)
-
-
-def _unlike(sets: Column, usual: Column) -> Column:
-    """Hashes in which a packed set and the usual ones differ."""
-
-    @F.pandas_udf("array<long>")
-    def differ(sets: pd.Series, usual: pd.Series) -> pd.Series:
-        pairs = ((np.frombuffer(a, np.int64), np.asarray([] if b is None else b, np.int64)) for a, b in zip(sets, usual))
-        return pd.Series([np.setxor1d(a, b, assume_unique=True) for a, b in pairs], dtype=object)
-
-    return differ(sets, usual)
-
-
-def _close_pairs(rows: pd.DataFrame, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the pairs in a list of rows that share one hash which may be linked."""
-    n, m, pos, part, component = (rows[c].to_numpy() for c in ("n", "m", "pos", "part", "component"))
-    across = rows["x"].iloc[0] != rows["y"].iloc[0]
-    at = np.arange(len(rows))
-    packed = rows["carried"].to_numpy()
-    short = np.array([x is not None for x in packed])
-    own = np.flatnonzero(short)
-    shared = np.zeros((len(own), len(own)), np.float32)
-    if len(own):
-        each = [np.asarray(packed[i], np.int64) for i in own]
-        found, index, times = np.unique(np.concatenate(each), return_inverse=True, return_counts=True)
-        row, index = np.repeat(np.arange(len(own)), [len(x) for x in each])[times[index] > 1], index[times[index] > 1]
-        _, index = np.unique(index, return_inverse=True)
-        order = np.argsort(index, kind="stable")
-        row, index = row[order], index[order]
-        for low in range(0, int(index[-1]) + 1 if len(index) else 0, 4096):
-            a, b = np.searchsorted(index, (low, low + 4096))
-            block = np.zeros((len(own), 4096), np.float32)
-            block[row[a:b], index[a:b] - low] = 1
-            shared += block @ block.T
-    place = np.full(len(rows), -1)
-    place[own] = np.arange(len(own))
-    us, vs = [], []
-    for i in at:
-        other = at[i + 1 :]
-        if across:
-            other = other[part[other] != part[i]]
-        # Twice the hashes of both differences that a link needs in common, times 100 + percent.
-        need = (100 + percent) * (m[i] + m[other]) - (100 - percent) * (n[i] + n[other])
-        fit = (component[other] != component[i]) & (need > 0)
-        fit &= 100 * np.minimum(n[i], n[other]) >= percent * np.maximum(n[i], n[other])
-        fit &= 2 * (100 + percent) * np.minimum(m[i] - pos[i], m[other] - pos[other]) >= need
-        other, need = other[fit], need[fit]
-        if short[i] and len(other):
-            known = short[other]
-            enough = 2 * (100 + percent) * shared[place[i], place[other]] >= need
-            other = other[~known | enough]
-        us.append(np.full(len(other), i))
-        vs.append(other)
-    return np.concatenate(us), np.concatenate(vs)
-
+def write_sets(base: DataFrame, wanted: DataFrame, size: int, scratch: Scratch) -> DataFrame:
+    """``(node, set)``: the packed shingle sets of the wanted nodes (``node``, ``d``, ``h``), found again by id and text hash."""
+    rows = base.join(wanted, (F.col("doc_id") == F.col("d")) & (F.col("text_hash") == F.col("h"))).dropDuplicates(["node"])
+    return scratch.stage(rows.select("node", _set_bytes(size)("bytes").alias("set")), "shingle-sets")
 
-def _remaining_edges(mixed: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, part: int = 1_000, carry: int = 256) -> DataFrame:
-    """Candidates for every link that is left between different components of the given bucket members
-    (``bucket``, ``node``, ``n``, ``component``); none is missed.
 
-    Buckets that share nodes form clusters. A set is replaced by its difference to the hashes that most sets
-    of its cluster hold, which keeps the symmetric difference of any two sets and leaves near copies of one
-    text little in common. Two sets with so small differences that they are linked whatever they share are
-    both linked with the set of the smallest difference. All others share a hash early in the order from the
-    rarest on: the first one they share leaves enough behind it in both (prefix filter). Lists of sets with
-    the same hash are compared in blocks of ``part``; sets with up to ``carry`` hashes in their difference
-    bring it along, so that only pairs which are linked are handed on.
-    """
-    first = mixed.groupBy("bucket").agg(F.min("node").alias("v"))
-    links = mixed.join(first, "bucket").select(F.col("node").alias("u"), "v").distinct()
-    clusters = connected_components(links).withColumnRenamed("component", "cluster")
-    nodes = mixed.select("node", "n", "component").distinct().join(clusters, "node")
-    nodes = scratch.stage(nodes.join(sets, "node"), "clusters")
-
-    counts = nodes.select("cluster", F.explode(_hashes("set")).alias("h")).groupBy("cluster", "h").agg(F.count("*").alias("f"))
-    total = nodes.groupBy("cluster").agg(F.count("*").alias("of"))
-    usual = counts.filter("f > 1").join(total, "cluster").filter("2 * f > of")
-    usual = usual.groupBy("cluster").agg(F.collect_list("h").alias("usual"))
-    unlike = nodes.join(usual, "cluster", "left").withColumn("delta", _unlike("set", "usual"))
-    unlike = unlike.select("cluster", "node", "n", "component", "delta", F.size("delta").cast("long").alias("m"))
-    unlike = scratch.stage(unlike, "differences")
-
-    room = (100 - percent) * F.col("n") - (100 + percent) * F.col("m")
-    node = F.struct("node", "n", "component")
-    near = unlike.groupBy("cluster").agg(F.max_by(node, F.struct(room, "node")).alias("c"), F.max(room).alias("most"))
-    star = unlike.join(near, "cluster").filter((room + F.col("most") >= 0) & (F.col("c.component") != F.col("component")))
-    star = star.select(
-        F.least("node", "c.node").alias("u"),
-        F.greatest("node", "c.node").alias("v"),
-        F.least("n", "c.n").alias("small"),
-        F.greatest("n", "c.n").alias("large"),
-    )
-
-    each = unlike.select("cluster", "node", F.explode("delta").alias("h"))
-    shared = each.groupBy("cluster", "h").agg(F.count("*").alias("f")).filter("f > 1")
-    ordered = each.join(shared, ["cluster", "h"]).groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "h"))).alias("o"))
-    # Hashes that no other set of the cluster has come first; they meet nothing.
-    prefix = unlike.join(ordered, "node").select("*", F.posexplode("o").alias("i", "e"))
-    prefix = prefix.withColumn("pos", F.col("m") - F.size("o") + F.col("i")).filter(percent * F.col("pos") <= (100 - percent) * F.col("n"))
-    carried = F.when(F.col("m") <= carry, F.col("delta"))
-    prefix = prefix.select("cluster", F.col("e.h").alias("h"), "node", "n", "component", "m", "pos", carried.alias("carried"))
-    prefix = scratch.stage(prefix, "prefixes")
-    lists = prefix.groupBy("cluster", "h").agg(
-        F.count("*").alias("rows"), F.min("component").alias("a"), F.max("component").alias("b")
-    )
-    lists = lists.filter("a < b").select("cluster", "h", F.ceil(F.col("rows") / part).cast("int").alias("parts"))
-    blocks = prefix.join(lists, ["cluster", "h"]).withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int"))
-    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    blocks = blocks.withColumns({"x": F.least("part", "other"), "y": F.greatest("part", "other")})
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        i, j = _close_pairs(rows, percent)
-        nodes, n = rows["node"].to_numpy(), rows["n"].to_numpy()
-        low, high, small, large = (f(x[i], x[j]) for x in (nodes, n) for f in (np.minimum, np.maximum))
-        return pd.DataFrame({"u": low, "v": high, "small": small, "large": large})
-
-    blocks = blocks.select("cluster", "h", "x", "y", "part", "node", "n", "component", "m", "pos", "carried")
-    met = blocks.groupBy("cluster", "h", "x", "y").applyInPandas(compare, "u long, v long, small long, large long")
-    return star.unionByName(met).distinct()
+def named_components(signed: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``doc_id``, ``text_hash``, ``n``, ``component_id`` of every signed row, from the links between class nodes."""
+    names = classes.join(connected_components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = names.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    named = names.join(least, "component").select("k1", "k2", "component_id")
+    linked = signed.filter("n > 0 AND doc_id IS NOT NULL")
+    alone = signed.filter("n = 0 OR doc_id IS NULL").withColumn("component_id", F.col("doc_id"))
+    rows = linked.join(named, ["k1", "k2"]).select("doc_id", "text_hash", "n", "component_id")
+    return rows.unionByName(alone.select("doc_id", "text_hash", "n", "component_id"))
 
 
 def near_duplicates(
@@ -261,8 +119,6 @@ def near_duplicates(
     percent: int = 85,
     layout: Bands = Bands(),
     size: int = 5,
-    small: int = 8,
-    width: int = 8,
     text: str = "text",
     key: str = "doc_id",
 ) -> DataFrame:
@@ -273,18 +129,14 @@ def near_duplicates(
 
     1. Equal sets (128-bit digests) form classes; only one text of a class goes on, so a group of exact
        copies is one node however large.
-    2. Nodes meet in the buckets of their bands. Every bucket with two nodes or more offers star edges
-       from a centre to its members; the edges are verified on the full sets, and components formed.
-    3. Buckets that still hold several components are looked at again, with edges between different
-       components alone: buckets of up to ``small`` nodes with every node as a centre, so nothing in them
-       stays unseen; larger ones with ``width`` centres, which link most of a group for one edge per
-       member and centre.
-    4. Larger buckets that hold several components even then go through an exact prefix filter
-       (``_remaining_edges``), which yields every link that is left in them, however large they are.
+    2. Nodes meet in the buckets of their bands. Every bucket with two nodes or more offers star-shaped candidate
+       edges from its smallest node, one a member.
+    3. The full sets of all nodes that met are compared by ``clusters.spanning_links``: every link between them,
+       those between two members of a star included, is found or stood for by a path of found ones.
 
     Null ids take no part: they are kept, without a component. Null, empty and blank texts have an empty
-    set and are components of their own. Rows that share an id are rows of their own. An empty table
-    gives no rows.
+    set and are components of their own. Rows that share an id are rows of their own. Texts count whole,
+    however long. Other columns are not read, whatever their names. An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession)
     base = docs.select(F.col(key).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).cast("binary").alias("bytes"))
@@ -295,55 +147,16 @@ def near_duplicates(
     classes = scratch.stage(classes, "classes")
     nodes = linked.join(classes.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), "doc_id", "text_hash", "n", "bands")
 
-    each = nodes.select("node", "n", F.explode("bands").alias("bucket"))
+    each = nodes.select("node", F.explode("bands").alias("bucket"))
     buckets = each.groupBy("bucket").agg(F.count("*").alias("members"), F.min("node").alias("centre")).filter("members > 1")
-    members = scratch.stage(each.join(buckets, "bucket").select("bucket", "members", "node", "n"), "bucket-members")
-    wanted = nodes.join(members.select("node").distinct(), "node").select("node", F.col("doc_id").alias("d"), F.col("text_hash").alias("h"))
-    sets = base.join(wanted, (F.col("doc_id") == F.col("d")) & (F.col("text_hash") == F.col("h"))).dropDuplicates(["node"])
-    sets = scratch.stage(sets.select("node", _set_bytes(size)("bytes").alias("set")), "shingle-sets")
-
-    labels, written = None, []
-    for turn in range(3):
-        if labels is None:
-            here = members.withColumn("component", F.col("node"))
-        else:
-            here = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        node = F.struct("node", "n", "component")
-        if turn == 0:
-            chosen = F.array(F.min_by(node, "node"))
-        else:
-            drawn = [F.min_by(node, F.xxhash64(F.lit(width + i), "node")) for i in range(width)]
-            few = F.collect_list(F.when(F.col("members") <= small, node))
-            chosen = F.when(F.max("members") <= small, few).otherwise(F.array_distinct(F.array(*drawn)))
-        if turn < 2:
-            centres = (
-                here.groupBy("bucket")
-                .agg(F.min("component").alias("a"), F.max("component").alias("b"), chosen.alias("centres"))
-                .filter("a < b")
-                .select("bucket", "centres")
-            )
-            edges = _edges(here, centres)
-        else:
-            here = here.filter(F.col("members") > small)
-            mixed = here.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a < b")
-            mixed = scratch.stage(here.join(mixed.select("bucket"), "bucket").select("bucket", "node", "n", "component"), "mixed-buckets")
-            if mixed.isEmpty():
-                break
-            edges = _remaining_edges(mixed, sets, percent, scratch)
-        found = scratch.stage(_verified(edges, sets, percent), "verified")
-        written.append(found)
-        # The stars found so far stand for all links before, so few rounds bring the new ones in.
-        known = [] if labels is None else [labels.select(F.col("node").alias("u"), F.col("component").alias("v"))]
-        labels = connected_components(reduce(DataFrame.union, known, found))
-
-    scratch.drop(members, sets, *written)
-    names = classes if labels is None else classes.join(labels, "node", "left")
-    names = names.withColumn("component", F.coalesce("component", "node"))
-    least = names.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = names.join(least, "component").select("k1", "k2", "component_id")
-    alone = signed.filter("n = 0 OR doc_id IS NULL").withColumn("component_id", F.col("doc_id"))
-    rows = linked.join(named, ["k1", "k2"]).select("doc_id", "text_hash", "n", "component_id")
-    return rows.unionByName(alone.select("doc_id", "text_hash", "n", "component_id")).select(
+    met = each.join(buckets, "bucket").filter("node != centre").select(F.col("node").alias("u"), F.col("centre").alias("v"))
+    met = scratch.stage(met.distinct(), "met")
+    seen = met.select(F.col("u").alias("node")).union(met.select("v")).distinct()
+    wanted = nodes.join(seen, "node").select("node", F.col("doc_id").alias("d"), F.col("text_hash").alias("h"))
+    sets = write_sets(base, wanted, size, scratch)
+    links = scratch.stage(spanning_links(met, sets, percent, scratch), "all-links")
+    scratch.drop(met, sets)
+    return named_components(signed, classes, links).select(
         "doc_id",
         "text_hash",
         F.col("n").alias("n_shingles"),

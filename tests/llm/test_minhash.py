@@ -4,10 +4,11 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from panelcast.llm.clusters import spanning_links
 from panelcast.llm.common import Scratch
 from panelcast.llm.features import Words
 from panelcast.llm.graph import connected_components
-from panelcast.llm.minhash import Bands, _remaining_edges, _verified, keep_one, near_duplicates, shingle_set
+from panelcast.llm.minhash import Bands, keep_one, near_duplicates, shingle_set
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -100,9 +101,8 @@ def test_remaining_edges_are_all_links(spark):
         start = base if i % 3 else sets[rng.integers(len(sets))] if sets else base
         kept = rng.permutation(start)[: len(start) - rng.integers(0, 14)]
         sets.append(np.unique(np.concatenate([kept, rng.integers(-(2**62), 2**62, rng.integers(0, 14))])))
-    members = [(0, i, len(s), i) for i, s in enumerate(sets)]
     packed = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sets)], "node long, set binary")
-    mixed = spark.createDataFrame(members, "bucket long, node long, n long, component long")
+    met = spark.createDataFrame([(i, 0) for i in range(1, 150)], "u long, v long")
     want = set()
     for i, a in enumerate(sets):
         for j in range(i):
@@ -110,10 +110,10 @@ def test_remaining_edges_are_all_links(spark):
             if 100 * both >= 85 * (len(a) + len(sets[j]) - both):
                 want.add((j, i))
     parent = connected_components(spark.createDataFrame(sorted(want), "u long, v long")).collect()
-    for part, carry in ((1_000, 256), (20, 256), (1_000, 0), (20, 25)):
-        edges = _verified(_remaining_edges(mixed, packed, 85, Scratch(spark), part, carry), packed, 85)
+    for part, carry, rounds in ((1_000, 256, 3), (20, 256, 1), (20, 256, 3), (1_000, 0, 3), (20, 25, 1), (5, 25, 2)):
+        edges = spanning_links(met, packed, 85, Scratch(spark), part, carry, rounds)
         found = {(r.u, r.v) for r in edges.collect()}
-        assert found <= want
+        assert found <= want and len(found) < 400
         again = connected_components(spark.createDataFrame(sorted(found), "u long, v long")).collect()
         assert sorted(again) == sorted(parent)
 
