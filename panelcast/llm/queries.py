@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from panelcast.llm import brown, decontaminate, licenses, line_dedup, minhash, mixing, phrases, quality, sharding, topk, toxicity, whitening
+from panelcast.llm import brown, decontaminate, licenses, line_dedup, minhash, mixing, phrases, quality, sharding, sketch_join, topk, toxicity, whitening
 from panelcast.llm.common import fold, n_words, table
 from panelcast.session import stage
 
@@ -90,6 +90,12 @@ def op9_toxicity(spark, sf_dir):
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+def op11_sketch_join(spark, sf_dir):
+    """Every document's count of three-word shingles and the smallest id that links of 0.9 reach."""
+    found = sketch_join.similarity_components(table(spark, sf_dir, "documents"), 90, 3)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op12_whitening(spark, sf_dir):
     """Every usable vector on the sixteen leading components of all distinct ones, with unit variance on each."""
     return whitening.whiten(table(spark, sf_dir, "embeddings"), 16).withColumn("deviation", F.col("deviation").cast("long"))
@@ -111,6 +117,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_sharding": op10_sharding,
+    "op11_sketch_join": op11_sketch_join,
     "op12_whitening": op12_whitening,
     "op13_phrases": op13_phrases,
 }
@@ -144,6 +151,21 @@ ORACLES = {
     SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reached) AS component_id, min(reached) = r.doc_id AS kept
     FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
     """,
+    "op11_sketch_join": r"""
+    WITH RECURSIVE w AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ')
+        ELSE array_to_string(w[i:i + 2], ' ') END AS s
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM w WHERE len(w) > 0)),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id
+      GROUP BY ALL),
+    e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 90 * (x.n + y.n - k)),
+    r(doc_id, reached) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reached)
+    SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reached) AS component_id
+    FROM r LEFT JOIN n USING (doc_id) GROUP BY r.doc_id
+    """,
     "op7_decontamination": r"""
     WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM documents),
     b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
