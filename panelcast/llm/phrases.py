@@ -24,22 +24,21 @@ _FOLDED = bytes.maketrans(_STOPS + _TAB, STOP * len(_STOPS) + b" ")
 BATCH_BYTES = 1 << 23
 
 
-def pieces(text: bytes | None) -> list[bytes]:
-    """Words of a text with A-Z lower-cased, and a ``STOP`` wherever a piece ends."""
-    return text.lower().translate(_FOLDED).replace(STOP, b" . ").split() if text else []
+def pieces(text: bytes | None) -> bytes:
+    """Words of a text with A-Z lower-cased, and a ``STOP`` wherever a piece ends, with single spaces between."""
+    return b" ".join(text.lower().translate(_FOLDED).replace(STOP, b" . ").split()) if text else b""
 
 
-class _Hashes(dict):
-    """64-bit hashes of words, forgotten once there are too many."""
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words."""
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 1 << 18:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def numbered(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """``(words, lengths, vocabulary)``: the number of every word of all texts, words per text, the words by number."""
+    split = pc.split_pattern(texts, pattern=b" ")
+    coded = pc.dictionary_encode(split.flatten())
+    return coded.indices.to_numpy().astype(np.int64), split.value_lengths().to_numpy().astype(np.int64), coded.dictionary
 
 
 def rolled(hashes: np.ndarray, at: np.ndarray, size: int, seed: np.ndarray | int = 0) -> np.ndarray:
@@ -51,11 +50,42 @@ def rolled(hashes: np.ndarray, at: np.ndarray, size: int, seed: np.ndarray | int
     return mixed ^ (mixed >> np.uint64(31))
 
 
-def cuts(hashes: np.ndarray, window: int, modulus: int) -> list[int]:
-    """Where the chunks of a text start: at its first word and at triggers, windows of words whose hash is 0 modulo
-    ``modulus``. A chunk runs to the end of the next trigger, so neighbours share a window."""
-    places = np.arange(1, max(1, len(hashes) - window + 1))
-    return [0, *places[rolled(hashes, places, window) % np.uint64(modulus) == 0].tolist()]
+def cuts(hashes: np.ndarray, ends: np.ndarray, window: int, modulus: int) -> np.ndarray:
+    """Where the chunks of texts start, which lie one after the other and end at ``ends``: at the first word of each and at
+    triggers, windows of words whose hash is 0 modulo ``modulus``. A chunk runs to the end of the next trigger, so
+    neighbours share a window."""
+    firsts = np.concatenate([[0], ends[:-1]])
+    inside = np.ones(len(hashes) + 1, bool)
+    inside[firsts] = False
+    for k in range(window):
+        inside[np.maximum(ends - k, 0)] = False
+    places = np.flatnonzero(inside[: len(hashes)])
+    triggers = places[rolled(hashes, places, window) % np.uint64(modulus) == 0]
+    return np.sort(np.concatenate([firsts, triggers]))
+
+
+def _cut(batch: pa.RecordBatch, window: int, modulus: int) -> pa.RecordBatch:
+    """The chunks of a batch of (lang, text)."""
+    texts = [pieces(text) for text in batch.column(1).to_pylist()]
+    kept = np.flatnonzero([len(t) > 0 for t in texts])
+    texts = [texts[i] for i in kept]
+    words, lengths, vocabulary = numbered(pa.array(texts, pa.binary()))
+    ends = np.cumsum(lengths)
+    starts = cuts(word_hashes(vocabulary.to_pylist())[words], ends, window, modulus) if len(words) else ends
+    text = np.searchsorted(ends, starts, "right")
+    last = np.append(text[1:] != text[:-1], True)[: len(starts)]
+    own_end = np.where(last, ends[text], np.append(starts[1:], 0)[: len(starts)])
+    # Byte places within the texts: every word is followed by one space.
+    sizes = pc.binary_length(vocabulary).to_numpy()[words] + 1
+    byte = np.concatenate([[0], np.cumsum(sizes)])
+    origin = byte[np.concatenate([[0], ends])][text]
+    begin, until = byte[starts] - origin, byte[np.where(last, own_end, own_end + window)] - origin - 1
+    chunk = [texts[t][b:e] for t, b, e in zip(text.tolist(), begin.tolist(), until.tolist())]
+    stop = pc.index(vocabulary, pa.scalar(STOP, pa.binary())).as_py()
+    before = np.concatenate([[0], np.cumsum(words != stop)])
+    owned = (before[own_end] - before[starts]).astype(np.int32)
+    columns = [batch.column(0).take(pa.array(kept[text])), pa.array(chunk, pa.binary()), pa.array(last), pa.array(owned)]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "chunk", "last", "n_words"])
 
 
 def parse(docs: DataFrame, max_words: int, modulus: int, text: str, lang: str) -> DataFrame:
@@ -66,23 +96,9 @@ def parse(docs: DataFrame, max_words: int, modulus: int, text: str, lang: str) -
     window = max_words - 1
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _Hashes()
         for batch in batches:
-            out: tuple[list, list, list, list] = [], [], [], []
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = pieces(content)
-                if not words:
-                    continue
-                hashes = memo.of(words)
-                starts = cuts(hashes, window, modulus)
-                before = np.concatenate([[0], np.cumsum(hashes != memo[STOP])])
-                for start, end in zip(starts, [*starts[1:], None]):
-                    out[0].append(name)
-                    out[1].append(b" ".join(words[start:] if end is None else words[start : end + window]))
-                    out[2].append(end is None)
-                    out[3].append(int(before[-1 if end is None else end] - before[start]))
-            kinds = pa.string(), pa.binary(), pa.bool_(), pa.int32()
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], ["lang", "chunk", "last", "n_words"])
+            for low in range(0, len(batch), 1_000):
+                yield _cut(batch.slice(low, 1_000), window, modulus)
 
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("binary").alias("text"))
     rows = rows.mapInArrow(cut, "lang string, chunk binary, last boolean, n_words int")
@@ -108,14 +124,13 @@ class Bitmap:
         """Filter of the ``order``-word phrases of each ``lang``; tasks hand on 64 bits at a time."""
 
         def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            memo = _Hashes()
             for batch in batches:
                 if not len(batch):
                     continue
                 names = pc.dictionary_encode(batch.column(0))
-                words = b" ".join(batch.column(1).to_pylist()).split(b" ")
+                words, _, vocabulary = numbered(batch.column(1))
                 seed = _seeds(names.dictionary.to_pylist())[names.indices.to_numpy()]
-                hashes = rolled(memo.of(words), np.arange(len(batch)) * order, order, seed)
+                hashes = rolled(word_hashes(vocabulary.to_pylist())[words], np.arange(len(batch)) * order, order, seed)
                 at = hashes >> np.uint64(64 - bits)
                 mark = (np.uint64(1) << (at & np.uint64(63))).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int32)), pa.array(mark)], ["at", "mark"])
@@ -139,87 +154,81 @@ def _distinct(columns: list[np.ndarray], sizes: list[int]) -> tuple[np.ndarray,
     return first, kind
 
 
-class _Numbers(dict):
-    """Consecutive numbers for words; 0 for the end of a piece."""
-
-    def __missing__(self, word: bytes) -> int:
-        found = self[word] = len(self)
-        return found
-
-
-def _counted(rows: list[tuple], order: int, window: int, known: Bitmap | None) -> pa.RecordBatch:
-    """Phrases of ``order`` words in the given (lang, chunk, last, times), weighted; each start belongs to one chunk."""
-    numbers = _Numbers({STOP: 0})
-    words = b" . ".join([*(r[1] for r in rows), b""]).split()
-    ids = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
-    lengths = np.array([r[1].count(b" ") + 2 for r in rows])
-    owned = lengths - 1 - np.where([r[2] for r in rows], 0, window)
-    names = sorted({r[0] for r in rows})
-    code = {name: i for i, name in enumerate(names)}
-    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    stops = np.flatnonzero(ids == 0)
-    own = np.arange(len(ids)) - np.repeat(starts, lengths) < np.repeat(owned, lengths)
-    room = stops[np.searchsorted(stops, np.arange(len(ids)))] - np.arange(len(ids))
-    at = np.flatnonzero(own & (room >= order))
-    lang = np.repeat(np.array([code[r[0]] for r in rows]), lengths)
-    vocabulary = list(numbers)
-    if known is not None and len(at):
-        hashes = _Hashes().of(vocabulary)[ids]
-        seed = _seeds(names)[lang[at]]
-        at = at[known.holds(rolled(hashes, at, order - 1, seed)) & known.holds(rolled(hashes, at + 1, order - 1, seed))]
-    if not len(at):
-        first, totals = at, at
-    else:
-        columns = [lang[at], *(ids[at + k] for k in range(order))]
-        first, kind = _distinct(columns, [len(names), *[len(vocabulary)] * order])
+def _counted(chunks: pa.Table, orders: list[int], window: int, known: Bitmap | None, known_order: int) -> Iterator[pa.RecordBatch]:
+    """Phrases of the given numbers of words in (lang, chunk, last, times), weighted; each start belongs to one chunk."""
+    words, lengths, vocabulary = numbered(chunks.column("chunk").combine_chunks())
+    names = pc.dictionary_encode(chunks.column("lang").combine_chunks())
+    stop = pc.index(vocabulary, pa.scalar(STOP, pa.binary())).as_py()
+    here, ends = np.arange(len(words)), np.cumsum(lengths)
+    owned = np.repeat(ends - np.where(chunks.column("last").to_numpy(), 0, window), lengths)
+    halts = np.where(words == stop, here, len(words))
+    room = np.minimum(np.minimum.accumulate(halts[::-1])[::-1], np.repeat(ends, lengths)) - here
+    lang = np.repeat(names.indices.to_numpy(), lengths).astype(np.int64)
+    times = np.repeat(chunks.column("times").to_numpy(), lengths)
+    likely = None
+    if known is not None:
+        at = np.flatnonzero(room >= known_order)
+        seed = _seeds(names.dictionary.to_pylist())[lang[at]]
+        likely = np.zeros(len(words) + 1, bool)
+        likely[at] = known.holds(rolled(word_hashes(vocabulary.to_pylist())[words], at, known_order, seed))
+    for order in orders:
+        at = np.flatnonzero((here < owned) & (room >= order))
+        for k in range(order - known_order + 1) if likely is not None else ():
+            at = at[likely[at + k]]
+        if not len(at):
+            continue
+        columns = [lang[at], *(words[at + k] for k in range(order))]
+        first, kind = _distinct(columns, [len(names.dictionary), *[len(vocabulary)] * order])
         first, totals = at[first], np.zeros(len(first), np.int64)
-        np.add.at(totals, kind, np.repeat(np.array([r[3] for r in rows], np.int64), lengths)[at])
-    known_words = pa.array(vocabulary, pa.binary())
-    parts = [known_words.take(pa.array(ids[first + k])) for k in range(order)]
-    phrase = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())) if order > 1 else parts[0]
-    return pa.RecordBatch.from_arrays([pa.array(names, pa.string()).take(pa.array(lang[first])), phrase, pa.array(totals)], ["lang", "phrase", "f"])
+        np.add.at(totals, kind, times[at])
+        parts = [vocabulary.take(pa.array(words[first + k])) for k in range(order)]
+        phrase = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())) if order > 1 else parts[0]
+        size = pa.array(np.full(len(first), order, np.int32))
+        yield pa.RecordBatch.from_arrays([names.dictionary.take(pa.array(lang[first])), size, phrase, pa.array(totals)], ["lang", "size", "phrase", "f"])
 
 
-def count_phrases(dictionary: DataFrame, order: int, max_words: int, known: Bitmap | None = None) -> DataFrame:
-    """``(lang, phrase, f)``: how often each phrase of ``order`` words occurs, from the dictionary of chunks.
+def count_phrases(dictionary: DataFrame, orders: list[int], max_words: int, known: Bitmap | None = None, known_order: int = 0) -> DataFrame:
+    """``(lang, size, phrase, f)``: how often each phrase of the given numbers of words occurs, from the dictionary of chunks.
 
-    ``known`` holds the phrases one word shorter that are frequent enough: a phrase with another one inside is not
-    counted, since it cannot be frequent either.
+    ``known`` holds the phrases of ``known_order`` words that are frequent enough: a phrase with another one inside is
+    not counted, since it cannot be frequent either.
     """
     window = max_words - 1
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                held.append(row)
-                size += len(row[1])
+            for low in range(0, len(batch), 1_000):
+                held.append(batch.slice(low, 1_000))
+                size += pc.sum(pc.binary_length(held[-1].column("chunk"))).as_py()
                 if size > BATCH_BYTES:
-                    yield _counted(held, order, window, known)
+                    yield from _counted(pa.Table.from_batches(held), orders, window, known, known_order)
                     held, size = [], 0
         if held:
-            yield _counted(held, order, window, known)
+            yield from _counted(pa.Table.from_batches(held), orders, window, known, known_order)
 
-    rows = dictionary.select("lang", "chunk", "last", "times").mapInArrow(count, "lang string, phrase binary, f long")
-    counts = rows.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-    return counts.select("lang", F.col("phrase").cast("string").alias("phrase"), "f")
+    rows = dictionary.select("lang", "chunk", "last", "times").mapInArrow(count, "lang string, size int, phrase binary, f long")
+    counts = rows.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f"))
+    return counts.select("lang", "size", F.col("phrase").cast("string").alias("phrase"), "f")
 
 
 def frequent_phrases(dictionary: DataFrame, min_count: int, max_words: int, filter_bits: int, scratch: Scratch) -> list[DataFrame]:
-    """Per order, ``(lang, size, phrase, f)`` of all phrases of up to ``max_words`` words with ``f >= min_count``.
+    """``(lang, size, phrase, f)`` of all phrases of up to ``max_words`` words with ``f >= min_count``, a table a pass.
 
-    Order by order: all parts of a frequent phrase are frequent, so words around rarer ones are not looked at again.
-    What the tasks get of the shorter phrases is a bitmap of ``2 ** filter_bits`` bits, whatever their number.
+    One, two and three words in turn, then all longer ones: all parts of a frequent phrase are frequent, so words
+    around rarer parts are not looked at again. What the tasks get of the shorter phrases is a bitmap of
+    ``2 ** filter_bits`` bits, whatever their number.
     """
     found, known = [], None
-    for order in range(1, max_words + 1):
-        counts = count_phrases(dictionary, order, max_words, known).filter(F.col("f") >= min_count)
-        counts = scratch.stage(counts.withColumn("size", F.lit(order)), f"phrases-{order}")
+    for orders in [[1], [2], [3], list(range(4, max_words + 1))]:
+        if not orders or orders[0] > max_words:
+            break
+        counts = count_phrases(dictionary, orders, max_words, known, orders[0] - 1).filter(F.col("f") >= min_count)
+        counts = scratch.stage(counts, f"phrases-{orders[0]}")
         found.append(counts)
-        if order < max_words:
-            known = Bitmap.of(counts, order, filter_bits)
-            if not known.filled.any():
-                break
+        known = Bitmap.of(counts, orders[0], filter_bits) if orders[-1] < max_words else None
+        if known is not None and not known.filled.any():
+            break
     return found
 
 

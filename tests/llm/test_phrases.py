@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelcast.llm.phrases import Bitmap, _Hashes, collocations, cuts, parse, pieces, rolled, scored
+from panelcast.llm.phrases import Bitmap, _seeds, collocations, parse, pieces, rolled, scored, word_hashes
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -81,13 +81,16 @@ def test_filter_changes_nothing(spark, texts):
 
 
 def test_parse_is_a_parse(spark, texts):
-    """Owned words put together give the text again, and equal passages give equal chunks."""
-    memo = _Hashes()
+    """Owned words and their count, and equal passages give equal chunks wherever they stand."""
     for text, _ in texts:
-        words = pieces((text or "").encode())
-        starts = cuts(memo.of(words), 4, 8) if words else []
-        ends = [*starts[1:], len(words)]
-        assert [w for s, e in zip(starts, ends) for w in words[s:e]] == words
+        words = pieces((text or "").encode()).split()
+        found = parse(spark.createDataFrame([(text, "en")], SCHEMA), 5, 8, "text", "lang") if len(words) > 500 else None
+        if found is None:
+            continue
+        rows = found.collect()
+        assert sum(r.times * r.n_words for r in rows) == sum(w != b"." for w in words)
+        owned = sum(r.times * (len(r.chunk.split()) - (0 if r.last else 4)) for r in rows)
+        assert owned == len(words) and sum(r.times for r in rows if r.last) == 1 and len(rows) > len(words) / 20
     copied = [(texts[-1][0], "en")] * 500
     dictionary = parse(spark.createDataFrame(copied, SCHEMA).repartition(3), 5, 8, "text", "lang")
     assert {r.times for r in dictionary.collect()} == {500}
@@ -108,9 +111,7 @@ def test_arithmetic_beyond_64_bits(spark):
 def test_bitmap_has_no_false_negative(spark):
     rows = [(lang, f"x{i} y{i % 7}") for i in range(500) for lang in ("en", "de")]
     known = Bitmap.of(spark.createDataFrame(rows[::2], "lang string, phrase string"), 2, 16)
-    hashes = _Hashes().of([w for _, p in rows for w in p.encode().split()])
-    from panelcast.llm.phrases import _seeds
-
+    hashes = word_hashes([w for _, p in rows for w in p.encode().split()])
     seed = np.array([_seeds([lang])[0] for lang, _ in rows])
     held = known.holds(rolled(hashes, np.arange(len(rows)) * 2, 2, seed))
     assert held[::2].all() and held[1::2].mean() < 0.05
