@@ -1,7 +1,7 @@
 """The same results as ``checks.queries`` in DuckDB SQL over the same tables."""
 
 from checks.inputs import END, SPLIT, START
-from checks.queries import AR, AR1, HMM, HOURLY_AR
+from checks.queries import AR, AR1, HMM, HOURLY_AR, ONE_GAP_AR
 
 ORACLES: dict[str, str] = {}
 
@@ -523,6 +523,71 @@ sql("m11_projection_given", f"""{FACTS}, {TARGET}, {origin('TRUE')}, {path(35)},
     FROM ahead""", recursive=True)
 
 
+def interval_of(log_hat: str, sigma: str) -> str:
+    """Forecast and limits from a column of its own standard deviations."""
+    z = f"1.959963984540054 * ({sigma})"
+    named = (("y_hat", log_hat), ("ci_lower", f"({log_hat} - {z})"), ("ci_upper", f"({log_hat} + {z})"))
+    return ", ".join(r6(floor0(f"exp({e}) - 1"), n) for n, e in named)
+
+
+# One lag and one difference: the weight of an innovation j steps back is (1 - phi^(j+1)) / (1 - phi).
+sql("m11_horizon_interval_given", f"""{FACTS}, {TARGET}, {origin('TRUE')}, {path(35)}, {FUTURE},
+    widths AS (SELECT h, sqrt({AR1['sigma2']} * list_sum(list_transform(range(h), lambda j:
+        pow((1 - pow({PHI}, j + 1)) / (1 - ({PHI})), 2)))) AS sigma FROM (SELECT unnest(range(1, 36)) AS h)),
+    ahead AS (SELECT f.*, p.u + {B1} * ({in_session('f.week_start')}) AS log_hat, w.sigma FROM future f JOIN path p
+        ON p.series_id = f.series_id AND p.step = f.step JOIN widths w ON w.h = f.step)""",
+    f"""SELECT series_id, {iso('week_start')}, {r6('log_hat')}, {interval_of('log_hat', 'sigma')}, week
+    FROM ahead""", recursive=True)
+
+# A panel with gaps, and closed forms on it: a random walk, a mean, one lag over a gap of any length.
+_GB, _GPHI, _GS2 = ONE_GAP_AR["beta"][0], ONE_GAP_AR["ar"][0], ONE_GAP_AR["sigma2"]
+GAPPED = f"""{FINE_PANEL},
+    gapped AS (SELECT *, ln(1 + y) AS log_y, {in_session('week_start')} AS x,
+        CASE WHEN week_start <= DATE '{SPLIT}' THEN 'train' ELSE 'test' END AS part FROM panel)"""
+sql("m6_exact_random_walk", f"""{GAPPED},
+    moves AS (SELECT series_id, log_y - lag(log_y) OVER ({W}) AS move, i - lag(i) OVER ({W}) AS weeks FROM gapped
+        WHERE part = 'train' AND log_y IS NOT NULL),
+    fitted AS (SELECT series_id, count(move) AS n, sum(move * move / weeks) / count(move) AS s2, sum(ln(weeks)) AS stretch
+        FROM moves GROUP BY ALL),
+    scored AS (SELECT *, -0.5 * (n * (ln(2 * pi() * s2) + 1) + stretch) AS ll FROM fitted)""",
+    f"""SELECT series_id, {r6('s2', 'sigma2')}, {r6('ll', 'log_likelihood')}, {r6('2 - 2 * ll', 'aic')}, n AS nobs,
+    CAST(NULL AS VARCHAR) AS message FROM scored""")
+sql("m6_exact_regressor", f"""{GAPPED},
+    seen AS (SELECT * FROM gapped WHERE part = 'train' AND log_y IS NOT NULL),
+    beta AS (SELECT series_id, sum(x * log_y) / sum(x * x) AS b FROM seen GROUP BY ALL),
+    fitted AS (SELECT s.series_id, any_value(b) AS b, count(*) AS n, avg(pow(log_y - b * x, 2)) AS s2
+        FROM seen s JOIN beta USING (series_id) GROUP BY ALL),
+    scored AS (SELECT *, -0.5 * n * (ln(2 * pi() * s2) + 1) AS ll FROM fitted)""",
+    f"""SELECT series_id, {r6('b', 'beta')}, {r6('s2', 'sigma2')}, {r6('ll', 'log_likelihood')}, {r6('4 - 2 * ll', 'aic')},
+    n AS nobs FROM scored""")
+
+
+def over_gaps(known: str) -> str:
+    """Forecast and standard deviation of each week from the last one before it that ``known`` admits."""
+    earlier = f"OVER ({W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return f"""{GAPPED},
+    u AS (SELECT *, CASE WHEN {known} THEN log_y - {_GB} * x END AS u FROM gapped),
+    back AS (SELECT *, last_value(u IGNORE NULLS) {earlier} AS last_u,
+        i - last_value(CASE WHEN u IS NOT NULL THEN i END IGNORE NULLS) {earlier} AS h FROM u),
+    ahead AS (SELECT *, {_GB} * x + coalesce(pow({_GPHI}, h) * last_u, 0) AS log_hat,
+        sqrt({_GS2} * (1 - coalesce(pow({_GPHI}, 2 * h), 0)) / (1 - {_GPHI * _GPHI})) AS sigma FROM back)"""
+
+
+sql("m8_exact_walk_forward_given", over_gaps("TRUE"), f"""SELECT series_id, {iso('week_start')}, {r6('log_y')}, {r6('log_hat')},
+    {r6('sigma')}, {interval_of('log_hat', 'sigma')} FROM ahead WHERE part = 'test'""")
+sql("m7_exact_multistep_given", over_gaps("part = 'train'"), f"""SELECT series_id, {iso('week_start')}, {r6('log_y')},
+    {r6('log_hat')}, {r6(floor0('exp(log_hat) - 1'), 'y_hat')} FROM ahead WHERE part = 'test'""")
+sql("m11_exact_horizon_given", f"""{GAPPED},
+    last_seen AS (SELECT series_id, arg_max(log_y - {_GB} * x, i) FILTER (log_y IS NOT NULL) AS u,
+        max(i) - max(i) FILTER (log_y IS NOT NULL) AS ago, max(week_start) AS last_week FROM gapped GROUP BY ALL),
+    steps AS (SELECT *, CAST(last_week + 7 * step AS DATE) AS week_start, step + ago AS h
+        FROM last_seen, (SELECT CAST(unnest(range(1, 36)) AS INTEGER) AS step)),
+    ahead AS (SELECT *, {_GB} * ({in_session('week_start')}) + pow({_GPHI}, h) * u AS log_hat,
+        sqrt({_GS2} * (1 - pow({_GPHI}, 2 * h)) / (1 - {_GPHI * _GPHI})) AS sigma FROM steps)""",
+    f"""SELECT series_id, {iso('week_start')}, {r6('log_hat')}, {interval_of('log_hat', 'sigma')}, {epi_week('week_start')} AS week
+    FROM ahead""")
+
+
 def density(y: str, mean: float, var: float) -> str:
     return f"(-0.5 * (ln(2 * pi() * {var}) + ({y} - {mean}) * ({y} - {mean}) / {var}))"
 

@@ -30,6 +30,8 @@ AR1 = {"order": (1, 1, 0), "seasonal": (0, 0, 0, 52), "exog": ("school_in_sessio
        "beta": (0.1,), "ar": (-0.5,), "sar": (), "sigma2": 0.09}
 HOURLY_AR = {"order": (1, 0, 0), "seasonal": (1, 0, 0, 24), "exog": (), "beta": (), "ar": (0.4,),
              "sar": (0.3,), "sigma2": 0.25}
+ONE_GAP_AR = {"order": (1, 0, 0), "seasonal": (0, 0, 0, 52), "exog": ("school_in_session",),
+              "beta": (0.4,), "ar": (0.7,), "sar": (), "sigma2": 0.16}
 HMM = {"startprob": (0.6, 0.4), "transmat": ((0.9, 0.1), (0.2, 0.8))}
 RULES = hol.HolidayRules(
     groups={"urgent": ("1-urgent",), "high": ("2-high", "high"), "low": ("5-low",)}, long_holidays=("high",)
@@ -690,6 +692,41 @@ def m8_walk_forward_by_lags(spark, sf_dir):
     )
 
 
+def gapped_split(spark, sf_dir):
+    """Panel by priority and status with its empty weeks left empty."""
+    rows = inp.fine_panel(spark, sf_dir).withColumn("log_y", F.log1p("y"))
+    rows = ft.calendar_features(pn.split(rows, inp.SPLIT, bounds=(inp.START, inp.END)), inp.CFG)
+    return stage(rows, "gapped")
+
+
+@query
+def m6_exact_random_walk(spark, sf_dir):
+    """Exact likelihood of a random walk seen with gaps: every step counts by its length."""
+    spec = arima.SarimaxSpec((0, 1, 0), (0, 0, 0, 1), (), method="exact")
+    found = arima.fit(gapped_split(spark, sf_dir).filter("part = 'train'"), spec)
+    return found.select("series_id", "sigma2", "log_likelihood", "aic", "nobs", "message")
+
+
+@query
+def m6_exact_regressor(spark, sf_dir):
+    """White noise round one regressor, fitted on the weeks that are there."""
+    spec = arima.SarimaxSpec((0, 0, 0), (0, 0, 0, 1), ("school_in_session",), method="exact")
+    found = arima.fit(gapped_split(spark, sf_dir).filter("part = 'train'"), spec)
+    return found.select("series_id", F.get("beta", F.lit(0)).alias("beta"), "sigma2", "log_likelihood", "aic", "nobs")
+
+
+@query
+def m7_exact_multistep_given(spark, sf_dir):
+    rows = gapped_split(spark, sf_dir)
+    return arima.forecast_multistep(rows, inp.given_models(rows, **ONE_GAP_AR), ONE_GAP_AR["exog"], method="exact")
+
+
+@query
+def m8_exact_walk_forward_given(spark, sf_dir):
+    rows = gapped_split(spark, sf_dir)
+    return arima.walk_forward(rows, inp.given_models(rows, **ONE_GAP_AR), ONE_GAP_AR["exog"], method="exact")
+
+
 @query
 def m9_auto_order(spark, sf_dir):
     return arima.auto_order(stage(inp.split_matrix(spark, sf_dir), "matrix"), inp.EXOG)
@@ -708,6 +745,23 @@ def m11_projection_given(spark, sf_dir):
     return project.project(rows, inp.given_models(rows, **AR1), future, AR1["exog"])
 
 
+@query
+def m11_horizon_interval_given(spark, sf_dir):
+    """The same path with the interval of each step's own horizon."""
+    rows = staged_split(spark, sf_dir)
+    future = project.future_regressors(rows, AR1["exog"], covid=inp.COVID)
+    return project.project(rows, inp.given_models(rows, **AR1), future, AR1["exog"], interval="horizon")
+
+
+@query
+def m11_exact_horizon_given(spark, sf_dir):
+    """Path and interval after a history with missing weeks."""
+    rows = gapped_split(spark, sf_dir)
+    future = project.future_regressors(rows, ONE_GAP_AR["exog"], covid=inp.COVID)
+    models = inp.given_models(rows, **ONE_GAP_AR)
+    return project.project(rows, models, future, ONE_GAP_AR["exog"], interval="horizon", method="exact")
+
+
 @query
 def m12_m13_next_season_given(spark, sf_dir):
     rows = staged_split(spark, sf_dir)

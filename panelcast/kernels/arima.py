@@ -118,44 +118,20 @@ def natural(lanes, order, stationary):
     return np.concatenate([b, phi, sphi, stable(theta), stable(stheta)], axis=1)
 
 
-def fit(y, x, order, maxiter=500, condition_on=None, stationary=False):
-    """``fit_stack`` for one series."""
-    if not (np.isfinite(y).all() and np.isfinite(x).all()):
-        raise ValueError("missing values")
-    return fit_stack(y[None], x[None], order, maxiter, condition_on, stationary)[0]
-
-
-def fit_stack(y, x, order, maxiter=500, condition_on=None, stationary=False):
-    """Levenberg-Marquardt on the sum of squared innovations, for a stack of equally long series.
+def descend(errors, start, maxiter):
+    """Levenberg-Marquardt on sums of squares for a stack of problems: ``point``, ``best``, ``turns``, ``converged``.
 
-    y is (series, time), x is (series, time, regressor). All lanes of all series that still move go
-    through one pass of the filters, which costs little more than a single one. ``condition_on`` is the
-    number of leading observations left out of the sum; candidates of one search share it, so that
-    their AICs rest on the same weeks.
+    ``errors(points, who)`` gives the errors (problem, lane, error) of the lanes of trial points (problem, lane,
+    parameter) for the problems ``who``. All lanes of all problems that still move go through one call.
     """
-    least = order.differenced + order.presample
-    skip = max(condition_on or 0, least) - order.differenced
-    count, size, n = len(y), order.size, y.shape[1] - order.differenced - skip
-    if n <= size + 1:
-        raise ValueError("too few observations")
-    dy = difference(y.T, order).T
-    dx = difference(x.transpose(1, 0, 2), order).transpose(1, 0, 2)
-
-    def errors(points, who):
-        width = points.shape[1]
-        lanes = natural(points.reshape(len(who) * width, size), order, stationary)
-        b = lanes[:, : order.k].reshape(len(who), width, order.k)
-        z = dy[who, None] - b @ dx[who].transpose(0, 2, 1)
-        return innovations(lanes, z.reshape(len(lanes), -1), order, skip).reshape(len(who), width, n)
+    count, size = start.shape
 
     def loss(e):
         total = (e * e).sum(axis=-1)
         return np.where(np.isfinite(total), total, np.inf)
 
     active = np.arange(count)
-    point = np.full((count, size), 0.01)
-    if order.k:
-        point[:, : order.k] = (np.linalg.pinv(dx) @ dy[:, :, None])[:, :, 0]
+    point = start.copy()
     turns, converged = np.zeros(count, dtype=np.int64), np.full(count, size == 0)
     damping, descended = np.full(count, 1e-3), np.zeros(count, dtype=bool)
     with np.errstate(all="ignore"):
@@ -192,6 +168,44 @@ def fit_stack(y, x, order, maxiter=500, condition_on=None, stationary=False):
             descended[moved] = True
             converged[active[done]] = (np.isfinite(best[active]) & (descended[active] | flat))[done]
             active = active[~done]
+    return {"point": point, "best": best, "turns": turns, "converged": converged}
+
+
+def fit(y, x, order, maxiter=500, condition_on=None, stationary=False):
+    """``fit_stack`` for one series."""
+    if not (np.isfinite(y).all() and np.isfinite(x).all()):
+        raise ValueError("missing values")
+    return fit_stack(y[None], x[None], order, maxiter, condition_on, stationary)[0]
+
+
+def fit_stack(y, x, order, maxiter=500, condition_on=None, stationary=False):
+    """Levenberg-Marquardt on the sum of squared innovations, for a stack of equally long series.
+
+    y is (series, time), x is (series, time, regressor). All lanes of all series that still move go
+    through one pass of the filters, which costs little more than a single one. ``condition_on`` is the
+    number of leading observations left out of the sum; candidates of one search share it, so that
+    their AICs rest on the same weeks.
+    """
+    least = order.differenced + order.presample
+    skip = max(condition_on or 0, least) - order.differenced
+    count, size, n = len(y), order.size, y.shape[1] - order.differenced - skip
+    if n <= size + 1:
+        raise ValueError("too few observations")
+    dy = difference(y.T, order).T
+    dx = difference(x.transpose(1, 0, 2), order).transpose(1, 0, 2)
+
+    def errors(points, who):
+        width = points.shape[1]
+        lanes = natural(points.reshape(len(who) * width, size), order, stationary)
+        b = lanes[:, : order.k].reshape(len(who), width, order.k)
+        z = dy[who, None] - b @ dx[who].transpose(0, 2, 1)
+        return innovations(lanes, z.reshape(len(lanes), -1), order, skip).reshape(len(who), width, n)
+
+    start = np.full((count, size), 0.01)
+    if order.k:
+        start[:, : order.k] = (np.linalg.pinv(dx) @ dy[:, :, None])[:, :, 0]
+    found = descend(errors, start, maxiter)
+    point, best, turns, converged = (found[name] for name in ("point", "best", "turns", "converged"))
     sigma2 = np.maximum(best / n, 1e-300)
     params = natural(point, order, stationary)
     return [
@@ -239,6 +253,17 @@ def next_value(u, e, ar, ma):
     return ma[1:] @ e[len(e) - len(ma) + 1 :][::-1] - ar[1:] @ u[len(u) - len(ar) + 1 :][::-1]
 
 
+def horizon_variances(order, params, steps):
+    """Variance of the error of a forecast 1, 2, … steps ahead over that of one innovation: the sums of squares of the
+    weights psi of ma(B) / ar(B), differencing included, so they never fall."""
+    ar, ma = polynomials(order, params)
+    psi = np.zeros(steps)
+    for j in range(steps):
+        reach = min(j, len(ar) - 1)
+        psi[j] = (ma[j] if j < len(ma) else 0.0) - ar[1 : reach + 1] @ psi[j - reach : j][::-1]
+    return np.cumsum(psi**2)
+
+
 def path(y, x, future_x, order, params):
     """Forecasts of the steps after y, each fed by the ones before it, future innovations zero; NaN
     where the history is shorter than the autoregression looks back."""

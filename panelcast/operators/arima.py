@@ -1,7 +1,8 @@
 """Seasonal ARIMA with regressors over a panel: fit, forecast, search.
 
 Every fit is one packed series in a task (see ``packing``); the numeric part lives in
-``kernels.arima``. Estimation is by conditional sum of squares, not by the exact likelihood.
+``kernels.arima``. Estimation is by conditional sum of squares, or by the exact likelihood
+(``method="exact"``, ``kernels.statespace``), which takes series with missing weeks as they are.
 """
 
 import time
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from panelcast.functions.scalars import from_log, nan_to_null
 from panelcast.functions.windows import by_time
 from panelcast.kernels import arima as kernel
+from panelcast.kernels import statespace
 from panelcast.operators.packing import key_schema, pack, spread
 from panelcast.session import task_slots
 
@@ -52,16 +54,31 @@ def _ddl(fields: Mapping[str, str]) -> str:
     return ", ".join(f"`{name}` {kind}" for name, kind in fields.items())
 
 
+def known_method(method: str) -> str:
+    if method not in ("css", "exact"):
+        raise ValueError(f"unknown method {method!r}")
+    return method
+
+
 @dataclass(frozen=True)
 class SarimaxSpec:
-    """Orders, regressors and limits. The moving-average side is always estimated invertible (see
-    ``kernels.arima.natural``), so only stationarity is a choice."""
+    """Orders, regressors, limits and method. The moving-average side is always estimated invertible (see
+    ``kernels.arima.natural``), so only stationarity is a choice.
+
+    ``method``: ``css`` minimises the conditional sum of squares of complete series; ``exact`` maximises the Gaussian
+    likelihood with a flat prior on what lies before the sample. It fits series with missing values of the target,
+    keeps the autoregressive side stationary, and is slower by the size of the state.
+    """
 
     order: tuple[int, int, int] = ORDER
     seasonal: tuple[int, int, int, int] = SEASONAL
     exog: tuple[str, ...] = REGRESSORS
     enforce_stationarity: bool = False
     maxiter: int = MAXITER
+    method: str = "css"
+
+    def __post_init__(self):
+        known_method(self.method)
 
     def kernel_order(self) -> kernel.Order:
         (p, d, q), (P, D, Q, s) = self.order, self.seasonal
@@ -103,16 +120,17 @@ def _fit_rows(spec: SarimaxSpec, data, condition_on=None) -> list[tuple[dict, np
     """
     out: list = [(_model_row(spec, None, "missing values"), None)] * len(data)
     lengths: dict[int, list[int]] = {}
+    order, exact = spec.kernel_order(), spec.method == "exact"
+    size = statespace.stack_size(order) if exact else STACK
     for i, (y, x) in enumerate(data):
-        if np.isfinite(y).all() and np.isfinite(x).all():
+        if np.isfinite(x).all() and (exact or np.isfinite(y).all()):
             lengths.setdefault(len(y), []).append(i)
-    order = spec.kernel_order()
 
     def fit_together(stack, skip):
-        return kernel.fit_stack(
-            np.stack([data[i][0] for i in stack]), np.stack([data[i][1] for i in stack]),
-            order, spec.maxiter, skip, spec.enforce_stationarity,
-        )
+        y, x = np.stack([data[i][0] for i in stack]), np.stack([data[i][1] for i in stack])
+        if exact:
+            return statespace.fit_stack(y, x, order, spec.maxiter)
+        return kernel.fit_stack(y, x, order, spec.maxiter, skip, spec.enforce_stationarity)
 
     for length, members in lengths.items():
         skip = condition_on(length) if condition_on else None
@@ -120,8 +138,8 @@ def _fit_rows(spec: SarimaxSpec, data, condition_on=None) -> list[tuple[dict, np
             for i in members:
                 out[i] = (_model_row(spec, None, "too few observations"), None)
             continue
-        for first in range(0, len(members), STACK):
-            stack = members[first : first + STACK]
+        for first in range(0, len(members), size):
+            stack = members[first : first + size]
             try:
                 found = dict(zip(stack, fit_together(stack, skip)))
             except (ValueError, np.linalg.LinAlgError):
@@ -254,23 +272,30 @@ def walk_forward(
     keys: Sequence[str] = KEYS,
     value: str = "log_y",
     alpha: float = 0.05,
+    method: str = "css",
 ) -> DataFrame:
     """One-step forecasts of the test rows, each from the actuals before it, parameters fixed.
 
     With fixed parameters the forecast is the actual less its innovation, so one filter pass over
-    train and test stands for the loop of forecast and append.
+    train and test stands for the loop of forecast and append. ``method="exact"`` runs the state-space filter: a
+    missing actual gets a forecast too and is bridged by it, and ``sigma`` is that of the week, wider after gaps.
     """
-    keys, exog = list(keys), list(exog)
+    keys, exog, exact = list(keys), list(exog), known_method(method) == "exact"
 
     def score(row):
         y, test = np.asarray(row["y"], dtype=float), np.asarray(row["part"]) == "test"
         ahead, sigma = np.full(len(y), np.nan), np.nan
         if row["model"] is not None:
             spec, params = fitted_model(row["model"])
-            ahead = kernel.one_step(y, design(row, spec.exog), spec.kernel_order(), params)
             sigma = np.sqrt(row["model"]["sigma2"])
+            if exact:
+                ahead, variance = statespace.predict(y, design(row, spec.exog), spec.kernel_order(), params)
+                sigma = sigma * np.sqrt(variance[test])
+            else:
+                ahead = kernel.one_step(y, design(row, spec.exog), spec.kernel_order(), params)
         weeks = np.asarray(row["weeks"])[test]
-        return {"week_start": weeks, "log_y": y[test], "log_hat": ahead[test], "sigma": np.full(len(weeks), sigma)}
+        sigma = np.broadcast_to(sigma, len(weeks))
+        return {"week_start": weeks, "log_y": y[test], "log_hat": ahead[test], "sigma": sigma}
 
     history = with_models(pack_history(panel, keys, exog, value, ["part"]), models, keys)
     scored = score_series(history, keys, score, SCORED | {"sigma": "double"})
@@ -341,16 +366,22 @@ def forecast_multistep(
     exog: Sequence[str] = REGRESSORS,
     keys: Sequence[str] = KEYS,
     value: str = "log_y",
+    method: str = "css",
 ) -> DataFrame:
-    """All test rows at once from the end of train, with their regressors."""
-    keys, exog = list(keys), list(exog)
+    """All test rows at once from the end of train, with their regressors. ``method="exact"`` goes on from train with
+    missing weeks; the test rows are one more gap to it."""
+    keys, exog, exact = list(keys), list(exog), known_method(method) == "exact"
 
     def score(row):
         y, x, actual, future, train = _split_row(row, exog)
         ahead = np.full(len(actual), np.nan)
         if row["model"] is not None:
             spec, params = fitted_model(row["model"])
-            ahead = kernel.path(y, x, future, spec.kernel_order(), params)
+            if exact:
+                gap = np.concatenate([y, ahead])
+                ahead = statespace.predict(gap, np.concatenate([x, future]), spec.kernel_order(), params)[0][len(y) :]
+            else:
+                ahead = kernel.path(y, x, future, spec.kernel_order(), params)
         return {"week_start": np.asarray(row["weeks"])[~train], "log_y": actual, "log_hat": ahead}
 
     history = with_models(pack_history(panel, keys, exog, value, ["part"]), models, keys)

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from panelcast.functions import calendar as cal
 from panelcast.functions.windows import whole
 from panelcast.kernels import arima as kernel
+from panelcast.kernels import statespace
 from panelcast.operators import seasons
 from panelcast.operators.arima import (
-    REGRESSORS, design, fitted_model, pack_history, score_series, with_interval, with_models, without_nan,
+    REGRESSORS, design, fitted_model, known_method, pack_history, score_series, with_interval, with_models, without_nan,
 )
 from panelcast.operators.panel import future_weeks
 from panelcast.session import stage
@@ -105,21 +106,36 @@ def project(
     keys: Sequence[str] = KEYS,
     value: str = "log_y",
     alpha: float = 0.05,
+    interval: str = "one_step",
+    method: str = "css",
 ) -> DataFrame:
     """Weekly path past the data. Each step feeds on the predictions before it, so its innovations
-    are zero and the interval is the one-step interval at every horizon; it does not widen."""
+    are zero and the interval is the one-step interval at every horizon; it does not widen.
+
+    ``interval="horizon"`` gives each step the interval of its own horizon, from the weights with which past innovations
+    enter it (differencing included); widths in logs never fall. ``method="exact"`` takes history with missing weeks.
+    """
     keys, exog = list(keys), list(exog)
+    if interval not in ("one_step", "horizon"):
+        raise ValueError(f"unknown interval {interval!r}")
+    exact = known_method(method) == "exact"
 
     def score(row):
-        path, sigma = np.full(len(row["future_weeks"]), np.nan), np.nan
+        steps = len(row["future_weeks"])
+        path, sigma = np.full(steps, np.nan), np.nan
         if row["model"] is not None:
             spec, params = fitted_model(row["model"])
             ahead = [np.asarray(row[f"future_{c}"], dtype=float) for c in spec.exog]
             future_x = np.column_stack(ahead) if ahead else np.zeros((len(row["future_weeks"]), 0))
-            y = np.asarray(row["y"], dtype=float)
-            path = kernel.path(y, design(row, spec.exog), future_x, spec.kernel_order(), params)
-            sigma = np.sqrt(row["model"]["sigma2"])
-        return {"week_start": row["future_weeks"], "log_hat": path, "sigma": np.full(len(path), sigma)}
+            y, x, order = np.asarray(row["y"], dtype=float), design(row, spec.exog), spec.kernel_order()
+            if exact:
+                gap = np.concatenate([y, path])
+                path, variance = (a[len(y) :] for a in statespace.predict(gap, np.concatenate([x, future_x]), order, params))
+            else:
+                path = kernel.path(y, x, future_x, order, params)
+                variance = kernel.horizon_variances(order, params, steps)
+            sigma = np.sqrt(row["model"]["sigma2"] * (variance if interval == "horizon" else np.ones(steps)))
+        return {"week_start": row["future_weeks"], "log_hat": path, "sigma": np.broadcast_to(sigma, steps)}
 
     ahead = pack_history(future.withColumn("_none", F.lit(0.0)), keys, exog, "_none").select(
         *keys, F.col("weeks").alias("future_weeks"), *(F.col(c).alias(f"future_{c}") for c in exog)
@@ -168,6 +184,7 @@ def next_season(
     keys: Sequence[str] = KEYS,
     school: cal.SchoolYear = cal.SchoolYear(),
     covid: cal.Period = cal.Period(),
+    interval: str = "one_step",
 ) -> dict[str, DataFrame]:
     """Projection, its totals, and the last seasons beside it if the history is labelled.
 
@@ -175,7 +192,7 @@ def next_season(
     here because two results read it.
     """
     future = future_regressors(history, exog, n_weeks, keys, school, covid)
-    projection = stage(project(history, models, future, exog, keys), "projection")
+    projection = stage(project(history, models, future, exog, keys, interval=interval), "projection")
     out = {"next_season": projection, "next_season_totals": projection_totals(projection, keys)}
     if "season_label" in history.columns:
         out["next_season_comparison"] = season_comparison(history, keys)
