@@ -1,7 +1,7 @@
 """The same results as ``checks.queries`` in DuckDB SQL over the same tables."""
 
 from checks.inputs import END, SPLIT, START
-from checks.queries import AR, AR1, HMM, HOURLY_AR, ONE_GAP_AR
+from checks.queries import AR, AR1, HMM, HOURLY_AR, HOURLY_AR1, ONE_GAP_AR
 
 ORACLES: dict[str, str] = {}
 
@@ -762,14 +762,28 @@ sql("feature_matrix", MATRIX, f"""SELECT {iso('week_start')}, series_id, {r6('y'
     {r6(since_school('week_start'), 'weeks_since_school')} FROM matrix""")
 HSIGMA = HOURLY_AR["sigma2"] ** 0.5
 _reach = max(poly(HOURLY_AR["ar"], HOURLY_AR["sar"], 24, 0))
-sql("st1_stream_walk_forward", f"""
+HOURLY = """
     counts AS (SELECT event_type AS series_id, datediff('day', DATE '2024-01-01', CAST(ts AS DATE)) * 24 + hour(ts) AS tick,
         count(*) AS n FROM events GROUP BY ALL),
     disturbance AS (SELECT k.series_id, g.tick, ln(1 + coalesce(c.n, 0)) AS log_y, ln(1 + coalesce(c.n, 0)) AS u
         FROM (SELECT DISTINCT event_type AS series_id FROM events) k
         CROSS JOIN (SELECT unnest(generate_series(0, (SELECT max(tick) FROM counts))) AS tick) g
-        LEFT JOIN counts c ON c.series_id = k.series_id AND c.tick = g.tick),
+        LEFT JOIN counts c ON c.series_id = k.series_id AND c.tick = g.tick)"""
+sql("st1_stream_walk_forward", f"""{HOURLY},
     ahead AS ({walk(HOURLY_AR, 'tick', '0.0')}),
     known AS (SELECT series_id, tick, log_y, CASE WHEN tick >= {_reach} THEN log_hat END AS log_hat FROM ahead)""",
     f"""SELECT series_id, tick, {r6('log_y')}, {r6('log_hat')}, {r6(repr(HSIGMA), 'sigma')},
-    {interval_columns('log_hat', HSIGMA)} FROM known""")
+    {interval_columns('log_hat', HSIGMA)}, 'scored' AS status FROM known""")
+# A tick given up moves the state to its forecast, so over a gap the last known value decays by the lag coefficient.
+_HPHI = HOURLY_AR1["ar"][0]
+sql("st1_stream_lost_and_late", f"""{HOURLY},
+    kinds AS (SELECT *, CASE WHEN tick <= max(tick) OVER (PARTITION BY series_id) - 40 AND tick % 97 IN (10, 50)
+        THEN tick % 97 END AS away FROM disturbance),
+    back AS (SELECT *, last_value(CASE WHEN away IS NULL THEN u END IGNORE NULLS) OVER earlier AS last_u,
+        tick - last_value(CASE WHEN away IS NULL THEN tick END IGNORE NULLS) OVER earlier AS h FROM kinds
+        WINDOW earlier AS (PARTITION BY series_id ORDER BY tick ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    told AS (
+        SELECT series_id, tick, log_y, pow({_HPHI}, h) * last_u AS log_hat, {HSIGMA} AS sigma, 'scored' AS status FROM back WHERE away IS NULL
+        UNION ALL SELECT series_id, tick, NULL, NULL, {HSIGMA}, 'missing' FROM back WHERE away IS NOT NULL
+        UNION ALL SELECT series_id, tick, log_y, NULL, NULL, 'late' FROM back WHERE away = 10)""",
+    f"""SELECT series_id, tick, {r6('log_y')}, {r6('log_hat')}, {r6('sigma')}, {interval_of('log_hat', 'sigma')}, status FROM told""")

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from checks import inputs as inp
 from panelcast.functions import calendar as cal
 from panelcast.functions import scalars as sc
-from panelcast.functions.windows import by_time
+from panelcast.functions.windows import by_time, whole
 from panelcast.operators import arima, baselines, diagnostics, evaluate, hmm, project, seasons
 from panelcast.operators import holidays as hol
 from panelcast.operators import panel as pn
@@ -30,6 +30,7 @@ AR1 = {"order": (1, 1, 0), "seasonal": (0, 0, 0, 52), "exog": ("school_in_sessio
        "beta": (0.1,), "ar": (-0.5,), "sar": (), "sigma2": 0.09}
 HOURLY_AR = {"order": (1, 0, 0), "seasonal": (1, 0, 0, 24), "exog": (), "beta": (), "ar": (0.4,),
              "sar": (0.3,), "sigma2": 0.25}
+HOURLY_AR1 = {**HOURLY_AR, "seasonal": (0, 0, 0, 24), "sar": ()}
 ONE_GAP_AR = {"order": (1, 0, 0), "seasonal": (0, 0, 0, 52), "exog": ("school_in_session",),
               "beta": (0.4,), "ar": (0.7,), "sar": (), "sigma2": 0.16}
 HMM = {"startprob": (0.6, 0.4), "transmat": ((0.9, 0.1), (0.2, 0.8))}
@@ -869,13 +870,30 @@ def full_run_comparison(spark, sf_dir):
     return results["comparison"]
 
 
+def streamed(spark, rows, batches, models, **options):
+    """Scores of ``rows`` that arrive in the given batches; every batch is a run that goes on from the checkpoint."""
+    source, sink, progress = (new_path(spark, n) for n in ("arrivals", "scored", "progress"))
+    for batch in batches:
+        batch.write.mode("append").parquet(source)
+        arrivals = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(source)
+        scored = score_arrivals(arrivals, models, **options)
+        writer = scored.writeStream.format("parquet").option("checkpointLocation", progress)
+        writer.outputMode("append").trigger(availableNow=True).start(sink).awaitTermination()
+    return spark.read.schema(scored.schema).parquet(sink)
+
+
 @query
 def st1_stream_walk_forward(spark, sf_dir):
-    source, sink, progress = (new_path(spark, n) for n in ("arrivals", "scored", "progress"))
     rows = inp.hourly(spark, sf_dir)
-    rows.repartitionByRange(4, "tick").write.parquet(source)
-    arrivals = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(source)
-    scored = score_arrivals(arrivals, inp.given_models(rows, **HOURLY_AR))
-    writer = scored.writeStream.format("parquet").option("checkpointLocation", progress)
-    writer.outputMode("append").trigger(availableNow=True).start(sink).awaitTermination()
-    return spark.read.schema(scored.schema).parquet(sink).filter("status = 'scored'").drop("status")
+    return streamed(spark, rows, [rows.repartitionByRange(4, "tick")], inp.given_models(rows, **HOURLY_AR))
+
+
+@query
+def st1_stream_lost_and_late(spark, sf_dir):
+    """Every hundredth-odd tick never comes, others come when they have been given up; the rest is scored past them."""
+    rows = stage(inp.hourly(spark, sf_dir), "hourly")
+    early = F.col("tick") <= F.max("tick").over(whole(["series_id"])) - 40
+    kind = F.when(early & (F.col("tick") % 97 == 50), "lost").when(early & (F.col("tick") % 97 == 10), "late").otherwise("on time")
+    marked = rows.withColumn("kind", kind)
+    batches = [marked.filter(F.col("kind") == k).drop("kind") for k in ("on time", "late")]
+    return streamed(spark, rows, batches, inp.given_models(rows, **HOURLY_AR1), max_wait=20)

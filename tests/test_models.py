@@ -1,6 +1,7 @@
 import os
 import subprocess
 import sys
+import time
 from datetime import date, timedelta
 from pathlib import Path
 
@@ -302,6 +303,55 @@ def test_stream_reports_late_and_gives_up_lost_ticks(spark, panel, models):
     assert scored["log_hat"][100:].notna().all() and abs(scored["log_hat"][250] - want["log_hat"][250]) < 0.05
 
 
+def test_timer_gives_up_what_others_wait_for(spark, panel, models):
+    """Without another arrival a timer closes the gap; the tick that was waited for is late then."""
+    numbered = panel.withColumn("tick", (F.datediff("week_start", F.lit("2015-01-04").cast("date")) / 7).cast("long"))
+    rows = numbered.filter("series_id = 'a' AND tick <= 150").select("series_id", "tick", "log_y", "x")
+    source, sink, progress = (new_path(spark, n) for n in ("in", "out", "log"))
+    rows.filter("tick <> 90 AND tick < 150").coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema(rows.schema).parquet(source)
+    scored = score_arrivals(stream, models, ["x"], patience=0.001)
+    writer = scored.writeStream.format("parquet").option("checkpointLocation", progress)
+    running = writer.trigger(processingTime="200 milliseconds").start(sink)
+
+    def until(status, tick):
+        for _ in range(120):
+            got = frame(spark.read.schema(scored.schema).parquet(sink), "tick", "status") if Path(sink).exists() else None
+            if got is not None and ((got["status"] == status) & (got["tick"] == tick)).any():
+                return got
+            time.sleep(0.5)
+        raise AssertionError(f"no {status} {tick}")
+
+    try:
+        assert until("missing", 90)["tick"].max() == 149
+        rows.filter("tick IN (90, 150)").coalesce(1).write.mode("append").parquet(source)
+        until("late", 90)
+        got = until("scored", 150)
+    finally:
+        running.stop()
+    assert got[got["status"] == "scored"]["tick"].tolist() == [t for t in range(151) if t != 90]
+
+
+@pytest.mark.parametrize("order", [(1, 1, 0, 0, 0, 0), (2, 0, 2, 0, 0, 0), (0, 1, 1, 1, 0, 1), (0, 0, 0, 0, 0, 0)])
+def test_runs_of_any_length_give_the_same_forecasts(order):
+    """A history in one run, tick by tick and in between."""
+    from panelcast.streaming.walk_forward import run_ahead
+
+    rng = np.random.default_rng(sum(order))
+    spec = kernel.Order(*order, 4)
+    params = kernel.natural(rng.normal(size=(1, spec.size)) / 2, spec, True)[0]
+    ar, ma = kernel.polynomials(spec, params)
+    y = np.cumsum(rng.normal(size=60))
+    want = kernel.one_step(y, np.zeros((60, 0)), spec, params)
+    for cuts in ([60], [1] * 60, [2, 3, 1, 30, 24]):
+        u, e, got = np.zeros(0), np.zeros(0), []
+        for n in cuts:
+            run = y[len(u) : len(u) + n]
+            ahead, errors = run_ahead(u[max(len(u) + 1 - len(ar), 0) :], e[max(len(e) + 1 - len(ma), 0) :], run, ar, ma)
+            u, e, got = np.concatenate([u, run]), np.concatenate([e, errors]), got + ahead.tolist()
+        assert got == pytest.approx(want.tolist(), nan_ok=True, abs=1e-9)
+
+
 def test_tasks_need_no_installed_package(tmp_path):
     """Fit from a working directory where the workers cannot import the package."""
     root = Path(__file__).resolve().parents[1]
