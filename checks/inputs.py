@@ -4,6 +4,7 @@ Series are the order priorities, a week's value is its number of orders; the fin
 and status has real gaps. Daily quantities of the line items stand in for the weather.
 """
 
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,10 +15,13 @@ from panelcast.functions.windows import whole
 from panelcast.operators import arima
 from panelcast.operators import panel as pn
 from panelcast.plans import features as ft
+from panelcast.plans.forecast import weekly_facts
+from panelcast.sources import readers
 
 START, END, SPLIT = "1995-01-01", "2001-07-29", "2000-01-02"
 COVID = cal.Period(date(1998, 3, 1), date(1999, 6, 30))
 CFG = ft.FeatureConfig(START, END, lead_codes=("LOW",), covid=COVID)
+LEAD_CFG = replace(CFG, targets=("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"))
 EXOG = ("tmean_c", "tmean_lag1", "tmean_lag2", "LOW_ILI_LAG1", "school_in_session")
 SPEC = arima.SarimaxSpec(exog=EXOG)
 
@@ -38,8 +42,11 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fine_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
+def fine_facts(spark: SparkSession, sf_dir: str, on_grid_only: bool = False) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    if on_grid_only:
+        orders = readers.between_days(orders, "o_orderdate", START, END, "week")
+    return orders.select(
         F.concat_ws("/", "o_orderpriority", "o_orderstatus").alias("series_id"),
         cal.week_starting(order_day()).alias("week_start"),
         F.lit(1.0).alias("value"),
@@ -47,13 +54,39 @@ def fine_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The order priorities and states, the dimension of the panels made of them.
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+STATES = ("F", "O", "P")
+
+
+def fine_series(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(f"{p}/{s}",) for p in PRIORITIES for s in STATES], "series_id string")
+
+
+def supplier_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items by supplier and week, without what was shipped off the grid."""
+    items = readers.between_days(table(spark, sf_dir, "lineitem"), "l_shipdate", START, END, "week")
+    return items.select(
+        F.col("l_suppkey").alias("series_id"),
+        cal.week_starting(F.col("l_shipdate").cast("date")).alias("week_start"),
+        F.lit(1.0).alias("value"),
+    )
+
+
+def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("series_id"))
+
+
+def supplier_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Filled target of every supplier, with part: many series."""
+    filled = ft.target(supplier_facts(spark, sf_dir), CFG, series=suppliers(spark, sf_dir))
+    return pn.split(filled, SPLIT, bounds=(START, END))
+
+
 def lead_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Finished low-priority orders under the code LOW."""
-    return (
-        fine_facts(spark, sf_dir)
-        .filter(F.col("series_id") == "5-LOW/F")
-        .withColumn("series_id", F.lit("LOW"))
-    )
+    low = table(spark, sf_dir, "orders").filter("o_orderpriority = '5-LOW' AND o_orderstatus = 'F'")
+    return low.select(F.lit("LOW").alias("series_id"), cal.week_starting(order_day()).alias("week_start"), F.lit(1.0).alias("value"))
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +103,8 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fine_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pn.weekly_panel(fine_facts(spark, sf_dir), START, END)
+    facts = fine_facts(spark, sf_dir, on_grid_only=True)
+    return pn.weekly_panel(facts, START, END, series=fine_series(spark))
 
 
 def split_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,10 +117,21 @@ def flagged(df: DataFrame) -> DataFrame:
     return df.withColumn("is_season", (F.col("y") > F.avg("y").over(whole(["series_id"]))).cast("int"))
 
 
-def matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ft.feature_matrix(
-        facts(spark, sf_dir), CFG, lead_facts(spark, sf_dir), weather(spark, sf_dir)
+def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly sums of targets and the leading series from one scan: a finished low-priority order counts for both."""
+    lead = F.when((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "F"), F.lit("LOW"))
+    orders = readers.between_days(table(spark, sf_dir, "orders"), "o_orderdate", START, END, "week")
+    both = orders.select(
+        F.explode(F.array_compact(F.array("o_orderpriority", lead))).alias("series_id"),
+        cal.week_starting(order_day()).alias("week_start"),
+        F.lit(1.0).alias("value"),
     )
+    return weekly_facts(both, LEAD_CFG)
+
+
+def matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sums = weekly(spark, sf_dir)
+    return ft.feature_matrix(sums, LEAD_CFG, sums, weather(spark, sf_dir))
 
 
 def split_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:

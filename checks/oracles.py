@@ -320,6 +320,16 @@ sql("p17_j7_future_regressors", f"""{MATRIX}, {FUTURE},
 
 for _name in ("j1_grid_left_join", "j1_a1_weekly_panel"):
     sql(_name, FINE_PANEL, f"SELECT series_id, {iso('week_start')}, year, week, {r6('y')} FROM panel")
+SUPPLIER_FACTS = (
+    f"facts AS (SELECT s_suppkey AS series_id, {week_starting('CAST(l_shipdate AS DATE)')} AS week_start, "
+    "CASE WHEN l_shipdate IS NOT NULL THEN 1.0 END AS value FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey)"
+)
+sql("j1_a1_supplier_panel", f"{SUPPLIER_FACTS}, {panel_ctes()}",
+    f"SELECT series_id, {iso('week_start')}, year, week, {r6('y')} FROM panel")
+sql("e7_supplier_evaluation", FULL.replace(FACTS, SUPPLIER_FACTS),
+    f"SELECT series_id, model, section, {columns(FULL_NAMES)} FROM scores")
+sql("a1_weekly_store", FINE_PANEL, f"""SELECT series_id, {iso('week_start')}, year, week, {r6('y')} FROM panel
+    WHERE week_start BETWEEN DATE '1998-01-01' AND DATE '1999-12-31'""")
 sql("j2_leading_series_join", MATRIX, f"""SELECT series_id, {iso('week_start')}, {r6('y')}, {r6('LOW_ILI_CASE')},
     {r6('LOW_ILI_LAG1')}, {r6('LOW_delta_1w')} FROM matrix""")
 sql("j3_temperature_join", MATRIX, f"""SELECT series_id, {iso('week_start')}, {r6('tmean_c')}, {r6('tmean_lag1')},

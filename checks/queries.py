@@ -17,7 +17,7 @@ from panelcast.operators import sequence as sq
 from panelcast.plans import features as ft
 from panelcast.plans.forecast import RunConfig, rolling_predictions, run, scored_baselines
 from panelcast.session import new_path, stage
-from panelcast.sources import readers, writers
+from panelcast.sources import readers, weekly_store, writers
 from panelcast.streaming.walk_forward import score_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,12 @@ def labelled(spark, sf_dir):
     return seasons.detect(flagged_split(spark, sf_dir), min_weeks=2)
 
 
+def season_blocks(spark, sf_dir):
+    """One row per run of flagged and other weeks, seasons labelled."""
+    weeks = flagged_split(spark, sf_dir).select("series_id", "week_start", "y", "is_season")
+    return seasons.season_blocks(weeks, min_weeks=2)
+
+
 def predictions(spark, sf_dir):
     return scored_baselines(flagged_split(spark, sf_dir), ["series_id"])
 
@@ -310,9 +316,29 @@ def j1_a1_weekly_panel(spark, sf_dir):
     return inp.fine_panel(spark, sf_dir)
 
 
+@query
+def j1_a1_supplier_panel(spark, sf_dir):
+    """Many series, named by their dimension table; what was shipped off the grid is not read."""
+    return pn.weekly_panel(inp.supplier_facts(spark, sf_dir), inp.START, inp.END, series=inp.suppliers(spark, sf_dir))
+
+
+@query
+def a1_weekly_store(spark, sf_dir):
+    """A panel of two years from a table of weekly sums that was filled in three turns, one of them again."""
+    path, facts = new_path(spark, "weekly-store"), stage(inp.fine_facts(spark, sf_dir), "fine-facts")
+    cut = F.lit("1998-06-14").cast("date")
+    last = facts.filter(F.year("week_start") >= 1999)
+    for part in (facts.filter(F.col("week_start") <= cut), facts.filter((F.col("week_start") > cut) & (F.year("week_start") < 1999)), last):
+        weekly_store.add_weekly(part, path)
+    weekly_store.add_weekly(last, path, replace=True)
+    sums = weekly_store.read_weekly(spark, path, "1998-01-01", "1999-12-31")
+    return pn.weekly_panel(sums, "1998-01-01", "1999-12-31", series=inp.fine_series(spark))
+
+
 @query
 def j2_leading_series_join(spark, sf_dir):
-    return ft.feature_matrix(inp.facts(spark, sf_dir), inp.CFG, inp.lead_facts(spark, sf_dir)).select(
+    sums = inp.weekly(spark, sf_dir)
+    return ft.feature_matrix(sums, inp.LEAD_CFG, sums).select(
         "series_id", "week_start", "y", "LOW_ILI_CASE", "LOW_ILI_LAG1", "LOW_delta_1w"
     )
 
@@ -355,12 +381,12 @@ def a4_week_medians(spark, sf_dir):
 
 @query
 def a6_season_stats(spark, sf_dir):
-    return seasons.season_stats(labelled(spark, sf_dir))
+    return seasons.block_stats(season_blocks(spark, sf_dir))
 
 
 @query
 def a7_cross_season_summary(spark, sf_dir):
-    return seasons.cross_season_summary(seasons.season_stats(labelled(spark, sf_dir)))
+    return seasons.cross_season_summary(seasons.block_stats(season_blocks(spark, sf_dir)))
 
 
 @query
@@ -498,7 +524,7 @@ def t3_peak_week(spark, sf_dir):
 
 @query
 def t4_m12_recent_seasons(spark, sf_dir):
-    return project.season_comparison(labelled(spark, sf_dir))
+    return seasons.recent_seasons(seasons.complete_blocks(season_blocks(spark, sf_dir)), 3)
 
 
 @query
@@ -564,6 +590,13 @@ def e7_full_evaluation(spark, sf_dir):
     return evaluate.full_evaluation(predictions(spark, sf_dir))
 
 
+@query
+def e7_supplier_evaluation(spark, sf_dir):
+    """Four baselines of every supplier by section."""
+    rows = inp.flagged(inp.supplier_split(spark, sf_dir))
+    return evaluate.full_evaluation(scored_baselines(rows, ["series_id"]))
+
+
 @query
 def a8_metric_rows(spark, sf_dir):
     return evaluate.metric_rows(evaluate.full_evaluation(predictions(spark, sf_dir)))

@@ -57,19 +57,28 @@ def weekly_panel(
     keys: Sequence[str] = KEYS,
     week: str = "week_start",
     value: str = "value",
+    series: DataFrame | None = None,
 ) -> DataFrame:
     """Weekly sums on the full Sunday grid, NULL where a series has no fact in a week.
 
     Same rows as ``join_grid(week_grid(distinct series), weekly_sum(facts))`` from a single scan:
     each observed week emits itself and the empty weeks up to the next one. Facts off the grid fold
     into one NULL slot per series, which keeps the series in the result.
+
+    ``series`` names the series (a dimension table with the keys; repeated rows do no harm). Then facts off the grid
+    need not be read: the grid's bounds become a plain filter, which reaches the scan where ``week`` is a stored column
+    (``readers.between_days`` does the same for a raw day). Series without a fact give NULLs; facts of others are kept.
     """
     first, last = cal.grid_bounds(start, end)
     d = F.col(week)
-    on_grid = d.between(F.lit(first), F.lit(last)) & (F.dayofweek(d) == 1)
-    sums = facts.groupBy(*keys, F.when(on_grid, d).alias("slot")).agg(
-        F.coalesce(F.sum(value), F.lit(0.0)).alias("total")
-    )
+    in_bounds = d.between(F.lit(first), F.lit(last))
+    if series is None:
+        rows = facts.select(*keys, F.when(in_bounds & (F.dayofweek(d) == 1), d).alias("slot"), F.col(value).alias("value"))
+    else:
+        rows = facts.filter(in_bounds & (F.dayofweek(d) == 1)).select(*keys, d.alias("slot"), F.col(value).alias("value"))
+        empty = (F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in ("slot", "value"))
+        rows = rows.unionByName(series.select(*keys, *empty))
+    sums = rows.groupBy(*keys, "slot").agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("total"))
     return _fill_slots(sums, first, last, keys, "total", "y")
 
 
@@ -148,8 +157,12 @@ def null_audit(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
     )
 
 
-def off_grid(facts: DataFrame, start, end, keys: Sequence[str] = KEYS, week: str = "week_start") -> DataFrame:
-    """Facts per series that the panel does not use, by reason; series without any are left out."""
+def off_grid(
+    facts: DataFrame, start, end, keys: Sequence[str] = KEYS, week: str = "week_start", n_facts: str | None = None
+) -> DataFrame:
+    """Facts per series that the panel does not use, by reason; series without any are left out.
+
+    ``n_facts`` names the column that says how many facts a row stands for, where it is not one."""
     first, last = cal.grid_bounds(start, end)
     d = F.col(week)
     reason = (
@@ -157,7 +170,8 @@ def off_grid(facts: DataFrame, start, end, keys: Sequence[str] = KEYS, week: str
         .when(~d.between(F.lit(first), F.lit(last)), "outside the grid")
         .when(F.dayofweek(d) != 1, "not a Sunday")
     )
-    return facts.groupBy(*keys, reason.alias("reason")).agg(F.count(F.lit(1)).alias("n_facts")).dropna(subset=["reason"])
+    count = F.sum(n_facts) if n_facts else F.count(F.lit(1))
+    return facts.groupBy(*keys, reason.alias("reason")).agg(count.alias("n_facts")).dropna(subset=["reason"])
 
 
 def without_facts(facts: DataFrame, codes: Sequence[str], code: str = "series_id") -> DataFrame:

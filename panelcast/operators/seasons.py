@@ -24,35 +24,70 @@ def with_blocks(panel: DataFrame, flag: str = "is_season", keys: Sequence[str] =
     )
 
 
+def block_table(panel: DataFrame, flag: str = "is_season", keys: Sequence[str] = KEYS) -> DataFrame:
+    """One row per run of equal flags: ``keys, block, flag``, the inclusive positions ``start`` and ``end``, ``length``, and
+    ``rows``, the run's rows in time order (at most one per grid week).
+
+    One sort by series and week makes the runs; everything about them is then work on their few rows, without a join
+    back to the weeks.
+    """
+    rows = with_blocks(panel, flag, keys)
+    row = F.struct("position", *(F.col(f"`{c}`") for c in panel.columns if c not in keys))
+    return rows.groupBy(*keys, "block").agg(
+        F.first(flag).alias("flag"),
+        F.min("position").alias("start"),
+        F.max("position").alias("end"),
+        F.count(F.lit(1)).alias("length"),
+        F.sort_array(F.collect_list(row)).alias("rows"),
+    )
+
+
 def blocks(
     panel: DataFrame, flag: str = "is_season", target: int = 1, keys: Sequence[str] = KEYS
 ) -> DataFrame:
     """Inclusive [start, end] row positions of the runs where the flag equals the target."""
-    return (
-        with_blocks(panel, flag, keys)
-        .filter(F.col(flag) == target)
-        .groupBy(*keys, "block")
-        .agg(
-            F.min("position").alias("start"),
-            F.max("position").alias("end"),
-            F.count(F.lit(1)).alias("length"),
-        )
-        .drop("block")
-    )
+    runs = block_table(panel.select(*keys, "week_start", flag), flag, keys)
+    return runs.filter(F.col("flag") == target).select(*keys, "start", "end", "length")
 
 
 def drop_short_blocks(
     panel: DataFrame, min_weeks: int = MIN_SEASON_WEEKS, keys: Sequence[str] = KEYS
 ) -> DataFrame:
     """Clear the season flag in blocks shorter than ``min_weeks``; an unknown flag stays NULL."""
-    length = F.count(F.lit(1)).over(Window.partitionBy(*keys, "block"))
-    kept = (F.col("is_season") == 1) & (length >= min_weeks)
-    return (
-        with_blocks(panel, "is_season", keys)
-        .withColumn("_kept", F.when(F.col("is_season").isNotNull(), F.when(kept, 1).otherwise(0)))
-        .withColumn("is_season", F.col("_kept"))
-        .drop("_kept", "block", "position")
+    return _weeks_of(_without_short(block_table(panel, "is_season", keys), min_weeks), panel, ["is_season"], keys)
+
+
+def _without_short(runs: DataFrame, min_weeks: int) -> DataFrame:
+    kept = (F.col("flag") == 1) & (F.col("length") >= min_weeks)
+    return runs.withColumn("is_season", F.when(F.col("flag").isNotNull(), F.when(kept, 1).otherwise(0)))
+
+
+def _weeks_of(runs: DataFrame, panel: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """The rows of the runs again, with the runs' ``columns`` in the place of their own."""
+    found = [F.col(c).alias(f"_{c}") for c in columns]
+    weeks = runs.select(*keys, *found, F.inline("rows"))
+    kept = [F.col(f"`{c}`") for c in panel.columns if c not in columns]
+    placed = {c: F.col(f"_{c}").alias(c) for c in columns}
+    order = [*panel.columns, *(c for c in columns if c not in panel.columns)]
+    return weeks.select(*kept, *placed.values()).select(*(F.col(f"`{c}`") for c in order))
+
+
+def _labelled(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Runs with their ``season_label``; see ``label_seasons``."""
+    season = F.col("is_season") == 1
+    winters = F.transform(
+        F.filter("rows", lambda r: F.month(r["week_start"]).isin(1, 2)), lambda r: F.year(r["week_start"])
+    )
+    votes = F.transform(
+        F.array_distinct(winters),
+        lambda year: F.struct(F.size(F.filter(winters, lambda other: other == year)).alias("n"), (-year).alias("less")),
     )
+    candidate = F.coalesce(-F.array_max(votes)["less"], F.year(F.get("rows", F.lit(0))["week_start"]) + 1)
+    so_far_blocks = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = runs.withColumns({"_candidate": candidate, "_j": F.sum(F.when(season, 1).otherwise(0)).over(so_far_blocks)})
+    lead = F.max(F.when(season, F.col("_candidate") - F.col("_j"))).over(so_far_blocks)
+    label = F.when(season, (F.col("_j") + lead).cast("int"))
+    return numbered.withColumn("season_label", label).drop("_candidate", "_j")
 
 
 def label_seasons(panel: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -60,40 +95,21 @@ def label_seasons(panel: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 
     The candidate is the most frequent year among the block's January and February rows (the smaller
     on ties), or else the first row's year plus one. A taken label moves up by one until free: with
-    blocks numbered j in time order and candidates that never fall, label_i = i + max(cand_j - j).
+    blocks numbered j in time order and candidates that never fall, label_i = i + max(cand_j - j), a running
+    maximum over the blocks of a series.
     """
-    rows = with_blocks(panel, "is_season", keys)
-    in_block = [*keys, "block"]
-    year = F.year("week_start")
-    winter = F.month("week_start").isin(1, 2)
-    first_row = by_time(in_block)
-    rows = rows.withColumn(
-        "_votes", F.sum(winter.cast("int")).over(Window.partitionBy(*in_block, year))
-    )
-    rows = rows.withColumns(
-        {
-            "_mode": F.max(F.when(winter, F.struct("_votes", -year))).over(whole(in_block)),
-            "_next": F.first(year).over(first_row) + 1,
-            "_starts": F.when(
-                (F.col("is_season") == 1) & (F.row_number().over(first_row) == 1), 1
-            ).otherwise(0),
-        }
-    )
-    candidate = F.coalesce(-F.col("_mode.col2"), F.col("_next"))
-    rows = rows.withColumn("_j", F.sum("_starts").over(so_far(keys)))
-    rows = rows.withColumn(
-        "_lead",
-        F.max(F.when(F.col("is_season") == 1, candidate - F.col("_j"))).over(so_far(keys)),
-    )
-    label = F.when(F.col("is_season") == 1, (F.col("_j") + F.col("_lead")).cast("int"))
-    return rows.withColumn("season_label", label).drop(
-        "_votes", "_mode", "_next", "_starts", "_j", "_lead", "block", "position"
-    )
+    runs = block_table(panel, "is_season", keys).withColumn("is_season", F.col("flag"))
+    return _weeks_of(_labelled(runs, keys), panel, ["season_label"], keys)
+
+
+def season_blocks(panel: DataFrame, min_weeks: int = MIN_SEASON_WEEKS, keys: Sequence[str] = KEYS) -> DataFrame:
+    """The block table with ``is_season`` after short blocks are out, and ``season_label``."""
+    return _labelled(_without_short(block_table(panel, "is_season", keys), min_weeks), keys)
 
 
 def detect(panel: DataFrame, min_weeks: int = MIN_SEASON_WEEKS, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Short blocks out, the rest labelled."""
-    return label_seasons(drop_short_blocks(panel, min_weeks, keys), keys)
+    """Short blocks out, the rest labelled, from one block table."""
+    return _weeks_of(season_blocks(panel, min_weeks, keys), panel, ["is_season", "season_label"], keys)
 
 
 def first_peak(value: str = "y", date: str = "week_start") -> Column:
@@ -106,7 +122,7 @@ def peak_date(peak: str) -> Column:
 
 
 def season_stats(panel: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """One row per season: onset, first peak and end with ISO weeks, length, peak and total."""
+    """One row per season of a labelled panel: onset, first peak and end with ISO weeks, length, peak and total."""
     grouped = (
         panel.filter(F.col("season_label").isNotNull())
         .groupBy(*keys, "season_label")
@@ -117,9 +133,12 @@ def season_stats(panel: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
             F.sum("y").alias("total_ili_burden"),
             first_peak().alias("peak"),
         )
-        .withColumn("peak_date", peak_date("peak"))
     )
-    return grouped.select(
+    return _stats(grouped, keys)
+
+
+def _stats(grouped: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return grouped.withColumn("peak_date", peak_date("peak")).select(
         *keys,
         "season_label",
         "onset_date",
@@ -134,6 +153,38 @@ def season_stats(panel: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     )
 
 
+def _total(rows: str = "rows") -> Column:
+    known = F.filter(rows, lambda r: r["y"].isNotNull())
+    summed = F.aggregate(known, F.lit(0.0), lambda total, r: total + r["y"])
+    return F.when(F.size(known) > 0, summed)
+
+
+def block_stats(runs: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """``season_stats`` of a table from ``season_blocks``: one row of it is one season, so nothing is grouped again."""
+    peak = F.array_max(
+        F.transform("rows", lambda r: F.struct(r["y"].alias("value"), (-F.unix_date(r["week_start"])).alias("neg_day")))
+    )
+    seasons = runs.filter(F.col("season_label").isNotNull()).select(
+        *keys, "season_label",
+        F.get("rows", F.lit(0))["week_start"].alias("onset_date"),
+        F.element_at("rows", -1)["week_start"].alias("end_date"),
+        F.col("length").alias("duration_weeks"),
+        _total().alias("total_ili_burden"),
+        peak.alias("peak"),
+    )
+    return _stats(seasons, keys)
+
+
+def complete_blocks(runs: DataFrame, keys: Sequence[str] = KEYS, min_weeks: int = 10) -> DataFrame:
+    """``complete_seasons`` of a table from ``season_blocks``: a trailing season is the last block of its series."""
+    last = F.col("block") == F.max("block").over(whole(keys))
+    found = runs.withColumn("_open", last & (F.col("length") < min_weeks)).filter(F.col("season_label").isNotNull())
+    return found.filter(~F.col("_open")).select(
+        *keys, "season_label", F.array_max(F.transform("rows", lambda r: r["y"])).alias("peak"), _total().alias("total"),
+        F.col("length").alias("n_weeks"),
+    )
+
+
 # The columns summarised across seasons, and the statistics.
 SUMMARY_COLUMNS = ("duration_weeks", "onset_week", "peak_week", "peak_ili", "total_ili_burden")
 SUMMARY_STATISTICS = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}

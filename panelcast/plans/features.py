@@ -43,9 +43,9 @@ class FeatureConfig:
         return cal.grid_size(self.start, self.end)
 
 
-def target(facts: DataFrame, cfg: FeatureConfig, fill: bool = True) -> DataFrame:
-    """Weekly target on the grid, interpolated; ``fill`` also closes a leading gap."""
-    panel = pn.weekly_panel(facts.filter(cfg.is_target()), cfg.start, cfg.end, cfg.keys)
+def target(facts: DataFrame, cfg: FeatureConfig, fill: bool = True, series: DataFrame | None = None) -> DataFrame:
+    """Weekly target on the grid, interpolated; ``fill`` also closes a leading gap. ``series``: see ``weekly_panel``."""
+    panel = pn.weekly_panel(facts.filter(cfg.is_target()), cfg.start, cfg.end, cfg.keys, series=series)
     panel = sq.interpolate(panel, "y", cfg.keys)
     if fill:
         panel = sq.fill_back_then_forward(panel, ["y"], cfg.keys)
@@ -101,6 +101,7 @@ def feature_matrix(
     cfg: FeatureConfig,
     lead_facts: DataFrame | None = None,
     weather: DataFrame | None = None,
+    series: DataFrame | None = None,
 ) -> DataFrame:
     """The full matrix, one row per series and grid week.
 
@@ -108,7 +109,7 @@ def feature_matrix(
     frame has one row per grid week and is broadcast. Weather joins on station and week if the panel
     has a ``station`` column; else the configured station, again one row per grid week, serves all.
     """
-    out = target(facts, cfg, fill=lead_facts is not None)
+    out = target(facts, cfg, fill=lead_facts is not None, series=series)
     if lead_facts is not None:
         lead = lead_features(lead_facts, cfg)
         out = out.join(pn.broadcast_if_bounded(lead, cfg.n_weeks), "week_start", "left")

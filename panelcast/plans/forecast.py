@@ -12,6 +12,7 @@ from panelcast.operators import panel as pn
 from panelcast.operators.holidays import HolidayRules, holiday_table
 from panelcast.plans.features import FeatureConfig, feature_matrix
 from panelcast.session import stage
+from panelcast.sources.weekly_store import weekly_counts
 from panelcast.sources.writers import write_features, write_table
 
 
@@ -25,6 +26,8 @@ class RunConfig:
     bands: tuple[int, ...] = evaluate.BANDS
     n_weeks: int = project.N_WEEKS
     auto_order: bool = False
+    # Count the facts that the grid has no place for; without it they are not read where the scan can leave them out.
+    count_unused: bool = True
 
     def __post_init__(self):
         start, cut, end = (cal.as_date(d) for d in (self.features.start, self.split_date, self.features.end))
@@ -47,11 +50,16 @@ def rolling_predictions(panel: DataFrame, rolling: DataFrame, keys: Sequence[str
     )
 
 
-def weekly_facts(facts: DataFrame, cfg: FeatureConfig) -> DataFrame:
-    """Weekly sums of targets and leading series, still in the form of facts. Staged, they let both
-    come from one scan of the raw rows."""
+def weekly_facts(facts: DataFrame, cfg: FeatureConfig, on_grid_only: bool = False) -> DataFrame:
+    """Weekly sums of targets and leading series with the number of facts, still in the form of facts. Staged, they let
+    targets, leading series and the count of unused facts come from one scan of the raw rows.
+
+    ``on_grid_only`` leaves out what lies outside the grid, at the scan where the week is a stored column."""
     wanted = facts.filter(cfg.is_target() | cfg.is_lead())
-    return stage(pn.weekly_sum(wanted, cfg.keys).withColumnRenamed("y", "value"), "weekly")
+    if on_grid_only:
+        first, last = cal.grid_bounds(cfg.start, cfg.end)
+        wanted = wanted.filter(F.col("week_start").between(F.lit(first), F.lit(last)))
+    return stage(weekly_counts(wanted, cfg.keys), "weekly")
 
 
 def run(
@@ -68,7 +76,7 @@ def run(
     weekly rows and parameters, and no model is fitted twice.
     """
     keys, spec = cfg.features.keys, cfg.sarimax
-    weekly = weekly_facts(facts, cfg.features)
+    weekly = weekly_facts(facts, cfg.features, not cfg.count_unused)
     leads = weekly if lead_facts is None else lead_facts
     matrix = stage(feature_matrix(weekly, cfg.features, leads, weather), "features")
     states = stage(hmm.fit_decode(matrix, cfg.states, keys), "hmm")
@@ -81,7 +89,8 @@ def run(
     # What the engine closed or could not use: gaps before interpolation, facts off the grid, codes without facts.
     raw = pn.weekly_panel(weekly.filter(cfg.features.is_target()), *bounds, keys)
     out["null_audit"] = pn.null_audit(raw, ["y"])
-    out["unused_facts"] = pn.off_grid(facts.filter(cfg.features.is_target()), *bounds, keys)
+    if cfg.count_unused:
+        out["unused_facts"] = pn.off_grid(weekly.filter(cfg.features.is_target()), *bounds, keys, n_facts="n_facts")
     if cfg.features.targets:
         out["missing_codes"] = pn.without_facts(weekly, cfg.features.targets, cfg.features.code)
     orders = None

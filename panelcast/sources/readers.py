@@ -1,11 +1,12 @@
 """Raw inputs. CSV columns come in as text and are cast leniently; only the used ones are read."""
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelcast.functions.calendar import week_starting
+from panelcast.functions.calendar import grid_bounds, week_starting
 from panelcast.functions.scalars import lenient_date, lenient_double
 
 # Column names and name fragments of the raw files, and their date formats.
@@ -43,6 +44,15 @@ def read_facts(
     )
 
 
+def between_days(raw: DataFrame, day: str, start, end, bucket: str = "as_is") -> DataFrame:
+    """Raw rows whose day can belong to the Sunday grid of [start, end]; with ``bucket="week"`` days up to the Saturday
+    after its last Sunday do. The bounds are literals of the column's own type, so they reach the scan."""
+    first, last = grid_bounds(start, end)
+    after = last + timedelta(days=7 if bucket == "week" else 1)
+    kind = raw.schema[day].dataType
+    return raw.filter((F.col(day) >= F.lit(first).cast(kind)) & (F.col(day) < F.lit(after).cast(kind)))
+
+
 def for_series(facts: DataFrame, codes: Sequence[str]) -> DataFrame:
     """Rows of the given series; the filter reaches the scan."""
     return facts.filter(F.col("series_id").isin(*codes))

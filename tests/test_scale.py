@@ -40,6 +40,44 @@ def test_filters_reach_the_scan(spark):
     assert re.search(r"PushedFilters: \[.*In\(o_orderpriority, \[1-URGENT,5-LOW\]\)", text)
 
 
+def test_grid_bounds_reach_the_scan(spark):
+    """What lies outside the grid is not read where the series are known from elsewhere."""
+    bound = r"GreaterThanOrEqual\({0},1995-01-01.*LessThan\({0},2"
+    for name, column in (("j1_a1_weekly_panel", "o_orderdate"), ("j1_a1_supplier_panel", "l_shipdate")):
+        text = plan(spark, name)
+        assert re.search(r"PushedFilters: \[[^\]]*" + bound.format(column), text), name
+        assert "partial_sum" in text[text.rindex("Exchange hashpartitioning"):]
+
+
+def test_stored_weekly_sums_are_pruned_by_year(spark, tmp_path):
+    from panelcast.sources import weekly_store
+
+    weekly_store.add_weekly(inp.fine_facts(spark, SF), str(tmp_path / "weeks"))
+    rows = weekly_store.read_weekly(spark, str(tmp_path / "weeks"), "1998-01-01", "1999-12-31")
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*year#\d+ >= 1998.*year#\d+ <= 1999", text)
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(week_start,1998-01-04", text)
+
+
+def test_matrix_reads_the_facts_once(spark):
+    """Targets and leading series come from one staged table of weekly sums; the weather reads the line items."""
+    text = plan(spark, "j2_leading_series_join")
+    assert "orders.parquet" not in text and text.count("FileScan") == 2
+    assert plan(spark, "feature_matrix").count("lineitem.parquet") <= 1
+
+
+@pytest.mark.parametrize("name, sorts", [("w11_season_labels", 3), ("a6_season_stats", 3), ("t4_m12_recent_seasons", 4)])
+def test_seasons_are_made_on_blocks(spark, name, sorts):
+    text = plan(spark, name)
+    assert len(re.findall(r"\bSort \[", text)) <= sorts and "SortAggregate" not in text
+    assert text.count("Exchange hashpartitioning") == 2 and "Join" not in text
+
+
+def test_dates_of_holidays_are_hashed_before_the_first_exchange(spark):
+    text = plan(spark, "t2_one_per_date")
+    assert "SortAggregate" not in text[text.rindex("Exchange"):]
+
+
 def test_no_query_crosses_tables(spark):
     light = [n for n in QUERIES if not re.match(r"(s|m|st)\d|full_run", n)]
     for name in light:

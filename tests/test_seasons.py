@@ -1,3 +1,4 @@
+import random
 from datetime import date, timedelta
 
 import pytest
@@ -144,3 +145,24 @@ def test_trailing_season_cut_off_by_the_data_is_left_out(weekly):
     assert [r["season_label"] for r in seasons.complete_seasons(rows).collect()] == [2024]
     longer = rows.withColumn("season_label", F.when(F.col("y") < 12, 2024).when(F.col("y") >= 30, 2025))
     assert {r["season_label"] for r in seasons.complete_seasons(longer).collect()} == {2024, 2025}
+
+
+def test_block_table_gives_what_the_weeks_give(spark, weekly):
+    """Labels, statistics and complete seasons of runs against those grouped from the weeks; unknown flags stay NULL."""
+    rng = random.Random(6)
+    flags = {k: [rng.choice((0, 0, 1, 1, None)) if rng.random() < 0.3 else int((i // 11) % 2) for i in range(170)] for k in "abc"}
+    flags["c"] = [None] * 100 + [1] * 70
+    panel = weekly(name="is_season", **flags).withColumn("is_season", F.col("is_season").cast("int"))
+    panel = panel.withColumn("y", F.when(F.rand(3) > 0.1, F.round(F.rand(1) * 9)))
+    panel = spark.createDataFrame(panel.collect(), panel.schema)
+    for least in (1, 4):
+        found = seasons.detect(panel, least)
+        assert found.columns == [*panel.columns, "season_label"] and found.count() == 510
+        before = {(r.series_id, r.week_start): r for r in panel.collect()}
+        assert all(before[r.series_id, r.week_start].y == r.y for r in found.collect())
+        runs = seasons.season_blocks(panel, least)
+        assert sorted(seasons.block_stats(runs).collect()) == sorted(seasons.season_stats(found).collect())
+        whole = seasons.complete_seasons(found).select("series_id", "season_label", "peak", "total", "n_weeks")
+        assert sorted(seasons.complete_blocks(runs).collect()) == sorted(whole.collect())
+        unknown = found.filter("is_season IS NULL").count()
+        assert unknown == sum(f is None for v in flags.values() for f in v)
