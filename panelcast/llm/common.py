@@ -36,10 +36,10 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, {}
 
-    def stage(self, df: DataFrame, label: str) -> DataFrame:
-        """Write ``df`` into the shared folder and go on from the copy."""
+    def stage(self, df: DataFrame, label: str, **options: str) -> DataFrame:
+        """Write ``df`` into the shared folder, with Parquet options, and go on from the copy."""
         path = new_path(self.spark, label)
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         copy = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(copy)] = (copy, path)
         return copy

@@ -306,7 +306,7 @@ def collocations(
     if max_words < 2:
         raise ValueError("a phrase has two words or more")
     scratch = Scratch(docs.sparkSession)
-    dictionary = scratch.stage(parse(docs, max_words, modulus, text, lang), "chunks")
+    dictionary = scratch.stage(parse(docs, max_words, modulus, text, lang), "chunks", compression="zstd")
     totals = dictionary.groupBy("lang").agg(F.sum(F.col("times") * F.col("n_words")).alias("n"))
     totals = scratch.stage(totals, "words")
     frequent = frequent_phrases(dictionary, min_count, max_words, filter_bits, scratch)
