@@ -256,6 +256,10 @@ sql("s2_lenient_numbers", "", f"""SELECT o_orderkey,
 sql("s3_lenient_dates", "", f"""SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN strftime({DAY}, '%Y-%m-%d') END AS day
     FROM orders""")
 sql("s4_weather_csv", WEATHER, f"SELECT 'all' AS station, {iso('week_start')}, {r6('tmean_c')} FROM weekly_t")
+sql("s4_weather_stations", f"""
+    daily AS (SELECT l_returnflag AS station, CAST(l_shipdate AS DATE) AS date, max(l_quantity) AS tmax, min(l_quantity) AS tmin
+        FROM lineitem GROUP BY ALL)""",
+    f"""SELECT station, {iso(week_ending('date'), 'week_start')}, {r6('avg((tmax + tmin) / 2)', 'tmean_c')} FROM daily GROUP BY ALL""")
 sql("s5_p2_holiday_csv", "", f"""SELECT {iso(DAY, 'ds')}, o_orderpriority AS name, count(*) AS n FROM orders
     GROUP BY {DAY}, o_orderpriority""")
 sql("s7_feature_matrix_parquet", MATRIX,
@@ -647,7 +651,9 @@ LIKELIHOOD = f"""{HMM_SQL},
         ELSE ln((a0 * {_T00} + (1 - a0) * {_T10}) * exp(b0) + (a0 * {_T01} + (1 - a0) * {_T11}) * exp(b1)) END) AS ll
         FROM parts GROUP BY ALL)"""
 sql("m5_hmm_quality_given", LIKELIHOOD, f"""SELECT series_id, {r6('ll', 'log_likelihood')}, {r6('-2 * ll + 12', 'aic')},
-    {r6('-2 * ll + 6 * ln(n)', 'bic')} FROM total""", recursive=True)
+    {r6('-2 * ll + 6 * ln(n)', 'bic')}, {r6('7.0', 'state_means_0')}, {r6('11.0', 'state_means_1')},
+    {r6('6.0', 'state_covariances_0')}, {r6('9.0', 'state_covariances_1')}, {r6(str(_T00), 'move_00')}, {r6(str(_T01), 'move_01')},
+    {r6(str(_T10), 'move_10')}, {r6(str(_T11), 'move_11')} FROM total""", recursive=True)
 
 
 def r4(expr: str, name: str) -> str:
@@ -694,6 +700,52 @@ sql("m12_m13_next_season_given", f"""{FACTS}, {TARGET}, {origin('TRUE')}, {path(
     {r6(floor0(f"exp(s.log_hat + {1.959963984540054 * AR1['sigma2'] ** 0.5}) - 1"), 'peak_upper')}
     FROM peaks p JOIN stand_in s ON s.series_id = p.series_id AND s.week_start = p.peak_date""", recursive=True)
 
+# Two states that do not overlap: the fit ends at their moments (with the variance prior) and at counted moves.
+WINTER = f"""{FACTS}, {TARGET},
+    planted AS (SELECT * REPLACE (y + 1000 * winter AS y), winter AS is_season FROM (
+        SELECT *, CASE WHEN month(week_start) IN (11, 12, 1, 2, 3) THEN 1 ELSE 0 END AS winter FROM target))"""
+PLANTED = f"""{WINTER},
+    steps AS (SELECT *, lag(winter) OVER ({W}) AS before FROM planted),
+    state AS (SELECT series_id, winter AS s, avg(y) AS mu, (0.01 + count(*) * var_pop(y)) / count(*) AS v FROM planted GROUP BY ALL),
+    moves AS (SELECT series_id, before AS s, avg(winter) AS up FROM steps WHERE before IS NOT NULL GROUP BY ALL),
+    scored AS (SELECT t.series_id, count(*) AS n, sum(-0.5 * (ln(2 * pi() * v) + (y - mu) * (y - mu) / v)
+            + CASE WHEN before IS NULL THEN 0 ELSE ln(CASE WHEN winter = 1 THEN m.up ELSE 1 - m.up END) END) AS ll,
+            arg_min(winter, week_start) AS first
+        FROM steps t JOIN state s ON s.series_id = t.series_id AND s.s = winter
+        LEFT JOIN moves m ON m.series_id = t.series_id AND m.s = before GROUP BY ALL),
+    fitted AS (SELECT c.*, a.mu AS mu0, b.mu AS mu1, a.v AS v0, b.v AS v1, p.up AS up0, q.up AS up1 FROM scored c
+        JOIN state a ON a.series_id = c.series_id AND a.s = 0 JOIN state b ON b.series_id = c.series_id AND b.s = 1
+        JOIN moves p ON p.series_id = c.series_id AND p.s = 0 JOIN moves q ON q.series_id = c.series_id AND q.s = 1)"""
+_FLAT = f"""{r6('ll', 'log_likelihood')}, {r6('mu0', 'state_means_0')}, {r6('mu1', 'state_means_1')},
+    {r6('v0', 'state_covariances_0')}, {r6('v1', 'state_covariances_1')}, {r6('1 - up0', 'move_00')}, {r6('up0', 'move_01')},
+    {r6('1 - up1', 'move_10')}, {r6('up1', 'move_11')}"""
+sql("m1_hmm_fit_planted", PLANTED, f"""SELECT series_id, CAST(1 - first AS DOUBLE) AS start_0, CAST(first AS DOUBLE) AS start_1,
+    TRUE AS converged, 1 AS season_state, {_FLAT} FROM fitted""")
+sql("m5_hmm_quality_planted", PLANTED, f"""SELECT series_id, {r6('12 - 2 * ll', 'aic')}, {r6('6 * ln(n) - 2 * ll', 'bic')}, {_FLAT}
+    FROM fitted""")
+sql("m4_hmm_seasons_planted", f"{WINTER}, {short_ctes(4).replace('FROM flagged', 'FROM planted')}, {LABEL}",
+    f"""SELECT series_id, {iso('week_start')}, winter AS hmm_state, CAST(winter AS DOUBLE) AS season_prob, is_season, season_label
+    FROM labelled""", recursive=True)
+
+# Two lags, and two regressors: normal equations of two unknowns.
+NORMAL = """
+    sums AS (SELECT series_id, count(*) AS n, sum(a * a) AS aa, sum(a * b) AS ab, sum(b * b) AS bb, sum(a * z) AS az, sum(b * z) AS bz
+        FROM usable GROUP BY ALL),
+    solved AS (SELECT *, (az * bb - bz * ab) / (aa * bb - ab * ab) AS c1, (bz * aa - az * ab) / (aa * bb - ab * ab) AS c2 FROM sums),
+    error AS (SELECT u.series_id, any_value(c1) AS c1, any_value(c2) AS c2, count(*) AS n, avg(pow(z - c1 * a - c2 * b, 2)) AS s2
+        FROM usable u JOIN solved s ON s.series_id = u.series_id GROUP BY u.series_id)"""
+for _name, _column, _a, _b in (
+    ("m6_fit_two_lags", "ar", f"lag(log_y, 1) OVER ({W})", f"lag(log_y, 2) OVER ({W})"),
+    ("m6_fit_two_regressors", "beta", f"CAST({in_session('week_start')} AS DOUBLE)", since_school("week_start")),
+):
+    sql(_name, f"""{FACTS}, {TARGET},
+    terms AS (SELECT series_id, part, log_y AS z, {_a} AS a, {_b} AS b FROM target),
+    usable AS (SELECT * FROM terms WHERE part = 'train' AND a IS NOT NULL AND b IS NOT NULL), {NORMAL}""",
+    f"""SELECT series_id, {r4('c1', f'{_column}_1')}, {r4('c2', f'{_column}_2')}, {r4('s2', 'sigma2')},
+    {r4(aic('n', 's2', 3), 'aic')}, n AS nobs FROM error""")
+sql("s7_m6_bucketed_suppliers", ONE_LAG.replace(FACTS, SUPPLIER_FACTS), f"""SELECT series_id,
+    {r6('round(phi, 3)', 'ar')}, {r6('round(lag_s2, 3)', 'sigma2')}, n AS nobs FROM error""")
+
 # -- diagnostic tables ----------------------------------------------------------------------------
 
 sql("d1_forecast_frame", BASE, f"""SELECT t.series_id, {iso('t.week_start', 'week_start')}, t.part, {r6('t.y', 'actual')},

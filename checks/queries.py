@@ -139,6 +139,18 @@ def s4_weather_csv(spark, sf_dir):
     return pn.weekly_mean_temperature(readers.read_weather(spark, path))
 
 
+@query
+def s4_weather_stations(spark, sf_dir):
+    """A file of several stations: each keeps its own weeks."""
+    path = new_path(spark, "stations-csv")
+    daily = inp.table(spark, sf_dir, "lineitem").groupBy("l_returnflag", F.col("l_shipdate").cast("date").alias("day"))
+    daily.agg(F.max("l_quantity").alias("tmax"), F.min("l_quantity").alias("tmin")).select(
+        F.col("l_returnflag").alias("Station Name"), F.date_format("day", "d-M-yyyy").alias("Obs Date"),
+        F.col("tmax").alias("Temp MAX"), F.col("tmin").alias("Temp MIN"),
+    ).write.csv(path, header=True)
+    return pn.weekly_mean_temperature(readers.read_weather(spark, path))
+
+
 @query
 def s5_p2_holiday_csv(spark, sf_dir):
     path = new_path(spark, "holiday-csv")
@@ -646,8 +658,41 @@ def m4_hmm_seasons_given(spark, sf_dir):
 @query
 def m5_hmm_quality_given(spark, sf_dir):
     fitted = hmm_given(inp.split_panel(spark, sf_dir))
-    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("covars", "array<double>"), ("transmat", "array<array<double>>"))]
-    return hmm.quality(fitted.select("*", *nothing)).select("series_id", "log_likelihood", "aic", "bic")
+    return flat_quality(hmm.quality(fitted))
+
+
+def flat_quality(rows):
+    """Arrays as columns, which SQL can compare."""
+    vectors = [F.get(c, F.lit(i)).alias(f"{c}_{i}") for c in ("state_means", "state_covariances") for i in (0, 1)]
+    moves = [F.get(F.get("transition_matrix", F.lit(i)), F.lit(j)).alias(f"move_{i}{j}") for i in (0, 1) for j in (0, 1)]
+    return rows.select("series_id", "log_likelihood", "aic", "bic", *vectors, *moves)
+
+
+def planted(spark, sf_dir):
+    """Weekly orders with a step of 1 000 from November to March: two states that do not overlap."""
+    winter = F.when(F.month("week_start").isin(11, 12, 1, 2, 3), 1_000.0).otherwise(0.0)
+    return inp.split_panel(spark, sf_dir).withColumn("y", F.col("y") + winter)
+
+
+@query
+def m1_hmm_fit_planted(spark, sf_dir):
+    """Where the states do not overlap, the fit ends at the moments of each and the counts of the moves."""
+    fitted = hmm.season_state(hmm.fit_decode(planted(spark, sf_dir)))
+    start = [F.get("startprob", F.lit(i)).alias(f"start_{i}") for i in (0, 1)]
+    quality = flat_quality(hmm.quality(fitted)).drop("aic", "bic")
+    return fitted.select("series_id", *start, "converged", "season_state").join(quality, "series_id")
+
+
+@query
+def m4_hmm_seasons_planted(spark, sf_dir):
+    rows = stage(planted(spark, sf_dir), "planted")
+    found = hmm.detect_seasons(rows, hmm.fit_decode(rows))
+    return found.select("series_id", "week_start", "hmm_state", "season_prob", "is_season", "season_label")
+
+
+@query
+def m5_hmm_quality_planted(spark, sf_dir):
+    return flat_quality(hmm.quality(hmm.fit_decode(planted(spark, sf_dir))))
 
 
 @query
@@ -676,6 +721,34 @@ def m6_fit_one_lag(spark, sf_dir):
     return to_places(rows.select("series_id", F.get("ar", F.lit(0)).alias("ar"), "sigma2", "aic", "nobs"), 4, "ar", "sigma2", "aic")
 
 
+TWO_LAGS = arima.SarimaxSpec((2, 0, 0), (0, 0, 0, 1), ())
+TWO_REGRESSORS = arima.SarimaxSpec((0, 0, 0), (0, 0, 0, 1), ("school_in_session", "weeks_since_school"))
+
+
+@query
+def m6_fit_two_lags(spark, sf_dir):
+    rows = arima.fit(inp.split_panel(spark, sf_dir).filter("part = 'train'"), TWO_LAGS)
+    lags = [F.get("ar", F.lit(i)).alias(f"ar_{i + 1}") for i in (0, 1)]
+    return to_places(rows.select("series_id", *lags, "sigma2", "aic", "nobs"), 4, "ar_1", "ar_2", "sigma2", "aic")
+
+
+@query
+def m6_fit_two_regressors(spark, sf_dir):
+    panel = ft.calendar_features(inp.split_panel(spark, sf_dir), inp.CFG).filter("part = 'train'")
+    betas = [F.get("beta", F.lit(i)).alias(f"beta_{i + 1}") for i in (0, 1)]
+    rows = arima.fit(panel, TWO_REGRESSORS).select("series_id", *betas, "sigma2", "aic", "nobs")
+    return to_places(rows, 4, "beta_1", "beta_2", "sigma2", "aic")
+
+
+@query
+def s7_m6_bucketed_suppliers(spark, sf_dir):
+    """The matrix of many series as a bucketed table, and a fit of each where its part lies."""
+    name = new_path(spark, "suppliers").rsplit("/", 1)[1].replace("-", "_")
+    rows = writers.write_bucketed(inp.supplier_split(spark, sf_dir), name, new_path(spark, name), ["series_id"], 8)
+    models = arima.fit(rows.filter("part = 'train'"), ONE_LAG, placed=True)
+    return to_places(models.select("series_id", F.get("ar", F.lit(0)).alias("ar"), "sigma2", "nobs"), 3, "ar", "sigma2")
+
+
 @query
 def m9_order_one_lag(spark, sf_dir):
     bounds = {"p": 1, "d": 0, "q": 0, "P": 0, "D": 0, "Q": 0}
@@ -769,7 +842,7 @@ def m9_auto_order(spark, sf_dir):
 @query
 def m10_grid_search(spark, sf_dir):
     found = arima.grid_search(stage(inp.split_matrix(spark, sf_dir), "matrix"), inp.EXOG)
-    return found.select("series_id", "rank", "order", "seasonal", "features", "aic", "mae", "rmse", "time")
+    return found.select("series_id", "rank", "order", "seasonal", "features", "aic", "mae", "rmse")
 
 
 @query

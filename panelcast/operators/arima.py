@@ -230,11 +230,13 @@ def fit(
     keys: Sequence[str] = KEYS,
     value: str = "log_y",
     orders: DataFrame | None = None,
+    placed: bool = False,
 ) -> DataFrame:
     """One parameter row per series, fitted on all rows handed in.
 
     ``orders`` (keys, ``order``, ``seasonal``; the result of ``auto_order``) replaces the orders of the
-    spec series by series.
+    spec series by series. ``placed`` says that the panel lies by series already in enough parts (a table from
+    ``writers.write_bucketed``): it is packed and fitted where it is, without an exchange.
     """
     keys = list(keys)
 
@@ -254,7 +256,8 @@ def fit(
     history = pack_history(panel, keys, spec.exog, value)
     if orders is not None:
         history = history.join(orders.select(*keys, "order", "seasonal"), keys, "left")
-    return spread(history, keys).mapInPandas(fit_batch, f"{key_schema(panel, keys)}, {_ddl(MODEL_FIELDS)}")
+    ready = history if placed else spread(history, keys)
+    return ready.mapInPandas(fit_batch, f"{key_schema(panel, keys)}, {_ddl(MODEL_FIELDS)}")
 
 
 def save_models(models: DataFrame, path: str) -> None:

@@ -43,11 +43,13 @@ def _stacks(pdf: pd.DataFrame):
             yield block, np.stack(block["y"].to_numpy()).astype(float)
 
 
-def fit_decode(panel: DataFrame, spec: HmmSpec = HmmSpec(), keys: Sequence[str] = KEYS, value: str = "y") -> DataFrame:
+def fit_decode(
+    panel: DataFrame, spec: HmmSpec = HmmSpec(), keys: Sequence[str] = KEYS, value: str = "y", placed: bool = False
+) -> DataFrame:
     """One row per series: parameters, log likelihood, and the decoded states and probabilities, the
     latter week by week with all states of a week in a row.
 
-    A series with missing values gets NULL parameters. Fitting and decoding share one pass.
+    A series with missing values gets NULL parameters. Fitting and decoding share one pass. ``placed``: see ``arima.fit``.
     """
     keys = list(keys)
     n, max_iter = spec.n_components, spec.n_iter
@@ -71,7 +73,7 @@ def fit_decode(panel: DataFrame, spec: HmmSpec = HmmSpec(), keys: Sequence[str]
                 yield gaps[keys + ["weeks"]].assign(**dict.fromkeys(RESULT))
 
     packed = pack(panel.withColumn("y", F.col(value)), keys, ["y"])
-    ready = spread(packed, keys).select(
+    ready = (packed if placed else spread(packed, keys)).select(
         *keys, F.col("rows.week_start").alias("weeks"), F.col("rows.y").alias("y")
     )
     schema = (
@@ -108,7 +110,11 @@ def decode_given(panel: DataFrame, means, covars, startprob, transmat, keys: Seq
         f"{key_schema(panel, keys)}, weeks array<date>, log_likelihood double, states array<int>, probs array<double>",
     )
     fitted = fitted.withColumn("log_likelihood", F.nanvl("log_likelihood", F.lit(None).cast("double")))
-    return fitted.withColumn("means", F.array(*(F.lit(float(m)) for m in given[0])))
+
+    def array(values):
+        return F.array(*(array(v) if np.ndim(v) else F.lit(float(v)) for v in values))
+
+    return fitted.withColumns({name: array(v) for name, v in zip(("means", "covars", "startprob", "transmat"), given)})
 
 
 def season_state(fitted: DataFrame) -> DataFrame:

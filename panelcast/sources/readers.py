@@ -12,6 +12,7 @@ from panelcast.functions.scalars import lenient_date, lenient_double
 # Column names and name fragments of the raw files, and their date formats.
 FACT_COLUMNS = {"series_id": "COUNTRY_CODE", "week_start": "MMWR_WEEKSTARTDATE", "value": "ILI_CASE"}
 DATE_FRAGMENTS = ("date", "תאריך")
+STATION_FRAGMENTS = ("station", "תחנה")
 MAX_FRAGMENTS = ("max", "עליונה", "מקסימום")
 MIN_FRAGMENTS = ("min", "תחתונה", "מינימום")
 FACT_DATES = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "M/d/yyyy")
@@ -62,8 +63,11 @@ def _first_match(columns: Sequence[str], fragments: Sequence[str]) -> str | None
     return next((c for c in columns if any(f in c.lower() for f in fragments)), None)
 
 
-def read_weather(spark: SparkSession, path, fmt: str = "csv", station: str = "all") -> DataFrame:
-    """Daily ``station, date, tmax, tmin``; the columns are found by name, in English or Hebrew."""
+def read_weather(spark: SparkSession, path, fmt: str = "csv", station: str | None = None) -> DataFrame:
+    """Daily ``station, date, tmax, tmin``; the columns are found by name, in English or Hebrew.
+
+    A file of several stations says in a station column which one a row belongs to. ``station`` overrides it, and names
+    the one of a file without such a column (default ``all``)."""
     raw = _scan(spark, path, fmt)
     day = _first_match(raw.columns, DATE_FRAGMENTS)
     if day is None:
@@ -71,8 +75,10 @@ def read_weather(spark: SparkSession, path, fmt: str = "csv", station: str = "al
     tmax, tmin = _first_match(raw.columns, MAX_FRAGMENTS), _first_match(raw.columns, MIN_FRAGMENTS)
     if tmax is None or tmin is None:
         raise ValueError(f"temperature columns: max {tmax}, min {tmin}, available {raw.columns}")
+    place = _first_match([c for c in raw.columns if c not in (day, tmax, tmin)], STATION_FRAGMENTS)
+    own = F.lit(station or "all") if station or place is None else F.trim(F.col(f"`{place}`"))
     return raw.select(
-        F.lit(station).alias("station"),
+        own.alias("station"),
         lenient_date(F.col(f"`{day}`"), WEATHER_DATES).alias("date"),
         lenient_double(F.col(f"`{tmax}`")).alias("tmax"),
         lenient_double(F.col(f"`{tmin}`")).alias("tmin"),

@@ -71,7 +71,9 @@ def test_read_facts(spark, folder):
 
 def test_read_weather_finds_its_columns(spark, folder):
     english = readers.read_weather(spark, folder("w.csv", "Station,Obs Date,Max Temp,Min Temp\nx,07/01/2024,20,10\nx,bad,1,1\n"))
-    assert [tuple(r) for r in english.collect()] == [("all", date(2024, 1, 7), 20.0, 10.0), ("all", None, 1.0, 1.0)]
+    assert [tuple(r) for r in english.collect()] == [("x", date(2024, 1, 7), 20.0, 10.0), ("x", None, 1.0, 1.0)]
+    named = readers.read_weather(spark, folder("o.csv", "Station,Obs Date,Max Temp,Min Temp\nx,07/01/2024,20,10\n"), station="all")
+    assert named.first().station == "all"
     hebrew = readers.read_weather(spark, folder("h.csv", "תאריך,טמפרטורה עליונה,טמפרטורה תחתונה\n13/01/2024,20,-\n"))
     assert [tuple(r) for r in hebrew.collect()] == [("all", date(2024, 1, 13), 20.0, None)]
     with pytest.raises(ValueError, match="no date column"):

@@ -73,6 +73,23 @@ def test_seasons_are_made_on_blocks(spark, name, sorts):
     assert text.count("Exchange hashpartitioning") == 2 and "Join" not in text
 
 
+def test_bucketed_matrix_is_fitted_where_it_lies(spark, tmp_path):
+    """No exchange between the table and the fit, and the same models as from a matrix that is dealt out."""
+    from panelcast.operators import arima, hmm
+    from panelcast.sources.writers import write_bucketed
+
+    panel = inp.split_panel(spark, SF)
+    table = write_bucketed(panel, "scale_matrix", str(tmp_path / "matrix"), ["series_id"], 4)
+    spec = arima.SarimaxSpec((1, 0, 0), (0, 0, 0, 1), ())
+    for build in (lambda df, **o: arima.fit(df, spec, **o), lambda df, **o: hmm.fit_decode(df, **o)):
+        placed = build(table, placed=True)
+        assert "Exchange" not in placed._jdf.queryExecution().executedPlan().toString()
+        key = lambda r: r.series_id
+        found, want = sorted(placed.collect(), key=key), sorted(build(panel).collect(), key=key)
+        assert [r.log_likelihood for r in found] == pytest.approx([r.log_likelihood for r in want]) and len(found) == 5
+    spark.sql("DROP TABLE scale_matrix")
+
+
 def test_dates_of_holidays_are_hashed_before_the_first_exchange(spark):
     text = plan(spark, "t2_one_per_date")
     assert "SortAggregate" not in text[text.rindex("Exchange"):]
