@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelcast.llm.common import n_words, row_hash
 from panelcast.session import stage
 
-BLOCK_WORDS, OUTPUT_SHARDS, MOST, CHUNK_ROWS, MOST_CHUNKS = 512, 16, 3, 1_000, 4_096
+BLOCK_WORDS, OUTPUT_SHARDS, MOST, CHUNK_ROWS, MOST_CHUNKS, SLOT_RANGE = 512, 16, 3, 1_000, 4_096, 4_096
 
 
 def source_targets(sizes: DataFrame, cycle: tuple = (1, 2, 3), most: int = MOST) -> DataFrame:
@@ -96,10 +96,18 @@ def slots(targets: DataFrame, block_words: int, shards: int, seed: int) -> DataF
         _spread_counts(shards, seed), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in drawn.schema) + ", shard int, __count long"
     )
     ends = F.sum("__count").over(Window.partitionBy("__seed").orderBy("shard"))
-    each = (
-        counted.withColumn("__from", ends - F.col("__count"))
+    # Ranges first: they are dealt out before their slots are made, so no task makes all slots of a large source. The
+    # number of parts is fixed, since a range is small until its slots are made.
+    parts = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = (
+        counted.withColumns({"__from": ends - F.col("__count"), "__upto": ends})
         .filter("__count > 0")
-        .withColumn("slot", F.explode(F.sequence(F.col("__from"), F.col("__from") + F.col("__count") - 1)))
+        .withColumn("__range", F.explode(F.sequence(F.col("__from"), F.col("__upto") - 1, F.lit(SLOT_RANGE).cast("long"))))
+        .repartition(parts, F.xxhash64("__seed", "__range"))
+    )
+    last = F.least(F.col("__upto"), F.col("__range") + SLOT_RANGE) - 1
+    each = (
+        ranges.withColumn("slot", F.explode(F.sequence(F.col("__range"), last)))
         .withColumn("epoch", F.floor(F.col("slot") / F.col("__blocks")).cast("int"))
         .withColumn("__at", F.col("slot") % F.col("__blocks"))
     )
@@ -116,18 +124,20 @@ def slots(targets: DataFrame, block_words: int, shards: int, seed: int) -> DataF
     )
 
 
-def blocks(sized: DataFrame, block_words: int, chunks: int) -> DataFrame:
+def blocks(sized: DataFrame, block_words: int, chunks: int, tie: str | None = None) -> DataFrame:
     """The rows of ``sized`` cut into the fixed-length blocks of their source.
 
     Adds ``block``, ``__first`` and ``__upto`` (the row's words in this block) and ``__at`` (where they
     start within it). A source's stream follows a hash of the rows, in ``chunks`` pieces with known
-    totals, so a source with a third of all rows is as many window partitions as others are.
+    totals, so a source with a third of all rows is as many window partitions as others are. The column ``tie``
+    is no part of the hash: it orders equal rows and nothing else.
     """
-    rows = sized.filter("size > 0").withColumn("__order", row_hash(sized)).withColumn("__chunk", F.pmod(F.xxhash64("__order"), F.lit(chunks)))
+    hashed = row_hash(sized.drop(tie) if tie else sized)
+    rows = sized.filter("size > 0").withColumn("__order", hashed).withColumn("__chunk", F.pmod(F.xxhash64("__order"), F.lit(chunks)))
     totals = rows.groupBy("source", "__chunk").agg(F.sum("size").alias("__words"))
     running = Window.partitionBy("source").orderBy("__chunk")
     totals = totals.select(F.col("source").alias("__source"), F.col("__chunk").alias("__piece"), (F.sum("__words").over(running) - F.col("__words")).alias("__start"))
-    inside = Window.partitionBy("source", "__chunk").orderBy("__order").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy("source", "__chunk").orderBy("__order", *([tie] if tie else [])).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("__end", F.sum("size").over(inside))
     rows = rows.join(totals, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__chunk") == F.col("__piece")))
     start = F.col("__start") + F.col("__end") - F.col("size")
@@ -144,7 +154,12 @@ def blocks(sized: DataFrame, block_words: int, chunks: int) -> DataFrame:
 
 
 def mix_spans(
-    sized: DataFrame, block_words: int = BLOCK_WORDS, shards: int = OUTPUT_SHARDS, seed: int = 0, chunk_rows: int = CHUNK_ROWS
+    sized: DataFrame,
+    block_words: int = BLOCK_WORDS,
+    shards: int = OUTPUT_SHARDS,
+    seed: int = 0,
+    chunk_rows: int = CHUNK_ROWS,
+    tie: str | None = None,
 ) -> DataFrame:
     """The mixture as spans: rows of ``sized`` (``source``, ``size`` and any others) with ``shard``,
     ``slot``, ``epoch``, ``block``, ``first_word`` and ``n_taken``.
@@ -153,11 +168,12 @@ def mix_spans(
     draw, show the blocks through a pseudorandom permutation; slots and blocks join by source and index,
     which no large source can make uneven. A row is taken once per pass, so never more often than its
     source's cap, and a source's words taken equal its target rounded. Rows without words take no part;
-    a null source is a source. Everything follows from seeds and hashes: reruns agree.
+    a null source is a source. Everything follows from seeds and hashes of the rows: reruns agree, however the rows
+    lie. A column that numbers rows as they lie is named by ``tie``; it decides between equal rows alone.
     """
     sized = sized.drop("shard", "slot", "epoch", "block", "first_word", "n_taken")
     n = sized.count()
-    cut = blocks(sized, block_words, min(MOST_CHUNKS, 1 + n // chunk_rows))
+    cut = blocks(sized, block_words, min(MOST_CHUNKS, 1 + n // chunk_rows), tie)
     shown = slots(source_targets(sized.select("source", "size")), block_words, shards, seed).select(
         F.col("source").alias("__source"), F.col("block").alias("__block"), "shard", "slot", "epoch", "__take"
     )

@@ -12,7 +12,7 @@ def op1_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     sized = docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"), n_words(F.col("text")).alias("size"))
     sized = stage(sized.withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
-    taken = mixing.mix_spans(sized).groupBy("row").agg(F.sum("n_taken").alias("taken"))
+    taken = mixing.mix_spans(sized, tie="row").groupBy("row").agg(F.sum("n_taken").alias("taken"))
     targets = mixing.source_targets(sized.select("source", "size")).withColumnRenamed("source", "of")
     return (
         sized.join(taken, "row", "left")

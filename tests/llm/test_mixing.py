@@ -66,6 +66,38 @@ def test_spans_fill_targets_whole_words_only_and_rerun_alike(docs, rows, block_w
         assert own == list(range(len(own)))
 
 
+def test_query_reruns_alike_however_the_rows_lie(spark, rows, tmp_path):
+    """The registered query over the same rows in one file, in many, in another order and with other splits."""
+    from panelcast.llm.queries import QUERIES
+
+    usable = [r for r in rows if r[0] is not None]
+    docs = spark.createDataFrame(usable, "doc_id long, text string, lang string, source string, n_chars long")
+    found = []
+    for k, (parts, split) in enumerate(((1, "128m"), (7, "128m"), (3, "4k"))):
+        folder = tmp_path / str(k)
+        docs.orderBy(F.xxhash64("doc_id", F.lit(k))).repartition(parts).write.parquet(f"{folder}/documents.parquet")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            got = QUERIES["op1_mixing"](spark, str(folder)).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        found.append(sorted((r.doc_id, r.size, r.taken, round(r.target, 6)) for r in got))
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(usable)
+    target, sizes = shares(sizes_of(usable)), sizes_of(usable)
+    assert sum(r[2] for r in found[0]) == pytest.approx(sum(sizes.values()), abs=len(sizes))
+    assert all(r[2] <= 3 * r[1] for r in found[0]) and target
+
+
+def test_slots_of_a_large_source_are_made_in_ranges(spark):
+    targets = spark.createDataFrame([("a", 9_000_000, 2.0e7), ("b", 100, 50.0)], "source string, source_size long, target double")
+    made = mixing.slots(targets, 512, 16, 0)
+    per = {r.source: (r.n, r.d, r.words) for r in made.groupBy("source").agg(
+        F.count("*").alias("n"), F.countDistinct("slot").alias("d"), F.sum("__take").alias("words")).collect()}
+    assert per["a"][0] == per["a"][1] and per["a"][2] == 20_000_000 and per["b"][2] == 50
+    parts = made.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(parts) > 1 and max(r["count"] for r in parts) < 0.9 * per["a"][0]
+
+
 def test_no_row_is_taken_more_often_than_its_cap(docs):
     sized = docs.select("source", n_words(F.col("text")).alias("size")).withColumn("row", F.monotonically_increasing_id())
     taken = mixing.mix_spans(sized, block_words=16).groupBy("row", "size").agg(F.sum("n_taken").alias("n"))
