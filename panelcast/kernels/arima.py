@@ -10,6 +10,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
+# Turns that two starts of one fit go side by side.
+RACE = 6
 # Stop when a step lowers the sum of squares by less than this share.
 GAIN = 1e-8
 # Largest partial coefficient, just inside the unit circle.
@@ -105,17 +107,38 @@ def stable(free):
     return c
 
 
-def natural(lanes, order, stationary):
+def reflected(c):
+    """Coefficients of the invertible twins of the polynomials 1 + c_1 x + …, from any real numbers: every root inside the
+    unit circle gives way to its reciprocal, which leaves the autocorrelations as they are."""
+    if not c.shape[1]:
+        return c
+    if c.shape[1] == 1:
+        inverse = 1 / np.where(np.abs(c) > 1, c, 1.0)
+        return LIMIT * np.where(np.abs(c) > 1, inverse, c)
+    out = np.empty_like(c)
+    for i, row in enumerate(np.where(np.isfinite(c), c, 0.0)):
+        # The roots of the reversed polynomial are the reciprocals: invertible are those within the circle.
+        turned = np.roots(np.concatenate([[1.0], row]))
+        size = np.abs(turned)
+        turned = LIMIT * np.where(size > 1, turned / np.maximum(size, 1.0) ** 2, turned)
+        full = np.real(np.poly(turned)) if len(turned) else np.ones(1)
+        out[i] = np.concatenate([full[1:], np.zeros(c.shape[1] + 1 - len(full))])
+    return out
+
+
+def natural(lanes, order, stationary, free_moving=False):
     """Search space to model parameters.
 
-    The moving-average side stays invertible: a model that is not has an invertible twin with the same
-    likelihood, while the recursion for its innovations explodes. The autoregressive side is free
-    unless ``stationary``.
+    The moving-average side comes out invertible: a model that is not has an invertible twin with the same
+    likelihood, while the recursion for its innovations explodes. It is searched through partial coefficients
+    (``stable``), or with ``free_moving`` as plain coefficients that stand for their twin (``reflected``). The
+    autoregressive side is free unless ``stationary``.
     """
     b, phi, sphi, theta, stheta = order.parts(lanes)
     if stationary:
         phi, sphi = -stable(phi), -stable(sphi)
-    return np.concatenate([b, phi, sphi, stable(theta), stable(stheta)], axis=1)
+    invertible = reflected if free_moving else stable
+    return np.concatenate([b, phi, sphi, invertible(theta), invertible(stheta)], axis=1)
 
 
 def descend(errors, start, maxiter):
@@ -171,20 +194,29 @@ def descend(errors, start, maxiter):
     return {"point": point, "best": best, "turns": turns, "converged": converged}
 
 
-def fit(y, x, order, maxiter=500, condition_on=None, stationary=False):
+def fit(y, x, order, maxiter=500, condition_on=None, stationary=False, free_moving=False):
     """``fit_stack`` for one series."""
     if not (np.isfinite(y).all() and np.isfinite(x).all()):
         raise ValueError("missing values")
-    return fit_stack(y[None], x[None], order, maxiter, condition_on, stationary)[0]
+    return fit_stack(y[None], x[None], order, maxiter, condition_on, stationary, free_moving)[0]
+
+
+def widened(point, order, wider):
+    """A point of the search space of ``order`` in that of ``wider``, which has more lags: the same model there."""
+    old, new = order.parts(point), wider.parts(np.zeros(wider.size))
+    for small, large in zip(old, new):
+        large[: len(small)] = small
+    return np.concatenate(new)
 
 
-def fit_stack(y, x, order, maxiter=500, condition_on=None, stationary=False):
+def fit_stack(y, x, order, maxiter=500, condition_on=None, stationary=False, free_moving=False, starts=None):
     """Levenberg-Marquardt on the sum of squared innovations, for a stack of equally long series.
 
     y is (series, time), x is (series, time, regressor). All lanes of all series that still move go
     through one pass of the filters, which costs little more than a single one. ``condition_on`` is the
     number of leading observations left out of the sum; candidates of one search share it, so that
-    their AICs rest on the same weeks.
+    their AICs rest on the same weeks. ``starts`` (series, parameter) are further points to start from, NaN where
+    there is none: each series begins at the better one.
     """
     least = order.differenced + order.presample
     skip = max(condition_on or 0, least) - order.differenced
@@ -196,7 +228,7 @@ def fit_stack(y, x, order, maxiter=500, condition_on=None, stationary=False):
 
     def errors(points, who):
         width = points.shape[1]
-        lanes = natural(points.reshape(len(who) * width, size), order, stationary)
+        lanes = natural(points.reshape(len(who) * width, size), order, stationary, free_moving)
         b = lanes[:, : order.k].reshape(len(who), width, order.k)
         z = dy[who, None] - b @ dx[who].transpose(0, 2, 1)
         return innovations(lanes, z.reshape(len(lanes), -1), order, skip).reshape(len(who), width, n)
@@ -204,13 +236,22 @@ def fit_stack(y, x, order, maxiter=500, condition_on=None, stationary=False):
     start = np.full((count, size), 0.01)
     if order.k:
         start[:, : order.k] = (np.linalg.pinv(dx) @ dy[:, :, None])[:, :, 0]
+    given = np.zeros(count, bool) if starts is None else np.isfinite(starts).all(axis=1)
+    raced = np.zeros(count, dtype=np.int64)
+    if given.any() and size:
+        # Both starts go a few turns side by side; the better one goes on alone.
+        pairs = np.flatnonzero(given)
+        both = descend(lambda points, who: errors(points, pairs[who // 2]), np.stack([start[pairs], starts[pairs]], 1).reshape(-1, size), RACE)
+        ahead = both["best"].reshape(-1, 2).argmin(axis=1) + 2 * np.arange(len(pairs))
+        start[pairs], raced[pairs] = both["point"][ahead], both["turns"][ahead]
     found = descend(errors, start, maxiter)
     point, best, turns, converged = (found[name] for name in ("point", "best", "turns", "converged"))
+    turns = turns + raced
     sigma2 = np.maximum(best / n, 1e-300)
-    params = natural(point, order, stationary)
+    params = natural(point, order, stationary, free_moving)
     return [
         {
-            "params": params[i], "sigma2": float(sigma2[i]), "nobs": n,
+            "params": params[i], "point": point[i], "sigma2": float(sigma2[i]), "nobs": n,
             "n_iter": int(turns[i]), "converged": bool(converged[i]),
             "log_likelihood": float(-0.5 * n * (np.log(2 * np.pi * sigma2[i]) + 1)),
             "aic": float(n * np.log(2 * np.pi * sigma2[i]) + n + 2 * (size + 1)),

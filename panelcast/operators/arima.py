@@ -62,8 +62,9 @@ def known_method(method: str) -> str:
 
 @dataclass(frozen=True)
 class SarimaxSpec:
-    """Orders, regressors, limits and method. The moving-average side is always estimated invertible (see
-    ``kernels.arima.natural``), so only stationarity is a choice.
+    """Orders, regressors, limits and method. The moving-average side always comes out invertible (see
+    ``kernels.arima.natural``); ``enforce_invertibility`` says whether the search itself keeps it so, or runs over all
+    coefficients and ends at the invertible twin.
 
     ``method``: ``css`` minimises the conditional sum of squares of complete series; ``exact`` maximises the Gaussian
     likelihood with a flat prior on what lies before the sample. It fits series with missing values of the target,
@@ -76,6 +77,7 @@ class SarimaxSpec:
     enforce_stationarity: bool = False
     maxiter: int = MAXITER
     method: str = "css"
+    enforce_invertibility: bool = True
 
     def __post_init__(self):
         known_method(self.method)
@@ -99,7 +101,7 @@ def _model_row(spec: SarimaxSpec, found: dict | None, message: str | None = None
     out.update(order=list(spec.order), seasonal=list(spec.seasonal), exog=list(spec.exog), converged=False, message=message)
     if found is not None:
         b, ar, sar, ma, sma = spec.kernel_order().parts(found["params"])
-        out.update({k: v for k, v in found.items() if k != "params"})
+        out.update({k: v for k, v in found.items() if k not in ("params", "point")})
         out.update(beta=b.tolist(), ar=ar.tolist(), sar=sar.tolist(), ma=ma.tolist(), sma=sma.tolist())
     return out
 
@@ -112,8 +114,9 @@ def common_reach(n: int, orders: Sequence[kernel.Order]) -> int:
     return max(fits, default=needs[0] if needs else 0)
 
 
-def _fit_rows(spec: SarimaxSpec, data, condition_on=None) -> list[tuple[dict, np.ndarray | None]]:
-    """Model row and parameter vector for every (y, x); equally long series are fitted as stacks.
+def _fit_rows(spec: SarimaxSpec, data, condition_on=None, starts=None) -> list[tuple[dict, dict | None]]:
+    """Model row and fit for every (y, x); equally long series are fitted as stacks. ``starts`` has a point to start from,
+    or None, for every one.
 
     ``condition_on`` gives the leading weeks to leave out by the length of a series; an order that looks
     further back is not fitted.
@@ -130,7 +133,10 @@ def _fit_rows(spec: SarimaxSpec, data, condition_on=None) -> list[tuple[dict, np
         y, x = np.stack([data[i][0] for i in stack]), np.stack([data[i][1] for i in stack])
         if exact:
             return statespace.fit_stack(y, x, order, spec.maxiter)
-        return kernel.fit_stack(y, x, order, spec.maxiter, skip, spec.enforce_stationarity)
+        nowhere = np.full(order.size, np.nan)
+        known = None if starts is None else np.stack([nowhere if starts[i] is None else starts[i] for i in stack])
+        free_moving = not spec.enforce_invertibility
+        return kernel.fit_stack(y, x, order, spec.maxiter, skip, spec.enforce_stationarity, free_moving, known)
 
     for length, members in lengths.items():
         skip = condition_on(length) if condition_on else None
@@ -151,7 +157,7 @@ def _fit_rows(spec: SarimaxSpec, data, condition_on=None) -> list[tuple[dict, np
                     except (ValueError, np.linalg.LinAlgError) as failure:
                         out[i] = (_model_row(spec, None, str(failure)), None)
             for i, one in found.items():
-                out[i] = (_model_row(spec, one), one["params"])
+                out[i] = (_model_row(spec, one), one)
     return out
 
 
@@ -431,6 +437,24 @@ def order_candidates(
     ]
 
 
+def nested(candidates: Sequence[tuple[str, SarimaxSpec]]) -> list[list[tuple[str, SarimaxSpec]]]:
+    """Families of candidates that differ in p and q alone, each from the fewest lags up."""
+    families: dict = {}
+    for name, spec in candidates:
+        (_, d, _), rest = spec.order, replace(spec, order=(0, spec.order[1], 0))
+        families.setdefault((name, d, rest), []).append((name, spec))
+    return [sorted(f, key=lambda c: (c[1].order[0] + c[1].order[2], c[1].order)) for f in families.values()]
+
+
+def _best_start(fits: Sequence[tuple | None], order: kernel.Order) -> np.ndarray | None:
+    """Where to start from, out of fits (sigma2, point, order) with fewer lags."""
+    found = [f for f in fits if f is not None]
+    if not found:
+        return None
+    _, point, smaller = min(found, key=lambda f: f[0])
+    return kernel.widened(point, smaller, order)
+
+
 def search(
     panel: DataFrame,
     candidates: Sequence[tuple[str, SarimaxSpec]],
@@ -442,13 +466,15 @@ def search(
 
     The unit of work is a (series, slice of candidates) pair. Every part holds one slice and a share of
     the series, so one series alone keeps ``slices`` tasks busy, many series are fitted as stacks, and a
-    history is shipped ``slices`` times rather than once per candidate. A failed fit is a row with a
+    history is shipped ``slices`` times rather than once per candidate. A slice holds whole families (``nested``): the
+    fit of a candidate also starts from the better one of those with a lag less. A failed fit is a row with a
     message and no AIC. All candidates of a series leave out the same leading weeks, so their AICs compare;
     a short series leaves out the candidates that look too far back for it, and those alone.
     ``time`` is a candidate's share of its batch.
     """
     keys, candidates = list(keys), list(candidates)
-    slices = min(slices, len(candidates))
+    families = nested(candidates)
+    slices = min(slices, len(families))
     exog = sorted({c for _, spec in candidates for c in spec.exog})
     orders = [spec.kernel_order() for _, spec in candidates]
     reach = partial(common_reach, orders=orders)
@@ -457,20 +483,26 @@ def search(
         for pdf in batches:
             for number, group in pdf.groupby("slice"):
                 rows = group.to_dict("records")
-                for name, spec in candidates[number::slices]:
-                    yield pd.DataFrame(score(rows, name, spec))
+                for family in families[number::slices]:
+                    known: dict = {}
+                    for name, spec in family:
+                        yield pd.DataFrame(score(rows, name, spec, known))
 
-    def score(rows, name, spec):
+    def score(rows, name, spec, known):
         parts = [_split_row(row, spec.exog) for row in rows]
         began = time.perf_counter()
-        fits = _fit_rows(spec, [(y, x) for y, x, *_ in parts], reach)
+        (p, _, q), order = spec.order, spec.kernel_order()
+        smaller = [known[o] for o in ((p - 1, q), (p, q - 1)) if o in known]
+        starts = [_best_start([found[i] for found in smaller], order) for i in range(len(rows))]
+        fits = _fit_rows(spec, [(y, x) for y, x, *_ in parts], reach, starts)
+        known[p, q] = [found and (found["sigma2"], found["point"], order) for _, found in fits]
         seconds = (time.perf_counter() - began) / len(rows)
         out = []
-        for row, (y, x, actual, future, _), (model, params) in zip(rows, parts, fits):
+        for row, (y, x, actual, future, _), (model, found) in zip(rows, parts, fits):
             mae = rmse = None
-            if params is not None and len(actual):
+            if found is not None and len(actual):
                 with np.errstate(all="ignore"):
-                    path = kernel.path(y, x, future, spec.kernel_order(), params)
+                    path = kernel.path(y, x, future, order, found["params"])
                     error = np.expm1(actual) - np.maximum(np.expm1(path), 0.0)
                     mae, rmse = float(np.abs(error).mean()), float(np.sqrt((error**2).mean()))
             out.append(

@@ -1,3 +1,4 @@
+from dataclasses import replace
 from itertools import product
 
 import numpy as np
@@ -5,6 +6,7 @@ import pytest
 from tests.simulate import sarima
 
 from panelcast.kernels import arima, hmm
+from panelcast.kernels import arima as kernel
 
 
 def brute_force(x, means, covars, start, trans):
@@ -169,3 +171,64 @@ def test_unusable_data():
         arima.fit(np.array([1.0, np.nan, 2.0]), np.zeros((3, 0)), order)
     with pytest.raises(ValueError, match="too few"):
         arima.fit(np.array([1.0, 2.0]), np.zeros((2, 0)), order)
+
+
+@pytest.mark.parametrize("theta", [[0.4], [2.5], [-1.7], [0.5, -0.3], [1.9, 0.6], [0.2, 3.0], [1.0, 4.0], [0.3, 0.0]])
+def test_reflection_keeps_autocorrelations_and_inverts(theta):
+    twin = kernel.reflected(np.array([theta]))[0]
+    roots = np.roots(np.concatenate([[1.0], twin])[::-1])
+    assert (np.abs(roots[np.isfinite(roots)]) >= 1 - 1e-9).all()
+
+    def rho(c):
+        full = np.concatenate([[1.0], c])
+        gamma = np.array([full[: len(full) - k] @ full[k:] for k in range(len(full))])
+        return gamma[1:] / gamma[0]
+
+    assert rho(twin) == pytest.approx(rho(np.array(theta)), abs=1e-4)
+
+
+@pytest.mark.parametrize("order, params", [
+    (kernel.Order(0, 0, 1, 0, 0, 0, 1), [0.7]), (kernel.Order(0, 1, 2, 0, 0, 0, 1), [0.5, 0.3]),
+    (kernel.Order(1, 0, 1, 0, 0, 1, 4), [0.5, -0.6, 0.4]),
+])
+def test_search_with_and_without_the_invertible_map_ends_alike(order, params):
+    rng = np.random.default_rng(8)
+    y = np.stack([sarima(rng, 400, replace(order, d=0), np.array(params), np.zeros((400, 0))) for _ in range(4)])
+    y = np.cumsum(y, axis=1) if order.d else y
+    x = np.zeros((4, 400, 0))
+    kept, free = kernel.fit_stack(y, x, order), kernel.fit_stack(y, x, order, free_moving=True)
+    for a, b in zip(kept, free):
+        assert a["sigma2"] == pytest.approx(b["sigma2"], rel=1e-4)
+        assert a["params"] == pytest.approx(b["params"], abs=0.02)
+    # From the far side of the unit circle too.
+    far = kernel.fit_stack(y, x, order, free_moving=True, starts=np.full((4, order.size), 1.4))
+    assert [f["sigma2"] for f in far] == pytest.approx([f["sigma2"] for f in kept], rel=1e-3)
+
+
+def test_nested_starts_are_no_worse_and_quicker():
+    """Families of the grid on a seasonal series: as good as from the common start (one in fifty may end in another dip of
+    the sum), at least as good as with a lag less, in fewer turns."""
+    from panelcast.operators import arima as operators
+
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(260, 2))
+    y = np.cumsum(sarima(rng, 260, kernel.Order(2, 0, 1, 1, 0, 0, 12, 2), np.array([0.3, -0.2, 0.4, 0.2, 0.3, 0.3]), x))
+    warm = cold = worse = 0
+    candidates = [c for c in operators.grid_candidates(("tmean_c", "other"), 12) if c[0] == "full"]
+    families = operators.nested(candidates)
+    assert sorted(map(repr, candidates)) == sorted(repr(c) for f in families for c in f) and len(families) == 8
+    reach = max(s.kernel_order().differenced + s.kernel_order().presample for _, s in candidates)
+    for family in families:
+        known = {}
+        for _, spec in family:
+            order, (p, _, q) = spec.kernel_order(), spec.order
+            smaller = [known[o] for o in ((p - 1, q), (p, q - 1)) if o in known]
+            start = operators._best_start(smaller, order)
+            starts = None if start is None else start[None]
+            found = kernel.fit_stack(y[None], x[None], order, 300, reach, starts=starts)[0]
+            plain = kernel.fit_stack(y[None], x[None], order, 300, reach)[0]
+            known[p, q] = (found["sigma2"], found["point"], order)
+            worse += found["sigma2"] > plain["sigma2"] * (1 + 1e-3)
+            assert not smaller or found["sigma2"] <= min(s[0] for s in smaller) * (1 + 1e-3)
+            warm, cold = warm + found["n_iter"], cold + plain["n_iter"]
+    assert warm < 0.85 * cold and worse <= 2
