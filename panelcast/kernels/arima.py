@@ -260,13 +260,19 @@ def fit_stack(y, x, order, maxiter=500, condition_on=None, stationary=False, fre
     ]
 
 
+def one_step_stack(y, x, order, lanes):
+    """``one_step`` for a stack of equally long series (series, time), each with its own parameters (series, parameter)."""
+    dx = difference(x.transpose(1, 0, 2), order).transpose(1, 0, 2)
+    z = difference(y.T, order).T - np.einsum("stk,sk->st", dx, lanes[:, : order.k])
+    with np.errstate(all="ignore"):
+        e = innovations(lanes, z, order, order.presample)
+    lead = min(order.differenced + order.presample, y.shape[1])
+    return np.concatenate([np.full((len(y), lead), np.nan), y[:, lead:] - e], axis=1)
+
+
 def one_step(y, x, order, params):
     """Forecast of every observation from the ones before it; NaN where the history is too short."""
-    z = difference(y, order) - difference(x, order) @ params[: order.k]
-    with np.errstate(all="ignore"):
-        e = innovations(params[None], z[None], order, order.presample)[0]
-    lead = min(order.differenced + order.presample, len(y))
-    return np.concatenate([np.full(lead, np.nan), y[lead:] - e])
+    return one_step_stack(y[None], x[None], order, np.asarray(params, float)[None])[0]
 
 
 def expand(plain, seasonal, step):
@@ -305,18 +311,26 @@ def horizon_variances(order, params, steps):
     return np.cumsum(psi**2)
 
 
+def path_stack(y, x, future_x, order, lanes):
+    """``path`` for a stack of equally long series, each with its own parameters."""
+    sides = [polynomials(order, params) for params in lanes]
+    ar, ma = (np.stack(side) for side in zip(*sides))
+    (count, n), steps, b = y.shape, future_x.shape[1], lanes[:, : order.k]
+    p, q = ar.shape[1] - 1, ma.shape[1] - 1
+    if n < p:
+        return np.full((count, steps), np.nan)
+    # Innovations before the sample and after it are zero.
+    e = np.zeros((count, q + n + steps))
+    e[:, q : q + n] = np.nan_to_num(y - one_step_stack(y, x, order, lanes))
+    u = np.zeros((count, n + steps))
+    u[:, :n] = y - np.einsum("stk,sk->st", x, b)
+    back, moved = ar[:, :0:-1], ma[:, :0:-1]
+    for t in range(n, n + steps):
+        u[:, t] = (moved * e[:, t : t + q]).sum(axis=1) - (back * u[:, t - p : t]).sum(axis=1)
+    return u[:, n:] + np.einsum("stk,sk->st", future_x, b)
+
+
 def path(y, x, future_x, order, params):
     """Forecasts of the steps after y, each fed by the ones before it, future innovations zero; NaN
     where the history is shorter than the autoregression looks back."""
-    ar, ma = polynomials(order, params)
-    n, steps, b = len(y), len(future_x), params[: order.k]
-    if n < len(ar) - 1:
-        return np.full(steps, np.nan)
-    # Innovations before the sample are zero.
-    e = np.zeros(len(ma) + n + steps)
-    e[len(ma) : len(ma) + n] = np.nan_to_num(y - one_step(y, x, order, params))
-    u = np.zeros(n + steps)
-    u[:n] = y - x @ b
-    for t in range(n, n + steps):
-        u[t] = next_value(u[:t], e[: len(ma) + t], ar, ma)
-    return u[n:] + future_x @ b
+    return path_stack(y[None], x[None], future_x[None], order, np.asarray(params, float)[None])[0]

@@ -90,6 +90,10 @@ class SarimaxSpec:
 # -- rows of a packed batch -----------------------------------------------------------------------
 
 
+def values(row) -> np.ndarray:
+    return np.asarray(row["y"], dtype=float)
+
+
 def design(row, exog):
     y = row["y"]
     return np.column_stack([np.asarray(row[c], dtype=float) for c in exog]) if exog else np.zeros((len(y), 0))
@@ -166,8 +170,8 @@ def fitted_model(model) -> tuple[SarimaxSpec, np.ndarray]:
     return spec, np.concatenate([np.asarray(model[c], dtype=float) for c in COEFFICIENTS])
 
 
-def score_series(packed: DataFrame, keys: Sequence[str], step, columns: Mapping[str, str]) -> DataFrame:
-    """Apply ``step`` (packed row to equally long sequences, one per column) to every series.
+def score_series(packed: DataFrame, keys: Sequence[str], score, columns: Mapping[str, str]) -> DataFrame:
+    """Apply ``score`` (packed rows to equally long sequences of every row, one per column) to all series.
 
     A task returns one row of arrays per series; Spark makes the rows of them.
     """
@@ -175,15 +179,34 @@ def score_series(packed: DataFrame, keys: Sequence[str], step, columns: Mapping[
 
     def batch(batches):
         for pdf in batches:
-            rows = [{**{k: row[k] for k in keys}, **step(row)} for row in pdf.to_dict("records")]
+            rows = pdf.to_dict("records")
             if rows:
-                yield pd.DataFrame(rows)
+                yield pd.DataFrame([{**{k: row[k] for k in keys}, **found} for row, found in zip(rows, score(rows))])
 
     arrays = ", ".join(f"{name} array<{kind}>" for name, kind in columns.items())
     scored = spread(packed, keys).mapInPandas(batch, f"{key_schema(packed, keys)}, {arrays}")
     return scored.select(*keys, F.inline(F.arrays_zip(*columns)))
 
 
+def with_equal_models(rows: Sequence[dict], shape, ahead) -> list[np.ndarray | None]:
+    """``ahead`` of every row that has a model, None of the others. Rows of one spec and ``shape`` go through it together:
+    ``ahead(rows, spec, lanes)`` gives a sequence for each."""
+    groups: dict = {}
+    lanes = {}
+    for i, row in enumerate(rows):
+        if row["model"] is not None:
+            spec, lanes[i] = fitted_model(row["model"])
+            groups.setdefault((spec, shape(row)), []).append(i)
+    found: list = [None] * len(rows)
+    for (spec, _), members in groups.items():
+        for first in range(0, len(members), STACK):
+            stack = members[first : first + STACK]
+            values = ahead([rows[i] for i in stack], spec, np.stack([lanes[i] for i in stack]))
+            for i, value in zip(stack, values):
+                found[i] = value
+    return found
+
+
 # -- packed inputs --------------------------------------------------------------------------------
 
 
@@ -291,20 +314,19 @@ def walk_forward(
     """
     keys, exog, exact = list(keys), list(exog), known_method(method) == "exact"
 
-    def score(row):
-        y, test = np.asarray(row["y"], dtype=float), np.asarray(row["part"]) == "test"
-        ahead, sigma = np.full(len(y), np.nan), np.nan
-        if row["model"] is not None:
-            spec, params = fitted_model(row["model"])
-            sigma = np.sqrt(row["model"]["sigma2"])
-            if exact:
-                ahead, variance = statespace.predict(y, design(row, spec.exog), spec.kernel_order(), params)
-                sigma = sigma * np.sqrt(variance[test])
-            else:
-                ahead = kernel.one_step(y, design(row, spec.exog), spec.kernel_order(), params)
-        weeks = np.asarray(row["weeks"])[test]
-        sigma = np.broadcast_to(sigma, len(weeks))
-        return {"week_start": weeks, "log_y": y[test], "log_hat": ahead[test], "sigma": sigma}
+    def ahead(rows, spec, lanes):
+        y, x, order = np.stack([values(r) for r in rows]), np.stack([design(r, spec.exog) for r in rows]), spec.kernel_order()
+        if exact:
+            return [statespace.predict(*one, order, params) for *one, params in zip(y, x, lanes)]
+        return [(mean, np.ones(len(mean))) for mean in kernel.one_step_stack(y, x, order, lanes)]
+
+    def score(rows):
+        for row, found in zip(rows, with_equal_models(rows, lambda r: len(r["y"]), ahead)):
+            y, test = values(row), np.asarray(row["part"]) == "test"
+            mean, sigma = np.full(len(y), np.nan), np.full(len(y), np.nan)
+            if found is not None:
+                mean, sigma = found[0], np.sqrt(row["model"]["sigma2"] * found[1])
+            yield {"week_start": np.asarray(row["weeks"])[test], "log_y": y[test], "log_hat": mean[test], "sigma": sigma[test]}
 
     history = with_models(pack_history(panel, keys, exog, value, ["part"]), models, keys)
     scored = score_series(history, keys, score, SCORED | {"sigma": "double"})
@@ -381,17 +403,22 @@ def forecast_multistep(
     missing weeks; the test rows are one more gap to it."""
     keys, exog, exact = list(keys), list(exog), known_method(method) == "exact"
 
-    def score(row):
-        y, x, actual, future, train = _split_row(row, exog)
-        ahead = np.full(len(actual), np.nan)
-        if row["model"] is not None:
-            spec, params = fitted_model(row["model"])
-            if exact:
-                gap = np.concatenate([y, ahead])
-                ahead = statespace.predict(gap, np.concatenate([x, future]), spec.kernel_order(), params)[0][len(y) :]
-            else:
-                ahead = kernel.path(y, x, future, spec.kernel_order(), params)
-        return {"week_start": np.asarray(row["weeks"])[~train], "log_y": actual, "log_hat": ahead}
+    def ahead(rows, spec, lanes):
+        y, x, _, future, _ = (np.stack(part) for part in zip(*(_split_row(r, spec.exog) for r in rows)))
+        order = spec.kernel_order()
+        if not exact:
+            return kernel.path_stack(y, x, future, order, lanes)
+        gap = np.concatenate([y, np.full(future.shape[:2], np.nan)], axis=1)
+        design_ = np.concatenate([x, future], axis=1)
+        return [statespace.predict(*one, order, params)[0][y.shape[1] :] for *one, params in zip(gap, design_, lanes)]
+
+    def score(rows):
+        shape = lambda r: (len(r["y"]), sum(p == "train" for p in r["part"]))
+        for row, found in zip(rows, with_equal_models(rows, shape, ahead)):
+            train = np.asarray(row["part"]) == "train"
+            actual = values(row)[~train]
+            mean = np.full(len(actual), np.nan) if found is None else found
+            yield {"week_start": np.asarray(row["weeks"])[~train], "log_y": actual, "log_hat": mean}
 
     history = with_models(pack_history(panel, keys, exog, value, ["part"]), models, keys)
     return without_nan(score_series(history, keys, score, SCORED)).withColumn("y_hat", from_log(F.col("log_hat")))

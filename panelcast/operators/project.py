@@ -12,7 +12,8 @@ from panelcast.kernels import arima as kernel
 from panelcast.kernels import statespace
 from panelcast.operators import seasons
 from panelcast.operators.arima import (
-    REGRESSORS, design, fitted_model, known_method, pack_history, score_series, with_interval, with_models, without_nan,
+    REGRESSORS, design, known_method, pack_history, score_series, values, with_equal_models, with_interval, with_models,
+    without_nan,
 )
 from panelcast.operators.panel import future_weeks
 from panelcast.session import stage
@@ -120,27 +121,32 @@ def project(
         raise ValueError(f"unknown interval {interval!r}")
     exact = known_method(method) == "exact"
 
-    def score(row):
-        steps = len(row["future_weeks"])
-        path, sigma = np.full(steps, np.nan), np.nan
-        if row["model"] is not None:
-            spec, params = fitted_model(row["model"])
-            ahead = [np.asarray(row[f"future_{c}"], dtype=float) for c in spec.exog]
-            future_x = np.column_stack(ahead) if ahead else np.zeros((len(row["future_weeks"]), 0))
-            y, x, order = np.asarray(row["y"], dtype=float), design(row, spec.exog), spec.kernel_order()
-            if exact:
-                gap = np.concatenate([y, path])
-                path, variance = (a[len(y) :] for a in statespace.predict(gap, np.concatenate([x, future_x]), order, params))
-            else:
-                path = kernel.path(y, x, future_x, order, params)
-                variance = kernel.horizon_variances(order, params, steps)
-            sigma = np.sqrt(row["model"]["sigma2"] * (variance if interval == "horizon" else np.ones(steps)))
-        return {"week_start": row["future_weeks"], "log_hat": path, "sigma": np.broadcast_to(sigma, steps)}
-
-    ahead = pack_history(future.withColumn("_none", F.lit(0.0)), keys, exog, "_none").select(
+    def ahead(rows, spec, lanes):
+        y, x = np.stack([values(r) for r in rows]), np.stack([design(r, spec.exog) for r in rows])
+        steps, order = len(rows[0]["future_weeks"]), spec.kernel_order()
+        future_x = np.zeros((len(rows), steps, len(spec.exog)))
+        for k, c in enumerate(spec.exog):
+            future_x[:, :, k] = [np.asarray(r[f"future_{c}"], dtype=float) for r in rows]
+        if exact:
+            gap = np.concatenate([y, np.full((len(rows), steps), np.nan)], axis=1)
+            found = [statespace.predict(*one, order, params) for *one, params in zip(gap, np.concatenate([x, future_x], 1), lanes)]
+            return [(mean[-steps:], variance[-steps:]) for mean, variance in found]
+        paths = kernel.path_stack(y, x, future_x, order, lanes)
+        return [(path, kernel.horizon_variances(order, params, steps)) for path, params in zip(paths, lanes)]
+
+    def score(rows):
+        for row, found in zip(rows, with_equal_models(rows, lambda r: (len(r["y"]), len(r["future_weeks"])), ahead)):
+            steps = len(row["future_weeks"])
+            path, sigma = np.full(steps, np.nan), np.full(steps, np.nan)
+            if found is not None:
+                path, variance = found
+                sigma = np.sqrt(row["model"]["sigma2"] * (variance if interval == "horizon" else np.ones(steps)))
+            yield {"week_start": row["future_weeks"], "log_hat": path, "sigma": sigma}
+
+    future_rows = pack_history(future.withColumn("_none", F.lit(0.0)), keys, exog, "_none").select(
         *keys, F.col("weeks").alias("future_weeks"), *(F.col(c).alias(f"future_{c}") for c in exog)
     )
-    packed = with_models(pack_history(history, keys, exog, value), models, keys).join(ahead, keys)
+    packed = with_models(pack_history(history, keys, exog, value), models, keys).join(future_rows, keys)
     scored = score_series(packed, keys, score, {"week_start": "date", "log_hat": "double", "sigma": "double"})
     out = with_interval(without_nan(scored), alpha)
     return out.withColumn("week", cal.epi_week(F.col("week_start"))).drop("sigma")
