@@ -14,18 +14,19 @@ from panelcast.llm.features import Words, word_indexes
 @dataclass
 class PuConfig:
     """``max_rows``: the largest number of confirmed and of unlabelled texts learnt from, each the smallest
-    by a hash of the id. A word counts as a feature if ``least_share`` of the confirmed texts have it, from
-    ``least_z`` standard errors above its rate in unlabelled text on, and with its full value ``full_z``
-    above that; with a few dozen confirmed texts a lower ``least_z`` finds more."""
+    by a hash of the id. No word is shut out by its share of the confirmed texts: one in ``least_texts`` of them is
+    weighed by how surprising its count is at its rate in unlabelled text (root of the Poisson deviance). The weight
+    rises from 0 to 1 over ``ramp`` of it, up to what the luckiest of as many chance words would reach, so the level
+    follows the number of words that the confirmed texts hold."""
 
     bits: int = 18
     max_rows: int = 20_000
-    least_share: float = 0.02
-    least_z: float = 6.0
-    full_z: float = 4.0
+    least_texts: int = 3
+    ramp: float = 2.0
+    start: float = 0.5
     epochs: int = 60
     batch: int = 128
-    rate: float = 1.0
+    rate: float = 0.3
     seed: int = 0
 
 
@@ -58,6 +59,18 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
+def surprise_weights(positive: list, unlabelled: list, size: int, cfg: PuConfig) -> tuple[np.ndarray, np.ndarray]:
+    """How much each feature counts, from 0 to 1 (see ``PuConfig``), and the log of its count over the expected one."""
+    in_p = np.bincount(np.concatenate(positive), minlength=size)
+    in_u = np.bincount(np.concatenate(unlabelled), minlength=size)
+    expected = len(positive) * (in_u + 0.5) / (len(unlabelled) + 1)
+    above = in_p * np.log(np.maximum(in_p, 1) / expected) - (in_p - expected)
+    surprise = np.where(in_p > expected, np.sqrt(2 * np.maximum(above, 0)), 0.0)
+    chance = np.sqrt(2 * np.log(max(np.count_nonzero(in_p), 2)))
+    strength = np.where(in_p >= cfg.least_texts, np.clip((surprise - chance + cfg.ramp) / cfg.ramp, 0, 1), 0.0)
+    return strength, np.log(np.maximum(in_p, 1) / expected)
+
+
 def nn_pu(positive: list, unlabelled: list, prior: float, size: int, cfg: PuConfig) -> tuple[np.ndarray, float]:
     """Weights and bias of a linear classifier over sets of feature indexes.
 
@@ -65,16 +78,12 @@ def nn_pu(positive: list, unlabelled: list, prior: float, size: int, cfg: PuConf
     step for which the second part is negative climbs that part instead, as the non-negative estimator
     prescribes.
     """
-    in_p = np.bincount(np.concatenate(positive), minlength=size)
-    in_u = np.bincount(np.concatenate(unlabelled), minlength=size)
-    rate = (in_u + 0.5) / (len(unlabelled) + 1)
-    z = (in_p / len(positive) - rate) / np.sqrt(rate * (1 - rate) / len(positive))
-    common = in_p >= max(2, cfg.least_share * len(positive))
-    strength = np.where(common, np.clip((z - cfg.least_z) / cfg.full_z, 0, 1), 0.0)
+    strength, ratio = surprise_weights(positive, unlabelled, size, cfg)
     used = np.flatnonzero(strength)
     place = np.full(size, -1)
     place[used] = np.arange(len(used))
-    scale, w, gathered = strength[used], np.zeros(len(used)), np.full(len(used), 1e-6)
+    # From the ratios on, the slopes are steep enough to learn from; from 0 on, many weak words flatten them first.
+    scale, w, gathered = strength[used], cfg.start * np.clip(ratio[used], 0, 3), np.full(len(used), 1e-6)
     bias, bias_gathered = float(np.log(prior / (1 - prior))), 1e-6
 
     def packed(sets):

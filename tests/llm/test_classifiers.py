@@ -76,8 +76,7 @@ def test_ftrl_follows_the_plain_update():
 def test_toxicity_holds_out_and_leaves_clean_texts(texts):
     docs, labels = texts
     known = labels.filter(fold(F.col("doc_id"), 3) != 1)
-    # Forty confirmed texts: words stand out less than in thousands.
-    model = toxicity.fit(docs, known.filter("toxic = 1"), prior=1 / 7, cfg=toxicity.PuConfig(least_z=3.0))
+    model = toxicity.fit(docs, known.filter("toxic = 1"), prior=1 / 7)
     out = docs.withColumn("score", model.score(F.col("text"))).collect()
     judged = [(r.score >= 0.7, r.doc_id % 7 == 0) for r in out if r.doc_id is not None and r.doc_id < 1000]
     assert np.mean([a for a, b in judged if b]) > 0.9 and np.mean([a for a, b in judged if not b]) < 0.02
@@ -97,11 +96,69 @@ def test_risk_part_of_unlabelled_text_is_not_pushed_below_zero():
     rng = np.random.default_rng(0)
     positive = [np.array([1, 2]) for _ in range(50)]
     unlabelled = [np.array([1, 2]) if rng.random() < 0.5 else np.array([3]) for _ in range(200)]
-    weights, bias = toxicity.nn_pu(positive, unlabelled, 0.5, 8, toxicity.PuConfig(least_z=1.0, batch=32))
+    weights, bias = toxicity.nn_pu(positive, unlabelled, 0.5, 8, toxicity.PuConfig(batch=32))
     assert weights[[1, 2]].sum() + bias > 0 > weights[3] + bias
     assert np.isfinite(weights).all()
 
 
+def test_words_in_one_of_a_hundred_toxic_texts_are_learnt():
+    """200 terms, each in about 1 % of the toxic texts, among 60 common words a text; the settings of the query."""
+    rng = np.random.default_rng(5)
+
+    def clean():
+        return np.unique(rng.integers(1_000, 9_000, 60))
+
+    def toxic():
+        return np.unique(np.concatenate([clean(), rng.choice(200, 2, replace=False)]))
+
+    positive = [toxic() for _ in range(6_000)]
+    unlabelled = [toxic() if rng.random() < 0.1 else clean() for _ in range(6_000)]
+    weights, bias = toxicity.nn_pu(positive, unlabelled, 0.1, 1 << 14, toxicity.PuConfig())
+    score = lambda x: 1 / (1 + np.exp(-(weights[x].sum() + bias)))
+    assert np.mean([score(toxic()) >= 0.7 for _ in range(500)]) > 0.9
+    assert np.mean([score(clean()) >= 0.7 for _ in range(500)]) < 0.01
+
+
+def test_learner_is_the_plain_risk_loop():
+    """One text after the other, one feature after the other."""
+    rng = np.random.default_rng(6)
+    positive = [np.unique(rng.integers(0, 12, 4)) for _ in range(40)]
+    unlabelled = [np.unique(rng.integers(4, 24, 5)) for _ in range(90)]
+    cfg, prior, size = toxicity.PuConfig(batch=16, epochs=3), 0.3, 24
+    weights, bias = toxicity.nn_pu(positive, unlabelled, prior, size, cfg)
+    scale, ratio = toxicity.surprise_weights(positive, unlabelled, size, cfg)
+    w = {i: cfg.start * min(max(ratio[i], 0.0), 3.0) for i in range(size) if scale[i] > 0}
+    gathered, b, b_gathered = dict.fromkeys(w, 1e-6), np.log(prior / (1 - prior)), 1e-6
+    draws, steps = np.random.default_rng(cfg.seed), len(unlabelled) // cfg.batch
+    per = min(len(positive), max(cfg.batch // 2, -(-len(positive) // steps)))
+
+    def output(text):
+        return 1 / (1 + np.exp(-(sum(scale[i] * w[i] for i in text if i in w) + b)))
+
+    for _ in range(cfg.epochs):
+        of_u, of_p = draws.permutation(len(unlabelled)), draws.permutation(len(positive))
+        for step in range(steps):
+            us = [unlabelled[i] for i in of_u[step::steps]]
+            ps = [positive[of_p[i % len(positive)]] for i in range(step * per, (step + 1) * per)]
+            negative = np.mean([output(t) for t in us]) - prior * np.mean([output(t) for t in ps])
+            slope, slope_b = dict.fromkeys(w, 0.0), 0.0
+            for text, share in [(t, ("p", len(ps))) for t in ps] + [(t, ("u", len(us))) for t in us]:
+                s = output(text)
+                d = s * (1 - s) / share[1]
+                d = (-2 if negative >= 0 else 1) * prior * d if share[0] == "p" else (1 if negative >= 0 else -1) * d
+                slope_b += d
+                for i in text:
+                    if i in w:
+                        slope[i] += scale[i] * d
+            for i in w:
+                gathered[i] += slope[i] ** 2
+                w[i] -= cfg.rate * slope[i] / np.sqrt(gathered[i])
+            b_gathered += slope_b**2
+            b -= 0.3 * cfg.rate * slope_b / np.sqrt(b_gathered)
+    assert bias == pytest.approx(b) and len(w) > 3
+    assert weights == pytest.approx([scale[i] * w.get(i, 0.0) for i in range(size)])
+
+
 def test_features_see_repetition_and_punctuation():
     memo = Words()
     same = lambda a, b: set(ngram_indexes(a, memo, 18)) & set(ngram_indexes(b, memo, 18))
