@@ -46,17 +46,30 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+_staged: list[str] = []
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a table that several later steps read, and continue from the written copy.
 
     A panel is staged after the fact scan, so that model fits, scoring and projection read weekly
-    rows instead of scanning the facts again; the copy survives the loss of executors.
+    rows instead of scanning the facts again; the copy survives the loss of executors. ``clear_staged`` deletes it.
     """
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
+    _staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_staged(spark: SparkSession) -> int:
+    """Delete the tables that this process has staged so far, once their results are written; how many there were."""
+    done = 0
+    while _staged:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        done += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return done
+
+
 def task_slots(spark: SparkSession, per_core: int = 1) -> int:
     """Number of parts to spread model fits over."""
     cores = spark.sparkContext.defaultParallelism

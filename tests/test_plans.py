@@ -168,3 +168,16 @@ def test_a_panel_with_two_keys(spark):
     assert results["comparison"].select("country", "age").distinct().count() == 4
     assert results["next_season"].count() == 16
     assert results["models"].filter("message IS NULL").count() == 4
+
+
+def test_staged_tables_can_be_cleared(spark):
+    from panelcast import session
+
+    known, session._staged[:] = list(session._staged), []
+    try:
+        copies = [session.stage(spark.range(5), "clear-me") for _ in range(2)]
+        paths = [c.inputFiles()[0] for c in copies]
+        assert session.clear_staged(spark) == 2 and not session._staged
+        assert not any(Path(p.removeprefix("file:")).exists() for p in paths) and session.clear_staged(spark) == 0
+    finally:
+        session._staged[:] = known
