@@ -18,7 +18,6 @@ from panelcast.plans import features as ft
 from panelcast.plans.forecast import RunConfig, rolling_predictions, run, scored_baselines
 from panelcast.session import new_path, stage
 from panelcast.sources import readers, weekly_store, writers
-from panelcast.streaming.walk_forward import score_arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -978,6 +977,9 @@ def full_run_comparison(spark, sf_dir):
 
 def streamed(spark, rows, batches, models, **options):
     """Scores of ``rows`` that arrive in the given batches; every batch is a run that goes on from the checkpoint."""
+    # Typed state needs a library that nothing else does.
+    from panelcast.streaming.walk_forward import score_arrivals
+
     source, sink, progress = (new_path(spark, n) for n in ("arrivals", "scored", "progress"))
     for batch in batches:
         batch.write.mode("append").parquet(source)
