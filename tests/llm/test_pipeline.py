@@ -89,5 +89,5 @@ def test_empty_documents(spark, sf_dir, tmp_path):
 
 def test_every_operator_is_registered():
     numbers = {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
-    assert numbers == {f"op{i}" for i in range(1, 11)} and "pipeline" in entry.queries()
+    assert numbers == {f"op{i}" for i in range(1, 14)} and "pipeline" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())
