@@ -11,36 +11,49 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.features import tokens
+from panelcast.llm.common import Scratch
+from panelcast.llm.features import MIX, TURN, tokens
 from panelcast.session import stage
 
 END = b"\n"
-END_ID = int(np.uint64(xxhash.xxh3_64_intdigest(END)).astype(np.int64))
+END_HASH = np.uint64(xxhash.xxh3_64_intdigest(END))
+END_ID = int(END_HASH.astype(np.int64))
 
 
 @dataclass(frozen=True)
 class BrownConfig:
-    """``clustered``: the most frequent words, which exchange clustering sorts into ``classes``. All other
-    words get one of as many classes again, by the class they mostly follow. ``batch_bytes``: text that
-    one row of the encoded corpus holds. ``prior``: weight of the class shares in a transition. ``rare``:
-    words seen no more often stand for the unknown ones and share their class."""
+    """Every training word is sorted by exchange into one of ``2 * classes`` classes.
+
+    ``clustered``: the most frequent words, which are sorted first, among themselves and into ``classes``
+    classes; with them the exchange over all words starts. ``sweeps``: at most as many in either exchange.
+    The one over all words also ends with a sweep that gains less than ``least_gain`` (natural logarithm) a
+    token, or that share of it for a share of the words. ``batch_bytes``: text that one row of the encoded corpus holds. ``shard_words``: words, counted
+    once a batch, that one row of the vocabulary holds. ``prior``: weight of the class shares in a
+    transition. ``rare``: words seen no more often show where unknown words stand and what follows them."""
 
     classes: int = 32
     clustered: int = 1_024
     sweeps: int = 10
-    batch_bytes: int = 32_000_000
+    batch_bytes: int = 16_000_000
     prior: float = 5.0
     rare: int = 1
+    shard_words: int = 250_000
+    least_gain: float = 0.001
 
     @property
     def rest(self) -> int:
-        """The class of unknown words, rare ones, and those that never follow a clustered word."""
+        """The state of unknown words, and of words before they have a class."""
         return 2 * self.classes
 
     @property
     def all_classes(self) -> int:
         return 2 * self.classes + 1
 
+    @property
+    def states(self) -> int:
+        """Classes, the unknown, and the classes again for their rare words."""
+        return 4 * self.classes + 1
+
 
 class _Numbers(dict):
     def __missing__(self, word: bytes) -> int:
@@ -48,14 +61,24 @@ class _Numbers(dict):
         return at
 
 
-def _pack(codes: np.ndarray) -> bytes:
-    planes = np.ascontiguousarray(codes.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+def _pack(values: np.ndarray, kind: str = "<i4") -> bytes:
+    size = np.dtype(kind).itemsize
+    planes = np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(-1, size).T)
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def _unpack(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<i4").ravel()
+def _unpack(packed: bytes, kind: str = "<i4") -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _pack_counts(values: np.ndarray) -> bytes:
+    wide = len(values) and values.max() >= 2**31
+    return b"8" + _pack(values, "<i8") if wide else b"4" + _pack(values)
+
+
+def _unpack_counts(packed: bytes) -> np.ndarray:
+    return _unpack(packed[1:], "<i8" if packed[:1] == b"8" else "<i4").astype(np.int64)
 
 
 BATCH = "batch long, doc_ids array<long>, train array<boolean>, lengths array<int>, words binary, codes binary"
@@ -71,8 +94,8 @@ def _encoder(limit: int):
         numbers, ids, train, codes, held = _Numbers({END: 0}), [], [], [], 0
 
         def flush():
-            words = np.array([xxhash.xxh3_64_intdigest(w) for w in numbers], np.uint64).astype(np.int64)
-            row = [[first + seq], [ids], [train], [[len(c) for c in codes]], [words.tobytes()], [_pack(np.concatenate(codes))]]
+            words, place = np.unique(np.array([xxhash.xxh3_64_intdigest(w) for w in numbers], np.uint64), return_inverse=True)
+            row = [[first + seq], [ids], [train], [[len(c) for c in codes]], [words.tobytes()], [_pack(place[np.concatenate(codes)])]]
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, schema)], schema=schema)
 
         for rows in batches:
@@ -93,31 +116,100 @@ def _encoder(limit: int):
 
 
 def _batches(frames):
-    """The encoded batches of a task: ids, train flag and length by document, word ids, codes."""
+    """The encoded batches of a task: train flag and length by document, sorted word hashes, codes."""
     for frame in frames:
         for row in frame.to_pylist():
             yield (
                 row,
                 np.array(row["train"], bool),
                 np.array(row["lengths"], np.int64),
-                np.frombuffer(row["words"], np.int64),
+                np.frombuffer(row["words"], np.uint64),
                 _unpack(row["codes"]),
             )
 
 
-def _previous(codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def _previous(codes: np.ndarray, lengths: np.ndarray, words: np.ndarray) -> np.ndarray:
     """The code before each token; a text begins after an end."""
     before = np.empty_like(codes)
     before[1:] = codes[:-1]
-    before[np.concatenate([[0], np.cumsum(lengths)[:-1]])] = 0
+    before[np.concatenate([[0], np.cumsum(lengths)[:-1]])] = np.searchsorted(words, END_HASH)
     return before
 
 
-def _word_counts(frames):
-    for _, train, lengths, words, codes in _batches(frames):
-        counts = np.bincount(codes[np.repeat(train, lengths)], minlength=len(words))
-        seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(words[seen]), pa.array(counts[seen])], ["word", "n"])
+def _cuts(words: np.ndarray, shards: int) -> np.ndarray:
+    """Where sorted hashes pass from one shard, an equal range of all hashes, to the next."""
+    edges = np.array([k * 2**64 // shards for k in range(1, shards)], np.uint64)
+    return np.concatenate([[0], np.searchsorted(words, edges), [len(words)]]).astype(np.int64)
+
+
+def _rows(columns: dict, schema: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(columns[name], kinds[kind]) for name, kind in fields], [name for name, _ in fields])
+
+
+SLICE = "shard int, batch long, words binary, n binary"
+
+
+def _word_counts(shards: int):
+    """The words of each batch and their training counts, cut into shards."""
+
+    def count(frames):
+        for row, train, lengths, words, codes in _batches(frames):
+            counts = np.bincount(codes[np.repeat(train, lengths)], minlength=len(words))
+            cuts = _cuts(words, shards)
+            held = np.flatnonzero(np.diff(cuts))
+            spans = [slice(cuts[k], cuts[k + 1]) for k in held]
+            yield _rows(
+                {"shard": held, "batch": [row["batch"]] * len(held), "words": [words[x].tobytes() for x in spans], "n": [_pack_counts(counts[x]) for x in spans]}, SLICE
+            )
+
+    return count
+
+
+SHARD = "shard int, words binary, n binary, classes binary, batches array<long>, places array<binary>"
+
+
+def _shard(cfg: BrownConfig):
+    """One row for a shard: its training words, their counts, and where each batch's words are among them."""
+
+    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+        found = [np.frombuffer(w, np.uint64) for w in rows["words"]]
+        words, at = np.unique(np.concatenate(found), return_inverse=True)
+        n = np.zeros(len(words), np.int64)
+        np.add.at(n, at, np.concatenate([_unpack_counts(x) for x in rows["n"]]))
+        known = n > 0
+        place = np.where(known, np.cumsum(known) - 1, known.sum())[at]
+        places = [_pack(x) for x in np.split(place, np.cumsum([len(f) for f in found])[:-1])]
+        row = [rows["shard"].iloc[0], words[known].tobytes(), n[known].tobytes(), bytes([cfg.rest]) * int(known.sum()), rows["batch"].tolist(), places]
+        return pd.DataFrame([row], columns=["shard", "words", "n", "classes", "batches", "places"])
+
+    return merge
+
+
+def _vocabulary(frames):
+    """The shards of a task: row, sorted word hashes, counts and classes."""
+    for frame in frames:
+        for row in frame.to_pylist():
+            yield row, np.frombuffer(row["words"], np.uint64), np.frombuffer(row["n"], np.int64), np.frombuffer(row["classes"], np.uint8)
+
+
+def _most_frequent(limit: int):
+    def top(frames):
+        for _, words, n, _ in _vocabulary(frames):
+            best = np.lexsort([words.astype(np.int64), -n, words != END_HASH])[:limit]
+            yield _rows({"word": words[best].astype(np.int64), "n": n[best]}, "word long, n long")
+
+    return top
+
+
+def _sizes(frames):
+    """By class: training tokens and words; and the class of the end."""
+    for _, words, n, classes in _vocabulary(frames):
+        tokens_, words_ = np.bincount(classes, n).astype(np.int64), np.bincount(classes)
+        seen = np.flatnonzero(words_)
+        ends = np.bincount(classes[words == END_HASH], minlength=len(words_))
+        yield _rows({"class": seen, "n": tokens_[seen], "words": words_[seen], "ends": ends[seen]}, "class int, n long, words long, ends long")
 
 
 def _places(words: np.ndarray, known: np.ndarray) -> np.ndarray:
@@ -132,9 +224,9 @@ def _pair_counts(known: np.ndarray):
         size = len(known) + 1
         total = np.zeros(size * size, np.int64)
         for _, train, lengths, words, codes in _batches(frames):
-            place = _places(words, known)
+            place = _places(words.astype(np.int64), known)
             learnt = np.repeat(train, lengths)
-            pairs = place[_previous(codes, lengths)[learnt]] * size + place[codes[learnt]]
+            pairs = place[_previous(codes, lengths, words)[learnt]] * size + place[codes[learnt]]
             total += np.bincount(pairs, minlength=size * size)
         seen = np.flatnonzero(total)
         for k in range(0, len(seen), 100_000):
@@ -210,33 +302,237 @@ def _clusters(size: int, cfg: BrownConfig):
     return cluster
 
 
-def _followers(known: np.ndarray, classes: np.ndarray):
-    """How often a word outside the clustered ones follows each of their classes."""
+def _first_classes(known: np.ndarray, classes: np.ndarray):
+    """Gives the most frequent words their classes."""
+
+    def place(rows: pd.DataFrame) -> pd.DataFrame:
+        row = rows.iloc[0].copy()
+        now, at = np.frombuffer(row["classes"], np.uint8).copy(), _places(np.frombuffer(row["words"], np.uint64).astype(np.int64), known)
+        now[at < len(known)] = classes[at[at < len(known)]]
+        row["classes"] = now.tobytes()
+        return pd.DataFrame([row])
+
+    def placed(frames):
+        for rows in frames:
+            yield from (place(rows.iloc[k : k + 1]) for k in range(len(rows)))
+
+    return placed
+
+
+ANSWER = "batch long, shard int, classes binary"
+
+
+def _answers(rest: int, counts: bool = False):
+    """For every batch the classes of its words, shard by shard, and if wanted their counts; those of an
+    unknown word are ``rest`` and 0."""
+
+    def answer(frames):
+        for row, _, n, classes in _vocabulary(frames):
+            classes, n = np.append(classes, np.uint8(rest)), np.append(n, 0)
+            places = [_unpack(p) for p in row["places"]]
+            out = {"batch": row["batches"], "shard": [row["shard"]] * len(places), "classes": [classes[p].tobytes() for p in places]}
+            if counts:
+                out["n"] = [_pack_counts(n[p]) for p in places]
+            yield _rows(out, ANSWER + ", n binary" * counts)
+
+    return answer
+
+
+CONTEXTS = "shard int, batch long, entries binary"
 
-    def count(frames):
-        by_place, many = np.append(classes, -1), int(classes.max()) + 1
-        for _, train, lengths, words, codes in _batches(frames):
-            place = _places(words, known)
-            before = by_place[place[_previous(codes, lengths)]]
-            use = np.repeat(train, lengths) & (before >= 0) & (place[codes] == len(known))
-            pairs, n = np.unique(codes[use].astype(np.int64) * many + before[use], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(words[pairs // many]), pa.array((pairs % many).astype(np.int8)), pa.array(n)], ["word", "after", "n"])
+
+def _contexts(size: int, shards: int):
+    """How often each word of a batch follows each class, stands before it, and follows itself, in its shard's
+    terms; under shard -1 the counts of class pairs. Training tokens only."""
+    kinds = 2 * size + 1
+
+    def count(key, batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        out = {"shard": [], "batch": [], "entries": []}
+        if len(batch):
+            row = batch.iloc[0]
+            words, codes = np.frombuffer(row["words"], np.uint64), _unpack(row["codes"])
+            lengths = np.asarray(row["lengths"], np.int64)
+            use = np.repeat(np.asarray(row["train"], bool), lengths)
+            before, here = _previous(codes, lengths, words)[use], codes[use]
+            del codes, use
+            group = np.frombuffer(b"".join(answers.sort_values("shard")["classes"]), np.uint8)
+            grid = sum(
+                np.bincount(group[before[k : k + 500_000]].astype(np.int64) * size + group[here[k : k + 500_000]], minlength=size * size) for k in range(0, max(len(here), 1), 500_000)
+            )
+            many, itself = len(here), here[here == before]
+            keys = np.empty(2 * many + len(itself), np.int32 if len(words) * kinds < 2**31 else np.int64)
+            np.multiply(here, kinds, out=keys[:many], casting="unsafe", dtype=keys.dtype)
+            keys[:many] += group[before]
+            np.multiply(before, kinds, out=keys[many : 2 * many], casting="unsafe", dtype=keys.dtype)
+            keys[many : 2 * many] += group[here]
+            keys[many : 2 * many] += size
+            keys[2 * many :] = itself.astype(keys.dtype) * kinds + 2 * size
+            del before, here
+            keys.sort()
+            starts = np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]]))
+            n = np.diff(starts, append=len(keys))
+            keys = keys[starts]
+            cuts = _cuts(words, shards)
+            ends = np.searchsorted(keys, cuts * kinds)
+            for k in np.flatnonzero(np.diff(cuts)):
+                part = slice(ends[k], ends[k + 1])
+                gaps = np.diff(keys[part].astype(np.int64) - cuts[k] * kinds, prepend=0)
+                out["shard"].append(k)
+                out["entries"].append(_pack_counts(np.concatenate([gaps, n[part]])))
+            out["shard"].append(-1)
+            out["entries"].append(_pack_counts(grid))
+            out["batch"] = [row["batch"]] * len(out["shard"])
+        return pd.DataFrame(out)
 
     return count
 
 
-def _asked(frames):
-    for row, _, _, words, _ in _batches(frames):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(words), row["batch"])), pa.array(np.arange(len(words), dtype=np.int32)), pa.array(words)], ["batch", "code", "word"]
-        )
+def _grid(frames):
+    total = 0
+    for frame in frames:
+        for packed in frame.column(0).to_pylist():
+            total = total + _unpack_counts(packed)
+    seen = np.flatnonzero(total)
+    if len(seen):
+        yield _rows({"pair": seen, "n": total[seen]}, "pair long, n long")
+
+
+SMALL = 8
+ENTRIES = 20_000
+
+
+def gains(grid: np.ndarray, now: np.ndarray, left: np.ndarray, right: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """For each word (row) and class: the likelihood with that word alone moved there, but for a constant a word.
+
+    ``grid`` counts class pairs, ``left`` the classes before a word, ``right`` those after it, ``own`` the word
+    after itself, all with the words in their classes ``now``.
+    """
+    at = np.arange(len(now))
+    left, right = left.astype(float), right.astype(float)
+    left[at, now] -= own
+    right[at, now] -= own
+    gain = np.zeros(left.shape)
+    for grid_, mine, other in ((grid, right, left), (grid.T, left, right)):
+        cells_ = grid_.T.astype(float)
+        word, near = np.nonzero(mine)
+        n, same = mine[word, near], near == now[word]
+        # What adds small counts to cells that the word is not in is the same for all words.
+        plain = ~same & (n <= SMALL)
+        table = _plog(cells_ + np.arange(1, SMALL + 1)[:, None, None]) - _plog(cells_)
+        for k in range(SMALL):
+            part = plain & (n == k + 1)
+            if part.any():
+                has = np.zeros(mine.shape)
+                has[word[part], near[part]] = 1
+                gain += has @ table[k]
+        counted = np.zeros(len(word))
+        counted[plain] = table[n[plain].astype(np.int64) - 1, near[plain], now[word[plain]]]
+        rest = np.flatnonzero(~plain)
+        if len(rest):
+            cells = cells_[near[rest]]
+            cells[same[rest]] -= other[word[same]]
+            steps = _plog(cells + n[rest, None]) - _plog(cells)
+            counted[rest] = steps[np.arange(len(rest)), now[word[rest]]]
+            starts = np.flatnonzero(np.diff(word[rest], prepend=-1))
+            gain[word[rest[starts]]] += np.add.reduceat(steps, starts)
+        cells = cells_[near, now[word]] - n - same * (own[word] + other[word, now[word]])
+        gain[at, now] += np.bincount(word, _plog(cells + n) - _plog(cells) - counted, len(now))
+        many = mine.sum(1) + own
+        sums = np.repeat(grid_.sum(1)[None].astype(float), len(now), 0)
+        sums[at, now] -= many
+        gain -= _plog(sums + many[:, None]) - _plog(sums)
+    both = np.repeat(np.diagonal(grid)[None].astype(float), len(now), 0)
+    both[at, now] -= left[at, now] + right[at, now] + own
+    gain += _plog(both + right + left + own[:, None]) + _plog(both) - _plog(both + right) - _plog(both + left)
+    return gain
+
+
+def _entries(rows: pd.DataFrame, places: dict, kinds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The contexts of a shard's words over all batches: word, kind of context, count; sorted."""
+    keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for batch, packed in zip(rows["batch"], rows["entries"]):
+        gaps, n = _unpack_counts(packed).reshape(2, -1)
+        word, kind = np.divmod(np.cumsum(gaps), kinds)
+        keys.append(places[batch][word].astype(np.int64) * kinds + kind)
+        counts.append(n)
+    keys, counts = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    starts = np.flatnonzero(np.diff(keys, prepend=-1))
+    n = np.add.reduceat(counts[order], starts) if len(starts) else counts
+    return keys[starts] // kinds, keys[starts] % kinds, n
+
+
+def _start(words: np.ndarray, now: np.ndarray, word: np.ndarray, kind: np.ndarray, n: np.ndarray, cfg: BrownConfig) -> np.ndarray:
+    """Words without a class begin in that of the frequent class they mostly follow, or in one by their hash."""
+    new = np.where(now < cfg.rest, now, cfg.classes + (words % np.uint64(cfg.classes)).astype(np.int64))
+    use = (kind < cfg.classes) & (now[word] == cfg.rest)
+    word, kind, n = word[use], kind[use], n[use]
+    order = np.lexsort([kind, -n, word])
+    best = order[np.diff(word[order], prepend=-1) > 0]
+    new[word[best]] = cfg.classes + kind[best]
+    return new
+
+
+def _moving(words: np.ndarray, share: float, turn: int) -> np.ndarray:
+    """Positions of about that share of the words, others in each turn, whatever else is in the shard."""
+    mixed = (words ^ (words >> np.uint64(29)) ^ (np.uint64(turn) * MIX)) * TURN
+    return np.flatnonzero((mixed >> np.uint64(40)).astype(np.float64) < share * 2**24)
+
+
+def _exchanged(now: np.ndarray, some: np.ndarray, word: np.ndarray, kind: np.ndarray, n: np.ndarray, grid: np.ndarray, cfg: BrownConfig) -> np.ndarray:
+    """The words' classes after each of ``some`` moved to the one that raises the likelihood most while the others keep theirs."""
+    size, many = cfg.all_classes, cfg.rest
+    first = np.searchsorted(word, np.arange(len(now) + 1))
+    # A word with one class before and one after it, once each, does what the others of its kind do.
+    once = (np.diff(first) == 2) & (np.bincount(word, n, len(now)) == 2)
+    pattern = np.arange(len(now)) + many**3
+    pattern[once] = (now[once] * many + kind[first[:-1][once]]) * many + kind[first[:-1][once] + 1] - size
+    _, one, alike = np.unique(pattern[some], return_index=True, return_inverse=True)
+    one = some[one]
+    best = now[one].copy()
+    held = np.cumsum(first[one + 1] - first[one])
+    ends = np.searchsorted(held, np.arange(ENTRIES, held[-1] if len(held) else 0, ENTRIES), side="right")
+    for at in np.split(np.arange(len(one)), ends):
+        part = one[at]
+        lengths = first[part + 1] - first[part]
+        row = np.repeat(np.arange(len(part)), lengths)
+        entry = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths) + np.repeat(first[part], lengths)
+        table = np.zeros((len(part), 2 * size + 1))
+        table[row, kind[entry]] = n[entry]
+        gain = gains(grid, now[part], table[:, :many], table[:, size : size + many], table[:, -1])
+        to = gain.argmax(1)
+        better = gain[np.arange(len(part)), to] > gain[np.arange(len(part)), now[part]] + 1e-9
+        best[at] = np.where(better, to, now[part])
+    new = now.copy()
+    new[some] = best[alike]
+    return new
+
+
+def _decide(cfg: BrownConfig, grid: np.ndarray | None, share: float, turn: int):
+    """The next class of every word of a shard."""
+
+    def decide(key, shard: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        row = shard.iloc[0].copy()
+        places = {b: _unpack(p) for b, p in zip(row["batches"], row["places"])}
+        now = np.frombuffer(row["classes"], np.uint8).astype(np.int64)
+        word, kind, n = _entries(rows, places, 2 * cfg.all_classes + 1)
+        words = np.frombuffer(row["words"], np.uint64)
+        if grid is None:
+            now = _start(words, now, word, kind, n, cfg)
+        else:
+            now = _exchanged(now, _moving(words, share, turn), word, kind, n, grid, cfg)
+        row["classes"] = now.astype(np.uint8).tobytes()
+        return pd.DataFrame([row])
+
+    return decide
 
 
 SCORED = "doc_id long, train boolean, n_tokens long, n_known long, base_score double, emission double, path binary"
 
 
-def _emitter(total: float, vocabulary: float, shares: np.ndarray, rest: int):
-    """Base score, emission score and class path of every document of a batch."""
+def _emitter(total: float, vocabulary: float, mass: np.ndarray, cfg: BrownConfig):
+    """Base score, emission score and path of states of every document of a batch."""
     scale = total + 0.1 * (vocabulary + 1)
 
     def emit(key, batch: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
@@ -245,31 +541,32 @@ def _emitter(total: float, vocabulary: float, shares: np.ndarray, rest: int):
             return pd.DataFrame(columns=columns)
         row = batch.iloc[0]
         lengths, codes = np.asarray(row["lengths"], np.int64), _unpack(row["codes"])
-        size = int(codes.max()) + 1
-        count, group = np.zeros(size), np.full(size, rest, np.uint8)
-        at = answers["code"].to_numpy()
-        count[at], group[at] = answers["n"].to_numpy(), answers["class"].to_numpy()
+        answers = answers.sort_values("shard")
+        group = np.frombuffer(b"".join(answers["classes"]), np.uint8)
+        count = np.concatenate([_unpack_counts(n) for n in answers["n"]])
+        known = count > 0
         base = np.log10((count + 0.1) / scale)
-        emission = base - np.log10(shares)[group]
+        emission = np.where(known, np.log10((count + 0.1) / mass[group]), 0.0)
+        state = np.where(known & (count <= cfg.rare), cfg.all_classes + group.astype(np.int64), group).astype(np.min_scalar_type(cfg.states - 1))
         starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        path = group[codes].tobytes()
+        path, wide = state[codes].tobytes(), state.itemsize
         return pd.DataFrame(
             {
                 "doc_id": pd.array(list(row["doc_ids"]), dtype="Int64"),
                 "train": np.asarray(row["train"], bool),
                 "n_tokens": lengths,
-                "n_known": np.add.reduceat((count > 0)[codes].astype(np.int64), starts),
+                "n_known": np.add.reduceat(known[codes].astype(np.int64), starts),
                 "base_score": np.add.reduceat(base[codes], starts),
                 "emission": np.add.reduceat(emission[codes], starts),
-                "path": [path[s : s + n] for s, n in zip(starts, lengths)],
+                "path": [path[s * wide : (s + n) * wide] for s, n in zip(starts, lengths)],
             }
         )[columns]
 
     return emit
 
 
-def _steps(path: bytes, end: int) -> tuple[np.ndarray, np.ndarray]:
-    here = np.frombuffer(path, np.uint8).astype(np.int64)
+def _steps(path: bytes, end: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    here = np.frombuffer(path, np.min_scalar_type(size - 1)).astype(np.int64)
     return np.concatenate([[end], here[:-1]]), here
 
 
@@ -278,7 +575,7 @@ def _transition_counts(end: int, size: int):
         total = np.zeros(size * size, np.int64)
         for frame in frames:
             for path in frame.column(0).to_pylist():
-                before, here = _steps(path, end)
+                before, here = _steps(path, end, size)
                 total += np.bincount(before * size + here, minlength=size * size)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["pair", "n"])
@@ -289,81 +586,127 @@ def _transition_counts(end: int, size: int):
 def _path_score(path: Column, log_transition: np.ndarray, end: int) -> Column:
     @F.pandas_udf("double")
     def scored(paths: pd.Series) -> pd.Series:
-        return pd.Series([log_transition[_steps(p, end)].sum() for p in paths], dtype="float64")
+        return pd.Series([log_transition[_steps(p, end, len(log_transition))].sum() for p in paths], dtype="float64")
 
     return scored(path)
 
 
+def _log_transition(moves: np.ndarray, mass: np.ndarray, unknown: float, cfg: BrownConfig) -> np.ndarray:
+    """log10 P(class or unknown | state before) between states, from the training moves between states."""
+    rest, size = cfg.rest, cfg.all_classes
+    folded = moves[:size] + np.vstack([moves[size:], np.zeros((1, cfg.states))])
+    folded[rest] += moves[size:].sum(0)
+    to, rare = folded[:, :rest] + folded[:, size:], folded[:, size:].sum(1)
+    known = mass[:rest].sum()
+    shares = mass[:rest] / known if known else mass[:rest]
+    share = rare[:rest].sum() / max(to[:rest].sum(), 1)
+    all_moves = to.sum(1)
+    u = unknown * ((rare + cfg.prior * share) / ((all_moves + cfg.prior) * share) if share else np.ones(size))
+    step = (to + cfg.prior * shares) / (all_moves + cfg.prior)[:, None] * (1 - u)[:, None]
+    out = np.log10(np.maximum(np.column_stack([step, u, step]), 1e-300))
+    return np.vstack([out, out[:rest]])
+
+
 def score_documents(docs: DataFrame, train: Column, cfg: BrownConfig = BrownConfig(), text: str = "text", key: str = "doc_id") -> DataFrame:
     """``doc_id``, ``train``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``, ``perplexity``.
 
     The model learns from the rows where ``train`` holds: words lower-cased from A to Z, then one end. The
     score is the log10 probability of the text: P(class | class before) * P(word | class). Transitions are
     smoothed towards the classes' shares, and a word's probability within its class is its share of the
-    smoothed word counts, so the probabilities of all words and the unknown one add up to 1.
+    smoothed word counts. After each class the unknown word has its base probability, times how much more
+    often rare words stand there than anywhere; after it comes what comes after rare words. So the
+    probabilities of all words and the unknown one add up to 1.
 
     1. Texts are tokenized once into batches of bounded size: a dictionary of word hashes and packed codes.
-    2. Words are counted over all training tokens. The ``clustered`` most frequent ones are sorted into
-       classes by exchange clustering on their bigram counts over all training tokens (at most
-       ``(clustered + 1) ** 2`` numbers, whatever the corpus). Every other word joins the class of words
-       that mostly follow the same class; words that never do so, and rare ones, are one class with the
-       unknown words, which so have transitions of their own.
-    3. Batches ask for count and class of their own words in one join with the vocabulary, which is never
-       collected or broadcast; documents become class paths, whose transitions are counted over all
-       training tokens.
+       The vocabulary of all training words lies in shards, ranges of the hashes, that know where each
+       batch's words are. It is never collected or broadcast.
+    2. The ``clustered`` most frequent words are sorted into classes by exchange clustering on their bigram
+       counts over all training tokens. From there all words of the vocabulary go through exchange: in each
+       sweep the shards tell the batches the classes of their words, the batches tell the shards how often
+       each word follows and precedes each class, and every word moves to the class that raises the
+       likelihood of the class bigrams most. As all move at once, a sweep may lower it: it is taken back, and
+       from then on a sweep moves half as many of the words, other ones each time.
+    3. Documents become class paths, whose transitions are counted over all training tokens.
 
     A null, empty or blank text is one end token. Null ids are ids. Without training rows every word is
     unknown and both scores are those of a uniform model. An empty table gives no rows.
     """
-    limits = (cfg.all_classes, cfg.rest)
+    scratch = Scratch(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text).cast("binary").alias("bytes"))
-    corpus = stage(rows.mapInArrow(_encoder(cfg.batch_bytes), BATCH), "corpus")
-    counts = corpus.select("batch", "doc_ids", "train", "lengths", "words", "codes").mapInArrow(_word_counts, "word long, n long")
-    vocabulary = stage(counts.groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
-    sums = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    corpus = scratch.stage(rows.mapInArrow(_encoder(cfg.batch_bytes), BATCH), "corpus")
+    batches, held = corpus.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()
+    batches, shards = max(batches, 1), held // 8 // cfg.shard_words + 1
+    texts = corpus.select("batch", "train", "lengths", "words", "codes")
 
-    top = vocabulary.orderBy(F.col("word") != END_ID, F.col("n").desc(), "word").limit(cfg.clustered).toPandas()["word"]
-    known = np.sort(top.to_numpy(dtype="int64"))
+    def by_batch(df):
+        return df.repartition(batches, "batch").groupBy("batch")
+
+    def by_shard(df):
+        return df.repartition(shards, "shard").groupBy("shard")
+
+    words = scratch.stage(by_shard(texts.mapInArrow(_word_counts(shards), SLICE)).applyInPandas(_shard(cfg), SHARD), "vocabulary")
+    top = words.mapInArrow(_most_frequent(cfg.clustered), "word long, n long").orderBy(F.col("word") != END_ID, F.col("n").desc(), "word").limit(cfg.clustered)
+    known = np.sort(top.toPandas()["word"].to_numpy(dtype="int64"))
     if len(known):
-        pairs = corpus.mapInArrow(_pair_counts(known), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+        pairs = texts.mapInArrow(_pair_counts(known), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
         clusters = pairs.groupBy(F.lit(0).alias("one")).applyInPandas(_clusters(len(known) + 1, cfg), "at long, class long").toPandas()
         classes = clusters.sort_values("at")["class"].to_numpy()
-        frequent = docs.sparkSession.createDataFrame(pd.DataFrame({"word": known, "class": classes}))
-        follows = corpus.mapInArrow(_followers(known, classes), "word long, after byte, n long")
-        follows = follows.groupBy("word", "after").agg(F.sum("n").alias("n")).groupBy("word").agg(F.max_by("after", F.col("n") * cfg.classes - F.col("after")).alias("after"))
-        other = follows.select("word", (F.col("after") + F.lit(cfg.classes)).cast("long").alias("class"))
-        classed = vocabulary.join(frequent.unionByName(other), "word", "left")
-    else:
-        classes = np.zeros(0, np.int64)
-        classed = vocabulary.withColumn("class", F.lit(None).cast("long"))
-    own = F.when((F.col("n") > cfg.rare) | (F.col("class") < cfg.classes), F.col("class"))
-    classed = stage(classed.select("word", "n", F.coalesce(own, F.lit(cfg.rest)).cast("long").alias("class")), "classes")
-
-    total, size = float(sums[0]), float(sums[1])
-    mass = np.zeros(limits[0])
-    for c, n, words in classed.groupBy("class").agg(F.sum("n"), F.count("*")).collect():
-        mass[c] = n + 0.1 * words
-    mass[cfg.rest] += 0.1
-    shares = mass / mass.sum()
-    shares[shares == 0] = 1e-300
-    answers = corpus.mapInArrow(_asked, "batch long, code int, word long").join(classed, "word").select("batch", "code", "n", "class")
-    emitted = corpus.select("batch", "doc_ids", "train", "lengths", "codes").groupBy("batch").cogroup(answers.groupBy("batch"))
-    emitted = stage(emitted.applyInPandas(_emitter(total, size, shares, cfg.rest), SCORED), "class-paths")
-
-    end = int(classes[_places(np.array([END_ID]), known)[0]]) if len(known) else cfg.rest
-    moves = np.zeros(limits[0] ** 2)
-    steps = emitted.filter("train").select("path").mapInArrow(_transition_counts(end, limits[0]), "pair long, n long")
+
+        def contexts(vocabulary):
+            told = vocabulary.mapInArrow(_answers(cfg.rest), ANSWER)
+            found = by_batch(texts).cogroup(by_batch(told)).applyInPandas(_contexts(cfg.all_classes, shards), CONTEXTS)
+            found = scratch.stage(found, "contexts")
+            grid = np.zeros(cfg.all_classes**2)
+            for pair, n in found.filter("shard < 0").select("entries").mapInArrow(_grid, "pair long, n long").groupBy("pair").agg(F.sum("n")).collect():
+                grid[pair] = n
+            return found, grid.reshape(cfg.all_classes, cfg.all_classes)[: cfg.rest, : cfg.rest]
+
+        def moved(vocabulary, found, grid=None, share=1.0, turn=0):
+            decided = by_shard(vocabulary).cogroup(by_shard(found.filter("shard >= 0"))).applyInPandas(_decide(cfg, grid, share, turn), SHARD)
+            return scratch.stage(decided, "vocabulary")
+
+        heads = words.mapInPandas(_first_classes(known, classes), SHARD)
+        found, _ = contexts(heads)
+        now = moved(heads, found)
+        scratch.drop(found, words)
+        found, grid = contexts(now)
+        share = 1.0
+        for turn in range(cfg.sweeps):
+            tried = moved(now, found, grid, share, turn)
+            tried_found, tried_grid = contexts(tried)
+            gained = likelihood(tried_grid) - likelihood(grid)
+            if gained < 0:
+                scratch.drop(tried, tried_found)
+                share /= 2
+            else:
+                scratch.drop(now, found)
+                now, found, grid = tried, tried_found, tried_grid
+                if gained < cfg.least_gain * share * grid.sum():
+                    break
+        scratch.drop(found)
+        words = now
+
+    mass, size, total, end = np.zeros(cfg.all_classes), 0, 0, cfg.rest
+    sizes = words.mapInArrow(_sizes, "class int, n long, words long, ends long")
+    for c, n, many, ends in sizes.groupBy("class").agg(F.sum("n"), F.sum("words"), F.sum("ends")).collect():
+        mass[c], size, total, end = n + 0.1 * many, size + many, total + n, c if ends else end
+    told = words.mapInArrow(_answers(cfg.rest, counts=True), ANSWER + ", n binary")
+    emitted = by_batch(corpus.select("batch", "doc_ids", "train", "lengths", "codes")).cogroup(by_batch(told))
+    emitted = stage(emitted.applyInPandas(_emitter(total, size, np.maximum(mass, 1e-300), cfg), SCORED), "class-paths")
+    scratch.drop(corpus, words)
+
+    moves = np.zeros(cfg.states**2)
+    steps = emitted.filter("train").select("path").mapInArrow(_transition_counts(end, cfg.states), "pair long, n long")
     for pair, n in steps.groupBy("pair").agg(F.sum("n")).collect():
         moves[pair] = n
-    moves = moves.reshape(limits[0], limits[0])
-    transition = np.log10((moves + cfg.prior * shares) / (moves.sum(1, keepdims=True) + cfg.prior))
+    transition = _log_transition(moves.reshape(cfg.states, cfg.states), mass, 0.1 / (total + 0.1 * (size + 1)), cfg)
     score = F.col("emission") + _path_score(F.col("path"), transition, end)
     return emitted.withColumn("score", score).select(
         "doc_id",
         "train",
         "n_tokens",
         "n_known",
-        F.lit(int(total)).cast("long").alias("train_tokens"),
+        F.lit(total).cast("long").alias("train_tokens"),
         "base_score",
         "score",
         F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelcast.llm.brown import BrownConfig, exchange, likelihood, score_documents
+from panelcast.llm.brown import BrownConfig, _log_transition, exchange, gains, likelihood, score_documents
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -80,3 +80,60 @@ def test_edges(no_docs, clashing, rows, spark):
     out = score_documents(clashing, F.lit(False), SMALL).collect()
     assert len(out) == len(rows) and {r.n_known for r in out} == {0}
     assert all(r.score == pytest.approx(r.base_score) for r in out)
+
+
+def test_gains_are_those_of_the_likelihood():
+    rng = np.random.default_rng(5)
+    words, classes = 9, 4
+    counts = rng.poisson(1.0, (words, words))
+    now = rng.integers(classes, size=words)
+
+    def grid(where):
+        member = np.eye(classes, dtype=int)[where]
+        return member.T @ counts @ member
+
+    member = np.eye(classes, dtype=int)[now]
+    found = gains(grid(now), now, counts.T @ member, counts @ member, np.diagonal(counts))
+    for w in range(words):
+        true = [likelihood(grid(np.where(np.arange(words) == w, c, now))) for c in range(classes)]
+        assert found[w] - found[w, now[w]] == pytest.approx(np.array(true) - true[now[w]], abs=1e-8)
+
+
+def _turns(n=240):
+    """Texts in which words of two equal halves of the vocabulary take turns; none is more frequent than others."""
+    rng, rows = random.Random(4), []
+    for i in range(n):
+        side = rng.randrange(2)
+        rows.append((i, " ".join(f"{'xy'[(side + k) % 2]}{rng.randrange(60)}" for k in range(40))))
+    return rows
+
+
+def test_words_beyond_the_most_frequent_go_through_exchange(spark):
+    """Most words are past ``clustered``; what class they are in shows only by their places among each other."""
+    cfg = BrownConfig(classes=2, clustered=3)
+    out = score_documents(spark.createDataFrame(_turns(), "doc_id long, text string"), F.col("doc_id") % 5 != 0, cfg)
+    held = out.filter("doc_id % 5 = 0").agg(F.sum("score"), F.sum("base_score"), F.sum("n_tokens")).first()
+    assert held[0] > held[1] + 0.2 * held[2]  # knowing whose turn it is is worth log10(2) = 0.3 a word
+
+
+def test_batches_and_shards_do_not_change_scores(spark, corpus):
+    df = spark.createDataFrame(corpus, "doc_id long, text string")
+    one = score_documents(df, F.col("doc_id") % 5 != 0, BrownConfig(classes=4, clustered=30)).collect()
+    cut = BrownConfig(classes=4, clustered=30, batch_bytes=3_000, shard_words=100)
+    many = score_documents(df.repartition(5), F.col("doc_id") % 5 != 0, cut).collect()
+
+    def order(r):
+        return (r.doc_id is None, r.doc_id, r.n_tokens, r.base_score)
+
+    assert len(one) == len(many) == len(corpus)
+    for a, b in zip(sorted(one, key=order), sorted(many, key=order)):
+        assert (a.doc_id, a.n_tokens, a.n_known, a.train_tokens) == (b.doc_id, b.n_tokens, b.n_known, b.train_tokens)
+        assert a.score == pytest.approx(b.score)
+
+
+def test_steps_from_every_state_add_up_to_one():
+    cfg, rng = BrownConfig(classes=2), np.random.default_rng(1)
+    mass = np.append(rng.uniform(1, 9, cfg.rest), 0)
+    for moves in (rng.integers(0, 9, (cfg.states, cfg.states)).astype(float), np.zeros((cfg.states, cfg.states))):
+        step = 10 ** _log_transition(moves, mass, 0.01, cfg)
+        assert step[:, : cfg.all_classes].sum(1) == pytest.approx(np.ones(cfg.states))
