@@ -1,10 +1,12 @@
 """Brown class language model: exchange clustering, class transitions, word emissions."""
 
+import ctypes
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -12,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.llm.common import Scratch
-from panelcast.llm.features import MIX, TURN, tokens
+from panelcast.llm.features import MIX, TURN
 from panelcast.session import stage
 
 END = b"\n"
@@ -55,21 +57,31 @@ class BrownConfig:
         return 4 * self.classes + 1
 
 
-class _Numbers(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = at = len(self)
-        return at
+def _release() -> None:
+    """Gives freed memory back to the system, which a worker waiting for its next task would keep."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
 
 
 def _pack(values: np.ndarray, kind: str = "<i4") -> bytes:
-    size = np.dtype(kind).itemsize
-    planes = np.ascontiguousarray(values.astype(kind).view(np.uint8).reshape(-1, size).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    values = values.astype(kind)
+    planes = np.empty((values.itemsize, len(values)), np.uint8)
+    for k in range(values.itemsize):
+        np.right_shift(values, 8 * k, out=planes[k], casting="unsafe")
+    return zstandard.ZstdCompressor(level=1).compress(planes)
 
 
 def _unpack(packed: bytes, kind: str = "<i4") -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(np.dtype(kind).itemsize, -1)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8).reshape(size, -1)
+    values = planes[0].astype(kind)
+    for k in range(1, size):
+        if planes[k].any():
+            for at in range(0, len(values), 1 << 15):
+                values[at : at + (1 << 15)] |= planes[k, at : at + (1 << 15)].astype(kind) << 8 * k
+    return values
 
 
 def _pack_counts(values: np.ndarray) -> bytes:
@@ -81,36 +93,62 @@ def _unpack_counts(packed: bytes) -> np.ndarray:
     return _unpack(packed[1:], "<i8" if packed[:1] == b"8" else "<i4").astype(np.int64)
 
 
-BATCH = "batch long, doc_ids array<long>, train array<boolean>, lengths array<int>, words binary, codes binary"
+BATCH = "batch long, doc_ids array<long>, train array<boolean>, lengths array<int>, words binary, codes binary, end_code int"
+PIECE = 2_000_000
+
+
+def _encoded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct words of some texts, with A-Z lower-cased and an end after each text; the places in them
+    of all tokens; the number of tokens by text."""
+    large = pa.types.is_large_binary(texts.type)
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.large_string() if large else pa.string())))
+    coded = pc.dictionary_encode(split.flatten())
+    many, codes = pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False), coded.indices.to_numpy()
+    names = coded.dictionary.view(texts.type)
+    # White space at either end of a text leaves an empty string, which is no word.
+    empty = pc.binary_length(names).to_numpy() == 0
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, names.to_numpy(zero_copy_only=False)), np.uint64, len(names))
+    hashes[empty] = END_HASH
+    kept = ~empty[codes]
+    lengths = np.diff(np.concatenate([[0], np.cumsum(kept)])[np.concatenate([[0], np.cumsum(many)])]) + 1
+    tokens = np.full(lengths.sum(), len(names), np.int32)
+    word = np.ones(len(tokens), bool)
+    word[np.cumsum(lengths) - 1] = False
+    tokens[word] = codes[kept]
+    return np.append(hashes, END_HASH), tokens, lengths
 
 
 def _encoder(limit: int):
     schema = pa.schema(
-        [("batch", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int32())), ("words", pa.binary()), ("codes", pa.binary())]
+        [("batch", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int32())), ("words", pa.binary()), ("codes", pa.binary()), ("end_code", pa.int32())]
     )
 
     def encode(batches):
-        first, seq = TaskContext.get().partitionId() << 32, 0
-        numbers, ids, train, codes, held = _Numbers({END: 0}), [], [], [], 0
+        batch, held, full = TaskContext.get().partitionId() << 32, [], 0
 
         def flush():
-            words, place = np.unique(np.array([xxhash.xxh3_64_intdigest(w) for w in numbers], np.uint64), return_inverse=True)
-            row = [[first + seq], [ids], [train], [[len(c) for c in codes]], [words.tobytes()], [_pack(place[np.concatenate(codes)])]]
+            ids, train, hashes, codes, lengths = zip(*held)
+            words, place = np.unique(np.concatenate(hashes), return_inverse=True)
+            places = np.split(place.astype(np.int32), np.cumsum([len(h) for h in hashes])[:-1])
+            codes = np.concatenate([to[c] for to, c in zip(places, codes)])
+            row = [[batch], [sum(ids, [])], [sum(train, [])], [np.concatenate(lengths)], [words.tobytes()], [_pack(codes)], [place[-1]]]
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, schema)], schema=schema)
 
         for rows in batches:
-            for doc, learnt, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), rows.column(2)):
-                found = tokens(text.as_py())
-                found.append(END)
-                codes.append(np.fromiter(map(numbers.__getitem__, found), np.int32, len(found)))
-                ids.append(doc)
-                train.append(learnt)
-                held += 16 + (text.is_valid and len(text.as_py()))
-                if held >= limit:
+            sizes = 16 + pc.fill_null(pc.binary_length(rows.column(2)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            while len(rows):
+                upto = np.cumsum(sizes)
+                many = min(int(np.searchsorted(upto, min(limit - full, PIECE))) + 1, len(rows))
+                held.append((rows.column(0)[:many].to_pylist(), rows.column(1)[:many].to_pylist(), *_encoded(rows.column(2)[:many])))
+                full += upto[many - 1]
+                rows, sizes = rows.slice(many), sizes[many:]
+                if full >= limit:
                     yield flush()
-                    numbers, ids, train, codes, held, seq = _Numbers({END: 0}), [], [], [], 0, seq + 1
-        if ids:
+                    batch, held, full = batch + 1, [], 0
+        if held:
             yield flush()
+            held = []
+        _release()
 
     return encode
 
@@ -128,11 +166,11 @@ def _batches(frames):
             )
 
 
-def _previous(codes: np.ndarray, lengths: np.ndarray, words: np.ndarray) -> np.ndarray:
+def _previous(codes: np.ndarray, lengths: np.ndarray, end: int) -> np.ndarray:
     """The code before each token; a text begins after an end."""
     before = np.empty_like(codes)
     before[1:] = codes[:-1]
-    before[np.concatenate([[0], np.cumsum(lengths)[:-1]])] = np.searchsorted(words, END_HASH)
+    before[np.concatenate([[0], np.cumsum(lengths)[:-1]])] = end
     return before
 
 
@@ -223,10 +261,10 @@ def _pair_counts(known: np.ndarray):
     def count(frames):
         size = len(known) + 1
         total = np.zeros(size * size, np.int64)
-        for _, train, lengths, words, codes in _batches(frames):
+        for row, train, lengths, words, codes in _batches(frames):
             place = _places(words.astype(np.int64), known)
             learnt = np.repeat(train, lengths)
-            pairs = place[_previous(codes, lengths, words)[learnt]] * size + place[codes[learnt]]
+            pairs = place[_previous(codes, lengths, row["end_code"])[learnt]] * size + place[codes[learnt]]
             total += np.bincount(pairs, minlength=size * size)
         seen = np.flatnonzero(total)
         for k in range(0, len(seen), 100_000):
@@ -341,7 +379,7 @@ def _answers(rest: int, counts: bool = False):
 CONTEXTS = "shard int, batch long, entries binary"
 
 
-def _contexts(size: int, shards: int):
+def _contexts(size: int):
     """How often each word of a batch follows each class, stands before it, and follows itself, in its shard's
     terms; under shard -1 the counts of class pairs. Training tokens only."""
     kinds = 2 * size + 1
@@ -350,35 +388,42 @@ def _contexts(size: int, shards: int):
         out = {"shard": [], "batch": [], "entries": []}
         if len(batch):
             row = batch.iloc[0]
-            words, codes = np.frombuffer(row["words"], np.uint64), _unpack(row["codes"])
-            lengths = np.asarray(row["lengths"], np.int64)
+            codes, lengths = _unpack(row["codes"]), np.asarray(row["lengths"], np.int64)
             use = np.repeat(np.asarray(row["train"], bool), lengths)
-            before, here = _previous(codes, lengths, words)[use], codes[use]
+            before, here = _previous(codes, lengths, row["end_code"])[use], codes[use]
             del codes, use
-            group = np.frombuffer(b"".join(answers.sort_values("shard")["classes"]), np.uint8)
-            grid = sum(
-                np.bincount(group[before[k : k + 500_000]].astype(np.int64) * size + group[here[k : k + 500_000]], minlength=size * size) for k in range(0, max(len(here), 1), 500_000)
-            )
-            many, itself = len(here), here[here == before]
-            keys = np.empty(2 * many + len(itself), np.int32 if len(words) * kinds < 2**31 else np.int64)
-            np.multiply(here, kinds, out=keys[:many], casting="unsafe", dtype=keys.dtype)
-            keys[:many] += group[before]
-            np.multiply(before, kinds, out=keys[many : 2 * many], casting="unsafe", dtype=keys.dtype)
-            keys[many : 2 * many] += group[here]
-            keys[many : 2 * many] += size
-            keys[2 * many :] = itself.astype(keys.dtype) * kinds + 2 * size
-            del before, here
-            keys.sort()
-            starts = np.flatnonzero(np.concatenate([np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]]))
-            n = np.diff(starts, append=len(keys))
-            keys = keys[starts]
-            cuts = _cuts(words, shards)
-            ends = np.searchsorted(keys, cuts * kinds)
-            for k in np.flatnonzero(np.diff(cuts)):
-                part = slice(ends[k], ends[k + 1])
-                gaps = np.diff(keys[part].astype(np.int64) - cuts[k] * kinds, prepend=0)
-                out["shard"].append(k)
-                out["entries"].append(_pack_counts(np.concatenate([gaps, n[part]])))
+            answers = answers.sort_values("shard")
+            group = np.frombuffer(b"".join(answers["classes"]), np.uint8)
+            kind = np.int32 if len(group) * kinds < 2**31 else np.int64
+            itself, found = here[here == before], []
+            for word, near, first, alone in ((here, before, 0, itself[:0]), (before, here, size, itself)):
+                many = len(word)
+                keys = np.empty(many + len(alone), kind)
+                np.multiply(word, kinds, out=keys[:many], casting="unsafe", dtype=kind)
+                keys[:many] += group[near]
+                keys[:many] += first
+                keys[many:] = alone.astype(kind) * kinds + 2 * size
+                keys.sort()
+                new = np.ones(len(keys), bool)
+                np.not_equal(keys[1:], keys[:-1], out=new[1:])
+                starts = np.flatnonzero(new)
+                found.append((keys[starts], np.diff(starts, append=len(keys))))
+                del keys, new, starts
+            del before, here, word, near
+            keys, n = found[0]
+            grid = np.zeros(size * size)
+            for k in range(0, len(keys), 100_000):
+                word = keys[k : k + 100_000] // kinds
+                grid += np.bincount(keys[k : k + 100_000] - word * kinds + group[word].astype(np.int64) * size, n[k : k + 100_000], size * size)
+            grid = grid.reshape(size, size).T.ravel().astype(np.int64)
+            # The words of a batch are sorted as the shards are.
+            cuts = np.cumsum([0, *map(len, answers["classes"])])
+            ends = [np.searchsorted(keys, cuts * kinds) for keys, _ in found]
+            for k, shard in enumerate(answers["shard"]):
+                parts = [(keys[e[k] : e[k + 1]], n[e[k] : e[k + 1]]) for (keys, n), e in zip(found, ends)]
+                gaps = np.diff(np.concatenate([keys for keys, _ in parts]).astype(np.int64) - cuts[k] * kinds, prepend=0)
+                out["shard"].append(shard)
+                out["entries"].append(_pack_counts(np.concatenate([gaps, *(n for _, n in parts)])))
             out["shard"].append(-1)
             out["entries"].append(_pack_counts(grid))
             out["batch"] = [row["batch"]] * len(out["shard"])
@@ -397,8 +442,7 @@ def _grid(frames):
         yield _rows({"pair": seen, "n": total[seen]}, "pair long, n long")
 
 
-SMALL = 8
-ENTRIES = 20_000
+ENTRIES = 6_000
 
 
 def gains(grid: np.ndarray, now: np.ndarray, left: np.ndarray, right: np.ndarray, own: np.ndarray) -> np.ndarray:
@@ -407,60 +451,65 @@ def gains(grid: np.ndarray, now: np.ndarray, left: np.ndarray, right: np.ndarray
     ``grid`` counts class pairs, ``left`` the classes before a word, ``right`` those after it, ``own`` the word
     after itself, all with the words in their classes ``now``.
     """
-    at = np.arange(len(now))
+    at, width = np.arange(len(now)), len(grid)
     left, right = left.astype(float), right.astype(float)
     left[at, now] -= own
     right[at, now] -= own
     gain = np.zeros(left.shape)
     for grid_, mine, other in ((grid, right, left), (grid.T, left, right)):
         cells_ = grid_.T.astype(float)
-        word, near = np.nonzero(mine)
-        n, same = mine[word, near], near == now[word]
-        # What adds small counts to cells that the word is not in is the same for all words.
-        plain = ~same & (n <= SMALL)
-        table = _plog(cells_ + np.arange(1, SMALL + 1)[:, None, None]) - _plog(cells_)
-        for k in range(SMALL):
-            part = plain & (n == k + 1)
-            if part.any():
-                has = np.zeros(mine.shape)
-                has[word[part], near[part]] = 1
-                gain += has @ table[k]
-        counted = np.zeros(len(word))
-        counted[plain] = table[n[plain].astype(np.int64) - 1, near[plain], now[word[plain]]]
-        rest = np.flatnonzero(~plain)
-        if len(rest):
-            cells = cells_[near[rest]]
-            cells[same[rest]] -= other[word[same]]
-            steps = _plog(cells + n[rest, None]) - _plog(cells)
-            counted[rest] = steps[np.arange(len(rest)), now[word[rest]]]
-            starts = np.flatnonzero(np.diff(word[rest], prepend=-1))
-            gain[word[rest[starts]]] += np.add.reduceat(steps, starts)
+        cell = np.flatnonzero(mine != 0)
+        word, n = cell // width, mine.ravel()[cell]
+        near = cell - word * width
+        same = near == now[word]
+        # What adds a count to cells that the word is not in is the same for all words.
+        kinds, alike = np.unique(n * width + near, return_inverse=True)
+        count, kind = np.divmod(kinds, width)
+        kind = kind.astype(np.int64)
+        steps = _plog(cells_[kind] + count[:, None]) - _plog(cells_)[kind]
+        inside = np.flatnonzero(same)
+        cells = cells_[near[inside]] - other[word[inside]]
+        alike[inside] = len(kinds) + np.arange(len(inside))
+        steps = np.vstack([steps, _plog(cells + n[inside, None]) - _plog(cells)])
+        # The first entry of every word, then the second of those that have one, and so on.
+        entries = np.bincount(word, minlength=len(now))
+        order, first = np.argsort(-entries, kind="stable"), np.cumsum(entries) - entries
+        total = np.zeros(gain.shape)
+        for k, many in enumerate(len(now) - np.cumsum(np.bincount(entries))[:-1]):
+            total[:many] += steps[alike[first[order[:many]] + k]]
+        gain[order] += total
         cells = cells_[near, now[word]] - n - same * (own[word] + other[word, now[word]])
-        gain[at, now] += np.bincount(word, _plog(cells + n) - _plog(cells) - counted, len(now))
-        many = mine.sum(1) + own
-        sums = np.repeat(grid_.sum(1)[None].astype(float), len(now), 0)
-        sums[at, now] -= many
-        gain -= _plog(sums + many[:, None]) - _plog(sums)
-    both = np.repeat(np.diagonal(grid)[None].astype(float), len(now), 0)
-    both[at, now] -= left[at, now] + right[at, now] + own
-    gain += _plog(both + right + left + own[:, None]) + _plog(both) - _plog(both + right) - _plog(both + left)
+        gain[at, now] += np.bincount(word, _plog(cells + n) - _plog(cells) - steps[alike, now[word]], len(now))
+        # What it adds to the sums depends on how often the word is there alone, but for its own class.
+        many, of = np.unique(mine.sum(1) + own, return_inverse=True)
+        sums = grid_.sum(1).astype(float)
+        steps = _plog(sums + many[:, None]) - _plog(sums)
+        gain -= steps[of]
+        sums = sums[now]
+        gain[at, now] += steps[of, now] - _plog(sums) + _plog(sums - many[of])
+    # Cells of a class with itself count twice above where the word has that class on both sides, or follows itself.
+    cell = np.flatnonzero(((left > 0) & (right > 0)) | (own > 0)[:, None])
+    word = cell // width
+    near = cell - word * width
+    left, right, own = left.ravel()[cell], right.ravel()[cell], own[word]
+    both = np.diagonal(grid).astype(float)[near] - (near == now[word]) * (left + right + own)
+    gain.ravel()[cell] += _plog(both + right + left + own) + _plog(both) - _plog(both + right) - _plog(both + left)
     return gain
 
 
 def _entries(rows: pd.DataFrame, places: dict, kinds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The contexts of a shard's words over all batches: word, kind of context, count; sorted."""
-    keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    held = [np.zeros(0, np.int64)]
     for batch, packed in zip(rows["batch"], rows["entries"]):
         gaps, n = _unpack_counts(packed).reshape(2, -1)
         word, kind = np.divmod(np.cumsum(gaps), kinds)
-        keys.append(places[batch][word].astype(np.int64) * kinds + kind)
-        counts.append(n)
-    keys, counts = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
+        held.append((places[batch][word].astype(np.int64) * kinds + kind << 32) + n)
+    held = np.sort(np.concatenate(held))
+    keys, counts = held >> 32, held & 2**32 - 1
     starts = np.flatnonzero(np.diff(keys, prepend=-1))
-    n = np.add.reduceat(counts[order], starts) if len(starts) else counts
-    return keys[starts] // kinds, keys[starts] % kinds, n
+    n = np.add.reduceat(counts, starts) if len(starts) else counts
+    word, kind = np.divmod(keys[starts], kinds)
+    return word, kind, n
 
 
 def _start(words: np.ndarray, now: np.ndarray, word: np.ndarray, kind: np.ndarray, n: np.ndarray, cfg: BrownConfig) -> np.ndarray:
@@ -523,6 +572,8 @@ def _decide(cfg: BrownConfig, grid: np.ndarray | None, share: float, turn: int):
         else:
             now = _exchanged(now, _moving(words, share, turn), word, kind, n, grid, cfg)
         row["classes"] = now.astype(np.uint8).tobytes()
+        del places, word, kind, n
+        _release()
         return pd.DataFrame([row])
 
     return decide
@@ -636,7 +687,7 @@ def score_documents(docs: DataFrame, train: Column, cfg: BrownConfig = BrownConf
     corpus = scratch.stage(rows.mapInArrow(_encoder(cfg.batch_bytes), BATCH), "corpus")
     batches, held = corpus.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()
     batches, shards = max(batches, 1), held // 8 // cfg.shard_words + 1
-    texts = corpus.select("batch", "train", "lengths", "words", "codes")
+    texts = corpus.select("batch", "train", "lengths", "words", "codes", "end_code")
 
     def by_batch(df):
         return df.repartition(batches, "batch").groupBy("batch")
@@ -654,7 +705,7 @@ def score_documents(docs: DataFrame, train: Column, cfg: BrownConfig = BrownConf
 
         def contexts(vocabulary):
             told = vocabulary.mapInArrow(_answers(cfg.rest), ANSWER)
-            found = by_batch(texts).cogroup(by_batch(told)).applyInPandas(_contexts(cfg.all_classes, shards), CONTEXTS)
+            found = by_batch(texts.drop("words")).cogroup(by_batch(told)).applyInPandas(_contexts(cfg.all_classes), CONTEXTS)
             found = scratch.stage(found, "contexts")
             grid = np.zeros(cfg.all_classes**2)
             for pair, n in found.filter("shard < 0").select("entries").mapInArrow(_grid, "pair long, n long").groupBy("pair").agg(F.sum("n")).collect():

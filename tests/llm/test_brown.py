@@ -4,10 +4,13 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from panelcast.llm.brown import BrownConfig, _log_transition, exchange, gains, likelihood, score_documents
+from panelcast.llm import brown
+from panelcast.llm.brown import BrownConfig, _encoded, _log_transition, exchange, gains, likelihood, score_documents
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -137,3 +140,25 @@ def test_steps_from_every_state_add_up_to_one():
     for moves in (rng.integers(0, 9, (cfg.states, cfg.states)).astype(float), np.zeros((cfg.states, cfg.states))):
         step = 10 ** _log_transition(moves, mass, 0.01, cfg)
         assert step[:, : cfg.all_classes].sum(1) == pytest.approx(np.ones(cfg.states))
+
+
+def test_gains_take_logarithms_of_equal_counts_once(monkeypatch):
+    """Rare words share their counts: fewer logarithms than two for each word and class, whatever the entries."""
+    rng = np.random.default_rng(7)
+    words, classes = 2_000, 40
+    now = rng.integers(classes, size=words)
+    left, right = (rng.poisson(0.1, (words, classes)) for _ in range(2))
+    own, grid = np.zeros(words, int), rng.integers(1_000, 9_000, (classes, classes))
+    taken, plog = [], brown._plog
+    monkeypatch.setattr(brown, "_plog", lambda x: taken.append(np.size(x)) or plog(x))
+    assert gains(grid, now, left, right, own).shape == (words, classes)
+    assert sum(taken) < 2 * words * classes
+
+
+def test_texts_are_encoded_as_python_splits_them():
+    texts = [None, b"", b" \t\n", b"\xff A b\x0bC \x1c \x85 \xc3\x89", b"one", b" One  ONE\r", b"a" * 70]
+    for kind in (pa.binary(), pa.large_binary()):
+        hashes, places, lengths = _encoded(pa.array(texts, kind))
+        found = [(t or b"").lower().split() + [b"\n"] for t in texts]
+        assert list(lengths) == [len(f) for f in found]
+        assert [int(hashes[p]) for p in places] == [xxhash.xxh3_64_intdigest(w) for f in found for w in f]
