@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from panelcast.llm.phrases import Bitmap, _seeds, collocations, parse, pieces, rolled, scored, word_hashes
+from panelcast.llm.phrases import Bitmap, _blocks, _seeds, collocations, common_cells, encode, parse, pieces, rolled, scored, word_hashes
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -117,6 +117,59 @@ def test_bitmap_has_no_false_negative(spark):
     assert held[::2].all() and held[1::2].mean() < 0.05
 
 
+def test_rare_phrases_do_not_travel_as_text(spark, monkeypatch):
+    """Frequent words in rare pairs: rows of text for the pairs that are frequent, not for all; the result is the same."""
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(" ".join(rng.choices(words, k=200) + ["new", "york", "city"]) + "!", "en") for _ in range(130)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(2).cache()
+    made, real = Counter(), type(df).mapInArrow
+
+    def spied(self, func, schema, *rest, **more):
+        out = real(self, func, schema, *rest, **more)
+        if {"size", "phrase", "f"} <= set(out.columns):
+            made.update({r["size"]: r["count"] for r in out.groupBy("size").count().collect()})
+        return out
+
+    monkeypatch.setattr(type(df), "mapInArrow", spied)
+    assert sorted(map(tuple, collocations(df).collect())) == brute(rows, 100, 5, 2_000)
+    assert made[1] >= 60 and 0 < made[2] < 100, made
+
+
+@pytest.mark.parametrize("bits, min_count", [(6, 40), (9, 40), (22, 40), (22, 1), (22, 1 << 40)])
+def test_cells_hold_every_frequent_phrase(spark, texts, bits, min_count):
+    """Repeated rows weigh as often as they come; a text in two languages counts for each."""
+    df = spark.createDataFrame(texts * 2, SCHEMA).repartition(3)
+    blocks = encode(parse(df, 5, 8, "text", "lang"))
+    known = Bitmap(8, np.full(4, ~np.uint64(0)))
+    cells = common_cells(blocks, [2], 5, known, 1, min_count, bits)
+    f = defaultdict(Counter)
+    for text, lang in texts * 2:
+        for piece in b" ".join(pieces((text or "").encode()).split()).split(b"."):
+            words = piece.split()
+            f[lang or "und"].update(zip(words, words[1:]))
+    pairs = [(lang, p, n) for lang, counts in f.items() for p, n in counts.items()]
+    hashes = word_hashes([w for _, p, _ in pairs for w in p])
+    held = cells.holds(rolled(hashes, np.arange(len(pairs)) * 2, 2, np.array([_seeds([x])[0] for x, _, _ in pairs])))
+    often = np.array([n for _, _, n in pairs]) >= min_count
+    assert held[often].all() and (bits < 22 or held[~often].mean() < 0.01 if (~often).any() else True)
+
+
+def test_blocks_hold_the_dictionary(spark, texts):
+    dictionary = parse(spark.createDataFrame(texts, SCHEMA).repartition(3), 5, 8, "text", "lang").cache()
+    got, total = [], Counter()
+    for batch in encode(dictionary).toArrow().to_batches():
+        for row, block in zip(batch.to_pylist(), _blocks([batch])):
+            words, begin = np.array(block.vocabulary.to_pylist(), object)[block.words], 0
+            total[row["lang"]] += row["n"]
+            for end, last in zip(block.ends.tolist(), block.last.tolist()):
+                got.append((block.lang, b" ".join(words[begin:end]), last, int(block.times[begin])))
+                begin = end
+    rows = dictionary.collect()
+    assert sorted(got) == sorted((r["lang"], bytes(r["chunk"]), r["last"], r["times"]) for r in rows)
+    assert total == sum((Counter({r["lang"]: r["times"] * r["n_words"]}) for r in rows), Counter())
+
+
 def test_edges(spark, texts):
     none = spark.createDataFrame([], SCHEMA)
     assert collocations(none).count() == 0
